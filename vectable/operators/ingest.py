@@ -11,8 +11,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vectable.sources.tables import BROADCAST_ROWS, fits_broadcast, small_side
 from vectable.table import VectorTable, check_vector, path_col
@@ -26,19 +26,21 @@ def embed(text: Column, model: EmbedderFactory) -> Column:
     """Text column to ``array<float>``. A null text gives a null vector; a model that answers with
     the wrong number of vectors fails the job."""
 
-    @F.pandas_udf("array<float>")
-    def embedded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def embedded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         run = model()
         for texts in batches:
-            out = pd.Series([None] * len(texts), index=texts.index, dtype=object)
-            present = texts[texts.notna()]
-            if len(present):
-                vectors = list(run(present.tolist()))
-                if len(vectors) != len(present):
-                    raise ValueError(f"model gave {len(vectors)} vectors for {len(present)} texts")
-                for position, vector in zip(present.index, vectors):
-                    out[position] = np.asarray(vector, dtype=np.float32)
-            yield out
+            present = texts.is_valid()
+            asked = texts.filter(present).to_pylist()
+            vectors = [np.asarray(v, dtype=np.float32) for v in run(asked)] if asked else []
+            if len(vectors) != len(asked):
+                raise ValueError(f"model gave {len(vectors)} vectors for {len(asked)} texts")
+            there = present.to_numpy(zero_copy_only=False)
+            sizes = np.zeros(len(texts), dtype=np.int32)
+            sizes[there] = [len(v) for v in vectors]
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            values = np.concatenate(vectors) if vectors else np.zeros(0, dtype=np.float32)
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=pa.array(~there))
 
     return embedded(text)
 
