@@ -229,3 +229,25 @@ def test_ingest(spark, corpus):
     assert got["fresh"].embedding == [5.0, 1.0] and len(got["fresh"].id) == 36
     assert got["fresh"].id in {r.id for r in out.batch.collect()}  # drawn once
     assert [(r.id, r.reason) for r in out.rejects.collect()] == [("y", "text is not a string")]
+
+
+@pytest.mark.parametrize("merge", [False, True])
+def test_upsert_rewrites_only_touched_buckets(spark, corpus, tmp_path, merge):
+    path = str(tmp_path / "t")
+    corpus.withColumn("bucket", ingest.bucket_of(TABLE, 16)).write.partitionBy("bucket").parquet(path)
+    before = {f.name: f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
+    batch = changes(corpus).filter("id IN ('b', 'a2')")
+    out = ingest.upsert_buckets(spark, path, batch, TABLE, 16, merge=merge)
+    got, want = by_id(out.drop("bucket").select(*corpus.columns)), by_id((ingest.upsert_merge if merge else ingest.upsert_replace)(corpus, batch, TABLE))
+    assert got == want and out.count() == 7
+    after = {f.name for f in (tmp_path / "t").rglob("*.parquet")}
+    touched = {r[0] for r in batch.select(ingest.bucket_of(TABLE, 16)).collect()}
+    untouched = corpus.filter(~ingest.bucket_of(TABLE, 16).isin(touched)).count()
+    assert untouched and len(set(before) & after) >= 1
+    assert ingest.upsert_buckets(spark, path, batch.limit(0), TABLE, 16).count() == 7
+
+
+@pytest.mark.parametrize("limit", [0, 100])
+def test_known_texts_either_way(spark, corpus, limit):
+    batch = corpus.filter("id IN ('a', 'b', 'e')").withColumn("id", F.concat("id", F.lit("9")))
+    assert names(ingest.drop_known(batch, corpus.filter("id <> 'b'"), max_broadcast=limit)) == "b9e9"

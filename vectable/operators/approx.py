@@ -292,7 +292,8 @@ def candidate_rerank(
     """Keep the ``candidates`` rows with the fewest differing sketch bits, then rank those exactly.
 
     ``sketch_col`` names a stored sketch; without one it is computed on the fly. ``max_queries`` is a
-    known bound on the queries; with it the second stage can leave the corpus in place.
+    known bound on the queries (counted if not given): where the candidates are few enough, the
+    second stage leaves the corpus in place.
     """
     check_range("k", k, 1)
     check_range("candidates", candidates, 1)
@@ -307,20 +308,13 @@ def candidate_rerank(
         HAMMING, candidates, **search,
     ).select("query_id", "id")
     stored = pool.select(path_col(table.id).alias("id"), path_col(path).alias("v"))
-    bound = None if max_queries is None else max_queries * candidates
+    bound = (queries.count() if max_queries is None else max_queries) * candidates
     return as_hits(_rescored(close, stored, asked, metric, k, bound), metric)
 
 
 # ---- k-NN graph -----------------------------------------------------------------------------------
 
 
-def _edges(ranked: DataFrame, degree: int) -> DataFrame:
-    """Drop the edge of a row to itself, then keep the first ``degree``."""
-    others = ranked.filter(F.col("query_id") != F.col("id"))
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("near"), F.col("id")))
-    return others.withColumn("rank", place).filter(F.col("rank") <= degree)
-
-
 def knn_graph(
     corpus: DataFrame,
     table: VectorTable,
@@ -335,32 +329,82 @@ def knn_graph(
     """``src, dst, rank, score``: for every row its ``max_degree`` nearest others.
 
     ``within`` names a column (``list_id``) that both ends must share, which turns the all-pairs cost
-    into the sum over lists. With ``build_candidates`` a sketch picks that many per row first and only
-    those are scored exactly; without it the edges are exact (inside ``within``).
+    into the sum over lists. With ``build_candidates`` a sketch picks that many distinct vectors per
+    row first and only those are scored exactly; without it the edges are exact (inside ``within``).
+
+    Equal vectors are searched once, however many rows carry them: a group of copies costs one row in
+    the search, and its edges are filled in afterwards, with the same result.
     """
     check_range("max_degree", max_degree, 1)
     metric = check_metric(metric or table.metric)
-    path = path_col(table.vector_path(corpus))
-    rows = corpus.filter(is_valid(path, table.dims)).select(
-        path_col(table.id).alias("id"), path.alias("v"), *([path_col(within).alias("scope")] if within else [])
-    )
-    stages = rows
     if build_candidates is not None:
         check_range("build_candidates", build_candidates, max_degree)
         if planes is None:
             raise ValueError("a candidate stage needs planes")
-        stages = add_sketch(rows, planes, "v").select(
-            "id", F.col("sketch").alias("v"), *(["scope"] if within else [])
-        )
-    asked = stages.select(
-        F.col("id").alias("query_id"), "v", *([F.array("scope").alias("scope")] if within else [])
+    path = path_col(table.vector_path(corpus))
+    scope = ["scope"] if within else []
+    rows = corpus.filter(is_valid(path, table.dims)).select(
+        path_col(table.id).alias("id"), path.alias("v"), *([path_col(within).alias("scope")] if within else [])
+    )
+    depth = max_degree + 1  # one more than asked: the row itself may be among them
+    same = [*scope, "__hash", "v"]
+    hashed = rows.withColumn("__hash", F.xxhash64("v"))
+    place = F.row_number().over(Window.partitionBy(*same).orderBy("id"))
+    first = hashed.withColumn("__place", place).filter(F.col("__place") <= depth)
+    # One row per distinct vector: its smallest id stands for it, ``members`` are its first ids.
+    groups = first.groupBy(*same).agg(F.sort_array(F.collect_list("id")).alias("members"))
+    groups = groups.withColumn("id", F.col("members")[0])
+    distinct = groups.select("id", "v", *scope)
+    near = _distinct_neighbours(distinct, metric, depth, build_candidates, planes, table.dims, scope, search)
+
+    # Ids in place of distinct vectors: of each neighbour only its first ids can be wanted.
+    named = near.join(groups.select("id", "members"), "id").select(
+        "query_id", "near", F.explode("members").alias("id")
+    )
+    order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("near"), F.col("id")))
+    best = named.withColumn("__place", order).filter(F.col("__place") <= depth)
+    lists = best.groupBy("query_id").agg(
+        F.sort_array(F.collect_list(F.struct("__place", "id", "near"))).alias("__found")
+    )
+
+    # Every row takes the list of its vector, minus itself. Rows beyond ``members`` exist only in big
+    # groups of copies; AQE splits the side that holds them.
+    listed = groups.select(F.col("id").alias("query_id"), F.explode("members").alias("src"))
+    big = groups.filter(F.size("members") == depth).select(
+        *same, F.col("id").alias("query_id"), F.element_at("members", -1).alias("__last")
+    )
+    more = hashed.join(big, same).filter(F.col("id") > F.col("__last")).select("query_id", F.col("id").alias("src"))
+    taken = listed.unionByName(more).join(lists, "query_id").select(
+        "src", F.slice(F.filter("__found", lambda hit: hit["id"] != F.col("src")), 1, max_degree).alias("__found")
+    )
+    edges = taken.select("src", F.posexplode("__found").alias("__at", "hit")).select(
+        F.col("src").alias("query_id"), (F.col("__at") + 1).alias("rank"),
+        F.col("hit.id").alias("id"), F.col("hit.near").alias("near"),
     )
-    if build_candidates is None:
-        edges = _edges(nearest(stages, asked, metric, max_degree + 1, dims=table.dims, **search), max_degree)
-    else:
-        close = _edges(nearest(stages, asked, HAMMING, build_candidates + 1, **search), build_candidates)
-        sources = rows.select(F.col("id").alias("query_id"), F.col("v").alias("qv"))
-        stored = rows.select("id", "v")
-        edges = _rescored(close.select("query_id", "id"), stored, sources, metric, max_degree, None)
     hits = as_hits(edges, metric)
     return hits.select(F.col("query_id").alias("src"), F.col("id").alias("dst"), "rank", *hits.columns[3:])
+
+
+def _distinct_neighbours(
+    distinct: DataFrame,
+    metric: str,
+    depth: int,
+    build_candidates: int | None,
+    planes: DataFrame | None,
+    dims: int | None,
+    scope: list[str],
+    search: dict[str, Any],
+) -> DataFrame:
+    """``query_id, id, near``: the ``depth`` nearest among distinct vectors, each itself included."""
+
+    def asked(df: DataFrame) -> DataFrame:
+        return df.select(F.col("id").alias("query_id"), "v", *[F.array(c).alias(c) for c in scope])
+
+    if build_candidates is None:
+        found = nearest(distinct, asked(distinct), metric, depth, dims=dims, trusted=True, **search)
+        return found.select("query_id", "id", "near")
+    sketched = add_sketch(distinct, planes, "v").select("id", F.col("sketch").alias("v"), *scope)
+    close = nearest(sketched, asked(sketched), HAMMING, build_candidates + 1, trusted=True, **search)
+    sources = distinct.select(F.col("id").alias("query_id"), F.col("v").alias("qv"))
+    exact = _rescored(close.select("query_id", "id"), distinct.select("id", "v"), sources, metric, depth, None)
+    return exact.select("query_id", "id", "near")

@@ -12,10 +12,10 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from vectable.sources.tables import BROADCAST_ROWS, fits_broadcast, small_side
-from vectable.table import VectorTable, check_vector, path_col
+from vectable.sources.tables import BROADCAST_ROWS, fits_broadcast, settle, small_side
+from vectable.table import VectorTable, check_range, check_vector, path_col
 
 # A model factory runs once per Python worker and returns ``list of texts -> list of vectors``.
 Embedder = Callable[[Sequence[str]], Sequence[Sequence[float]]]
@@ -86,21 +86,34 @@ def latest_per_id(batch: DataFrame, table: VectorTable, order: str = "ord") -> D
     return ranked.filter("__newest = 1").drop("__newest")
 
 
-def drop_known(batch: DataFrame, known: DataFrame | None = None, *, on: Column | str = "text",
-               duplicate: Column | None = None) -> DataFrame:
+def drop_known(
+    batch: DataFrame,
+    known: DataFrame | None = None,
+    *,
+    on: Column | str = "text",
+    duplicate: Column | None = None,
+    max_broadcast: int = BROADCAST_ROWS,
+) -> DataFrame:
     """Drop rows already stored, before paying for their embeddings.
 
     ``duplicate`` is a predicate on the batch (NULL keeps the row); ``known`` is a stored table, and
-    rows whose ``on`` value has the same MD5 there are dropped. Only 16-byte hashes are compared, and
-    each distinct hash is kept once, so a text stored a billion times costs one row.
+    rows whose ``on`` value has the same MD5 there are dropped. Only 16-byte hashes are compared. When
+    those of the batch fit, they go to the stored table, which is then not moved; and each hash
+    found is kept once per task, so a text stored a billion times costs one row per task.
     """
     out = batch if duplicate is None else batch.filter(~F.coalesce(duplicate, F.lit(False)))
     if known is None:
         return out
     content = F.col(on) if isinstance(on, str) else on
-    hashes = known.select(F.unhex(F.md5(content)).alias("__hash")).distinct()
-    marked = out.withColumn("__hash", F.unhex(F.md5(content)))
-    return marked.join(small_side(hashes), "__hash", "left_anti").drop("__hash")
+    digest = F.unhex(F.md5(content)).alias("__hash")
+    stored = known.select(digest).filter("__hash IS NOT NULL")
+    asked = out.select(digest).filter("__hash IS NOT NULL").distinct()
+    small = fits_broadcast(asked, max_broadcast)
+    if small:
+        stored = stored.join(F.broadcast(asked), "__hash", "left_semi")
+    found = stored.distinct()  # no more rows than the batch has, when that is small
+    marked = out.withColumn("__hash", digest)
+    return marked.join(F.broadcast(found) if small else found, "__hash", "left_anti").drop("__hash")
 
 
 def upsert_replace(
@@ -164,3 +177,30 @@ def upsert_embeddings(
 ) -> DataFrame:
     """Refresh vectors only: text and metadata stay; a new id gets NULL text."""
     return upsert_merge(current, batch, table, [table.embedding], max_broadcast=max_broadcast)
+
+
+def upsert_buckets(
+    spark: SparkSession, path: str, batch: DataFrame, table: VectorTable, buckets: int, *, merge: bool = False
+) -> DataFrame:
+    """Upsert a batch into the Parquet table at ``path``, rewriting only the key buckets it touches.
+
+    The table is laid out by ``bucket_of``; a small batch then costs its buckets, not the table.
+    Spark writes the new buckets aside and swaps them in when the job ends, so a failed job changes
+    nothing; readers that run during the swap may see some buckets old and some new. Only for upserts:
+    a delete can empty a bucket, which this way would leave untouched.
+    """
+    placed = settle(batch.withColumn("bucket", bucket_of(table, buckets)))
+    touched = [row["bucket"] for row in placed.select("bucket").distinct().collect()]  # at most ``buckets``
+    if not touched:
+        return spark.read.parquet(path)
+    current = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
+    put = upsert_merge if merge else upsert_replace
+    after = put(current.drop("bucket"), placed.drop("bucket"), table).withColumn("bucket", bucket_of(table, buckets))
+    writer = after.hint("rebalance", F.col("bucket")).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    return spark.read.parquet(path)
+
+
+def bucket_of(table: VectorTable, buckets: int) -> Column:
+    """Bucket number of a row: even whatever the ids look like, since keys are unique."""
+    return F.pmod(F.xxhash64(*[path_col(c) for c in table.key]), F.lit(check_range("buckets", buckets, 1))).cast("int")

@@ -133,6 +133,8 @@ def mmr(
         query_id=query_id, query_vector=query_vector, **search,
     )
     hits = hits.select("query_id", "rank", "id", "score")
+    if max_hits is None:
+        max_hits = queries.count() * fetch_k
     asked = queries.select(path_col(query_id).alias("query_id"), path_col(query_vector).alias("query_vector"))
     return rerank_diverse(with_vectors(hits, corpus, asked, table, vector_col, max_hits), k, lambda_mult)
 

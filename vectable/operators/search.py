@@ -276,21 +276,35 @@ class _Queries:
 
 
 def _prepare(queries: DataFrame, metric: str, dims: int | None, limit: int) -> _Queries:
-    """Count and check the queries: unique ids, usable vectors of one length."""
+    """Count the queries, without computing their vectors, and see whether they can be shared."""
+    count = queries.count()
+    width = dims if metric != HAMMING else None
+    if width is None:
+        first = queries.select(F.size("v").alias("n")).filter("n > 0").head(1)
+        width = first[0]["n"] if first else 1
+    return _Queries(queries, count, width, count * width * 8 <= limit)
+
+
+def _check_held(held: pa.Table, metric: str, width: int) -> np.ndarray:
+    """Raise on an unusable or repeated query; returns the query vectors as a matrix."""
+    positions, matrix = _matrix(held.column("v"), metric, width)
+    ids = held.column("query_id")
+    if len(positions) != held.num_rows or ids.null_count:
+        raise ValueError(f"every query needs an id and {width} finite vector elements")
+    if pc.count_distinct(ids).as_py() != held.num_rows:
+        raise ValueError("query ids repeat")
+    return matrix
+
+
+def _check_spread(queries: _Queries, metric: str) -> None:
+    """The same checks as a job, for queries too many to hold."""
     v = F.col("v")
-    usable = is_valid(v, dims) if metric != HAMMING else v.isNotNull()
-    facts = queries.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(~usable | F.col("query_id").isNull()).alias("bad"),
-        F.max(F.size(v)).alias("widest"),
-        F.min(F.size(v)).alias("narrowest"),
-    ).first()
-    if facts["bad"]:
-        raise ValueError(f"{facts['bad']} queries have no id or no finite vector of the right length")
-    if facts["n"] and facts["widest"] != facts["narrowest"]:
-        raise ValueError("query vectors differ in length")
-    width = facts["widest"] or dims or 1
-    return _Queries(queries, facts["n"], width, facts["n"] * width * 8 <= limit)
+    usable = is_valid(v, queries.width) if metric != HAMMING else F.size(v) == F.lit(queries.width)
+    bad = F.count_if(~F.coalesce(usable, F.lit(False)) | F.col("query_id").isNull())
+    if queries.frame.agg(bad).first()[0]:
+        raise ValueError(f"every query needs an id and {queries.width} finite vector elements")
+    if queries.frame.groupBy("query_id").count().filter("count > 1").head(1):
+        raise ValueError("query ids repeat")
 
 
 def batch_topk(
@@ -374,25 +388,30 @@ def nearest(
     seed_fraction: float = 0.0,
     shared_bytes: int = SHARED_QUERY_BYTES,
     cell_bytes: int = CELL_BYTES,
+    trusted: bool = False,
 ) -> DataFrame:
-    """``query_id, id, near, rank`` from corpus (id, v [, scope]) and queries (query_id, v [, scope])."""
+    """``query_id, id, near, rank`` from corpus (id, v [, scope]) and queries (query_id, v [, scope]).
+
+    ``trusted``: the caller made the queries from checked rows with unique ids.
+    """
     if engine not in ("auto", "shared", "grid"):
         raise ValueError("engine is 'auto', 'shared' or 'grid'")
     ready = _prepare(queries, metric, dims, shared_bytes)
     if engine == "grid" or (engine == "auto" and not ready.shared):
+        if not trusted:
+            _check_spread(ready, metric)
         return _ranked(_grid(corpus, ready, metric, k, cell_bytes), k, ready.count)
     if not ready.shared:
         raise ValueError("too many queries to share; use engine='grid'")
     held = queries.toArrow()
-    if pc.count_distinct(held.column("query_id")).as_py() != held.num_rows:
-        raise ValueError("query ids repeat")
+    matrix = _check_held(held, metric, ready.width)
     floor = None
     if seed_fraction > 0:
-        sample = _shared(corpus.sample(seed_fraction, seed=1), ready, held, metric, k)
+        sample = _shared(corpus.sample(seed_fraction, seed=1), ready, held, matrix, metric, k)
         last = _ranked(sample, k, ready.count).filter(F.col("rank") == k).select("query_id", "near").toArrow()
         found = pc.index_in(held.column("query_id"), last.column("query_id"))
         floor = last.column("near").take(found).fill_null(-np.inf).to_numpy()
-    return _ranked(_shared(corpus, ready, held, metric, k, floor), k, ready.count)
+    return _ranked(_shared(corpus, ready, held, matrix, metric, k, floor), k, ready.count)
 
 
 def _ranked(local: DataFrame, k: int, n_queries: int) -> DataFrame:
@@ -445,12 +464,17 @@ def _positions_by_scope(scope: pa.Array) -> dict:
 
 
 def _shared(
-    corpus: DataFrame, queries: _Queries, held: pa.Table, metric: str, k: int, floor: np.ndarray | None = None
+    corpus: DataFrame,
+    queries: _Queries,
+    held: pa.Table,
+    matrix: np.ndarray,
+    metric: str,
+    k: int,
+    floor: np.ndarray | None = None,
 ) -> DataFrame:
     """Per-task winners, queries handed to every task."""
     width = queries.width
     schema, arrow = _local_schema(corpus, queries.frame)
-    _, matrix = _matrix(held.column("v"), metric, width)
     lookup = _positions_by_scope(held.column("scope")) if "scope" in held.column_names else None
     ids = held.column("query_id").combine_chunks()
     sent = corpus.sparkSession.sparkContext.broadcast((ids, matrix, lookup, floor))
@@ -486,8 +510,6 @@ def _grid(corpus: DataFrame, queries: _Queries, metric: str, k: int, cell_bytes:
     width = queries.width
     per_slab = max(1, cell_bytes // (8 * width))
     asked = queries.frame
-    if asked.groupBy("query_id").count().filter("count > 1").head(1):
-        raise ValueError("query ids repeat")
     if "scope" in asked.columns:
         asked = asked.withColumn("scope", F.explode(F.array_distinct("scope")))
         rows = corpus.groupBy("scope").agg(F.count(F.lit(1)).alias("__rows"))

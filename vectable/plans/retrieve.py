@@ -12,6 +12,7 @@ from vectable.operators.fetch import to_documents
 from vectable.operators.ingest import EmbedderFactory, embed
 from vectable.operators.mmr import mmr
 from vectable.operators.search import attach, batch_topk, post_stages, relevance
+from vectable.sources.tables import settle
 from vectable.table import VectorTable, path_col
 
 SEARCH_TYPES = ("similarity", "mmr", "similarity_score_threshold")
@@ -61,19 +62,21 @@ def retrieve(
     if search_type == "similarity_score_threshold" and minimum is None:
         raise ValueError("a threshold search needs a minimum score")
     asked = queries if model is None else embed_queries(queries, model)
+    if max_queries is None:
+        max_queries = queries.count()
     if search_type == "mmr":
-        bound = None if max_queries is None else max_queries * fetch_k
+        if model is not None:
+            asked = settle(asked)  # used twice below: embed once
         hits = mmr(
-            corpus, asked, table, k, fetch_k, lambda_mult, condition=condition, max_hits=bound, **search
+            corpus, asked, table, k, fetch_k, lambda_mult, condition=condition, max_hits=max_queries * fetch_k, **search
         )
     else:
         hits = batch_topk(corpus, asked, table, k, condition=condition, **search)
         cut = minimum if search_type == "similarity_score_threshold" else None
         hits = relevance(hits, relevance_fn, cut)
-    bound = None if max_queries is None else max_queries * k
     stored = corpus if include_vectors else corpus.drop(table.embedding)
     columns = [c for c in stored.columns if c != table.id]
-    joined = attach(hits, stored, table, columns, max_hits=bound).withColumnRenamed("id", table.id)
+    joined = attach(hits, stored, table, columns, max_hits=max_queries * k).withColumnRenamed("id", table.id)
     keep = [c for c in hits.columns if c != "id"]
     found = to_documents(joined, table, keep=keep, include_vectors=include_vectors)
     found = post_stages(found, *stages)

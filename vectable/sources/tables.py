@@ -77,14 +77,14 @@ def save_bucketed(
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """True when ``df`` is measured to stay within both bounds.
 
-    Measuring stops just past ``max_rows``. The JSON length of a row stands in for its size: it is an
-    over-estimate, most of all for vectors.
+    Rows are counted first, which reads no wide column; only a frame that passes is weighed. The JSON
+    length of a row stands in for its size: it is an over-estimate, most of all for vectors.
     """
+    rows = df.count()
+    if not 0 < rows <= max_rows:
+        return rows == 0
     size = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    found = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")
-    ).first()
-    return found["rows"] <= max_rows and found["bytes"] <= max_bytes
+    return df.agg(F.sum(size)).first()[0] <= max_bytes
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
