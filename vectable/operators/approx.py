@@ -31,7 +31,7 @@ from vectable.operators.search import (
     batch_topk,
     nearest,
 )
-from vectable.sources.tables import BROADCAST_ROWS
+from vectable.sources.tables import BROADCAST_ROWS, settle
 from vectable.table import COSINE, VectorTable, check_metric, check_range, path_col
 
 # The index kinds, the default of each tuning number and its allowed range.
@@ -347,13 +347,15 @@ def knn_graph(
         path_col(table.id).alias("id"), path.alias("v"), *([path_col(within).alias("scope")] if within else [])
     )
     depth = max_degree + 1  # one more than asked: the row itself may be among them
-    same = [*scope, "__hash", "v"]
-    hashed = rows.withColumn("__hash", F.xxhash64("v"))
+    same = [*scope, "__hash"]
+    hashed = rows.withColumn("__hash", F.unhex(F.md5(F.col("v").cast("string"))))
     place = F.row_number().over(Window.partitionBy(*same).orderBy("id"))
     first = hashed.withColumn("__place", place).filter(F.col("__place") <= depth)
-    # One row per distinct vector: its smallest id stands for it, ``members`` are its first ids.
-    groups = first.groupBy(*same).agg(F.sort_array(F.collect_list("id")).alias("members"))
-    groups = groups.withColumn("id", F.col("members")[0])
+    # One row per distinct vector: its smallest id stands for it, ``members`` are its first ids. The
+    # window has laid the rows out by the same keys, so grouping moves nothing. Kept as a checkpoint,
+    # because the search and the joins below all start from it.
+    groups = first.groupBy(*same).agg(F.sort_array(F.collect_list("id")).alias("members"), F.first("v").alias("v"))
+    groups = settle(groups.withColumn("id", F.col("members")[0]))
     distinct = groups.select("id", "v", *scope)
     near = _distinct_neighbours(distinct, metric, depth, build_candidates, planes, table.dims, scope, search)
 
@@ -373,7 +375,7 @@ def knn_graph(
     big = groups.filter(F.size("members") == depth).select(
         *same, F.col("id").alias("query_id"), F.element_at("members", -1).alias("__last")
     )
-    more = hashed.join(big, same).filter(F.col("id") > F.col("__last")).select("query_id", F.col("id").alias("src"))
+    more = hashed.select("id", *same).join(big, same).filter(F.col("id") > F.col("__last")).select("query_id", F.col("id").alias("src"))
     taken = listed.unionByName(more).join(lists, "query_id").select(
         "src", F.slice(F.filter("__found", lambda hit: hit["id"] != F.col("src")), 1, max_degree).alias("__found")
     )
