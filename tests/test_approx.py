@@ -128,3 +128,22 @@ def test_graph_from_candidates(spark):
         approx.knn_graph(corpus, TABLE, 6, 30)
     with pytest.raises(ValueError):
         approx.knn_graph(corpus, TABLE, 6, 5, planes=planes)
+
+
+def test_keys_with_a_namespace(spark):
+    rows = [("t1", "a", [1.0, 0.0]), ("t2", "a", [0.9, 0.1]), ("t2", "b", [0.0, 1.0])]
+    corpus = spark.createDataFrame(rows, "namespace string, id string, embedding array<float>")
+    table = VectorTable(dims=2, namespace="namespace")
+    graph = approx.knn_graph(corpus, table, 1)
+    got = {(r.src_namespace, r.src): (r.dst_namespace, r.dst) for r in graph.collect()}
+    assert got == {("t1", "a"): ("t2", "a"), ("t2", "a"): ("t1", "a"), ("t2", "b"): ("t2", "a")}
+    inside = approx.knn_graph(corpus, table, 1, within="namespace")
+    assert {(r.src_namespace, r.src): r.dst for r in inside.collect()} == {("t2", "a"): "b", ("t2", "b"): "a"}
+    asked = spark.createDataFrame([(1, [1.0, 0.0])], QUERY)
+    planes = approx.random_planes(spark, 2, 64)
+    hits = approx.candidate_rerank(corpus, asked, planes, table, 2, 3).orderBy("rank").collect()
+    assert [(r.namespace, r.id) for r in hits] == [("t1", "a"), ("t2", "a")]
+    centroids = approx.train_centroids(corpus, table)
+    for limit in (1, 10**6):
+        indexed = approx.ivf_assign(corpus, centroids, table, shared_bytes=limit)
+        assert indexed.count() == 3 and indexed.filter("list_id = 0").count() == 3

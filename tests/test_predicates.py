@@ -42,6 +42,14 @@ def ids(df):
         ({"year": {"$ne": None}}, "abdf"),
         ({"unknown": "x"}, ""),
         ({"unknown": {"$ne": "x"}}, "abcdef"),
+        ({"category": 5}, ""),  # another type never matches
+        ({"category": {"$gt": 5}}, ""),
+        ({"category": {"$ne": 5}}, "abcdef"),
+        ({"year": "2025"}, ""),
+        ({"year": {"$in": ["2025", 2023, True]}}, "f"),
+        ({"featured": 1}, ""),
+        ({"year": {"$gt": 2024.5}}, "ad"),
+        ({"priority": {"$contains": "1"}}, ""),
         ({"namespace": "t1"}, ""),  # a bare key is always a metadata field
         ({}, "abcdef"),
         (None, "abcdef"),
@@ -91,3 +99,13 @@ def test_map_and_variant_metadata(spark, corpus):
     assert ids(where(dynamic, TABLE, {"featured": True})) == "ad"
     assert ids(where(dynamic, TABLE, {"year": {"$ne": 2025}})) == "bcef"
     assert ids(where(dynamic, TABLE, {"category": {"$gt": 3}})) == ""
+
+
+def test_variant_numbers_and_types(spark):
+    rows = [("a", '{"k": 5}'), ("b", '{"k": 5.7}'), ("c", '{"k": "5"}'), ("d", '{"k": true}'), ("e", '{"k": null}'), ("f", "{}"), ("g", '{"o": {"x": "y"}}')]
+    df = spark.createDataFrame(rows, "id string, j string").select("id", F.parse_json("j").alias("metadata"))
+    for condition, want in (
+        ({"k": 5}, "a"), ({"k": {"$gt": 5}}, "b"), ({"k": "5"}, "c"), ({"k": True}, "d"), ({"k": None}, "efg"),
+        ({"k": {"$in": [5, "5"]}}, "ac"), ({"k": {"$ne": 5}}, "bcdefg"), ({"o.x": "y"}, "g"), ({"k": {"$gte": 5.7}}, "b"),
+    ):
+        assert ids(where(df, TABLE, condition)) == want, condition

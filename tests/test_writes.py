@@ -251,3 +251,14 @@ def test_upsert_rewrites_only_touched_buckets(spark, corpus, tmp_path, merge):
 def test_known_texts_either_way(spark, corpus, limit):
     batch = corpus.filter("id IN ('a', 'b', 'e')").withColumn("id", F.concat("id", F.lit("9")))
     assert names(ingest.drop_known(batch, corpus.filter("id <> 'b'"), max_broadcast=limit)) == "b9e9"
+
+
+def test_keys_with_a_namespace_in_lists(spark, corpus):
+    from vectable.operators.fetch import get_by_ids
+
+    both = corpus.unionByName(corpus.filter("id = 'a'").withColumn("namespace", F.lit("t2")))
+    listed = spark.createDataFrame([("t2", "a"), ("t1", "b")], "namespace string, id string")
+    out = delete.delete_by_ids(both, listed, SPACED)
+    assert {(r.namespace, r.id) for r in out.gone.collect()} == {("t2", "a"), ("t1", "b")} and out.kept.count() == 5
+    assert get_by_ids(both, listed, SPACED).count() == 2
+    assert get_by_ids(both, listed.select("id"), SPACED).count() == 3

@@ -41,29 +41,51 @@ def to_column(df: DataFrame, table: VectorTable, condition: Filter) -> Column:
 
 
 def _field(df: DataFrame, table: VectorTable, key: str, sample: Any) -> Column:
-    """Column of a metadata field. ``sample`` is a value it is compared with: it gives the type to
-    read from a VARIANT, where a value of another type reads as NULL."""
+    """Column of a metadata field, to be compared with values like ``sample``. A missing field, or one
+    of another type (text against a number), is NULL rather than an error."""
     check_name(key, "filter field")
     prefix = table.metadata + "."
     inner = key.removeprefix(prefix)
+    kind = _kind(sample)
     root = path_type(df.schema, table.metadata)
     if isinstance(root, T.VariantType):
-        steps = "".join(f"['{part}']" for part in inner.replace("'", "").split("."))
-        return F.try_variant_get(path_col(table.metadata), "$" + steps, _variant_type(sample))
+        return _variant_field(path_col(table.metadata), inner, kind)
     if isinstance(root, T.MapType):
-        return F.try_element_at(path_col(table.metadata), F.lit(inner))
-    if path_type(df.schema, prefix + inner) is None:
-        return F.lit(None)
-    return path_col(prefix + inner)
-
-
-def _variant_type(sample: Any) -> str:
-    if isinstance(sample, (list, tuple)):
-        sample = next((x for x in sample if x is not None), None)
-    for kind, name in ((bool, "boolean"), (int, "bigint"), (float, "double")):
-        if isinstance(sample, kind):
-            return name
-    return "string"
+        column, dtype = F.try_element_at(path_col(table.metadata), F.lit(inner)), root.valueType
+    else:
+        column, dtype = path_col(prefix + inner), path_type(df.schema, prefix + inner)
+    return column if dtype is not None and _comparable(dtype, kind) else F.lit(None)
+
+
+def _kind(sample: Any) -> str | None:
+    """text, number or truth; None for anything else."""
+    if isinstance(sample, bool):
+        return "truth"
+    if isinstance(sample, (int, float)):
+        return "number"
+    return "text" if isinstance(sample, str) else None
+
+
+def _comparable(dtype: T.DataType, kind: str | None) -> bool:
+    for known, name in ((T.StringType, "text"), (T.NumericType, "number"), (T.BooleanType, "truth")):
+        if isinstance(dtype, known):
+            return kind in (name, None)
+    return True
+
+
+def _variant_field(metadata: Column, inner: str, kind: str | None) -> Column:
+    """A field of metadata without a schema. Numbers are compared as double, whatever they are
+    stored as; a value of another kind reads as NULL."""
+    steps = "".join(f"['{part}']" for part in inner.replace("'", "").split("."))
+    if kind is None:
+        return F.try_variant_get(metadata, "$" + steps, "string")
+    stored = F.schema_of_variant(F.try_variant_get(metadata, "$" + steps, "variant"))
+    if kind == "number":
+        fits = stored.isin("BIGINT", "DOUBLE", "FLOAT") | stored.startswith("DECIMAL")
+    else:
+        fits = stored == F.lit("STRING" if kind == "text" else "BOOLEAN")
+    read = {"text": "string", "number": "double", "truth": "boolean"}[kind]
+    return F.when(fits, F.try_variant_get(metadata, "$" + steps, read))
 
 
 def _conjunction(condition: Mapping[str, Any], field: FieldOf) -> Column:
@@ -100,7 +122,7 @@ def _entry(key: str, value: Any, field: FieldOf) -> Column:
 
 
 def _compare(key: str, op: str, operand: Any, field: FieldOf) -> Column:
-    column = field(key, operand)
+    column = field(key, "" if op == "$contains" else operand)
     if op == "$eq":
         return column.isNull() if operand is None else column == F.lit(operand)
     if op == "$ne":
@@ -109,8 +131,12 @@ def _compare(key: str, op: str, operand: Any, field: FieldOf) -> Column:
         if not isinstance(operand, (list, tuple)):
             raise ValueError("$in and $nin take a list")
         known = [x for x in operand if x is not None]
-        listed = column.isin(known) if known else F.lit(False)
-        return listed if len(known) == len(operand) else F.coalesce(listed, F.lit(False)) | column.isNull()
+        groups = [[x for x in known if _kind(x) == kind] for kind in dict.fromkeys(map(_kind, known))]
+        parts = [field(key, group[0]).isin(group) for group in groups]
+        listed = reduce(lambda a, b: a | b, parts) if parts else F.lit(False)
+        if len(known) == len(operand):
+            return listed
+        return F.coalesce(listed, F.lit(False)) | field(key, None).isNull()
     if op == "$nin":
         return _complement(_compare(key, "$in", operand, field))
     if op == "$not":

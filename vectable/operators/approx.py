@@ -179,11 +179,11 @@ def ivf_assign(
     usable = corpus.filter(is_valid(path_col(path), table.dims))
     found = nearest(
         centroids.select(F.col("list_id").cast("int").alias("id"), F.col("centroid").alias("v")),
-        usable.select(path_col(table.id).alias("query_id"), path_col(path).alias("v")),
-        table.metric, 1, dims=table.dims, engine="grid",
+        usable.select(table.row_key().alias("query_id"), path_col(path).alias("v")),
+        table.metric, 1, dims=table.dims, engine="grid", trusted=True,
     )
-    assigned = found.select(F.col("query_id").alias(table.id), F.col("id").alias("list_id"))
-    return corpus.join(assigned, table.id, "left")
+    assigned = found.select(F.col("query_id").alias("__key"), F.col("id").alias("list_id"))
+    return corpus.join(assigned, table.row_key() == F.col("__key"), "left").drop("__key")
 
 
 def ivf_search(
@@ -303,13 +303,13 @@ def candidate_rerank(
     sketched = pool if sketch_col else add_sketch(pool, planes, path)
     asked = queries.select(path_col(query_id).alias("query_id"), path_col(query_vector).alias("qv"))
     close = nearest(
-        sketched.select(path_col(table.id).alias("id"), path_col(sketch_col or "sketch").alias("v")),
+        sketched.select(table.row_key().alias("id"), path_col(sketch_col or "sketch").alias("v")),
         add_sketch(asked, planes, "qv").select("query_id", F.col("sketch").alias("v")),
         HAMMING, candidates, **search,
     ).select("query_id", "id")
-    stored = pool.select(path_col(table.id).alias("id"), path_col(path).alias("v"))
+    stored = pool.select(table.row_key().alias("id"), path_col(path).alias("v"))
     bound = (queries.count() if max_queries is None else max_queries) * candidates
-    return as_hits(_rescored(close, stored, asked, metric, k, bound), metric)
+    return table.split_key(as_hits(_rescored(close, stored, asked, metric, k, bound), metric), "id", corpus)
 
 
 # ---- k-NN graph -----------------------------------------------------------------------------------
@@ -326,7 +326,8 @@ def knn_graph(
     metric: str | None = None,
     **search: Any,
 ) -> DataFrame:
-    """``src, dst, rank, score``: for every row its ``max_degree`` nearest others.
+    """``src, dst, rank, score``: for every row its ``max_degree`` nearest others (in a table with a
+    namespace each end has one too: ``src_namespace``, ``dst_namespace``).
 
     ``within`` names a column (``list_id``) that both ends must share, which turns the all-pairs cost
     into the sum over lists. With ``build_candidates`` a sketch picks that many distinct vectors per
@@ -344,7 +345,7 @@ def knn_graph(
     path = path_col(table.vector_path(corpus))
     scope = ["scope"] if within else []
     rows = corpus.filter(is_valid(path, table.dims)).select(
-        path_col(table.id).alias("id"), path.alias("v"), *([path_col(within).alias("scope")] if within else [])
+        table.row_key().alias("id"), path.alias("v"), *([path_col(within).alias("scope")] if within else [])
     )
     depth = max_degree + 1  # one more than asked: the row itself may be among them
     same = [*scope, "__hash"]
@@ -384,7 +385,8 @@ def knn_graph(
         F.col("hit.id").alias("id"), F.col("hit.near").alias("near"),
     )
     hits = as_hits(edges, metric)
-    return hits.select(F.col("query_id").alias("src"), F.col("id").alias("dst"), "rank", *hits.columns[3:])
+    graph = hits.select(F.col("query_id").alias("src"), F.col("id").alias("dst"), "rank", *hits.columns[3:])
+    return table.split_key(table.split_key(graph, "src", corpus, "src_"), "dst", corpus, "dst_")
 
 
 def _distinct_neighbours(

@@ -9,6 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vectable.functions.predicates import Filter, matched
+from vectable.operators.fetch import listed_keys
 from vectable.sources.tables import BROADCAST_ROWS, small_side
 from vectable.table import VectorTable, path_col
 
@@ -25,11 +26,13 @@ class Deleted(NamedTuple):
 def delete_by_ids(
     current: DataFrame, ids: DataFrame, table: VectorTable, *, max_broadcast: int = BROADCAST_ROWS
 ) -> Deleted:
-    """Delete the ids of a table of ids. An empty one deletes nothing; unknown ids are ignored."""
-    wanted = small_side(ids.select(F.col(ids.columns[0]).alias(table.id)), max_broadcast)
+    """Delete the ids of a table of ids (or of key columns). An empty one deletes nothing; unknown ids
+    are ignored."""
+    keys = listed_keys(ids, table)
+    wanted = small_side(keys, max_broadcast)
     return Deleted(
-        current.join(wanted, table.id, "left_anti").select(*current.columns),
-        current.join(wanted, table.id, "left_semi").select(*current.columns),
+        current.join(wanted, keys.columns, "left_anti").select(*current.columns),
+        current.join(wanted, keys.columns, "left_semi").select(*current.columns),
     )
 
 

@@ -19,12 +19,20 @@ def get_by_ids(
     *,
     max_broadcast: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Rows of the listed ids; unknown ids are absent, repeated ids come back once."""
-    wanted = small_side(ids.select(F.col(ids.columns[0]).alias(table.id)), max_broadcast)
-    found = corpus.join(wanted, table.id, "left_semi")
+    """Rows of the listed ids; unknown ids are absent, repeated ids come back once. ``ids`` is one
+    column of ids, or the key columns of the table."""
+    wanted = listed_keys(ids, table)
+    found = corpus.join(small_side(wanted, max_broadcast), wanted.columns, "left_semi")
     return found.select(*(corpus.columns if columns is None else columns))
 
 
+def listed_keys(ids: DataFrame, table: VectorTable) -> DataFrame:
+    """The columns of ``ids`` to match on: namespace and id when it has both, else its first column."""
+    if table.namespace is not None and set(table.key) <= set(ids.columns):
+        return ids.select(*table.key)
+    return ids.select(F.col(ids.columns[0]).alias(table.id))
+
+
 def filtered_fetch(
     corpus: DataFrame,
     condition: Filter,

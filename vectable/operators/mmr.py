@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from typing import Any
 
 import numpy as np
@@ -59,15 +59,16 @@ def rerank_diverse(hits: DataFrame, k: int = 4, lambda_mult: float = 0.5) -> Dat
     """
     check_range("k", k, 1)
     weight = check_lambda(lambda_mult)
+    key = [c for c in ("namespace", "id") if c in hits.columns]
     gathered = hits.groupBy("query_id").agg(
         F.first("query_vector").alias("query_vector"),
-        F.sort_array(F.collect_list(F.struct("rank", "id", "score", "vector"))).alias("hits"),
+        F.sort_array(F.collect_list(F.struct("rank", *key, "score", "vector"))).alias("hits"),
     )
     schema = T.StructType(
         [
             hits.schema["query_id"],
             T.StructField("rank", T.IntegerType()),
-            hits.schema["id"],
+            *[hits.schema[c] for c in key],
             T.StructField("score", T.DoubleType()),
         ]
     )
@@ -75,12 +76,12 @@ def rerank_diverse(hits: DataFrame, k: int = 4, lambda_mult: float = 0.5) -> Dat
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
-                yield _choose(batch.slice(start, 500), k, weight)
+                yield _choose(batch.slice(start, 500), key, k, weight)
 
     return gathered.mapInArrow(chosen, schema)
 
 
-def _choose(batch: pa.RecordBatch, k: int, weight: float) -> pa.RecordBatch:
+def _choose(batch: pa.RecordBatch, key: list[str], k: int, weight: float) -> pa.RecordBatch:
     lists = batch.column(2)
     counts = lists.value_lengths().to_numpy()
     flat = lists.flatten()
@@ -99,10 +100,10 @@ def _choose(batch: pa.RecordBatch, k: int, weight: float) -> pa.RecordBatch:
         [
             batch.column(0).take(pa.array(at)),
             pa.array(step + 1, pa.int32()),
-            flat.field("id").take(taken),
+            *[flat.field(c).take(taken) for c in key],
             flat.field("score").take(taken),
         ],
-        names=["query_id", "rank", "id", "score"],
+        names=["query_id", "rank", *key, "score"],
     )
 
 
@@ -132,7 +133,7 @@ def mmr(
         corpus, queries, table, fetch_k, metric=metric, condition=condition, vector_col=vector_col,
         query_id=query_id, query_vector=query_vector, **search,
     )
-    hits = hits.select("query_id", "rank", "id", "score")
+    hits = hits.drop("distance")
     if max_hits is None:
         max_hits = queries.count() * fetch_k
     asked = queries.select(path_col(query_id).alias("query_id"), path_col(query_vector).alias("query_vector"))
@@ -149,6 +150,5 @@ def with_vectors(
 ) -> DataFrame:
     """Hits with the stored vector as ``vector`` and the query's as ``query_vector``."""
     path = table.vector_path(corpus, vector_col)
-    plain = corpus.select(path_col(table.id).alias(table.id), path_col(path).alias("vector"))
-    columns: Sequence[str] = ["vector"]
-    return attach(hits, plain, table, columns, max_hits=max_hits).join(asked, "query_id")
+    plain = corpus.select(*[path_col(c).alias(c) for c in table.key], path_col(path).alias("vector"))
+    return attach(hits, plain, table, ["vector"], max_hits=max_hits).join(asked, "query_id")

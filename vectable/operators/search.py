@@ -1,8 +1,8 @@
 """Exact nearest-neighbour search over whole tables.
 
 ``topk`` answers one query vector; ``batch_topk`` a table of queries. Both return hits
-``rank, id, score`` (batch: also ``query_id``; L2: also ``distance``), best first, ties to the
-smaller id, and never more than k per query.
+``rank, id, score`` (batch: also ``query_id``; L2: also ``distance``; in a table with a namespace also
+``namespace``), best first, ties to the smaller key, and never more than k per query.
 
 How a batch runs. Queries that fit are shared with all tasks; each task keeps a running top-k per
 query while it streams through its part of the corpus, and sends on only that. The corpus is read
@@ -89,9 +89,11 @@ def topk(
     check_range("k", k, 1)
     metric = check_metric(metric or table.metric)
     pool = where(scope_to(corpus, table, namespace), table, condition)
-    pool = pool.select(path_col(table.id).alias("id"), path_col(table.vector_path(corpus, vector_col)).alias("v"))
+    spaced = [path_col(table.namespace).alias("namespace")] if table.namespace else []
+    pool = pool.select(*spaced, path_col(table.id).alias("id"), path_col(table.vector_path(corpus, vector_col)).alias("v"))
     hits = scored(pool, vector, table, metric=metric, vector_col="v").drop("v")
-    order = [F.asc("distance") if metric == EUCLIDEAN else F.desc("score"), F.asc("id")]
+    order = [F.asc("distance") if metric == EUCLIDEAN else F.desc("score")]
+    order += [F.asc(c) for c in ("namespace", "id") if c in hits.columns]
     best = hits.orderBy(*order).limit(k)
     ranked = best.withColumn("rank", F.row_number().over(Window.orderBy(*order)))  # over k rows
     return ranked.select("rank", *hits.columns)
@@ -134,14 +136,21 @@ def post_stages(hits: DataFrame, *stages: Callable[[DataFrame], DataFrame]) -> D
 def attach(
     hits: DataFrame, corpus: DataFrame, table: VectorTable, columns: Sequence[str], *, max_hits: int | None = None
 ) -> DataFrame:
-    """Join columns of the corpus to the hits, so that ranking never reads them.
+    """Join columns of the corpus to the hits by key, so that ranking never reads them.
 
     ``max_hits`` is a known bound (queries times k). Within the broadcast bound the corpus stays in
     place; without one Spark picks the join at run time.
     """
-    wanted = corpus.select(path_col(table.id).alias("id"), *[path_col(c).alias(c.split(".")[-1]) for c in columns])
+    names = [c.split(".")[-1] for c in columns]
+    keys = {"id": table.id, **({"namespace": table.namespace} if "namespace" in hits.columns and table.namespace else {})}
+    wanted = corpus.select(
+        *[path_col(path).alias(f"__{key}") for key, path in keys.items()],
+        *[path_col(c).alias(name) for c, name in zip(columns, names)],
+    )
     small = max_hits is not None and max_hits <= BROADCAST_ROWS
-    return wanted.join(F.broadcast(hits) if small else hits, "id").select(*hits.columns, *wanted.columns[1:])
+    on = [wanted[f"__{key}"].eqNullSafe(hits[key]) if key == "namespace" else wanted[f"__{key}"] == hits[key] for key in keys]
+    joined = wanted.join(F.broadcast(hits) if small else hits, on)
+    return joined.select(*[hits[c] for c in hits.columns], *[wanted[name] for name in names])
 
 
 # ---- running top-k inside a task ------------------------------------------------------------------
@@ -342,7 +351,7 @@ def batch_topk(
     vectors = table.vector_path(corpus, vector_col)
     near = nearest(
         pool.select(
-            path_col(table.id).alias("id"),
+            table.row_key().alias("id"),
             path_col(vectors).alias("v"),
             *([path_col(scope[0]).alias("scope")] if scope else []),
         ),
@@ -359,7 +368,7 @@ def batch_topk(
         shared_bytes=shared_bytes,
         cell_bytes=cell_bytes,
     )
-    return as_hits(near, metric)
+    return table.split_key(as_hits(near, metric), "id", corpus)
 
 
 def _as_array(queries: DataFrame, name: str) -> Column:

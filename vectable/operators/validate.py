@@ -30,11 +30,13 @@ def vector_problem(v: Column, dims: int | None) -> Column:
 
 
 def row_problem(df: DataFrame, table: VectorTable) -> Column:
-    """Why a stored row is unusable, or NULL: blank key, missing text, missing metadata."""
+    """Why a stored row is unusable, or NULL: blank key (or no namespace), missing text, missing metadata."""
     key = path_col(table.id)
     blank = key.isNull()
     if isinstance(path_type(df.schema, table.id), T.StringType):
         blank = blank | (F.trim(key) == F.lit(""))
+    if table.namespace is not None:
+        blank = blank | path_col(table.namespace).isNull()
     if not isinstance(path_type(df.schema, table.text), T.StringType):
         text_bad = F.lit(True)
     else:

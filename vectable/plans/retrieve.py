@@ -75,7 +75,7 @@ def retrieve(
         cut = minimum if search_type == "similarity_score_threshold" else None
         hits = relevance(hits, relevance_fn, cut)
     stored = corpus if include_vectors else corpus.drop(table.embedding)
-    columns = [c for c in stored.columns if c != table.id]
+    columns = [c for c in stored.columns if c not in table.key]
     joined = attach(hits, stored, table, columns, max_hits=max_queries * k).withColumnRenamed("id", table.id)
     keep = [c for c in hits.columns if c != "id"]
     found = to_documents(joined, table, keep=keep, include_vectors=include_vectors)

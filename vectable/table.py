@@ -96,6 +96,29 @@ class VectorTable:
     def key(self) -> list[str]:
         return [self.id] if self.namespace is None else [self.namespace, self.id]
 
+    def row_key(self) -> Column:
+        """The key as one column: the id, or with a namespace a text that ``split_key`` takes apart."""
+        if self.namespace is None:
+            return path_col(self.id)
+        space = F.coalesce(F.concat(F.lit("="), path_col(self.namespace).cast("string")), F.lit(""))
+        return F.concat(space, F.lit("\0"), path_col(self.id).cast("string"))
+
+    def split_key(self, df: DataFrame, column: str, source: DataFrame, prefix: str = "") -> DataFrame:
+        """Replace a ``row_key`` column by ``namespace`` and ``id`` with the types of ``source``."""
+        if self.namespace is None:
+            return df
+        key = F.col(column)
+        space, name = F.substring_index(key, "\0", 1), F.substr(key, F.instr(key, "\0") + 1)
+        names = {
+            f"{prefix}namespace": F.when(space.startswith("="), F.substr(space, F.lit(2))).cast(
+                path_type(source.schema, self.namespace)
+            ),
+            column: name.cast(path_type(source.schema, self.id)),
+        }
+        at = df.columns.index(column)
+        before, after = df.columns[:at], df.columns[at + 1 :]
+        return df.select(*before, *[value.alias(name) for name, value in names.items()], *after)
+
     def vector_path(self, df: DataFrame, vector_col: str | None = None) -> str:
         """The vector column to search; with several vector columns the caller must choose."""
         if vector_col is not None:
