@@ -6,3 +6,63 @@ from pyspark import cloudpickle
 
 # Functions that run in Python workers travel with the job, so executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+from vectable.functions.predicates import where  # noqa: E402
+from vectable.operators.approx import (  # noqa: E402
+    Tuning,
+    add_sketch,
+    candidate_rerank,
+    ivf_assign,
+    ivf_search,
+    knn_graph,
+    random_planes,
+    train_centroids,
+)
+from vectable.operators.delete import (  # noqa: E402
+    delete_all,
+    delete_by_filter,
+    delete_by_ids,
+    delete_counts,
+    delete_in_namespace,
+)
+from vectable.operators.fetch import (  # noqa: E402
+    filtered_fetch,
+    from_storage,
+    get_by_ids,
+    get_path,
+    remove_path,
+    set_path,
+    to_documents,
+    to_storage,
+    without_vectors,
+)
+from vectable.operators.ingest import (  # noqa: E402
+    append_documents,
+    assign_ids,
+    bucket_of,
+    drop_known,
+    embed_corpus,
+    latest_per_id,
+    upsert_buckets,
+    upsert_embeddings,
+    upsert_merge,
+    upsert_replace,
+)
+from vectable.operators.mmr import mmr  # noqa: E402
+from vectable.operators.search import attach, batch_topk, page, post_stages, relevance, scored, threshold, topk  # noqa: E402
+from vectable.operators.validate import validate_rows, validate_vectors  # noqa: E402
+from vectable.plans.ingest import ingest  # noqa: E402
+from vectable.plans.retrieve import retrieve, topk_by_text  # noqa: E402
+from vectable.sources.tables import corpus_scan, save_bucketed, save_snapshot, semi_filter, settle  # noqa: E402
+from vectable.table import VectorTable  # noqa: E402
+
+__all__ = [
+    "Tuning", "VectorTable", "add_sketch", "append_documents", "assign_ids", "attach", "batch_topk", "bucket_of",
+    "candidate_rerank", "corpus_scan", "delete_all", "delete_by_filter", "delete_by_ids", "delete_counts",
+    "delete_in_namespace", "drop_known", "embed_corpus", "filtered_fetch", "from_storage", "get_by_ids", "get_path",
+    "ingest", "ivf_assign", "ivf_search", "knn_graph", "latest_per_id", "mmr", "page", "post_stages", "random_planes",
+    "relevance", "remove_path", "retrieve", "save_bucketed", "save_snapshot", "scored", "semi_filter", "set_path",
+    "settle", "threshold", "to_documents", "to_storage", "topk", "topk_by_text", "train_centroids", "upsert_buckets",
+    "upsert_embeddings", "upsert_merge", "upsert_replace", "validate_rows", "validate_vectors", "where",
+    "without_vectors",
+]
