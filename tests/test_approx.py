@@ -113,6 +113,12 @@ def test_graph_is_exact(spark, engine):
     good = corpus.filter("embedding IS NOT NULL AND size(embedding) = 8 AND NOT isnan(embedding[0])")
     want = brute(good, as_queries(good), 6, "COS", lambda q, r: q.query_id != r.id)
     assert edges(approx.knn_graph(corpus, TABLE, 6, **engine)) == want
+    few = approx.fits_broadcast
+    try:  # many groups of copies: their lists are not broadcast
+        approx.fits_broadcast = lambda df, n: False
+        assert edges(approx.knn_graph(corpus, TABLE, 6, **engine)) == want
+    finally:
+        approx.fits_broadcast = few
     want = brute(good, as_queries(good), 6, "COS", lambda q, r: q.query_id != r.id and q.grp == r.grp)
     assert edges(approx.knn_graph(corpus, TABLE, 6, within="grp", **engine)) == {q: ids for q, ids in want.items() if ids}
 

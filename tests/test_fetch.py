@@ -101,3 +101,11 @@ def test_storage_names_round_trip(spark, tmp_path, plan_of):
         fetch.from_storage(records, NAMES)
     with pytest.raises(ValueError):
         fetch.to_storage(records, {"Id": "x", "Text": "x"})
+
+
+@pytest.mark.parametrize(("top", "skip"), [(7, 0), (50, 333), (10, 995), (5, 2000), (1000, 0)])
+def test_deep_pages_are_the_same_pages(spark, top, skip):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("id"), (F.col("id") % 13).alias("n"), F.lit("t").alias("text")).repartition(6)
+    shallow = fetch.filtered_fetch(df, None, TABLE, top, order=[("n", False)], skip=skip)
+    deep = fetch.filtered_fetch(df, None, TABLE, top, order=[("n", False)], skip=skip, deep=0)
+    assert deep.collect() == shallow.collect() and deep.columns == shallow.columns

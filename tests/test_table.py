@@ -123,4 +123,6 @@ def test_bucketed_table_is_not_shuffled(spark, corpus, plan_of):
 
 def test_semi_filter(spark, corpus):
     wanted = spark.createDataFrame([("news",), ("news",), ("none",)], "v string")
-    assert sorted(r.id for r in semi_filter(corpus, "metadata.category", wanted).collect()) == ["a", "b"]
+    for limit in (0, 100):
+        out = semi_filter(corpus, "metadata.category", wanted, max_broadcast=limit)
+        assert sorted(r.id for r in out.collect()) == ["a", "b"]

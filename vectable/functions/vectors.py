@@ -56,8 +56,14 @@ def score(metric: str, a: Column, b: Column) -> Column:
 
 
 def normalised(a: Column) -> Column:
-    """Unit vector of ``a`` in double; a zero vector stays zero."""
-    return F.transform(a, lambda x: F.coalesce(F.try_divide(x.cast("double"), norm(a)), F.lit(0.0)))
+    """Unit vector of ``a`` in double; a zero vector stays zero. The norm is bound once per row: written
+    inside the inner lambda it would be computed for every element."""
+
+    def scaled(row: Column) -> Column:
+        return F.transform(row["v"], lambda x: F.coalesce(F.try_divide(x.cast("double"), row["n"]), F.lit(0.0)))
+
+    bound = F.array(F.struct(a.alias("v"), norm(a).alias("n")))
+    return F.transform(bound, scaled)[0]
 
 
 def is_valid(v: Column, dims: int | None) -> Column:

@@ -31,7 +31,7 @@ from vectable.operators.search import (
     batch_topk,
     nearest,
 )
-from vectable.sources.tables import BROADCAST_ROWS, settle
+from vectable.sources.tables import BROADCAST_ROWS, fits_broadcast, settle
 from vectable.table import COSINE, VectorTable, check_metric, check_range, path_col
 
 # The index kinds, the default of each tuning number and its allowed range.
@@ -366,20 +366,25 @@ def knn_graph(
     )
     order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("near"), F.col("id")))
     best = named.withColumn("__place", order).filter(F.col("__place") <= depth)
-    lists = best.groupBy("query_id").agg(
-        F.sort_array(F.collect_list(F.struct("__place", "id", "near"))).alias("__found")
+    lists = settle(  # used for both kinds of rows below
+        best.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("__place", "id", "near"))).alias("__found"))
     )
 
     # Every row takes the list of its vector, minus itself. Rows beyond ``members`` exist only in big
-    # groups of copies; AQE splits the side that holds them.
-    listed = groups.select(F.col("id").alias("query_id"), F.explode("members").alias("src"))
+    # groups of copies. They are the hot keys: the lists go to them by broadcast when those groups are
+    # few, else in a join that reads both sides straight from a shuffle, where AQE splits the hot ones.
+    taken = groups.select(F.col("id").alias("query_id"), F.explode("members").alias("src")).join(lists, "query_id")
     big = groups.filter(F.size("members") == depth).select(
         *same, F.col("id").alias("query_id"), F.element_at("members", -1).alias("__last")
     )
-    more = hashed.select("id", *same).join(big, same).filter(F.col("id") > F.col("__last")).select("query_id", F.col("id").alias("src"))
-    taken = listed.unionByName(more).join(lists, "query_id").select(
-        "src", F.slice(F.filter("__found", lambda hit: hit["id"] != F.col("src")), 1, max_degree).alias("__found")
+    few = fits_broadcast(big, BROADCAST_ROWS // depth)
+    big = big.join(lists, "query_id")
+    more = hashed.select(F.col("id").alias("src"), *same).join(F.broadcast(big) if few else big, same)
+    taken = taken.select("src", "__found").unionByName(
+        more.filter(F.col("src") > F.col("__last")).select("src", "__found")
     )
+    others = F.filter("__found", lambda hit: hit["id"] != F.col("src"))
+    taken = taken.select("src", F.slice(others, 1, max_degree).alias("__found"))
     edges = taken.select("src", F.posexplode("__found").alias("__at", "hit")).select(
         F.col("src").alias("query_id"), (F.col("__at") + 1).alias("rank"),
         F.col("hit.id").alias("id"), F.col("hit.near").alias("near"),

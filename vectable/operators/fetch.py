@@ -7,9 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vectable.functions.predicates import Filter, where
-from vectable.sources.tables import BROADCAST_ROWS, small_side
+from vectable.sources.tables import BROADCAST_ROWS, settle, small_side
 from vectable.table import VectorTable, check_name, check_range, is_vector, path_col, path_type
 
+DEEP_PAGE = 100_000
+
 
 def get_by_ids(
     corpus: DataFrame,
@@ -42,14 +44,32 @@ def filtered_fetch(
     order: Sequence[tuple[str, bool]] = (),
     skip: int = 0,
     include_vectors: bool = False,
+    deep: int = DEEP_PAGE,
 ) -> DataFrame:
-    """Matching rows ordered by (column, ascending) pairs, then by key so that pages are stable."""
+    """Matching rows ordered by (column, ascending) pairs, then by key so that pages are stable.
+
+    A page that ends within ``deep`` rows is a top-k: no full sort. A deeper one sorts the matches by
+    range over all tasks and picks the page by position, so that the skipped rows are never in one place.
+    """
     check_range("top", top, 1)
     check_range("skip", skip, 0)
     rows = corpus if include_vectors else without_vectors(corpus)
     by = [path_col(c).asc() if ascending else path_col(c).desc() for c, ascending in order]
     by += [path_col(c).asc() for c in table.key if c not in [name for name, _ in order]]
-    return where(rows, table, condition).orderBy(*by).offset(skip).limit(top)
+    found = where(rows, table, condition)
+    if skip + top <= deep:
+        return found.orderBy(*by).offset(skip).limit(top)
+    placed = settle(found.orderBy(*by).withColumn("__at", F.monotonically_increasing_id()))
+    # The id is the partition number, then the position in it; partitions are in sort order.
+    part, place = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("part")).count().orderBy("part").collect()  # one row per partition
+    start, picked = 0, F.lit(False)
+    for size in sizes:
+        low, high = max(skip, start), min(skip + top, start + size["count"])
+        if low < high:
+            picked = picked | ((part == size["part"]) & place.between(low - start, high - start - 1))
+        start += size["count"]
+    return placed.filter(picked).orderBy(*by).drop("__at")
 
 
 def without_vectors(df: DataFrame) -> DataFrame:

@@ -113,7 +113,7 @@ def drop_known(
         stored = stored.join(F.broadcast(asked), "__hash", "left_semi")
     found = stored.distinct()  # no more rows than the batch has, when that is small
     marked = out.withColumn("__hash", digest)
-    return marked.join(F.broadcast(found) if small else found, "__hash", "left_anti").drop("__hash")
+    return marked.join(F.broadcast(found) if small else settle(found), "__hash", "left_anti").drop("__hash")
 
 
 def upsert_replace(

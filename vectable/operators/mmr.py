@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from typing import Any
 
 import numpy as np
@@ -51,19 +50,20 @@ def pick_diverse(queries: np.ndarray, candidates: np.ndarray, present: np.ndarra
     return picks
 
 
-def rerank_diverse(hits: DataFrame, k: int = 4, lambda_mult: float = 0.5) -> DataFrame:
+def rerank_diverse(
+    hits: DataFrame, k: int = 4, lambda_mult: float = 0.5, *, queries: int | None = None, per_group: int = 200
+) -> DataFrame:
     """Pick k per query from hits that carry ``query_vector`` and ``vector``; ranks are renumbered.
 
-    The hits of a query (at most fetch_k) are gathered into one row, so Arrow batches hold many
-    queries and each greedy step is one array operation over all of them.
+    Queries are hashed into groups of about ``per_group``, whose hits (at most fetch_k each) come
+    together in one Arrow table: each greedy step is then one array operation over the group.
+    ``queries`` is their number, counted if not given.
     """
     check_range("k", k, 1)
     weight = check_lambda(lambda_mult)
+    if queries is None:
+        queries = hits.select("query_id").distinct().count()
     key = [c for c in ("namespace", "id") if c in hits.columns]
-    gathered = hits.groupBy("query_id").agg(
-        F.first("query_vector").alias("query_vector"),
-        F.sort_array(F.collect_list(F.struct("rank", *key, "score", "vector"))).alias("hits"),
-    )
     schema = T.StructType(
         [
             hits.schema["query_id"],
@@ -73,36 +73,35 @@ def rerank_diverse(hits: DataFrame, k: int = 4, lambda_mult: float = 0.5) -> Dat
         ]
     )
 
-    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                yield _choose(batch.slice(start, 500), key, k, weight)
+    def chosen(group: pa.Table) -> pa.Table:
+        return _choose(group, key, k, weight)
 
-    return gathered.mapInArrow(chosen, schema)
+    wanted = hits.select("query_id", "rank", *key, "score", "vector", "query_vector")
+    groups = F.pmod(F.xxhash64("query_id"), F.lit(max(1, -(-queries // per_group)))).alias("__group")
+    return wanted.groupBy(groups).applyInArrow(chosen, schema)
 
 
-def _choose(batch: pa.RecordBatch, key: list[str], k: int, weight: float) -> pa.RecordBatch:
-    lists = batch.column(2)
-    counts = lists.value_lengths().to_numpy()
-    flat = lists.flatten()
-    asked = np.stack(batch.column(1).to_numpy(zero_copy_only=False)).astype(np.float64)
-    vectors = np.stack(flat.field("vector").to_numpy(zero_copy_only=False)).astype(np.float64)
-    query = np.repeat(np.arange(len(counts)), counts)
+def _choose(group: pa.Table, key: list[str], k: int, weight: float) -> pa.Table:
+    group = group.sort_by([("query_id", "ascending"), ("rank", "ascending")]).combine_chunks()
+    ids = group.column("query_id").combine_chunks().dictionary_encode()
+    query = ids.indices.to_numpy()
+    counts = np.bincount(query)
     starts = np.cumsum(counts) - counts
-    slot = np.arange(len(flat)) - starts[query]
+    slot = np.arange(len(query)) - starts[query]
+
+    def rows(name: str) -> np.ndarray:
+        lists = group.column(name).combine_chunks()
+        return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1).astype(np.float64)
+
+    vectors, asked = rows("vector"), rows("query_vector")[starts]
     stacked = np.zeros((len(counts), int(counts.max()), asked.shape[1]))
     present = np.zeros(stacked.shape[:2], dtype=bool)
     stacked[query, slot], present[query, slot] = vectors, True
     picks = pick_diverse(asked, stacked, present, k, weight)
     at, step = np.nonzero(picks >= 0)
-    taken = pa.array(starts[at] + picks[at, step])
-    return pa.record_batch(
-        [
-            batch.column(0).take(pa.array(at)),
-            pa.array(step + 1, pa.int32()),
-            *[flat.field(c).take(taken) for c in key],
-            flat.field("score").take(taken),
-        ],
+    taken = group.take(pa.array(starts[at] + picks[at, step]))
+    return pa.table(
+        [taken.column("query_id"), pa.array(step + 1, pa.int32()), *[taken.column(c) for c in key], taken.column("score")],
         names=["query_id", "rank", *key, "score"],
     )
 
@@ -134,10 +133,10 @@ def mmr(
         query_id=query_id, query_vector=query_vector, **search,
     )
     hits = hits.drop("distance")
-    if max_hits is None:
-        max_hits = queries.count() * fetch_k
+    count = queries.count() if max_hits is None else -(-max_hits // fetch_k)
     asked = queries.select(path_col(query_id).alias("query_id"), path_col(query_vector).alias("query_vector"))
-    return rerank_diverse(with_vectors(hits, corpus, asked, table, vector_col, max_hits), k, lambda_mult)
+    full = with_vectors(hits, corpus, asked, table, vector_col, count * fetch_k)
+    return rerank_diverse(full, k, lambda_mult, queries=count)
 
 
 def with_vectors(

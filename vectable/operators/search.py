@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from vectable.functions.predicates import Filter, where
 from vectable.functions.vectors import is_valid, query_nearness, row_nearness, row_norms, to_matrix
-from vectable.sources.tables import BROADCAST_ROWS, fits_broadcast
+from vectable.sources.tables import BROADCAST_ROWS, either_side
 from vectable.table import (
     COSINE,
     EUCLIDEAN,
@@ -523,7 +523,7 @@ def _grid(corpus: DataFrame, queries: _Queries, metric: str, k: int, cell_bytes:
         asked = asked.withColumn("scope", F.explode(F.array_distinct("scope")))
         rows = corpus.groupBy("scope").agg(F.count(F.lit(1)).alias("__rows"))
         sizes = asked.groupBy("scope").agg(F.count(F.lit(1)).alias("__asks")).join(rows, "scope")
-        sizes = F.broadcast(sizes) if fits_broadcast(sizes) else sizes
+        sizes = either_side(sizes)
         corpus, asked = corpus.join(sizes, "scope"), asked.join(sizes, "scope")
         row_slabs = F.ceil(F.col("__rows") / per_slab).cast("int")
         ask_slabs = F.ceil(F.col("__asks") / per_slab).cast("int")

@@ -87,6 +87,15 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return df.agg(F.sum(size)).first()[0] <= max_bytes
 
 
+def either_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The deduplicated small side of a join whose other side may have a hot key.
+
+    Broadcast when it fits. Else it is settled, so that the join reads both sides straight from a
+    shuffle: only then can AQE split the hot key.
+    """
+    return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else settle(df)
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` marked for broadcast when its measured size allows it, else as it is."""
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
@@ -111,9 +120,9 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def semi_filter(df: DataFrame, field: str, values: DataFrame) -> DataFrame:
+def semi_filter(df: DataFrame, field: str, values: DataFrame, *, max_broadcast: int = BROADCAST_ROWS) -> DataFrame:
     """Rows whose ``field`` occurs in the one column of ``values``: ``$in`` for a list too big to
     write out."""
     name = values.columns[0]
     listed = values.select(F.col(name).alias("__wanted")).distinct()
-    return df.join(small_side(listed), path_col(field) == F.col("__wanted"), "left_semi")
+    return df.join(either_side(listed, max_broadcast), path_col(field) == F.col("__wanted"), "left_semi")
