@@ -170,6 +170,16 @@ ORACLE: dict[str, str] = {
         SELECT 1 FROM documents k JOIN labels l USING (doc_id) WHERE md5(k.text) = md5(d.text))""",
     "latest_per_id": """SELECT CAST(conv_id AS VARCHAR) AS id, turn, role, md5(text) AS text_md5 FROM conversations
       QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1""",
+    "ingest_batch": f"""WITH {STORED}, turns AS (
+      SELECT 'c-' || conv_id AS id, role AS namespace, text, CAST(length(text) AS DOUBLE) AS emb0, 'en' AS lang,
+        turn AS n_chars FROM conversations WHERE role <> 'system'
+        AND NOT EXISTS (SELECT 1 FROM documents d WHERE md5(d.text) = md5(conversations.text))
+      QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1),
+    changed AS (SELECT id, text || ' v2' AS text, emb0 + 3 AS emb0 FROM stored s WHERE lang = 'fr'
+      AND NOT EXISTS (SELECT 1 FROM documents d WHERE md5(d.text) = md5(s.text || ' v2')))
+    SELECT s.id, namespace, md5(coalesce(c.text, s.text)) AS text_md5, coalesce(c.emb0, s.emb0) AS emb0, lang, n_chars, note
+    FROM stored s LEFT JOIN changed c ON c.id = s.id
+    UNION ALL SELECT id, NULL, md5(text), emb0, lang, n_chars, NULL FROM turns""",
     "validate_vectors": """WITH spoiled AS (SELECT vec_id, CASE label
         WHEN 0 THEN embedding[1:63] WHEN 1 THEN NULL
         WHEN 2 THEN embedding[1:10] || [CAST('nan' AS FLOAT)] || embedding[12:64]
@@ -192,6 +202,9 @@ ORACLE: dict[str, str] = {
     "get_by_ids": f"WITH {DOCS} SELECT id, md5(text) AS text_md5 FROM docs WHERE {LABELLED}",
     "filtered_fetch": f"""WITH {DOCS} SELECT id, namespace, n_chars FROM docs WHERE lang = 'en'
       ORDER BY namespace, n_chars DESC, id LIMIT 20 OFFSET 10""",
+    "filtered_fetch_deep": f"""WITH {DOCS}, r AS (SELECT id, namespace, n_chars, count(*) OVER () AS n,
+        row_number() OVER (ORDER BY n_chars DESC, id) AS place FROM docs WHERE lang = 'en')
+      SELECT id, namespace, n_chars FROM r WHERE place > n // 2""",
     "to_documents": f"""WITH {DOCS} SELECT id, md5(text) AS text_md5, quality, namespace AS source, lang FROM docs""",
     "nested_paths": """SELECT CAST(doc_id AS VARCHAR) AS id, source AS tenant, md5(text) AS text_md5,
       CAST(length(text) AS INTEGER) AS chars FROM documents""",
@@ -226,8 +239,10 @@ ORACLE: dict[str, str] = {
     "topk_l2": single(L2),
     "topk_ip": single(IP),
     "batch_topk": batch(),
-    "batch_topk_l2": batch(L2),
+    "batch_topk_l2": f"WITH {V}, {pairs('list_distance({q}, {v})', order='score')} SELECT query_id, rank, vec_id, "
+      f"{r6('1 / (1 + score)')} AS score, {r6('score')} AS distance FROM ranked WHERE rank <= 10",
     "batch_topk_grid": batch(IP),
+    "batch_topk_seeded": batch(),
     "topk_second_vector": batch(COS, 4, query="list_reverse(q.e)"),
     "topk_by_text": text_search("true") + f" SELECT query_id, rank, id, {r6('score')} AS score, {r6('distance')} AS distance FROM hits",
     "topk_prefilter": batch(COS, 4, join="v.label IN (1, 3)"),
@@ -257,6 +272,11 @@ ORACLE: dict[str, str] = {
         PARTITION BY query_id ORDER BY apart, vec_id) <= 40),
       ranked AS (SELECT *, {RANK.format(order='score DESC')} FROM cand) SELECT {HITS} FROM ranked WHERE rank <= 5""",
     "knn_graph": f"WITH {V}, " + graph("v a JOIN v b ON true"),
+    "knn_graph_from_candidates": f"""WITH {V}, s AS (SELECT vec_id, e, CAST({BITS} AS DOUBLE[]) AS bits FROM v),
+      c AS (SELECT a.vec_id AS src, b.vec_id AS dst, list_cosine_similarity(a.e, b.e) AS score FROM s a, s b
+        QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.bits, b.bits), b.vec_id) <= 31),
+      r AS (SELECT *, CAST(row_number() OVER (PARTITION BY src ORDER BY score DESC, dst) AS INTEGER) AS rank
+        FROM c WHERE src <> dst) SELECT src, dst, rank, {r6('score')} AS score FROM r WHERE rank <= 5""",
     "knn_graph_in_lists": f"WITH {V}, {CENTROIDS}, {ASSIGNED}, w AS (SELECT * FROM v JOIN ix USING (vec_id)), "
       + graph("w a JOIN w b ON a.list_id = b.list_id"),
 }

@@ -11,6 +11,7 @@ from vectable.functions.predicates import where
 from vectable.functions.vectors import cosine, inner_product, l2_distance
 from vectable.operators import approx, delete, fetch, ingest, search, validate
 from vectable.operators.mmr import mmr
+from vectable.plans import ingest as ingest_plan
 from vectable.plans.retrieve import retrieve, topk_by_text
 from vectable.sources.tables import corpus_scan, semi_filter
 from vectable.table import VectorTable
@@ -252,6 +253,23 @@ def validate_rows(spark, sf):
     return out.valid.select("id", F.lit("ok").alias("reason")).unionByName(out.rejects)
 
 
+@query
+def ingest_batch(spark, sf):
+    """All steps at once: known texts dropped, embedded, checked, newest per id, merged."""
+    turns = read(spark, sf, "conversations").select(
+        F.concat(F.lit("c-"), "conv_id").alias("id"), F.col("role").alias("namespace"),
+        F.when(F.col("role") != "system", F.col("text")).alias("text"),
+        F.struct(F.lit("en").alias("lang"), F.col("turn").alias("n_chars")).alias("metadata"), F.col("turn").alias("ord"),
+    )
+    again = stored(spark, sf).select("id", "namespace", "text", "metadata", F.lit(0).cast("bigint").alias("ord"))
+    changed = again.filter("metadata.lang = 'fr'").withColumn("text", F.concat("text", F.lit(" v2")))
+    out = ingest_plan.ingest(
+        stored(spark, sf), again.unionByName(changed).unionByName(turns), DOCS, model=length_model, skip_known=True,
+        order="ord", merge=True,
+    )
+    return flat(out.table)
+
+
 # ---- deletes --------------------------------------------------------------------------------------
 
 
@@ -301,6 +319,17 @@ def filtered_fetch(spark, sf):
     return out.select("id", "namespace", "metadata.n_chars")
 
 
+@query
+def filtered_fetch_deep(spark, sf):
+    """The way taken for pages too deep for a top-k; the page is the second half of the matches."""
+    rows = documents(spark, sf)
+    matches = where(rows, DOCS, {"lang": "en"}).count()
+    out = fetch.filtered_fetch(
+        rows, {"lang": "en"}, DOCS, matches, order=[("metadata.n_chars", False)], skip=matches // 2, deep=0
+    )
+    return out.select("id", "namespace", "metadata.n_chars")
+
+
 @query
 def to_documents(spark, sf):
     rows = read(spark, sf, "documents").join(read(spark, sf, "labels"), "doc_id", "left").select(
@@ -440,7 +469,7 @@ def batch_topk(spark, sf):
 @query
 def batch_topk_l2(spark, sf):
     out = search.batch_topk(vectors(spark, sf), all_queries(spark, sf), VECTORS, 10, metric="L2")
-    return hits(out).withColumn("distance", r6(1 / F.col("score") - 1)).drop("distance")
+    return out.select("query_id", "rank", F.col("id").alias("vec_id"), r6("score").alias("score"), r6("distance").alias("distance"))
 
 
 @query
@@ -452,6 +481,12 @@ def batch_topk_grid(spark, sf):
     return hits(out)
 
 
+@query
+def batch_topk_seeded(spark, sf):
+    """A first look at a sample bounds the k-th score; the result is the whole exact one."""
+    return hits(search.batch_topk(vectors(spark, sf), all_queries(spark, sf), VECTORS, 10, seed_fraction=0.2))
+
+
 @query
 def topk_second_vector(spark, sf):
     table = VectorTable(id="vec_id", dims=64, embedding="primary_vec")
@@ -562,12 +597,7 @@ def ivf_search(spark, sf):
 
 @query
 def candidate_rerank(spark, sf):
-    """Planes are the axes: one sign bit per element."""
-    axes = spark.range(64).select(
-        F.col("id").cast("int").alias("plane_id"),
-        F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: (i == F.col("id")).cast("double")).alias("plane"),
-    )
-    return hits(approx.candidate_rerank(vectors(spark, sf), all_queries(spark, sf), axes, VECTORS, 5, 40))
+    return hits(approx.candidate_rerank(vectors(spark, sf), all_queries(spark, sf), axes(spark), VECTORS, 5, 40))
 
 
 def _edges(df: DataFrame) -> DataFrame:
@@ -585,6 +615,19 @@ def knn_graph_in_lists(spark, sf):
     return _edges(approx.knn_graph(indexed, VECTORS, 5, within="list_id"))
 
 
+def axes(spark: SparkSession) -> DataFrame:
+    """Planes that are the axes: one sign bit per element."""
+    return spark.range(64).select(
+        F.col("id").cast("int").alias("plane_id"),
+        F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: (i == F.col("id")).cast("double")).alias("plane"),
+    )
+
+
+@query
+def knn_graph_from_candidates(spark, sf):
+    return _edges(approx.knn_graph(vectors(spark, sf), VECTORS, 5, 30, planes=axes(spark)))
+
+
 @query
 def ivf_trained(spark, sf):
     """k-means centroids, all lists probed: equal to exact search (no SQL twin for the training)."""

@@ -298,6 +298,7 @@ def candidate_rerank(
     check_range("k", k, 1)
     check_range("candidates", candidates, 1)
     metric = check_metric(metric or table.metric)
+    table.check(corpus, need=["id"])
     path = table.vector_path(corpus, vector_col)
     pool = where(corpus, table, condition)
     sketched = pool if sketch_col else add_sketch(pool, planes, path)
@@ -342,6 +343,7 @@ def knn_graph(
         check_range("build_candidates", build_candidates, max_degree)
         if planes is None:
             raise ValueError("a candidate stage needs planes")
+    table.check(corpus, need=["id"])
     path = path_col(table.vector_path(corpus))
     scope = ["scope"] if within else []
     rows = corpus.filter(is_valid(path, table.dims)).select(

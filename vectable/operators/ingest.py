@@ -120,6 +120,8 @@ def upsert_replace(
     current: DataFrame, batch: DataFrame, table: VectorTable, *, max_broadcast: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Batch rows replace stored rows of the same key whole; other stored rows stay."""
+    table.check(current, need=["id"])
+    table.check(batch, need=["id"])
     keys = small_side(batch.select(*table.key), max_broadcast)
     kept = current.join(keys, table.key, "left_anti")
     return kept.select(*current.columns).unionByName(batch, allowMissingColumns=True)
@@ -137,6 +139,8 @@ def upsert_merge(
     rows of the same key, keep their other columns, add the new keys. A set column takes the batch
     value even when that is NULL; metadata is replaced whole.
     """
+    table.check(current, need=["id"])
+    table.check(batch, need=["id"])
     if columns is None:
         columns = [c for c in (table.text, table.embedding, table.metadata) if c in batch.columns]
     missing = [c for c in columns if c not in current.columns or c not in batch.columns]

@@ -88,6 +88,7 @@ def topk(
     come back whenever k rows match."""
     check_range("k", k, 1)
     metric = check_metric(metric or table.metric)
+    table.check(corpus, need=["id"])
     pool = where(scope_to(corpus, table, namespace), table, condition)
     spaced = [path_col(table.namespace).alias("namespace")] if table.namespace else []
     pool = pool.select(*spaced, path_col(table.id).alias("id"), path_col(table.vector_path(corpus, vector_col)).alias("v"))
@@ -345,6 +346,7 @@ def batch_topk(
     """
     check_range("k", k, 1)
     metric = check_metric(metric or table.metric)
+    table.check(corpus, need=["id"])
     if scope is None and table.namespace and table.namespace in queries.columns:
         scope = (table.namespace, table.namespace)
     pool = where(corpus, table, condition)

@@ -134,6 +134,8 @@ class VectorTable:
 
     def check(self, df: DataFrame, *, need: Sequence[str] = ("id", "embedding")) -> DataFrame:
         """Raise unless the needed columns exist with usable types; returns ``df`` unchanged."""
+        if self.namespace is not None and path_type(df.schema, self.namespace) is None:
+            raise ValueError(f"namespace column {self.namespace!r} is missing")
         for what in need:
             path = getattr(self, what)
             found = path_type(df.schema, path)
