@@ -60,6 +60,10 @@ def test_extra_columns_win_and_internal_ones_go(spark):
     row = fetch.to_documents(df, table).first()
     assert row.metadata.asDict() == {"n": 1, "tag": "new"} and row.__fields__ == ["id", "text", "metadata"]
     assert fetch.to_documents(df, table, include_vectors=True).first().embedding == [1.0]
+    dynamic = df.select("id", "text", F.parse_json(F.lit('{"n": 1}')).alias("metadata"))
+    assert fetch.to_documents(dynamic, table).select(F.to_json("metadata")).first()[0] == '{"n":1}'
+    with pytest.raises(ValueError):
+        fetch.to_documents(dynamic.withColumn("tag", F.lit("x")), table)
     bare = df.select("id", "text")
     assert fetch.to_documents(bare, table).columns == ["id", "text"]
 

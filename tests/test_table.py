@@ -100,6 +100,12 @@ def test_size_check(spark):
     assert fits_broadcast(spark.range(10), 10) and not fits_broadcast(spark.range(11), 10)
     assert not fits_broadcast(spark.range(10), 10, max_bytes=20)
     assert fits_broadcast(spark.range(0))
+    wide = spark.range(4).select(
+        "id", F.repeat(F.lit("é"), 500).alias("text"), F.array_repeat(F.lit(1.0), 100).alias("v"), F.lit(None).cast("string").alias("none"),
+        F.struct(F.lit("abc").alias("s"), F.lit(1).alias("n")).alias("st"), F.array(F.lit("x"), F.lit("y")).alias("tags"),
+        F.create_map(F.lit("k"), F.lit("v")).alias("m"), F.parse_json(F.lit('{"a": 1}')).alias("var"), F.current_date().alias("d"),
+    )
+    assert fits_broadcast(wide, 4, max_bytes=4 * 2200) and not fits_broadcast(wide, 4, max_bytes=4 * 1800)
 
 
 def test_bucketed_table_is_not_shuffled(spark, corpus, plan_of):

@@ -96,20 +96,22 @@ def to_documents(
         message = F.concat(F.lit("stored document has no text: "), path_col(table.id).cast("string"))
         text = F.when(text.isNull(), F.raise_error(message)).otherwise(text)
     found = path_type(df.schema, table.metadata)
-    if found is not None and not isinstance(found, T.StructType):
-        raise ValueError("folding columns into metadata needs struct metadata")
     rest = df.drop(*[c for c in (*table.internal, *keep, table.id) if c in df.columns])
     for path in (table.text, table.metadata, table.embedding):
         rest = remove_path(rest, path)
     if not include_vectors:
         rest = without_vectors(rest)
-    fields = {name: path_col(f"{table.metadata}.{name}") for name in (found.names if found else [])}
     extras = {name: path_col(name) for name in rest.columns}
-    folded = {**fields, **extras}
-    metadata = [column.alias(name) for name, column in folded.items()]
     out = [path_col(table.id).alias("id"), text.alias("text")]
-    if metadata:
-        out.append(F.struct(*metadata).alias("metadata"))
+    if isinstance(found, T.StructType) or found is None:
+        fields = {name: path_col(f"{table.metadata}.{name}") for name in (found.names if found else [])}
+        metadata = [column.alias(name) for name, column in {**fields, **extras}.items()]
+        if metadata:
+            out.append(F.struct(*metadata).alias("metadata"))
+    elif isinstance(found, (T.MapType, T.VariantType)) and not extras:
+        out.append(path_col(table.metadata).alias("metadata"))
+    else:
+        raise ValueError("metadata must be an object, and a struct where columns are folded into it")
     if include_vectors and path_type(df.schema, table.embedding) is not None:
         out.append(path_col(table.embedding).alias("embedding"))
     return df.select(*[path_col(c) for c in keep], *out)

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from vectable.sources.tables import BROADCAST_ROWS, fits_broadcast, settle, small_side
 from vectable.table import VectorTable, check_range, check_vector, path_col
 
-# A model factory runs once per Python worker and returns ``list of texts -> list of vectors``.
+# A model factory runs once per task and returns ``list of texts -> list of vectors``. A factory in an
+# installed module may keep its model in a global, which reused Python workers then find loaded.
 Embedder = Callable[[Sequence[str]], Sequence[Sequence[float]]]
 EmbedderFactory = Callable[[], Embedder]
 

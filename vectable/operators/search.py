@@ -41,6 +41,7 @@ SHARED_QUERY_BYTES = 256 * 1024 * 1024
 CELL_BYTES = 64 * 1024 * 1024
 _BLOCK = 4_000_000  # scores held at once inside a task
 _PAIRS = 200_000  # candidate pairs rescored at once inside a task
+_WINNER_BYTES = 40  # about what one kept (query, row, nearness) takes
 
 
 # ---- one query ------------------------------------------------------------------------------------
@@ -233,7 +234,7 @@ class _Best:
             q, near, r = q[inside], near[inside], r[inside]
             self.new.append(pa.table({"q": pa.array(q, pa.int64()), "near": near, "id": ids.take(pa.array(r))}))
             self.waiting += len(q)
-            if self.waiting > max(4 * self.k * len(self.queries), _PAIRS):
+            if self.waiting > max(self.k * len(self.queries), _PAIRS):
                 self._merge()
 
     def _merge(self) -> None:
@@ -285,14 +286,15 @@ class _Queries:
     shared: bool  # small enough to hand to every task
 
 
-def _prepare(queries: DataFrame, metric: str, dims: int | None, limit: int) -> _Queries:
-    """Count the queries, without computing their vectors, and see whether they can be shared."""
+def _prepare(queries: DataFrame, metric: str, dims: int | None, k: int, limit: int) -> _Queries:
+    """Count the queries, without computing their vectors, and see whether they and their running
+    winners fit in a task."""
     count = queries.count()
     width = dims if metric != HAMMING else None
     if width is None:
         first = queries.select(F.size("v").alias("n")).filter("n > 0").head(1)
         width = first[0]["n"] if first else 1
-    return _Queries(queries, count, width, count * width * 8 <= limit)
+    return _Queries(queries, count, width, count * (8 * width + _WINNER_BYTES * k) <= limit)
 
 
 def _check_held(held: pa.Table, metric: str, width: int) -> np.ndarray:
@@ -407,7 +409,7 @@ def nearest(
     """
     if engine not in ("auto", "shared", "grid"):
         raise ValueError("engine is 'auto', 'shared' or 'grid'")
-    ready = _prepare(queries, metric, dims, shared_bytes)
+    ready = _prepare(queries, metric, dims, k, shared_bytes)
     if engine == "grid" or (engine == "auto" and not ready.shared):
         if not trusted:
             _check_spread(ready, metric)
@@ -514,12 +516,12 @@ def _shared(
 
 
 def _grid(corpus: DataFrame, queries: _Queries, metric: str, k: int, cell_bytes: int) -> DataFrame:
-    """Per-cell winners. Each side of a scope is cut by key hash into slabs of bounded size; a cell is
-    one corpus slab with one query slab. A hot scope has more slabs, hence more cells, not bigger
+    """Per-cell winners. Each side of a scope is cut by key hash into slabs of bounded size (on the query
+    side with room for the winners); a cell is one corpus slab with one query slab. A hot scope has more slabs, hence more cells, not bigger
     ones. Keys are unique, so the slabs are even."""
     schema, arrow = _local_schema(corpus, queries.frame)
     width = queries.width
-    per_slab = max(1, cell_bytes // (8 * width))
+    row_slab, ask_slab = max(1, cell_bytes // (8 * width)), max(1, cell_bytes // (8 * width + _WINNER_BYTES * k))
     asked = queries.frame
     if "scope" in asked.columns:
         asked = asked.withColumn("scope", F.explode(F.array_distinct("scope")))
@@ -527,12 +529,12 @@ def _grid(corpus: DataFrame, queries: _Queries, metric: str, k: int, cell_bytes:
         sizes = asked.groupBy("scope").agg(F.count(F.lit(1)).alias("__asks")).join(rows, "scope")
         sizes = either_side(sizes)
         corpus, asked = corpus.join(sizes, "scope"), asked.join(sizes, "scope")
-        row_slabs = F.ceil(F.col("__rows") / per_slab).cast("int")
-        ask_slabs = F.ceil(F.col("__asks") / per_slab).cast("int")
+        row_slabs = F.ceil(F.col("__rows") / row_slab).cast("int")
+        ask_slabs = F.ceil(F.col("__asks") / ask_slab).cast("int")
         keys = ["scope", "__i", "__j"]
     else:
-        row_slabs = F.lit(max(1, math.ceil(corpus.count() / per_slab)))
-        ask_slabs = F.lit(max(1, math.ceil(queries.count / per_slab)))
+        row_slabs = F.lit(max(1, math.ceil(corpus.count() / row_slab)))
+        ask_slabs = F.lit(max(1, math.ceil(queries.count / ask_slab)))
         keys = ["__i", "__j"]
 
     def laid(df: DataFrame, key: str, own: str, own_slabs: Column, other: str, other_slabs: Column) -> DataFrame:

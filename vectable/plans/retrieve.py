@@ -82,6 +82,6 @@ def retrieve(
     found = post_stages(found, *stages)
     if not gather:
         return found
-    parts = [c for c in found.columns if c != "query_id"]
-    ordered = ["rank", *[c for c in parts if c != "rank"]]
-    return found.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct(*ordered))).alias("hits"))
+    parts = F.collect_list(F.struct(*[c for c in found.columns if c != "query_id"]))
+    in_order = F.array_sort(parts, lambda a, b: a["rank"] - b["rank"])
+    return found.groupBy("query_id").agg(in_order.alias("hits"))

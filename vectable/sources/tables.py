@@ -74,17 +74,33 @@ def save_bucketed(
     return df.sparkSession.table(name)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """True when ``df`` is measured to stay within both bounds.
+def row_bytes(column: Column, dtype: T.DataType) -> Column:
+    """About how many bytes a value takes."""
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        size = F.octet_length(column)
+    elif isinstance(dtype, T.StructType):
+        size = F.lit(0)
+        for field in dtype.fields:
+            size = size + row_bytes(column.getField(field.name), field.dataType)
+    elif isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, (T.NumericType, T.BooleanType)):
+        size = F.size(column) * 8
+    elif isinstance(dtype, (T.ArrayType, T.MapType, T.VariantType)):
+        size = F.length(F.to_json(F.struct(column.alias("v"))))
+    else:
+        return F.lit(8)
+    return F.coalesce(size, F.lit(0)) + 8
 
-    Rows are counted first, which reads no wide column; only a frame that passes is weighed. The JSON
-    length of a row stands in for its size: it is an over-estimate, most of all for vectors.
-    """
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when ``df`` is measured to stay within both bounds. Rows are counted first, which reads no
+    wide column; only a frame that passes is weighed."""
     rows = df.count()
     if not 0 < rows <= max_rows:
         return rows == 0
-    size = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    return df.agg(F.sum(size)).first()[0] <= max_bytes
+    size = F.lit(0)
+    for field in df.schema.fields:
+        size = size + row_bytes(F.col(f"`{field.name}`"), field.dataType)
+    return df.agg(F.sum(size.cast("bigint"))).first()[0] <= max_bytes
 
 
 def either_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
