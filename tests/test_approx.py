@@ -47,6 +47,8 @@ def test_all_probes_equal_exact_search(spark, queries, metric):
     assert found(approx.ivf_search(indexed, queries, centroids, table, 5, 6)) == exact
     assert found(approx.ivf_search(indexed, queries, centroids, table, 5, 99)) == exact
     few = found(approx.ivf_search(indexed, queries, centroids, table, 5, 2))
+    assert few == found(approx.ivf_search(indexed, queries, centroids, table, 5, 2, shared_centroid_bytes=1))
+    assert few == found(approx.ivf_search(indexed, queries, centroids, table, 5, 2, engine="grid", cell_bytes=8 * 8 * 30))
     lists = {r.id: r.list_id for r in indexed.collect()}
     assert all(len({lists[i] for i in ids}) <= 2 for ids in few.values())
 

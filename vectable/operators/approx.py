@@ -197,6 +197,7 @@ def ivf_search(
     condition: Filter = None,
     query_id: str = "query_id",
     query_vector: str = "query_vector",
+    shared_centroid_bytes: int = SHARED_QUERY_BYTES,
     **search: Any,
 ) -> DataFrame:
     """Top-k among the rows of the ``nprobes`` lists nearest to each query.
@@ -204,11 +205,16 @@ def ivf_search(
     On a table partitioned by ``list_id`` only the probed partitions are read.
     """
     check_range("nprobes", nprobes, 1)
-    held = _hold(centroids, "list_id", "centroid")
-    if held is None:
-        raise ValueError("too many centroids to hold in memory")
+    held = _hold(centroids, "list_id", "centroid", shared_centroid_bytes)
     asked = queries.select(path_col(query_id).alias("query_id"), path_col(query_vector).alias("query_vector"))
-    asked = asked.withColumn("lists", _nearest_ids(F.col("query_vector"), held, table.metric, nprobes))
+    if held is not None:
+        asked = asked.withColumn("lists", _nearest_ids(F.col("query_vector"), held, table.metric, nprobes))
+    else:  # too many centroids to hold: rank them in a grid of cells
+        probed = nearest(
+            centroids.select(F.col("list_id").cast("int").alias("id"), F.col("centroid").alias("v")),
+            asked.select("query_id", F.col("query_vector").alias("v")), table.metric, nprobes, engine="grid",
+        )
+        asked = asked.join(probed.groupBy("query_id").agg(F.collect_list("id").alias("lists")), "query_id")
     return batch_topk(indexed, asked, table, k, condition=condition, scope=("list_id", "lists"), **search)
 
 

@@ -41,6 +41,7 @@ SHARED_QUERY_BYTES = 256 * 1024 * 1024
 CELL_BYTES = 64 * 1024 * 1024
 _BLOCK = 4_000_000  # scores held at once inside a task
 _PAIRS = 200_000  # candidate pairs rescored at once inside a task
+_EAGER = 20_000  # kept pairs worth an early merge
 _WINNER_BYTES = 40  # about what one kept (query, row, nearness) takes
 
 
@@ -196,8 +197,8 @@ class _Best:
         step = max(1, _BLOCK // len(rows))
         for start in range(0, len(which), step):
             self._offer_block(rows, side, ids, which[start : start + step])
-        if not np.isfinite(self.edge[which]).all():
-            self._merge()
+        if self.waiting >= _EAGER and not np.isfinite(self.edge[which]).all():
+            self._merge()  # the sooner a k-th best is known, the fewer pairs are kept
 
     def _rough(self, rows: np.ndarray, side: tuple, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rough nearness of queries x rows, error margin per query)."""
@@ -517,8 +518,8 @@ def _shared(
 
 def _grid(corpus: DataFrame, queries: _Queries, metric: str, k: int, cell_bytes: int) -> DataFrame:
     """Per-cell winners. Each side of a scope is cut by key hash into slabs of bounded size (on the query
-    side with room for the winners); a cell is one corpus slab with one query slab. A hot scope has more slabs, hence more cells, not bigger
-    ones. Keys are unique, so the slabs are even."""
+    side with room for the winners); a cell is one corpus slab with one query slab. A hot scope has
+    more slabs, hence more cells, not bigger ones. Keys are unique, so the slabs are even."""
     schema, arrow = _local_schema(corpus, queries.frame)
     width = queries.width
     row_slab, ask_slab = max(1, cell_bytes // (8 * width)), max(1, cell_bytes // (8 * width + _WINNER_BYTES * k))
