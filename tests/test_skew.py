@@ -88,12 +88,12 @@ def test_copies_take_their_edges_in_many_tasks(spark, skewed):
 
 
 def test_hot_partition_is_written_by_many_tasks(spark, skewed, tmp_path):
-    with conf(spark, SMALL_PIECES | {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "256KB"}):
+    with conf(spark, SMALL_PIECES | {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "512KB"}):
         save_snapshot(skewed.withColumn("pad", F.sha2("id", 256)), str(tmp_path / "t"), partition_by=["namespace"])
     files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "t").iterdir() if d.is_dir()}
     hot = files.pop("namespace=hot")
     # Only what shares a shuffle partition with the hot namespace is split along with it.
-    assert hot >= 3 and sorted(files.values())[len(files) // 2] == 1
+    assert hot >= 2 and sorted(files.values())[len(files) // 2] == 1
 
 
 def test_hot_namespace_search_is_whole(spark, skewed):
