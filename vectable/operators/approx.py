@@ -22,15 +22,9 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from vectable.functions.predicates import Filter, where
+from vectable.functions.running_topk import HAMMING, RunningTopK
 from vectable.functions.vectors import is_valid, normalised, row_nearness, to_matrix
-from vectable.operators.search import (
-    HAMMING,
-    SHARED_QUERY_BYTES,
-    _Best,
-    as_hits,
-    batch_topk,
-    nearest,
-)
+from vectable.operators.search import SHARED_QUERY_BYTES, as_hits, batch_topk, nearest
 from vectable.sources.tables import BROADCAST_ROWS, fits_broadcast, settle
 from vectable.table import COSINE, VectorTable, check_metric, check_range, path_col
 
@@ -144,12 +138,10 @@ def _nearest_ids(v: Column, held: _Held, metric: str, n: int) -> Column:
     def lists(column: pa.Array) -> pa.Array:
         ids, centres = sent.value
         positions, rows = to_matrix(column, centres.shape[1])
-        best = _Best(metric, rows, n)
+        best = RunningTopK(metric, rows, n)
         best.offer(centres, ids)
-        best._merge()
         found = np.zeros((len(column), n), dtype=np.int32)
-        if len(positions):
-            found[positions] = best.kept.column("id").to_numpy().reshape(len(rows), n)
+        found[positions] = best.winner_ids().reshape(len(rows), n)
         usable = np.zeros(len(column), dtype=bool)
         usable[positions] = True
         offsets = pa.array(np.arange(0, (len(column) + 1) * n, n, dtype=np.int32))
