@@ -52,6 +52,7 @@ class RunningTopK:
         if not len(rows):
             return
         which = np.arange(len(self.queries)) if which is None else which
+        rows, ids = self._without_surplus_copies(rows, ids)
         side = self._side(rows)
         step = max(1, _BLOCK // len(rows))
         for start in range(0, len(which), step):
@@ -59,6 +60,27 @@ class RunningTopK:
         if self.waiting >= _EAGER and not np.isfinite(self.edge[which]).all():
             self._merge()  # the sooner a k-th best is known, the fewer pairs are kept
 
+    def _without_surplus_copies(self, rows: np.ndarray, ids: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """Of rows with one and the same vector only the k smallest ids can win; the others need not be
+        compared. Rows are matched by a 64-bit mark of their bits, then compared whole."""
+        if len(rows) <= self.k:
+            return rows, ids
+        bits = np.ascontiguousarray(rows).view(np.uint64)
+        odd = np.arange(1, 2 * bits.shape[1], 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        marks = (bits * odd).sum(axis=1, dtype=np.uint64)
+        order = np.argsort(marks, kind="stable")
+        starts = np.flatnonzero(np.r_[True, marks[order[1:]] != marks[order[:-1]]])
+        ends = np.r_[starts[1:], len(rows)]
+        keep = np.ones(len(rows), dtype=bool)
+        for start, end in zip(starts[ends - starts > self.k], ends[ends - starts > self.k]):
+            alike = order[start:end]
+            alike = alike[(rows[alike] == rows[alike[0]]).all(axis=1)]
+            by_id = pc.sort_indices(ids.take(pa.array(alike))).to_numpy()
+            keep[alike[by_id[self.k :]]] = False
+        if keep.all():
+            return rows, ids
+        return rows[keep], ids.filter(pa.array(keep))
+
     def _rough(self, rows: np.ndarray, side: tuple, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rough nearness of queries x rows, error margin per query)."""
         if self.metric == HAMMING:
