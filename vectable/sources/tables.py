@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -117,23 +118,29 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = B
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by ``spark.checkpoint.dir``; only a local session may make one up."""
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``; only a local session may make one up."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        configured = tempfile.mkdtemp(prefix="checkpoint-")
-    sc.setCheckpointDir(configured)
+    if sc.getCheckpointDir() is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            configured = tempfile.mkdtemp(prefix="checkpoint-")
+        sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage through the checkpoint folder: later uses read the same rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute once and cut the lineage: later uses read the same rows from the checkpoint folder.
+
+    Written as a Parquet table, so that each later use reads only its columns and Spark knows the
+    size. The folder is the caller's to clear when the job is done.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def semi_filter(df: DataFrame, field: str, values: DataFrame, *, max_broadcast: int = BROADCAST_ROWS) -> DataFrame:
