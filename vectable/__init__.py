@@ -42,6 +42,7 @@ from vectable.operators.ingest import (  # noqa: E402
     bucket_of,
     drop_known,
     embed_corpus,
+    embed_query,
     latest_per_id,
     upsert_buckets,
     upsert_embeddings,
@@ -59,7 +60,7 @@ from vectable.table import VectorTable  # noqa: E402
 __all__ = [
     "Tuning", "VectorTable", "add_sketch", "append_documents", "assign_ids", "attach", "batch_topk", "bucket_of",
     "candidate_rerank", "corpus_scan", "delete_all", "delete_by_filter", "delete_by_ids", "delete_counts",
-    "delete_in_namespace", "drop_known", "embed_corpus", "filtered_fetch", "from_storage", "get_by_ids", "get_path",
+    "delete_in_namespace", "drop_known", "embed_corpus", "embed_query", "filtered_fetch", "from_storage", "get_by_ids", "get_path",
     "ingest", "ivf_assign", "ivf_search", "knn_graph", "latest_per_id", "mmr", "page", "post_stages", "random_planes",
     "relevance", "remove_path", "retrieve", "save_bucketed", "save_snapshot", "scored", "semi_filter", "set_path",
     "settle", "threshold", "to_documents", "to_storage", "topk", "topk_by_text", "train_centroids", "upsert_buckets",
