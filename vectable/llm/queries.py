@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vectable.llm.byte_bpe import encode_texts
 from vectable.llm.quality import quality
+from vectable.llm.simhash import near_duplicates
+from vectable.llm.substring_dedup import remove_repeats
 from vectable.llm.token_counts import count_tokens
 
 JSON_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +19,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), JSON_TOKENIZER)
 
@@ -25,6 +31,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def byte_bpe_digests(docs: DataFrame) -> DataFrame:
     encoded = encode_texts(docs, RANKS, public_tokenizers.PATTERN)
     return encoded.select(
@@ -40,8 +51,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op5_token_counts": op5_token_counts,
     "op7_quality_rules": op7_quality_rules,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_byte_bpe": op9_byte_bpe,
 }
 ORACLE: dict[str, str] = {}
