@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -155,12 +156,18 @@ class PieceCache(dict):
         return ids
 
 
+@lru_cache(maxsize=2)
+def worker_cache(path: str, cached: int) -> PieceCache:
+    """One per Python worker, so that the tasks a worker runs share what it has encoded."""
+    return PieceCache(PrefixBpe(read_ranks(path)), cached)
+
+
 def encoder(path: str, pattern: str, cached: int = PIECES_CACHED) -> Callable:
     """Column function: token ids of a text, each match of ``pattern`` encoded separately."""
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cache, pieces = PieceCache(PrefixBpe(read_ranks(path)), cached), regex.compile(pattern).findall
+        cache, pieces = worker_cache(path, cached), regex.compile(pattern).findall
         for batch in batches:
             rows = []
             for value in values(batch):
@@ -175,7 +182,7 @@ def decoder(path: str) -> Callable:
 
     @F.arrow_udf("binary")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        token = {rank: token for token, rank in read_ranks(path).items()}
+        token = worker_cache(path, PIECES_CACHED).bpe.token
         for batch in batches:
             yield pa.array([None if ids is None else b"".join(map(token.__getitem__, ids)) for ids in values(batch)], pa.binary())
 
