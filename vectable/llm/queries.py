@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vectable.llm.byte_bpe import encode_texts
+from vectable.llm.decontaminate import leaks
+from vectable.llm.line_dedup import dedup_lines
 from vectable.llm.quality import quality
+from vectable.llm.secret_scan import scan_secrets
 from vectable.llm.simhash import near_duplicates
 from vectable.llm.substring_dedup import remove_repeats
 from vectable.llm.token_counts import count_tokens
@@ -19,14 +22,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("twin")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("certain", 256).alias("base_sha256"), "spans")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), JSON_TOKENIZER)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = dedup_lines(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"))
 
@@ -51,8 +68,11 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
+    "op3_secret_scan": op3_secret_scan,
     "op5_token_counts": op5_token_counts,
+    "op6_line_dedup": op6_line_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_byte_bpe": op9_byte_bpe,

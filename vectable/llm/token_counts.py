@@ -22,6 +22,7 @@ from vectable.llm.common import as_text, values
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 SAMPLE_ROWS = 2_000
+SAMPLE_TEXT = 1 << 16
 FREQUENT = 32_768
 FREQUENT_BYTES = 1 << 20
 CACHED = 300_000
@@ -74,29 +75,18 @@ class TokenCounter:
 def frequent_pieces(
     docs: DataFrame, path: str, text: str = "text", *, rows: int = SAMPLE_ROWS, size: int = FREQUENT, weight: int = FREQUENT_BYTES
 ) -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens in the first ``rows`` rows that Spark reads: at most
-    ``size`` of them with at most ``weight`` UTF-8 bytes, so the broadcast is bounded."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, seen = TokenCounter(path, {}), Counter()
-        for batch in batches:
-            for value in values(batch.column(0)):
-                seen.update(counter.pieces(value))
-                if len(seen) > 20 * size:
-                    seen = Counter(dict(seen.most_common(10 * size)))
-        kept, used = [], 0
-        for piece, _ in seen.most_common(size):
-            used += len(piece.encode())
-            if used > weight:
-                break
-            kept.append(piece)
-        yield pa.RecordBatch.from_pydict({
-            "piece": pa.array(kept, pa.string()), "n": pa.array([counter.lengths[p] for p in kept], pa.int32())
-        })
-
-    sample = docs.select(as_text(text).alias("text")).limit(rows)
-    table = sample.mapInArrow(count, "piece string, n int").toArrow()
-    return dict(zip(table["piece"].to_pylist(), table["n"].to_pylist()))
+    """Lengths of the most frequent pre-tokens in the first ``rows`` texts of at most ``SAMPLE_TEXT`` bytes: at
+    most ``size`` of them with at most ``weight`` UTF-8 bytes, so sample and broadcast are bounded."""
+    counter, seen = TokenCounter(path, {}), Counter()
+    for row in docs.select(F.col(text).alias("text")).filter(F.octet_length("text") <= SAMPLE_TEXT).take(rows):
+        seen.update(counter.pieces(row["text"]))
+    kept, used = {}, 0
+    for piece, _ in seen.most_common(size):
+        used += len(piece.encode())
+        if used > weight:
+            break
+        kept[piece] = counter.lengths[piece]
+    return kept
 
 
 def token_count(path: str, frequent: dict[str, int], spark, cached: int = CACHED) -> Callable[[Column], Column]:
