@@ -46,8 +46,9 @@ def seeds(hashes: Column, stride: int) -> Column:
 
 
 def _seeded(rows: DataFrame, stride: int, *keys: str) -> DataFrame:
-    """keys, seed, start: one row per hashed window of ``rows`` with column ``hashes``."""
-    exploded = rows.select(*keys, seeds(F.col("hashes"), stride).alias("s")).select(*keys, F.posexplode("s").alias("place", "seed"))
+    """keys, seed, start: one row per hashed window of ``rows`` with column ``hashes``, or one with NULLs."""
+    # The outer form: the filter that Spark infers for the inner one would hash all windows a second time.
+    exploded = rows.select(*keys, seeds(F.col("hashes"), stride).alias("s")).select(*keys, F.posexplode_outer("s").alias("place", "seed"))
     return exploded.select(*keys, "seed", ((F.col("place") / len(MASKS)).cast("int") * stride).alias("start"))
 
 

@@ -109,6 +109,9 @@ def scan_secrets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sc
     found = settle(found.withColumn("weak", F.filter("weak", lambda w: ~F.exists("certain", touching(w)))))
     linked = _linked(found.filter(F.size("weak") > 0), scope)
     joined = found.join(linked, F.col("key").eqNullSafe(F.col("k")) & (F.col("twin") == F.col("t")), "left")
-    counts = [F.size(F.filter("certain", lambda s, n=n: s["kind"] == n)).cast("bigint").alias(f"n_{k}") for n, k in enumerate(CERTAIN)]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("certain", lambda s: s["kind"] == KINDS.index(kind))).cast("bigint").alias(f"n_{kind}")
+
     both = F.concat("certain", F.coalesce("linked", F.array().cast(f"array<{SPAN}>")))
-    return joined.select(F.col("key").alias(key), *counts, _listed(F.col("certain")).alias("certain"), _listed(both).alias("spans"))
+    return joined.select(F.col("key").alias(key), *map(count, CERTAIN), _listed(F.col("certain")).alias("certain"), _listed(both).alias("spans"))
