@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vectable.llm.byte_bpe import encode_texts
 from vectable.llm.decontaminate import leaks
+from vectable.llm.html_extract import extract
 from vectable.llm.line_dedup import dedup_lines
+from vectable.llm.ngram_lm import score_texts
 from vectable.llm.quality import quality
 from vectable.llm.secret_scan import scan_secrets
 from vectable.llm.simhash import near_duplicates
@@ -35,6 +37,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("certain", 256).alias("base_sha256"), "spans")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), JSON_TOKENIZER)
 
@@ -67,14 +73,20 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe_digests(_table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
     "op3_secret_scan": op3_secret_scan,
+    "op4_html_extraction": op4_html_extraction,
     "op5_token_counts": op5_token_counts,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_ngram_lm": op10_ngram_lm,
 }
 ORACLE: dict[str, str] = {}
