@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from vectable.llm.common import as_bytes, long_list, values
 
 WINDOW = 13
-GRAM = 4
-CHUNK = 6 << 20
+GRAM = 3
+CHUNK = 9 << 20
 BUCKETS_PER_PARTITION = 4
 
 ROWS = "bucket int, key bigint, twin int, spans array<int>, packed binary"
@@ -101,7 +101,7 @@ class Chunk:
         spans = [np.stack([starts[a:b], starts[a:b] + sizes[a:b]], axis=1).ravel() for a, b in pairwise(cuts)]
         n = len(held)
         yield pa.RecordBatch.from_arrays([
-            pa.array([d[1] % self.buckets for d in held], pa.int32()), pa.array([d[0] for d in held], pa.int64()),
+            pa.array([d[0] % self.buckets for d in held], pa.int32()), pa.array([d[0] for d in held], pa.int64()),
             pa.array([d[1] for d in held], pa.int32()), long_list(spans, pa.int32()), pa.nulls(n, pa.binary()),
         ], ["bucket", "key", "twin", "spans", "packed"])
 
@@ -111,7 +111,7 @@ class Chunk:
         bucket = (low >> np.uint64(32)) % np.uint64(self.buckets)
         order = np.argsort(bucket, kind="stable")
         cuts = np.append(np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0)), len(order))
-        packer = zstandard.ZstdCompressor(level=3)
+        packer = zstandard.ZstdCompressor(level=6)
         packed = [
             packer.compress(pack(low[o].astype(np.uint32), keys[o], twins[o], starts[o].astype(np.int32), [strings[i] for i in o.tolist()]))
             for o in (order[a:b] for a, b in pairwise(cuts))
