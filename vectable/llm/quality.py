@@ -222,9 +222,25 @@ def quality(
     NULL or empty text has no words and fails; a NULL language is a language of its own. An empty
     table gives an empty result. Other columns of ``docs`` are not read.
     """
+    found, passes = _judged(docs, text, lang, references, limits)
+    out = docs.select(F.col(key), found.alias("__m")).select(key, "__m.*")
+    return out.withColumn("base_failed", passes[0]).withColumn("kept", passes[1])
+
+
+def _judged(docs: DataFrame, text: str, lang: str, references: dict | None, limits: Limits) -> tuple[Column, tuple[Column, Column]]:
+    """The measures of a row, and (base_failed, kept) in terms of their fields."""
     references = language_references(docs, text, lang) if references is None else references
     found = measure(references, limits, docs.sparkSession)(as_bytes(text), F.col(lang).cast("string"))
-    out = docs.select(F.col(key), found.alias("__m")).select(key, "__m.*")
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     near = [F.coalesce(F.col(f"{kind}_distance") <= getattr(limits, f"{kind}_distance"), F.lit(True)) for kind in ("class", "word")]
-    return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & near[0] & near[1])
+    return found, (failed, ~failed & near[0] & near[1])
+
+
+def keep_good(
+    docs: DataFrame, *, text: str = "text", lang: str = "lang", references: dict | None = None, limits: Limits = Limits()
+) -> DataFrame:
+    """The rows of ``docs`` that ``quality`` keeps, with their columns as they are."""
+    found, (_, kept) = _judged(docs, text, lang, references, limits)
+    # The row goes along in one struct, so no column of the measures can clash with one of its own.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), found.alias("__m")).select("__row", "__m.*")
+    return rows.filter(kept).select("__row.*")
