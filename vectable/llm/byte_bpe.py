@@ -24,6 +24,8 @@ from vectable.llm.common import as_text, long_list, values
 
 PIECES_CACHED = 250_000
 PAIRS_CACHED = 400_000
+HEAD = 6
+HEADS_CACHED = 100_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -45,7 +47,10 @@ class PrefixBpe:
         for token in ranks:
             ends.setdefault(token[-2:], set()).add(len(token))
         self.single = {token for token in ranks if len(token) == 1}
-        self.lengths = {end: tuple(sorted(found | ({1} if end[-1:] in self.single else set()))) for end, found in ends.items()}
+        ones = {end: found | ({1} if end[-1:] in self.single else set()) for end, found in ends.items()}
+        self.lengths = {end: tuple(sorted(found)) for end, found in ones.items()}
+        # The tables of the first HEAD bytes, which many strings share.
+        self.heads: dict[bytes, list[int]] = {}
 
     def merged(self, data: bytes) -> list[bytes]:
         """The encoding by its definition: join the leftmost neighbours of lowest rank until none is left."""
@@ -68,25 +73,23 @@ class PrefixBpe:
             known = self.pairs[pair] = self.merged(b"".join(tokens)) == tokens
         return known
 
-    def fill(self, data: bytes, last: list[int], until: Callable[[int], bool] = lambda end: False) -> None:
-        """Add to ``last`` the last token of each longer prefix of ``data``, up to the end or ``until``."""
-        ranks, lengths, token, pairs, stays = self.ranks, self.lengths, self.token, self.pairs, self.stays
-        for end in range(len(last) + 1, len(data) + 1):
-            for size in lengths.get(data[max(0, end - 2) : end], (1,)):
+    def fill(self, data: bytes, last: list[int], stop: int) -> None:
+        """Add to ``last`` the last token of each longer prefix of ``data``, up to ``stop`` bytes."""
+        ranks, lengths, pairs, stays = self.ranks.get, self.lengths.get, self.pairs.get, self.stays
+        for end in range(len(last) + 1, stop + 1):
+            for size in lengths(data[end - 2 : end] if end > 1 else data[:1], (1,)):
                 if size > end:
                     continue
-                rank = ranks.get(data[end - size : end])
+                rank = ranks(data[end - size : end])
                 if rank is None:
                     continue
                 left = last[end - size - 1] if size < end else -1
-                known = pairs.get((left + 1 << 32) + rank)
+                known = pairs((left + 1 << 32) + rank)
                 if stays(left, rank) if known is None else known:
                     last.append(rank)
                     break
             else:
                 raise ValueError(f"the vocabulary has no token for byte {data[end - 1]}")
-            if until(end):
-                return
 
     def walk(self, last: list[int]) -> list[int]:
         """The encoding that the table of last tokens holds."""
@@ -100,8 +103,15 @@ class PrefixBpe:
     def encode(self, data: bytes) -> list[int]:
         if data in self.ranks and self.stays(-1, self.ranks[data]):
             return [self.ranks[data]]
-        last: list[int] = []
-        self.fill(data, last)
+        head = data[:HEAD]
+        last = self.heads.get(head)
+        if last is None:
+            if len(self.heads) >= HEADS_CACHED:
+                self.heads.clear()
+            last = self.heads[head] = []
+            self.fill(data, last, len(head))
+        last = last.copy()
+        self.fill(data, last, len(data))
         return self.walk(last)
 
 
@@ -114,25 +124,21 @@ class PrefixTable:
 
     def append(self, more: bytes) -> None:
         self.data += more
-        self.bpe.fill(self.data, self.last)
+        self.bpe.fill(self.data, self.last, len(self.data))
 
     def edit(self, start: int, stop: int, new: bytes) -> int:
         """Replace data[start:stop]; returns the number of table entries computed."""
-        old, moved = self.last, len(new) - (stop - start)
+        old, moved, longest = self.last, len(new) - (stop - start), self.bpe.longest
         self.data = self.data[:start] + new + self.data[stop:]
-        last = old[:start]
-        edited, same = start + len(new), 0
-
-        def agrees(end: int) -> bool:
-            nonlocal same
-            same = same + 1 if end > edited and last[end - 1] == old[end - 1 - moved] else 0
-            return same >= self.bpe.longest
-
-        self.bpe.fill(self.data, last, agrees)
+        self.last = last = old[:start]
+        edited = start + len(new)
+        while len(last) < len(self.data):
+            self.bpe.fill(self.data, last, min(len(self.data), len(last) + longest))
+            behind = len(last) - longest
+            if behind >= edited and last[behind:] == old[behind - moved : len(last) - moved]:
+                break
         made = len(last) - start
-        if len(last) < len(self.data):
-            last += old[len(last) - moved :]
-        self.last = last
+        last += old[len(last) - moved :] if len(last) < len(self.data) else []
         return made
 
     def ids(self) -> list[int]:
@@ -184,7 +190,9 @@ def decoder(path: str) -> Callable:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         token = worker_cache(path, PIECES_CACHED).bpe.token
         for batch in batches:
-            yield pa.array([None if ids is None else b"".join(map(token.__getitem__, ids)) for ids in values(batch)], pa.binary())
+            ids, ends = batch.values.to_numpy(), batch.offsets.to_numpy()
+            rows = (b"".join(map(token.__getitem__, ids[a:b].tolist())) for a, b in zip(ends, ends[1:]))
+            yield pa.array([row if there else None for row, there in zip(rows, batch.is_valid().to_pylist())], pa.binary())
 
     return decode
 
