@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -34,7 +35,13 @@ class PieceLengths(dict):
 
     def __init__(self, measure: Callable[[str], int], frequent: dict[str, int], cached: int = CACHED):
         super().__init__(frequent)
-        self.measure, self.frequent, self.limit = measure, frequent, len(frequent) + cached
+        self.measure, self.cached = measure, cached
+        self.prefer(frequent)
+
+    def prefer(self, frequent: dict[str, int]) -> None:
+        """Set the pieces that are never forgotten."""
+        self.frequent, self.limit = frequent, len(frequent) + self.cached
+        self.update(frequent)
 
     def __missing__(self, piece: str) -> int:
         if len(self) >= self.limit:
@@ -89,13 +96,20 @@ def frequent_pieces(
     return kept
 
 
+@lru_cache(maxsize=2)
+def worker_counter(path: str, cached: int) -> TokenCounter:
+    """One per Python worker, so that the tasks a worker runs share what it has encoded."""
+    return TokenCounter(path, {}, cached)
+
+
 def token_count(path: str, frequent: dict[str, int], spark, cached: int = CACHED) -> Callable[[Column], Column]:
     """Column function: number of tokens of a text."""
     shared = spark.sparkContext.broadcast(frequent)
 
     @F.arrow_udf("bigint")
     def n_tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        counter = TokenCounter(path, shared.value, cached)
+        counter = worker_counter(path, cached)
+        counter.lengths.prefer(shared.value)
         for batch in batches:
             yield pa.array([counter(value) for value in values(batch)], pa.int64())
 
