@@ -74,6 +74,7 @@ def leaks(
     """Overlaps of texts and benchmark items: key, twin (hash of the text), item, score, doc_end and item_end
     (the word after the best stretch); one row per key, text and item.
 
+    A window that repeats within a text or an item counts at its first place there, so hits grow with the words.
     An overlap counts from a score of ``least`` on, or of the item's words if it has fewer. Words are
     lower-cased. Items and texts under SPAN words, empty and NULL ones among them, overlap with nothing; a
     NULL key or item id is kept as it is. Repeated rows give one row. Empty tables give an empty result.
@@ -83,11 +84,11 @@ def leaks(
     texts = texts.withColumn("twin", F.xxhash64("text"))
     items = benchmark.select(F.col(item).alias("item"), word_hashes(as_text(item_text)).alias("item_hashes"))
     items = items.filter(F.size("item_hashes") >= SPAN).distinct()
-    windows = _seeded(items.withColumnRenamed("item_hashes", "hashes"), 1, "item").select(
-        F.col("seed").alias("item_seed"), "item", F.col("start").alias("item_start")
-    )
+    windows = _seeded(items.withColumnRenamed("item_hashes", "hashes"), 1, "item")
+    windows = windows.groupBy("item", F.col("seed").alias("item_seed")).agg(F.min("start").alias("item_start"))
     hashed = texts.select("key", "twin", word_hashes(F.col("text")).alias("hashes"))
     hits = _seeded(hashed, STRIDE, "key", "twin").join(small_side(settle(windows)), F.col("seed") == F.col("item_seed"))
+    hits = hits.groupBy("key", "twin", "item", "seed").agg(F.min("start").alias("start"), F.min("item_start").alias("item_start"))
     hits = settle(hits.select("key", "twin", "item", (F.col("start") - F.col("item_start")).alias("shift")).distinct())
     hit = hits.select(F.col("key").alias("k"), F.col("twin").alias("t")).distinct()
     held = texts.join(small_side(settle(hit)), F.col("key").eqNullSafe(F.col("k")) & (F.col("twin") == F.col("t")), "left_semi")

@@ -52,8 +52,9 @@ def build(ones: np.ndarray, contexts: np.ndarray, pairs: tuple[np.ndarray, np.nd
     ``ones``: how often each id is predicted; ``contexts``: how often it is followed by something; pairs
     and triples: sorted codes and their counts. Absolute discounting, interpolated into back-off form.
     """
-    first = (ones + 1) / (ones.sum() + (ones >= 0).sum())
-    first = np.where(ones >= 0, first, 0.0)
+    predicted = ones >= 0
+    first = (ones + 1) / max(1, (ones[predicted] + 1).sum())
+    first = np.where(predicted, first, 0.0)
     width = len(ones)
     _, a, b = split_code(pairs[0])
     level2 = EliasFano.of(a * width + b)
