@@ -11,7 +11,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from vectable.llm import queries
-from vectable.llm.byte_bpe import PieceCache, PrefixBpe, PrefixTable, encode_texts, read_ranks
+from vectable.llm.byte_bpe import PieceCache, PrefixBpe, PrefixTable, decoder, encode_texts, read_ranks
 from vectable.llm.token_counts import PieceLengths, TokenCounter, count_tokens, frequent_pieces
 
 JSON, RANKS = queries.JSON_TOKENIZER, queries.RANKS
@@ -84,6 +84,13 @@ def test_encoding_of_odd_rows(odd_docs, odd_rows, library):
     assert encode_texts(odd_docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_decoder(spark):
+    rows = spark.createDataFrame([(1, [262, 3797]), (2, []), (3, None)], "k int, ids array<int>")
+    got = {r["k"]: r["d"] for r in rows.select("k", decoder(RANKS)("ids").alias("d")).collect()}
+    token = {v: k for k, v in read_ranks(RANKS).items()}
+    assert got[1] == token[262] + token[3797] and got[2] == b"" and got[3] is None
+
+
 def test_prefix_table_holds_the_encoding_of_every_prefix(bpe, library):
     data = "the unbelievable thththonont naïve 東京 aaaaaaaaaaaa".encode()
     table = PrefixTable(bpe, data)

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from vectable.llm.common import as_text, long_list, values
 
-PIECES_CACHED = 250_000
-PAIRS_CACHED = 400_000
+PIECES_CACHED = 150_000
+PAIRS_CACHED = 300_000
 HEAD = 6
 HEADS_CACHED = 100_000
 
@@ -168,40 +168,49 @@ def worker_cache(path: str, cached: int) -> PieceCache:
     return PieceCache(PrefixBpe(read_ranks(path)), cached)
 
 
-def encoder(path: str, pattern: str, cached: int = PIECES_CACHED) -> Callable:
-    """Column function: token ids of a text, each match of ``pattern`` encoded separately."""
+def encoded(texts: pa.Array, cache: PieceCache, pieces: Callable) -> pa.ListArray:
+    """Token ids of each text, each of its ``pieces`` encoded separately."""
+    rows = [np.fromiter(chain.from_iterable(map(cache.__getitem__, pieces(text))), np.int32) for text in values(texts)]
+    return long_list(rows, pa.int32())
 
-    @F.arrow_udf("array<int>")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cache, pieces = worker_cache(path, cached), regex.compile(pattern).findall
-        for batch in batches:
-            rows = []
-            for value in values(batch):
-                rows.append(np.fromiter(chain.from_iterable(map(cache.__getitem__, pieces(value))), np.int32))
-            yield long_list(rows, pa.int32())
 
-    return encode
+def decoded(ids: pa.ListArray, token: dict[int, bytes]) -> pa.Array:
+    """The bytes of each list of token ids. Unknown ids raise KeyError; NULL gives NULL."""
+    flat, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
+    rows = (b"".join(map(token.__getitem__, flat[a:b].tolist())) for a, b in zip(ends, ends[1:]))
+    return pa.array([row if there else None for row, there in zip(rows, ids.is_valid().to_pylist())], pa.binary())
 
 
 def decoder(path: str) -> Callable:
-    """Column function: the bytes of token ids. Unknown ids raise KeyError; NULL gives NULL."""
+    """Column function: the bytes of token ids."""
 
     @F.arrow_udf("binary")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         token = worker_cache(path, PIECES_CACHED).bpe.token
         for batch in batches:
-            ids, ends = batch.values.to_numpy(), batch.offsets.to_numpy()
-            rows = (b"".join(map(token.__getitem__, ids[a:b].tolist())) for a, b in zip(ends, ends[1:]))
-            yield pa.array([row if there else None for row, there in zip(rows, batch.is_valid().to_pylist())], pa.binary())
+            yield decoded(batch, token)
 
     return decode
 
 
+def coder(path: str, pattern: str, cached: int = PIECES_CACHED) -> Callable:
+    """Column function: ids of a text, and the bytes that these ids decode to. One function for both, as
+    each has Python workers of its own, with their own caches."""
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        cache, pieces = worker_cache(path, cached), regex.compile(pattern).findall
+        for batch in batches:
+            ids = encoded(batch, cache, pieces)
+            yield pa.StructArray.from_arrays([ids, decoded(ids, cache.bpe.token)], ["ids", "decoded"])
+
+    return encode
+
+
 def encode_texts(docs: DataFrame, path: str, pattern: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: key, ids (array<int>), decoded (binary, the ids turned back into bytes).
 
     One row per input row, repeated and NULL keys included. A NULL or empty text has no ids and no
     bytes. An empty table gives an empty result; other columns of ``docs`` are not read.
     """
-    encoded = docs.select(F.col(key), encoder(path, pattern)(as_text(text)).alias("ids"))
-    return encoded.withColumn("decoded", decoder(path)("ids"))
+    return docs.select(F.col(key), coder(path, pattern)(as_text(text)).alias("__c")).select(key, "__c.*")
