@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from checks.queries import QUERIES
 
 HEADLINE = [
-    "embed_corpus", "embed_corpus_bytes", "upsert_replace", "upsert_merge", "dedupe_before_embed", "validate_vectors",
+    "embed_corpus", "embed_corpus_shapes", "upsert_replace", "upsert_merge", "dedupe_before_embed", "validate_vectors",
     "delete_by_ids", "get_by_ids", "filtered_fetch", "to_documents", "filter_and", "filter_nor", "topk_cosine",
     "batch_topk", "batch_topk_grid", "topk_prefilter", "topk_namespace", "topk_by_text", "mmr", "retrieve",
     "ivf_assign", "ivf_search", "candidate_rerank", "knn_graph", "knn_graph_in_lists",

@@ -6,16 +6,23 @@ DOCS = """docs AS (
   SELECT CAST(d.doc_id AS VARCHAR) AS id, d.source AS namespace, d.text, d.lang, d.n_chars, l.quality, l.toxic
   FROM documents d LEFT JOIN labels l USING (doc_id))"""
 
-STORED = """stored AS (
-  SELECT CAST(doc_id AS VARCHAR) AS id, source AS namespace, text, CAST(length(text) AS DOUBLE) AS emb0,
+
+
+def letters(text: str, letter: str = "e") -> str:
+    """How often a letter occurs: the letter embedding's elements."""
+    return f"CAST(length({text}) - length(replace({text}, '{letter}', '')) AS DOUBLE)"
+
+
+STORED = f"""stored AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id, source AS namespace, text, {letters('text')} AS emb0,
          lang, n_chars, 'note ' || source AS note FROM documents)"""
 
-CONVERSATIONS = """SELECT 'c-' || conv_id || '-' || turn AS id, role AS namespace, text,
-         CAST(length(text) AS DOUBLE) AS emb0, 'en' AS lang, turn AS n_chars FROM conversations"""
+CONVERSATIONS = f"""SELECT 'c-' || conv_id || '-' || turn AS id, role AS namespace, text,
+         {letters('text')} AS emb0, 'en' AS lang, turn AS n_chars FROM conversations"""
 
 BATCH = f"""batch AS (
   SELECT CAST(d.doc_id AS VARCHAR) AS id, d.source AS namespace, 'v2 ' || d.text AS text,
-         CAST(length(d.text) + 3 AS DOUBLE) AS emb0, 'xx' AS lang, CAST(l.quality AS BIGINT) AS n_chars
+         {letters('d.text')} AS emb0, 'xx' AS lang, CAST(l.quality AS BIGINT) AS n_chars
   FROM documents d JOIN labels l USING (doc_id)
   UNION ALL {CONVERSATIONS})"""
 
@@ -90,9 +97,10 @@ LABELLED = "id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)"
 
 
 def text_search(condition: str, k: int = 4) -> str:
-    """Length embedding under L2: the distance is the difference of the text lengths."""
+    """Letter embedding under L2."""
+    apart = " + ".join(f"pow({letters('b.text', x)} - {letters('d.text', x)}, 2)" for x in "et")
     return f"""WITH {DOCS}, pairs AS (
-      SELECT b.item_id AS query_id, d.*, CAST(abs(length(b.text) - length(d.text)) AS DOUBLE) AS distance
+      SELECT b.item_id AS query_id, d.*, sqrt({apart}) AS distance
       FROM benchmark b, docs d WHERE {condition}),
     ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank,
       1 / (1 + distance) AS score FROM pairs), hits AS (SELECT * FROM ranked WHERE rank <= {k})"""
@@ -139,16 +147,12 @@ def graph(join: str) -> str:
     SELECT src, dst, rank, {r6('score')} AS score FROM r WHERE rank <= 5"""
 
 
-BYTES = """b AS (SELECT doc_id, unnest(regexp_extract_all(hex(encode(text)), '..')) AS h,
-    generate_subscripts(regexp_extract_all(hex(encode(text)), '..'), 1) - 1 AS i FROM documents)"""
-BYTE = "(instr('0123456789ABCDEF', h[1]) - 1) * 16 + instr('0123456789ABCDEF', h[2]) - 1"
-
 ORACLE: dict[str, str] = {
     "corpus_scan": "SELECT doc_id, lang, n_chars FROM documents",
-    "embed_corpus": "SELECT doc_id, CAST(length(text) AS DOUBLE) AS emb0, CAST(1 AS DOUBLE) AS emb1 FROM documents",
-    "embed_corpus_bytes": f"WITH {BYTES} SELECT doc_id, " + ", ".join(
-        f"round(CAST(CAST(sum(CASE WHEN i % 3 = {n} THEN {BYTE} ELSE 0 END) / 255.0 AS FLOAT) AS DOUBLE), 2) AS emb{n}"
-        for n in range(3)) + " FROM b GROUP BY doc_id",
+    "embed_corpus": f"SELECT doc_id, {letters('text')} AS emb0, {letters('text', 't')} AS emb1 FROM documents",
+    "embed_corpus_shapes": "SELECT doc_id, " + ", ".join(
+        f"CAST(len(regexp_extract_all(text, '{p}')) AS DOUBLE) AS emb{n}" for n, p in enumerate((" ", "[A-Z]", "[0-9]"))
+    ) + " FROM documents",
     "append_documents": f"""WITH {STORED}, added AS ({CONVERSATIONS})
       SELECT {FLAT} FROM stored UNION ALL
       SELECT CASE WHEN namespace = 'assistant' THEN 'generated' ELSE id END, namespace, md5(text), emb0, lang,
@@ -160,22 +164,29 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT id, namespace, md5(text), emb0, lang, n_chars, NULL FROM batch""",
     "upsert_merge": merge_sql(BATCH + ", b0 AS (SELECT 1)", ["id"], ["text", "emb0", "lang", "n_chars"]).replace(
         "FROM stored s FULL OUTER JOIN batch b", "FROM stored s FULL OUTER JOIN (SELECT *, NULL AS note FROM batch) b"),
+    "upsert_merge_new_field": f"""WITH {STORED}, {BATCH} SELECT coalesce(s.id, b.id) AS id,
+      CASE WHEN b.id IS NOT NULL THEN b.lang ELSE s.lang END AS lang, CASE WHEN b.id IS NULL THEN s.n_chars END AS n_chars,
+      CASE WHEN b.id IS NOT NULL THEN 'new' END AS extra FROM stored s FULL OUTER JOIN batch b ON s.id = b.id""",
+    "ingest_without_metadata": f"""WITH {STORED}, added AS ({CONVERSATIONS}) SELECT {FLAT} FROM stored
+      UNION ALL SELECT id, NULL, md5(text), emb0, NULL, NULL, NULL FROM added""",
+    "ingest_mixed": f"""WITH {STORED} SELECT id, namespace, md5(CASE WHEN lang = 'de' THEN 'v2 ' || text ELSE text END) AS text_md5,
+      CASE WHEN lang = 'fr' THEN 1 ELSE emb0 END AS emb0, lang, n_chars, note FROM stored""",
     "upsert_embedding_only": merge_sql(BATCH, ["id"], ["emb0"]),
     "upsert_namespaced": merge_sql(
         BATCH.replace("batch AS (", "batch0 AS (") + """, batch AS (SELECT id, CASE WHEN n_chars = 0 THEN 'elsewhere'
           ELSE namespace END AS namespace, text, emb0, lang, n_chars FROM batch0)""",
         ["namespace", "id"], ["text", "emb0", "lang", "n_chars"]),
-    "dedupe_before_embed": """SELECT doc_id, CAST(length(text) AS DOUBLE) AS emb0 FROM documents d
+    "dedupe_before_embed": f"""SELECT doc_id, {letters('text')} AS emb0 FROM documents d
       WHERE NOT coalesce(lang = 'de', false) AND NOT EXISTS (
         SELECT 1 FROM documents k JOIN labels l USING (doc_id) WHERE md5(k.text) = md5(d.text))""",
     "latest_per_id": """SELECT CAST(conv_id AS VARCHAR) AS id, turn, role, md5(text) AS text_md5 FROM conversations
       QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1""",
     "ingest_batch": f"""WITH {STORED}, turns AS (
-      SELECT 'c-' || conv_id AS id, role AS namespace, text, CAST(length(text) AS DOUBLE) AS emb0, 'en' AS lang,
+      SELECT 'c-' || conv_id AS id, role AS namespace, text, {letters('text')} AS emb0, 'en' AS lang,
         turn AS n_chars FROM conversations WHERE role <> 'system'
         AND NOT EXISTS (SELECT 1 FROM documents d WHERE md5(d.text) = md5(conversations.text))
       QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1),
-    changed AS (SELECT id, text || ' v2' AS text, emb0 + 3 AS emb0 FROM stored s WHERE lang = 'fr'
+    changed AS (SELECT id, text || ' v2' AS text, emb0 FROM stored s WHERE lang = 'fr'
       AND NOT EXISTS (SELECT 1 FROM documents d WHERE md5(d.text) = md5(s.text || ' v2')))
     SELECT s.id, namespace, md5(coalesce(c.text, s.text)) AS text_md5, coalesce(c.emb0, s.emb0) AS emb0, lang, n_chars, note
     FROM stored s LEFT JOIN changed c ON c.id = s.id
@@ -191,8 +202,8 @@ ORACLE: dict[str, str] = {
         WHEN len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) > 0 THEN 'not finite' ELSE 'ok' END AS reason
       FROM spoiled""",
     "validate_rows": f"""WITH {DOCS} SELECT CASE WHEN lang = 'de' THEN '  ' ELSE id END AS id,
-      CASE WHEN lang = 'de' THEN 'blank key' WHEN lang = 'fr' THEN 'text is not a string'
-        WHEN quality IS NULL THEN 'metadata is not an object' ELSE 'ok' END AS reason FROM docs""",
+      CASE WHEN lang = 'de' THEN 'blank key' WHEN lang = 'fr' THEN 'neither text nor vector'
+        ELSE 'ok' END AS reason FROM docs""",
     "delete_by_ids": deleted(LABELLED),
     "delete_by_filter": deleted("toxic = 1"),
     "delete_in_namespace": deleted(f"namespace = 'src1' AND lang = 'en' AND {LABELLED}"),
@@ -206,9 +217,9 @@ ORACLE: dict[str, str] = {
         row_number() OVER (ORDER BY n_chars DESC, id) AS place FROM docs WHERE lang = 'en')
       SELECT id, namespace, n_chars FROM r WHERE place > n // 2""",
     "to_documents": f"""WITH {DOCS} SELECT id, md5(text) AS text_md5, quality, namespace AS source, lang FROM docs""",
-    "nested_paths": """SELECT CAST(doc_id AS VARCHAR) AS id, source AS tenant, md5(text) AS text_md5,
+    "nested_paths": """SELECT CAST(doc_id AS VARCHAR) AS id, source AS shelf, md5(text) AS text_md5,
       CAST(length(text) AS INTEGER) AS chars FROM documents""",
-    "storage_rename": """SELECT doc_id AS key, lang AS category, n_chars AS size, md5(text) AS body_md5
+    "storage_rename": """SELECT doc_id AS number, lang AS tongue, n_chars AS size, md5(text) AS words_md5
       FROM documents WHERE n_chars > 500 AND lang <> 'en'""",
     "fetch_without_vectors": "SELECT vec_id, label FROM embeddings",
     "filter_eq": filtered("lang = 'en'"),
@@ -229,6 +240,10 @@ ORACLE: dict[str, str] = {
     "filter_dynamic": """SELECT event_id, event_type FROM events
       WHERE CAST(regexp_extract(props, '"k": (\\d+)', 1) AS BIGINT) >= 50
         AND CAST(regexp_extract(props, '"k": (\\d+)', 1) AS BIGINT) <> 75""",
+    "filter_json_string": """SELECT event_id, event_type FROM events
+      WHERE CAST(regexp_extract(props, '"k": (\\d+)', 1) AS BIGINT) >= 50
+        AND CAST(regexp_extract(props, '"k": (\\d+)', 1) AS BIGINT) <> 75""",
+    "delete_by_filter_json": """SELECT event_id FROM events WHERE regexp_extract(props, '"k": (\\d+)', 1) = '75'""",
     "filter_in_table": filtered("namespace IN (SELECT namespace FROM docs WHERE toxic = 1)"),
     "score_cosine": against_label_mean(COS, "score"),
     "score_l2": against_label_mean("list_distance({q}, {v})", "distance"),
@@ -247,6 +262,7 @@ ORACLE: dict[str, str] = {
     "topk_by_text": text_search("true") + f" SELECT query_id, rank, id, {r6('score')} AS score, {r6('distance')} AS distance FROM hits",
     "topk_prefilter": batch(COS, 4, join="v.label IN (1, 3)"),
     "topk_namespace": batch(COS, 4, join="v.label = q.label"),
+    "topk_namespace_ties": f"WITH {V}, {pairs('1.0', join='v.label = q.label')} SELECT {HITS} FROM ranked WHERE rank <= 4",
     "topk_threshold": batch(COS, 10, "score >= 0.3"),
     "topk_relevance": f"""WITH {V}, {pairs(COS)} SELECT query_id, rank, vec_id, {r6('(1 + score) / 2')} AS score
       FROM ranked WHERE rank <= 10 AND (1 + score) / 2 >= 0.65""",
@@ -271,6 +287,7 @@ ORACLE: dict[str, str] = {
       cand AS (SELECT query_id, vec_id, score FROM pairs QUALIFY row_number() OVER (
         PARTITION BY query_id ORDER BY apart, vec_id) <= 40),
       ranked AS (SELECT *, {RANK.format(order='score DESC')} FROM cand) SELECT {HITS} FROM ranked WHERE rank <= 5""",
+    "ivf_trained": batch(COS, 5),
     "knn_graph": f"WITH {V}, " + graph("v a JOIN v b ON true"),
     "knn_graph_from_candidates": f"""WITH {V}, s AS (SELECT vec_id, e, CAST({BITS} AS DOUBLE[]) AS bits FROM v),
       c AS (SELECT a.vec_id AS src, b.vec_id AS dst, list_cosine_similarity(a.e, b.e) AS score FROM s a, s b
@@ -280,3 +297,5 @@ ORACLE: dict[str, str] = {
     "knn_graph_in_lists": f"WITH {V}, {CENTROIDS}, {ASSIGNED}, w AS (SELECT * FROM v JOIN ix USING (vec_id)), "
       + graph("w a JOIN w b ON a.list_id = b.list_id"),
 }
+
+ORACLE["upsert_merge_reordered"] = ORACLE["upsert_merge"]

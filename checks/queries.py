@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vectable.functions.embedders import byte_model, length_model
+from vectable.functions.embedders import counts_of
 from vectable.functions.predicates import where
 from vectable.functions.vectors import cosine, inner_product, l2_distance
 from vectable.operators import approx, delete, fetch, ingest, search, validate
@@ -19,6 +19,9 @@ from vectable.table import VectorTable
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+letter_model = counts_of("e", "t")
+shape_model = counts_of(" ", "[A-Z]", "[0-9]")
+
 DOCS = VectorTable(dims=2)
 SPACED = VectorTable(dims=2, namespace="namespace")
 VECTORS = VectorTable(id="vec_id", dims=64)
@@ -51,14 +54,16 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def length_vector(text: str = "text") -> Column:
-    return F.array(F.length(text).cast("float"), F.lit(1.0).cast("float"))
+def letter_vector(text: str = "text") -> Column:
+    """What ``letter_model`` gives, in Spark."""
+    counts = [F.length(text) - F.length(F.replace(F.col(text), F.lit(letter), F.lit(""))) for letter in "et"]
+    return F.array(*[n.cast("float") for n in counts])
 
 
 def stored(spark: SparkSession, sf: str) -> DataFrame:
     """The current table of the write checks: a ``note`` column no batch knows."""
     return documents(spark, sf).select(
-        "id", "namespace", "text", length_vector().alias("embedding"),
+        "id", "namespace", "text", letter_vector().alias("embedding"),
         F.struct("metadata.lang", "metadata.n_chars").alias("metadata"),
         F.concat(F.lit("note "), "namespace").alias("note"),
     )
@@ -85,7 +90,7 @@ def conversations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def with_vector(df: DataFrame) -> DataFrame:
-    return df.withColumn("embedding", length_vector())
+    return df.withColumn("embedding", letter_vector())
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -146,15 +151,15 @@ def corpus_scan_query(spark, sf):
 @query
 def embed_corpus(spark, sf):
     docs = read(spark, sf, "documents", "doc_id", "text")
-    out = ingest.embed_corpus(docs, VectorTable(id="doc_id", dims=2), length_model)
+    out = ingest.embed_corpus(docs, VectorTable(id="doc_id", dims=2), letter_model)
     return out.select("doc_id", *[F.col("embedding")[i].cast("double").alias(f"emb{i}") for i in range(2)])
 
 
 @query
-def embed_corpus_bytes(spark, sf):
+def embed_corpus_shapes(spark, sf):
     docs = read(spark, sf, "documents", "doc_id", "text")
-    out = ingest.embed_corpus(docs, VectorTable(id="doc_id", dims=3), byte_model)
-    cells = [F.round(F.col("embedding")[i].cast("double"), 2).alias(f"emb{i}") for i in range(3)]
+    out = ingest.embed_corpus(docs, VectorTable(id="doc_id", dims=3), shape_model)
+    cells = [F.col("embedding")[i].cast("double").alias(f"emb{i}") for i in range(3)]
     return out.select("doc_id", *cells)
 
 
@@ -190,6 +195,39 @@ def upsert_merge(spark, sf):
     return flat(ingest.upsert_merge(stored(spark, sf), batch(spark, sf), DOCS))
 
 
+@query
+def upsert_merge_reordered(spark, sf):
+    """The batch has the metadata fields in another order."""
+    turned = batch(spark, sf).withColumn("metadata", F.struct("metadata.n_chars", "metadata.lang"))
+    return flat(ingest.upsert_merge(stored(spark, sf), turned, DOCS))
+
+
+@query
+def upsert_merge_new_field(spark, sf):
+    """The batch has a metadata field that the table does not have, and lacks one."""
+    other = batch(spark, sf).withColumn("metadata", F.struct(F.lit("new").alias("extra"), "metadata.lang"))
+    out = ingest.upsert_merge(stored(spark, sf), other, DOCS)
+    return out.select("id", F.col("metadata.lang").alias("lang"), F.col("metadata.n_chars").alias("n_chars"), F.col("metadata.extra").alias("extra"))
+
+
+@query
+def ingest_without_metadata(spark, sf):
+    """New texts with nothing but an id, some given twice with the same text."""
+    turns = read(spark, sf, "conversations").select(F.concat_ws("-", F.lit("c"), "conv_id", "turn").alias("id"), "text")
+    return flat(ingest_plan.ingest(stored(spark, sf), turns.union(turns), DOCS, model=letter_model).table)
+
+
+@query
+def ingest_mixed(spark, sf):
+    """A merge in which some rows bring a text and others a vector only."""
+    docs = read(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("lang"), "text")
+    one = F.array(F.lit(1.0), F.lit(2.0)).cast("array<float>")
+    mixed = docs.filter("lang IN ('de', 'fr')").select(
+        "id", F.when(F.col("lang") == "de", F.concat(F.lit("v2 "), "text")).alias("text"), F.when(F.col("lang") == "fr", one).alias("embedding")
+    )
+    return flat(ingest_plan.ingest(stored(spark, sf), mixed, DOCS, model=letter_model, merge=True).table)
+
+
 @query
 def upsert_embedding_only(spark, sf):
     return flat(ingest.upsert_embeddings(stored(spark, sf), batch(spark, sf), DOCS))
@@ -209,7 +247,7 @@ def dedupe_before_embed(spark, sf):
     out = ingest.drop_known(
         read(spark, sf, "documents"), known, on="text", duplicate=F.col("lang") == "de"
     )
-    out = ingest.embed_corpus(out, VectorTable(id="doc_id", dims=2), length_model)
+    out = ingest.embed_corpus(out, VectorTable(id="doc_id", dims=2), letter_model)
     return out.select("doc_id", F.col("embedding")[0].cast("double").alias("emb0"))
 
 
@@ -264,7 +302,7 @@ def ingest_batch(spark, sf):
     again = stored(spark, sf).select("id", "namespace", "text", "metadata", F.lit(0).cast("bigint").alias("ord"))
     changed = again.filter("metadata.lang = 'fr'").withColumn("text", F.concat("text", F.lit(" v2")))
     out = ingest_plan.ingest(
-        stored(spark, sf), again.unionByName(changed).unionByName(turns), DOCS, model=length_model, skip_known=True,
+        stored(spark, sf), again.unionByName(changed).unionByName(turns), DOCS, model=letter_model, skip_known=True,
         order="ord", merge=True,
     )
     return flat(out.table)
@@ -333,7 +371,7 @@ def filtered_fetch_deep(spark, sf):
 @query
 def to_documents(spark, sf):
     rows = read(spark, sf, "documents").join(read(spark, sf, "labels"), "doc_id", "left").select(
-        F.col("doc_id").cast("string").alias("id"), "text", length_vector().alias("embedding"),
+        F.col("doc_id").cast("string").alias("id"), "text", letter_vector().alias("embedding"),
         F.when(F.col("quality").isNotNull(), F.struct("quality", F.lit("old").alias("source"))).alias("metadata"),
         "source", "lang", F.lit("x").alias("__internal"),
     )
@@ -347,25 +385,25 @@ def to_documents(spark, sf):
 def nested_paths(spark, sf):
     rows = read(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("id"),
-        F.struct("text", length_vector().alias("vector")).alias("content"),
-        F.struct(F.col("lang").alias("topic")).alias("attributes"),
-        F.col("source").alias("tenant"),
+        F.struct(F.col("text").alias("words"), letter_vector().alias("point")).alias("body"),
+        F.struct(F.col("lang").alias("tongue")).alias("facts"),
+        F.col("source").alias("shelf"),
     )
-    rows = fetch.set_path(rows, "attributes.size.chars", F.length(fetch.get_path(rows, "content.text")))
-    rows = fetch.set_path(rows, "text_md5", F.md5(fetch.get_path(rows, "content.text")))
-    for path in ("content.vector", "content.text", "attributes.topic"):
+    rows = fetch.set_path(rows, "facts.size.chars", F.length(fetch.get_path(rows, "body.words")))
+    rows = fetch.set_path(rows, "text_md5", F.md5(fetch.get_path(rows, "body.words")))
+    for path in ("body.point", "body.words", "facts.tongue"):
         rows = fetch.remove_path(rows, path)
-    return rows.select("id", "tenant", "text_md5", "attributes.size.chars")
+    return rows.select("id", "shelf", "text_md5", "facts.size.chars")
 
 
-NAMES = {"key": "doc_id", "body": "text", "category": "lang", "size": "n_chars"}
+NAMES = {"number": "doc_id", "words": "text", "tongue": "lang", "size": "n_chars"}
 
 
 @query
 def storage_rename(spark, sf):
     records = fetch.from_storage(read(spark, sf, "documents"), NAMES)
-    chosen = records.filter((F.col("size") > 500) & (F.col("category") != "en"))
-    return chosen.select("key", "category", "size", F.md5("body").alias("body_md5"))
+    chosen = records.filter((F.col("size") > 500) & (F.col("tongue") != "en"))
+    return chosen.select("number", "tongue", "size", F.md5("words").alias("words_md5"))
 
 
 @query
@@ -418,6 +456,20 @@ def filter_dynamic(spark, sf):
     return where(rows, table, {"k": {"$gte": 50, "$ne": 75}}).select("event_id", "event_type")
 
 
+@query
+def filter_json_string(spark, sf):
+    """Metadata as JSON text."""
+    rows = read(spark, sf, "events").select("event_id", "event_type", F.col("props").alias("metadata"))
+    return where(rows, VectorTable(id="event_id"), {"k": {"$gte": 50, "$ne": 75}}).select("event_id", "event_type")
+
+
+@query
+def delete_by_filter_json(spark, sf):
+    rows = read(spark, sf, "events").select("event_id", F.col("props").alias("metadata"))
+    out = delete.delete_by_filter(rows, {"k": {"$ne": 75}}, VectorTable(id="event_id"))
+    return out.kept.select("event_id")
+
+
 @query
 def filter_in_table(spark, sf):
     toxic = read(spark, sf, "labels").filter("toxic = 1")
@@ -497,7 +549,7 @@ def topk_second_vector(spark, sf):
 
 
 def text_corpus(spark, sf):
-    return ingest.embed_corpus(documents(spark, sf), DOCS, length_model)
+    return ingest.embed_corpus(documents(spark, sf), DOCS, letter_model)
 
 
 def text_queries(spark, sf):
@@ -506,7 +558,7 @@ def text_queries(spark, sf):
 
 @query
 def topk_by_text_query(spark, sf):
-    out = topk_by_text(text_corpus(spark, sf), text_queries(spark, sf), DOCS, length_model, 4, metric="L2")
+    out = topk_by_text(text_corpus(spark, sf), text_queries(spark, sf), DOCS, letter_model, 4, metric="L2")
     return out.select("query_id", "rank", "id", r6("score").alias("score"), r6("distance").alias("distance"))
 
 
@@ -522,6 +574,15 @@ def topk_namespace(spark, sf):
     return hits(search.batch_topk(vectors(spark, sf), all_queries(spark, sf), table, 4))
 
 
+@query
+def topk_namespace_ties(spark, sf):
+    """All vectors of a label are one, so its smallest ids win, as numbers."""
+    one = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: (i == F.col("label")).cast("float"))
+    corpus = vectors(spark, sf).withColumn("embedding", one)
+    asked = all_queries(spark, sf).withColumn("query_vector", one)
+    return hits(search.batch_topk(corpus, asked, VectorTable(id="vec_id", dims=64, namespace="label"), 4))
+
+
 @query
 def topk_threshold(spark, sf):
     return hits(search.threshold(search.batch_topk(vectors(spark, sf), all_queries(spark, sf), VECTORS, 10), 0.3))
@@ -565,7 +626,7 @@ def _retrieved(df: DataFrame) -> DataFrame:
 @query
 def retrieve_query(spark, sf):
     out = retrieve(
-        text_corpus(spark, sf), text_queries(spark, sf), DOCS, 4, model=length_model, metric="L2",
+        text_corpus(spark, sf), text_queries(spark, sf), DOCS, 4, model=letter_model, metric="L2",
         condition={"lang": {"$ne": "de"}},
     )
     return _retrieved(out)
@@ -574,7 +635,7 @@ def retrieve_query(spark, sf):
 @query
 def retrieve_threshold(spark, sf):
     out = retrieve(
-        text_corpus(spark, sf), text_queries(spark, sf), DOCS, 4, model=length_model, metric="L2",
+        text_corpus(spark, sf), text_queries(spark, sf), DOCS, 4, model=letter_model, metric="L2",
         search_type="similarity_score_threshold", minimum=0.2,
     )
     return _retrieved(out)
@@ -630,7 +691,7 @@ def knn_graph_from_candidates(spark, sf):
 
 @query
 def ivf_trained(spark, sf):
-    """k-means centroids, all lists probed: equal to exact search (no SQL twin for the training)."""
+    """k-means centroids, all lists probed: whatever the training gives, this equals exact search."""
     corpus = vectors(spark, sf)
     centroids = approx.train_centroids(corpus, VECTORS, 10)
     indexed = approx.ivf_assign(corpus, centroids, VECTORS)

@@ -16,8 +16,7 @@ def database():
 
 
 def test_every_twin_has_a_query():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"ivf_trained"}
+    assert set(ORACLE) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -25,12 +24,6 @@ def test_query_matches_sql(spark, database, name):
     assert differences(spark, database, SF, name) == ""
 
 
-def test_trained_lists_probed_whole_equal_exact_search(spark):
-    trained = QUERIES["ivf_trained"](spark, SF)
-    exact = QUERIES["batch_topk"](spark, SF).filter("rank <= 5")
-    assert trained.exceptAll(exact).count() == 0 and trained.count() == exact.count()
-
-
 def test_entry_gives_rows(spark):
     out = entry_points.entry(spark)
     assert out.columns == ["query_id", "rank", "vec_id", "score"]

@@ -109,3 +109,35 @@ def test_variant_numbers_and_types(spark):
         ({"k": {"$in": [5, "5"]}}, "ac"), ({"k": {"$ne": 5}}, "bcdefg"), ({"o.x": "y"}, "g"), ({"k": {"$gte": 5.7}}, "b"),
     ):
         assert ids(where(df, TABLE, condition)) == want, condition
+
+
+def test_json_text_is_read_as_metadata(spark):
+    rows = [("a", '{"lang": "en", "n": 1}'), ("b", '{"lang": "de"}'), ("c", None), ("d", "not json")]
+    df = spark.createDataFrame(rows, "id string, metadata string")
+    assert ids(where(df, TABLE, {"lang": "en"})) == "a"
+    assert ids(where(df, TABLE, {"lang": {"$ne": "en"}})) == "bcd"
+    assert ids(where(df, TABLE, {"n": {"$gte": 1}})) == "a"
+
+
+@pytest.mark.parametrize("kind", [None, "int", "array<int>"])
+def test_unreadable_metadata_is_an_error(corpus, kind):
+    df = corpus.drop("metadata") if kind is None else corpus.withColumn("metadata", F.lit(None).cast(kind))
+    with pytest.raises(ValueError, match="needs metadata"):
+        where(df, TABLE, {"lang": {"$ne": "en"}})
+
+
+def test_variant_names_are_exact(spark):
+    rows = [("a", """{"o'clock": 1, "oclock": 2, "x?": 3, "q\\"": 4}"""), ("b", '{"oclock": 1}')]
+    df = spark.createDataFrame(rows, "id string, j string").select("id", F.parse_json("j").alias("metadata"))
+    for condition, want in (({"o'clock": 1}, "a"), ({"oclock": 1}, "b"), ({"x?": 3}, "a"), ({'q"': 4}, "a"), ({"o'clock": 2}, "")):
+        assert ids(where(df, TABLE, condition)) == want, condition
+
+
+def test_list_fields(spark):
+    rows = [("a", (["x", "y"], [1, 5])), ("b", (["z"], [])), ("c", (None, None)), ("d", None)]
+    df = spark.createDataFrame(rows, "id string, metadata struct<tags array<string>, marks array<int>>")
+    for condition, want in (
+        ({"tags": "x"}, "a"), ({"tags": {"$in": ["z", "q"]}}, "b"), ({"tags": {"$ne": "x"}}, "bcd"), ({"marks": {"$gt": 4}}, "a"),
+        ({"tags": {"$nin": ["x", "z"]}}, "cd"), ({"tags": {"$contains": "y"}}, "a"), ({"tags": ["z"]}, "b"), ({"marks": "x"}, ""), ({"tags": None}, "cd"),
+    ):
+        assert ids(where(df, TABLE, condition)) == want, condition

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from vectable.functions.embedders import length_model
+from vectable.functions.embedders import counts_of
 from vectable.operators.ingest import bucket_of
 from vectable.streaming.ingest import upsert_stream
 from vectable.table import VectorTable
@@ -18,13 +18,15 @@ def test_stream_ends_in_the_same_table_as_one_batch(spark, tmp_path):
 
     def run():
         query = upsert_stream(
-            spark.readStream.schema(schema).parquet(source), path, TABLE, 4, checkpoint, model=length_model, order="ord"
+            spark.readStream.schema(schema).parquet(source), path, TABLE, 4, checkpoint, str(tmp_path / "r"), model=counts_of(".", "e"), order="ord"
         )
         assert query.awaitTermination(120) and query.exception() is None
         return {r.id: (r.text, list(r.embedding)) for r in spark.read.parquet(path).collect()}
 
     first.write.parquet(source)
-    assert run() == {"a": ("one", [3.0, 1.0]), "b": ("two!", [4.0, 1.0])}
+    assert run() == {"a": ("one", [3.0, 1.0]), "b": ("two!", [4.0, 0.0])}
     spark.createDataFrame([("b", "changed", ("en",), 3), ("c", "three", ("en",), 1)], SCHEMA).write.mode("append").parquet(source)
-    assert run() == {"a": ("one", [3.0, 1.0]), "b": ("changed", [7.0, 1.0]), "c": ("three", [5.0, 1.0])}
+    assert run() == {"a": ("one", [3.0, 1.0]), "b": ("changed", [7.0, 1.0]), "c": ("three", [5.0, 2.0])}
     assert run().keys() == {"a", "b", "c"}
+    refused = spark.read.parquet(str(tmp_path / "r"))
+    assert [(r.id, r.reason) for r in refused.collect()] == [("x", "neither text nor vector")]

@@ -132,3 +132,18 @@ def test_semi_filter(spark, corpus):
     for limit in (0, 100):
         out = semi_filter(corpus, "metadata.category", wanted, max_broadcast=limit)
         assert sorted(r.id for r in out.collect()) == ["a", "b"]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "string"])
+def test_row_key_sorts_as_the_key_does(spark, kind):
+    table = VectorTable(namespace="namespace")
+    spaces = [None, "", "a", "a\0b", "a\1b", "a\1", "=", "\0"]
+    numbers = [-5, -1, 0, 9, 10, 2**31 - 1]
+    rows = [(s, str(n)) for s in spaces for n in numbers]
+    df = spark.createDataFrame(rows, "namespace string, id string").withColumn("id", F.col("id").cast(kind))
+    keyed = df.withColumn("key", table.row_key())
+    back = table.split_key(keyed.select("key", F.col("namespace").alias("n0"), F.col("id").alias("i0")), "key", df).collect()
+    assert all(r.namespace == r.n0 and r.key == r.i0 for r in back) and len({r.key for r in keyed.collect()}) == len(rows)
+    if kind != "string":
+        one = [r.id for r in keyed.filter("namespace = 'a'").orderBy("key").collect()]
+        assert one == numbers

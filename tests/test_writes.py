@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from vectable.functions.embedders import byte_model, length_model
+from vectable.functions.embedders import counts_of
 from vectable.operators import delete, ingest, validate
 from vectable.plans.ingest import ingest as ingest_batch
 from vectable.table import VectorTable
@@ -15,18 +15,20 @@ def by_id(df):
     return {r.id: r.asDict(recursive=True) for r in df.collect()}
 
 
+MODEL = counts_of("e", "t")
+
+
 def changes(corpus):
     new = corpus.filter("id IN ('a', 'c')").withColumn("id", F.concat("id", F.lit("2")))
     return corpus.filter("id IN ('b', 'd')").unionByName(new).withColumn("text", F.concat(F.lit("new "), "text"))
 
 
 def test_embed(spark):
-    df = spark.createDataFrame([("a", "DocumentX!"), ("b", None), ("c", "né")], "id string, text string")
-    got = by_id(ingest.embed_corpus(df, TABLE, length_model))
-    assert got["a"]["embedding"] == [10.0, 1.0] and got["b"]["embedding"] is None and got["c"]["embedding"] == [2.0, 1.0]
-    got = by_id(ingest.embed_corpus(df, TABLE, byte_model))
-    assert got["c"]["embedding"] == pytest.approx([110 / 255, 195 / 255, 169 / 255])
-    assert ingest.embed_query(length_model, "four") == [4.0, 1.0]
+    df = spark.createDataFrame([("a", "a tree, the tent"), ("b", None), ("c", "né"), ("d", "")], "id string, text string")
+    got = by_id(ingest.embed_corpus(df, TABLE, MODEL))
+    assert got["a"]["embedding"] == [4.0, 4.0] and got["b"]["embedding"] is None
+    assert got["c"]["embedding"] == got["d"]["embedding"] == [0.0, 0.0]
+    assert ingest.embed_query(MODEL, "letter") == [2.0, 2.0]
 
 
 def test_embedder_must_answer_every_text(spark):
@@ -150,12 +152,89 @@ def test_validate_vectors(spark):
 def test_validate_rows(spark, corpus):
     df = corpus.withColumn("id", F.when(F.col("id") == "b", F.lit(" ")).otherwise(F.col("id")))
     out = validate.validate_rows(df, TABLE)
-    assert sorted(by_id(out.valid)) == ["a", "c", "d", "f"]
-    assert {(r.id, r.reason) for r in out.rejects.collect()} == {(" ", "blank key"), ("e", "text is not a string")}
+    assert sorted(by_id(out.valid)) == ["a", "c", "d", "e", "f"]  # e has a vector only, and no metadata
+    assert [(r.id, r.reason) for r in out.rejects.collect()] == [(" ", "blank key")]
+    bare = validate.validate_rows(df.drop("embedding", "metadata"), TABLE)
+    assert {(r.id, r.reason) for r in bare.rejects.collect()} == {(" ", "blank key"), ("e", "neither text nor vector")}
+    numbers = validate.validate_rows(df.withColumn("text", F.lit(42)), TABLE)
+    assert {r.reason for r in numbers.rejects.collect()} == {"blank key", "text is not a string"}
     wrong = corpus.withColumn("metadata", F.lit("invalid"))
     assert validate.validate_rows(wrong, TABLE).valid.count() == 0
     dynamic = corpus.withColumn("metadata", F.parse_json(F.when(F.col("id") == "a", F.lit("[1]")).otherwise(F.lit('{"k": 1}'))))
-    assert sorted(by_id(validate.validate_rows(dynamic, TABLE).valid)) == ["b", "c", "d", "f"]
+    assert sorted(by_id(validate.validate_rows(dynamic, TABLE).valid)) == ["b", "c", "d", "e", "f"]
+
+
+# ---- structs by name, one row per key, one evaluation ------------------------------------------------
+
+
+@pytest.mark.parametrize("limit", [0, 100])
+def test_merge_matches_struct_fields_by_name(spark, corpus, limit):
+    batch = spark.createDataFrame([("a", "new", ("extra", "blog")), ("n", "new", ("more", "news"))], "id string, text string, metadata struct<added string, category string>")
+    got = by_id(ingest.upsert_merge(corpus, batch, TABLE, max_broadcast=limit))
+    assert got["a"]["metadata"] == {"category": "blog", "year": None, "featured": None, "priority": None, "title": None, "added": "extra"}
+    assert got["n"]["metadata"]["category"] == "news" and got["n"]["metadata"]["added"] == "more"
+    assert got["b"]["metadata"]["year"] == 2024 and got["b"]["metadata"]["added"] is None and got["e"]["metadata"] is None
+    assert got["a"]["tenant"] == "x" and len(got) == 7
+
+
+@pytest.mark.parametrize("limit", [0, 100])
+def test_rows_without_text_may_refresh_the_vector_only(spark, corpus, limit):
+    batch = corpus.filter("id IN ('a', 'b')").select(
+        "id", F.when(F.col("id") == "b", F.lit("set")).alias("text"), F.array(F.lit(0.0), F.lit(0.0), F.lit(1.0)).cast("array<float>").alias("embedding"),
+        F.lit(None).cast(corpus.schema["metadata"].dataType).alias("metadata"),
+    )
+    got = by_id(ingest.upsert_merge(corpus, batch, TABLE, keep_text=True, max_broadcast=limit))
+    assert got["a"]["text"] == "alpha" and got["a"]["metadata"]["year"] == 2025 and got["a"]["embedding"] == [0.0, 0.0, 1.0]
+    assert got["b"]["text"] == "set" and got["b"]["metadata"] is None
+    assert by_id(ingest.upsert_merge(corpus, batch, TABLE, max_broadcast=limit))["a"]["text"] is None
+
+
+@pytest.mark.parametrize("put", [ingest.upsert_replace, ingest.upsert_merge])
+def test_a_repeated_key_is_an_error(corpus, put):
+    with pytest.raises(ValueError, match="occurs twice"):
+        put(corpus, changes(corpus).union(changes(corpus)), TABLE)
+
+
+@pytest.mark.parametrize("put", [ingest.upsert_replace, ingest.upsert_merge])
+def test_the_model_runs_once_per_row(spark, corpus, put, tmp_path):
+    calls = str(tmp_path)
+
+    def counted():
+        import uuid
+
+        def run(texts):
+            with open(f"{calls}/{uuid.uuid4().hex}", "w") as file:
+                file.write(str(len(texts)))
+            return [[1.0, 0.0, 0.0]] * len(texts)
+
+        return run
+
+    batch = validate.validate_vectors(ingest.embed_corpus(changes(corpus).drop("embedding"), TABLE, counted), TABLE).valid
+    put(corpus, batch, TABLE).collect()
+    assert sum(int(f.read_text()) for f in tmp_path.iterdir()) == 4
+
+
+def test_latest_does_not_depend_on_partitioning(spark):
+    rows = [("k", n, {"m": str(n)}, None if n % 2 else 5) for n in range(40)] + [("j", 1, None, None)]
+    df = spark.createDataFrame(rows, "id string, n int, more map<string,string>, ord int")
+    found = {tuple(sorted((r.id, r.n) for r in ingest.latest_per_id(df.repartition(p), VectorTable(), order).collect())) for p in (1, 3, 7) for order in ("ord",)}
+    assert len(found) == 1 and dict(next(iter(found)))["k"] % 2 == 0
+    found = {tuple(sorted((r.id, r.n) for r in ingest.latest_per_id(df.repartition(p), VectorTable(), None).collect())) for p in (1, 3, 7)}
+    assert len(found) == 1 and len(next(iter(found))) == 2
+
+
+def test_ingest_without_metadata_and_mixed_rows(spark):
+    table = VectorTable(dims=2)
+    current = spark.createDataFrame([("a", "old", [9.0, 9.0], ("en",))], "id string, text string, embedding array<float>, metadata struct<lang string>")
+    out = ingest_batch(current, spark.createDataFrame([("b", "tee"), ("b", "tee two")], "id string, text string"), table, model=MODEL)
+    got = by_id(out.table)
+    assert got.keys() == {"a", "b"} and got["b"]["metadata"] is None and out.rejects.count() == 0
+    rows = [("a", None, [1.0, 2.0]), ("c", None, [3.0, 4.0]), ("d", "tree", None), ("e", None, None)]
+    out = ingest_batch(current, spark.createDataFrame(rows, "id string, text string, embedding array<float>"), table, model=MODEL, merge=True)
+    got = by_id(out.table)
+    assert (got["a"]["text"], got["a"]["embedding"], got["a"]["metadata"]) == ("old", [1.0, 2.0], {"lang": "en"})
+    assert got["c"]["text"] is None and got["c"]["embedding"] == [3.0, 4.0] and got["d"]["embedding"] == [2.0, 1.0]
+    assert [(r.id, r.reason) for r in out.rejects.collect()] == [("e", "neither text nor vector")]
 
 
 # ---- deletes --------------------------------------------------------------------------------------
@@ -223,12 +302,12 @@ def test_ingest(spark, corpus):
     current = corpus.select("id", "text", F.struct("metadata.category").alias("metadata"), "tenant").withColumn(
         "embedding", F.array(F.lit(0.0), F.lit(1.0)).cast("array<float>")
     )
-    out = ingest_batch(current, batch, table, model=length_model, skip_known=True, order="ord", merge=True)
+    out = ingest_batch(current, batch, table, model=MODEL, skip_known=True, order="ord", merge=True)
     got = {r.text: r for r in out.table.collect()}
     assert out.table.count() == 7 and got["updated twice"].id == "a" and got["updated twice"].tenant == "x"
-    assert got["fresh"].embedding == [5.0, 1.0] and len(got["fresh"].id) == 36
+    assert got["fresh"].embedding == [1.0, 0.0] and len(got["fresh"].id) == 36
     assert got["fresh"].id in {r.id for r in out.batch.collect()}  # drawn once
-    assert [(r.id, r.reason) for r in out.rejects.collect()] == [("y", "text is not a string")]
+    assert [(r.id, r.reason) for r in out.rejects.collect()] == [("y", "neither text nor vector")]
 
 
 @pytest.mark.parametrize("merge", [False, True])

@@ -1,30 +1,21 @@
-"""Two tiny embedders with known results, for tests and checks. Real ones have the same shape: a
-factory that loads the model in the worker and returns ``texts -> vectors``."""
+"""A tiny embedder with known results, for tests and checks. Real ones have the same shape: a factory
+that loads the model in the worker and returns ``texts -> vectors``."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
-import numpy as np
 
+def counts_of(*patterns: str) -> Callable:
+    """Factory of a model with one element per regular expression: how often it matches in the text."""
 
-def length_model():
-    """``[number of characters, 1.0]``."""
+    def load():
+        found = [re.compile(p).findall for p in patterns]
 
-    def run(texts: Sequence[str]) -> list[list[float]]:
-        return [[float(len(text)), 1.0] for text in texts]
+        def run(texts: Sequence[str]) -> list[list[float]]:
+            return [[float(len(find(text))) for find in found] for text in texts]
 
-    return run
+        return run
 
-
-def byte_model():
-    """Three sums over the UTF-8 bytes, each divided by 255: byte i goes to sum i mod 3."""
-
-    def run(texts: Sequence[str]) -> list[list[float]]:
-        rows = []
-        for text in texts:
-            values = np.frombuffer(text.encode("utf-8"), dtype=np.uint8)
-            rows.append([float(values[at::3].sum(dtype=np.int64)) / 255.0 for at in range(3)])
-        return rows
-
-    return run
+    return load

@@ -12,14 +12,24 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from functools import reduce
-from typing import Any
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vectable.table import VectorTable, check_name, path_col, path_type
 
 Filter = Mapping[str, Any] | Column | None
-FieldOf = Callable[[str, Any], Column]
+FieldOf = Callable[[str, Any], "Field"]
+
+
+class Field(NamedTuple):
+    """A metadata field; ``many`` if it holds a list, which a condition meets when one of its elements does."""
+
+    column: Column
+    many: bool = False
+
+    def any(self, test: Callable[[Column], Column]) -> Column:
+        return F.exists(self.column, test) if self.many else test(self.column)
 
 
 def where(df: DataFrame, table: VectorTable, condition: Filter) -> DataFrame:
@@ -40,21 +50,29 @@ def to_column(df: DataFrame, table: VectorTable, condition: Filter) -> Column:
     return _conjunction(condition, lambda key, sample: _field(df, table, key, sample))
 
 
-def _field(df: DataFrame, table: VectorTable, key: str, sample: Any) -> Column:
-    """Column of a metadata field, to be compared with values like ``sample``. A missing field, or one
-    of another type (text against a number), is NULL rather than an error."""
+def _field(df: DataFrame, table: VectorTable, key: str, sample: Any) -> Field:
+    """A metadata field, to be compared with values like ``sample``. A missing field, or one of another
+    type (text against a number), is NULL rather than an error; metadata that cannot be read is an error, as
+    every negative condition would be true on it. Metadata in a text column is read as JSON."""
     check_name(key, "filter field")
     prefix = table.metadata + "."
     inner = key.removeprefix(prefix)
     kind = _kind(sample)
     root = path_type(df.schema, table.metadata)
     if isinstance(root, T.VariantType):
-        return _variant_field(path_col(table.metadata), inner, kind)
+        return Field(_variant_field(path_col(table.metadata), inner, kind))
+    if isinstance(root, T.StringType):
+        return Field(_variant_field(F.try_parse_json(path_col(table.metadata)), inner, kind))
     if isinstance(root, T.MapType):
         column, dtype = F.try_element_at(path_col(table.metadata), F.lit(inner)), root.valueType
-    else:
+    elif isinstance(root, T.StructType):
         column, dtype = path_col(prefix + inner), path_type(df.schema, prefix + inner)
-    return column if dtype is not None and _comparable(dtype, kind) else F.lit(None)
+    else:
+        raise ValueError(f"a filter on {key!r} needs metadata as struct, map, variant or JSON text in column {table.metadata!r}")
+    many = isinstance(dtype, T.ArrayType)
+    if dtype is None or not _comparable(dtype.elementType if many else dtype, kind):
+        return Field(F.lit(None))
+    return Field(column, many)
 
 
 def _kind(sample: Any) -> str | None:
@@ -76,7 +94,7 @@ def _comparable(dtype: T.DataType, kind: str | None) -> bool:
 def _variant_field(metadata: Column, inner: str, kind: str | None) -> Column:
     """A field of metadata without a schema. Numbers are compared as double, whatever they are
     stored as; a value of another kind reads as NULL."""
-    steps = "".join(f"['{part}']" for part in inner.replace("'", "").split("."))
+    steps = "".join(map(_step, inner.split(".")))
     if kind is None:
         return F.try_variant_get(metadata, "$" + steps, "string")
     stored = F.schema_of_variant(F.try_variant_get(metadata, "$" + steps, "variant"))
@@ -88,6 +106,17 @@ def _variant_field(metadata: Column, inner: str, kind: str | None) -> Column:
     return F.when(fits, F.try_variant_get(metadata, "$" + steps, read))
 
 
+def _step(name: str) -> str:
+    """One step of a variant path, in the form that can hold the name."""
+    if "?" not in name and "'" not in name:
+        return f"['{name}']"
+    if "?" not in name and '"' not in name:
+        return f'["{name}"]'
+    if "[" in name:
+        raise ValueError(f"metadata without a schema cannot be asked for field {name!r}")
+    return f".{name}"
+
+
 def _conjunction(condition: Mapping[str, Any], field: FieldOf) -> Column:
     parts = [_entry(key, value, field) for key, value in condition.items()]
     return reduce(lambda a, b: a & b, parts) if parts else F.lit(True)
@@ -121,10 +150,16 @@ def _entry(key: str, value: Any, field: FieldOf) -> Column:
     return _compare(key, "$eq", value, field)
 
 
+def _listed(found: Field, options: list) -> Column:
+    return found.any(lambda x: x.isin(options))
+
+
 def _compare(key: str, op: str, operand: Any, field: FieldOf) -> Column:
-    column = field(key, "" if op == "$contains" else operand)
+    if op == "$eq" and isinstance(operand, (list, tuple)):
+        return field(key, operand[0] if operand else None).column == F.lit(list(operand))
+    found = field(key, "" if op == "$contains" else operand)
     if op == "$eq":
-        return column.isNull() if operand is None else column == F.lit(operand)
+        return found.column.isNull() if operand is None else found.any(lambda x: x == F.lit(operand))
     if op == "$ne":
         return _complement(_compare(key, "$eq", operand, field))
     if op == "$in":
@@ -132,24 +167,25 @@ def _compare(key: str, op: str, operand: Any, field: FieldOf) -> Column:
             raise ValueError("$in and $nin take a list")
         known = [x for x in operand if x is not None]
         groups = [[x for x in known if _kind(x) == kind] for kind in dict.fromkeys(map(_kind, known))]
-        parts = [field(key, group[0]).isin(group) for group in groups]
+        parts = [_listed(field(key, group[0]), group) for group in groups]
         listed = reduce(lambda a, b: a | b, parts) if parts else F.lit(False)
         if len(known) == len(operand):
             return listed
-        return F.coalesce(listed, F.lit(False)) | field(key, None).isNull()
+        return F.coalesce(listed, F.lit(False)) | field(key, None).column.isNull()
     if op == "$nin":
         return _complement(_compare(key, "$in", operand, field))
     if op == "$not":
         parts = [_compare(key, inner, value, field) for inner, value in operand.items()]
         return _complement(reduce(lambda a, b: a & b, parts))
     if op == "$contains":
-        return column.contains(str(operand))
+        text = str(operand)
+        return F.array_contains(found.column, text) if found.many else found.column.contains(text)
     if op == "$gt":
-        return column > F.lit(operand)
+        return found.any(lambda x: x > F.lit(operand))
     if op == "$gte":
-        return column >= F.lit(operand)
+        return found.any(lambda x: x >= F.lit(operand))
     if op == "$lt":
-        return column < F.lit(operand)
+        return found.any(lambda x: x < F.lit(operand))
     if op == "$lte":
-        return column <= F.lit(operand)
+        return found.any(lambda x: x <= F.lit(operand))
     raise ValueError(f"unknown filter operator {op!r}")

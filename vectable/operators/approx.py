@@ -57,7 +57,7 @@ class Tuning:
             for name, (default, low, high) in known.items()
         }
         if kind == HNSW and values["ef_construction"] < 2 * values["m"]:
-            raise ValueError("ef_construction must be at least twice m")
+            raise ValueError("with m links per row, a build needs ef_construction of 2 * m or more")
         return cls(kind, values)
 
     @property

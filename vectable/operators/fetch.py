@@ -92,7 +92,7 @@ def to_documents(
     text = path_col(table.text)
     if strict:
         if not isinstance(path_type(df.schema, table.text), T.StringType):
-            raise ValueError(f"text column {table.text!r} must be a string")
+            raise ValueError(f"no readable text: {table.text!r} holds no strings")
         message = F.concat(F.lit("stored document has no text: "), path_col(table.id).cast("string"))
         text = F.when(text.isNull(), F.raise_error(message)).otherwise(text)
     found = path_type(df.schema, table.metadata)
@@ -131,7 +131,7 @@ def _with_value(current: Column | None, dtype: T.DataType | None, parts: list[st
     if not parts:
         return value
     if dtype is not None and not isinstance(dtype, T.StructType):
-        raise ValueError(f"field paths overlap at {parts[0]!r}")
+        raise ValueError(f"{parts[0]!r} is asked for both whole and in part")
     names = dtype.names if dtype is not None else []
     head, *tail = parts
     fields = [current.getField(name).alias(name) for name in names if name != head]

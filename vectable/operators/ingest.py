@@ -12,10 +12,10 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from vectable.sources.tables import BROADCAST_ROWS, fits_broadcast, settle, small_side
-from vectable.table import VectorTable, check_range, check_vector, path_col
+from vectable.table import VectorTable, align, check_range, check_vector, merged_type, path_col
 
 # A model factory runs once per task and returns ``list of texts -> list of vectors``. A factory in an
 # installed module may keep its model in a global, which reused Python workers then find loaded.
@@ -43,7 +43,8 @@ def embed(text: Column, model: EmbedderFactory) -> Column:
             values = np.concatenate(vectors) if vectors else np.zeros(0, dtype=np.float32)
             yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=pa.array(~there))
 
-    return embedded(text)
+    # Not deterministic for Spark, which would otherwise run the model again for a filter on the vector.
+    return embedded.asNondeterministic()(text)
 
 
 def embed_corpus(df: DataFrame, table: VectorTable, model: EmbedderFactory) -> DataFrame:
@@ -76,17 +77,46 @@ def append_documents(current: DataFrame, batch: DataFrame, table: VectorTable) -
     return current.unionByName(assign_ids(batch, table), allowMissingColumns=True)
 
 
-def latest_per_id(batch: DataFrame, table: VectorTable, order: str = "ord") -> DataFrame:
+def latest_per_id(batch: DataFrame, table: VectorTable, order: str | None = "ord") -> DataFrame:
     """One row per key, the one with the highest ``order``.
 
-    Needed before any upsert: a repeated key would multiply rows in the join. The rank limit is
+    Ties, NULL orders (lowest) and ``order=None`` go by a hash of the whole row, so the choice does not
+    depend on partitioning. Needed before any upsert, which takes each key once. The rank limit is
     applied before the shuffle, so a key repeated a billion times sends one row per task.
     """
-    newest = Window.partitionBy(*table.key).orderBy(F.col(order).desc())
+    rest = F.xxhash64(*[_hashable(batch, c) for c in batch.columns])
+    first = [] if order is None else [F.col(order).desc_nulls_last()]
+    newest = Window.partitionBy(*table.key).orderBy(*first, rest)
     ranked = batch.withColumn("__newest", F.row_number().over(newest))
     return ranked.filter("__newest = 1").drop("__newest")
 
 
+def _hashable(df: DataFrame, name: str) -> Column:
+    column = F.col("`" + name.replace("`", "``") + "`")
+    return F.to_json(F.struct(column)) if _unordered(df.schema[name].dataType) else column
+
+
+def _unordered(dtype: T.DataType) -> bool:
+    """Maps and variants, at any depth, have no hash."""
+    if isinstance(dtype, T.StructType):
+        return any(_unordered(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _unordered(dtype.elementType)
+    return isinstance(dtype, (T.MapType, T.VariantType))
+
+
+def once_per_key(batch: DataFrame, table: VectorTable) -> DataFrame:
+    """The batch, computed once and written to the checkpoint folder; an error if a key occurs twice.
+
+    Models run and ids are drawn when a plan runs, and an upsert reads its batch several times.
+    """
+    placed = settle(batch)
+    repeated = placed.groupBy(*[path_col(k) for k in table.key]).count().filter("count > 1").head(1)
+    if repeated:
+        raise ValueError(f"a key occurs twice in the batch, use latest_per_id first: {repeated[0].asDict()}")
+    return placed
+
+
 def drop_known(
     batch: DataFrame,
     known: DataFrame | None = None,
@@ -120,9 +150,11 @@ def drop_known(
 def upsert_replace(
     current: DataFrame, batch: DataFrame, table: VectorTable, *, max_broadcast: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Batch rows replace stored rows of the same key whole; other stored rows stay."""
+    """Batch rows replace stored rows of the same key whole; other stored rows stay. Struct fields are
+    matched by name. The batch is settled, and may have each key once."""
     table.check(current, need=["id"])
     table.check(batch, need=["id"])
+    batch = once_per_key(batch, table)
     keys = small_side(batch.select(*table.key), max_broadcast)
     kept = current.join(keys, table.key, "left_anti")
     return kept.select(*current.columns).unionByName(batch, allowMissingColumns=True)
@@ -134,37 +166,46 @@ def upsert_merge(
     table: VectorTable,
     columns: Sequence[str] | None = None,
     *,
+    keep_text: bool = False,
     max_broadcast: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Set ``columns`` (default: text, embedding, metadata as far as the batch has them) on stored
     rows of the same key, keep their other columns, add the new keys. A set column takes the batch
-    value even when that is NULL; metadata is replaced whole.
+    value even when that is NULL; metadata is replaced whole. With ``keep_text``, a batch row without
+    text leaves stored text and metadata alone.
+
+    Struct fields are matched by name: one the batch lacks becomes NULL, one only the batch has is
+    added to the table. The batch is settled, and may have each key once.
     """
     table.check(current, need=["id"])
     table.check(batch, need=["id"])
+    batch = once_per_key(batch, table)
     if columns is None:
         columns = [c for c in (table.text, table.embedding, table.metadata) if c in batch.columns]
     missing = [c for c in columns if c not in current.columns or c not in batch.columns]
     if missing:
         raise ValueError(f"columns to set are missing from the table or the batch: {missing}")
+    for c in columns:
+        wide = merged_type(current.schema[c].dataType, batch.schema[c].dataType)
+        current = current.withColumn(c, align(F.col(c), current.schema[c].dataType, wide))
+        batch = batch.withColumn(c, align(F.col(c), batch.schema[c].dataType, wide))
+    bare = F.col(table.text).isNull() if keep_text and table.text in columns else F.lit(False)
     update = batch.select(
-        *table.key,
-        *[F.col(c).cast(current.schema[c].dataType).alias(f"__new_{c}") for c in columns],
-        F.lit(True).alias("__in_batch"),
+        *table.key, *[F.col(c).alias(f"__new_{c}") for c in columns], F.lit(True).alias("__in_batch"), bare.alias("__bare")
     )
 
     def merged(c: str) -> Column:
         if c in table.key or c not in columns:
             return F.col(c)
-        return F.when(F.col("__in_batch"), F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c)
+        kept = F.col("__bare") if c in (table.text, table.metadata) else F.lit(False)
+        return F.when(F.col("__in_batch") & ~kept, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c)
 
     if fits_broadcast(update, max_broadcast):
         # A full outer join cannot broadcast. Same result in two steps that leave the table in place:
         # update what is stored, then add the batch rows whose key a narrow scan does not find.
         updated = current.join(F.broadcast(update), table.key, "left").select(*[merged(c) for c in current.columns])
         stored = current.select(*table.key).join(F.broadcast(batch.select(*table.key)), table.key, "left_semi")
-        typed = [F.col(c).cast(current.schema[c].dataType).alias(c) for c in columns]
-        fresh = batch.select(*table.key, *typed).join(stored, table.key, "left_anti")
+        fresh = batch.select(*table.key, *columns).join(stored, table.key, "left_anti")
         return updated.unionByName(fresh, allowMissingColumns=True)
 
     keys = batch.select(*table.key)
@@ -199,8 +240,10 @@ def upsert_buckets(
     if not touched:
         return spark.read.parquet(path)
     current = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
-    put = upsert_merge if merge else upsert_replace
-    after = put(current.drop("bucket"), placed.drop("bucket"), table).withColumn("bucket", bucket_of(table, buckets))
+    new = placed.drop("bucket")
+    current = current.drop("bucket")
+    after = upsert_merge(current, new, table, keep_text=True) if merge else upsert_replace(current, new, table)
+    after = after.withColumn("bucket", bucket_of(table, buckets))
     writer = after.hint("rebalance", F.col("bucket")).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
     return spark.read.parquet(path)

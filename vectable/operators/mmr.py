@@ -18,7 +18,7 @@ _DECIMALS = 9
 
 def check_lambda(value: float) -> float:
     if not 0 <= value <= 1:
-        raise ValueError("lambda_mult must be between 0 and 1")
+        raise ValueError("a weight lies in [0, 1]: lambda_mult")
     return float(value)
 
 

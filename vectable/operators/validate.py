@@ -30,29 +30,30 @@ def vector_problem(v: Column, dims: int | None) -> Column:
 
 
 def row_problem(df: DataFrame, table: VectorTable) -> Column:
-    """Why a stored row is unusable, or NULL: blank key (or no namespace), missing text, missing metadata."""
+    """Why a row cannot be stored, or NULL: blank key (or no namespace), neither text nor vector, text or
+    metadata of another kind. Missing metadata is empty metadata, and a row may bring a vector only."""
     key = path_col(table.id)
     blank = key.isNull()
     if isinstance(path_type(df.schema, table.id), T.StringType):
         blank = blank | (F.trim(key) == F.lit(""))
     if table.namespace is not None:
         blank = blank | path_col(table.namespace).isNull()
-    if not isinstance(path_type(df.schema, table.text), T.StringType):
-        text_bad = F.lit(True)
-    else:
-        text_bad = path_col(table.text).isNull()
+    text, vector = path_type(df.schema, table.text), path_type(df.schema, table.embedding)
+    text_bad = F.lit(text is not None and not isinstance(text, T.StringType))
+    empty = F.lit(True) if text is None else path_col(table.text).isNull()
+    if vector is not None:
+        empty = empty & path_col(table.embedding).isNull()
     found = path_type(df.schema, table.metadata)
-    if not isinstance(found, (T.StructType, T.MapType, T.VariantType)):
-        meta_bad = F.lit(True)
-    elif isinstance(found, T.VariantType):
-        meta_bad = ~F.coalesce(
-            F.schema_of_variant(path_col(table.metadata)).startswith("OBJECT"), F.lit(False)
-        )
+    if isinstance(found, (T.VariantType, T.StringType)):
+        value = path_col(table.metadata)
+        parsed = value if isinstance(found, T.VariantType) else F.try_parse_json(value)
+        meta_bad = value.isNotNull() & ~F.coalesce(F.schema_of_variant(parsed).startswith("OBJECT"), F.lit(False))
     else:
-        meta_bad = path_col(table.metadata).isNull()
+        meta_bad = F.lit(found is not None and not isinstance(found, (T.StructType, T.MapType, T.NullType)))
     return (
         F.when(blank, F.lit("blank key"))
         .when(text_bad, F.lit("text is not a string"))
+        .when(empty, F.lit("neither text nor vector"))
         .when(meta_bad, F.lit("metadata is not an object"))
     )
 
@@ -77,5 +78,5 @@ def validate_vectors(
 
 
 def validate_rows(df: DataFrame, table: VectorTable, *, mode: str = "split") -> Checked:
-    """String text, object metadata, non-blank key."""
+    """Non-blank key, string text or a vector, object metadata or none."""
     return _split(df, table, row_problem(df, table), mode, table.key)

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vectable.operators.ingest import EmbedderFactory, assign_ids, embed_corpus, latest_per_id, upsert_buckets
 from vectable.operators.validate import validate_rows, validate_vectors
+from vectable.sources.tables import settle
 from vectable.table import VectorTable
 
 
@@ -16,13 +17,15 @@ def upsert_stream(
     table: VectorTable,
     buckets: int,
     checkpoint: str,
+    rejects: str,
     *,
     model: EmbedderFactory | None = None,
     order: str | None = None,
     merge: bool = False,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Upsert a stream into the bucketed table at ``path``; unusable rows are left out.
+    """Upsert a stream into the bucketed table at ``path``. Unusable rows go to the Parquet table at
+    ``rejects``: key, reason, and the epoch, whose folder a replay writes again.
 
     A replayed micro-batch upserts the same keys again and so changes nothing, provided the rows
     bring their ids. ``order`` keeps the newest row of a key within a micro-batch.
@@ -32,9 +35,11 @@ def upsert_stream(
         ready = assign_ids(batch, table)
         if model is not None:
             ready = embed_corpus(ready, table, model)
-        ready = validate_vectors(validate_rows(ready, table).valid, table).valid
-        if order is not None:
-            ready = latest_per_id(ready, table, order).drop(order)
+        rows = validate_rows(settle(ready), table)
+        vectors = validate_vectors(rows.valid, table)
+        refused = rows.rejects.unionByName(vectors.rejects)
+        refused.write.mode("overwrite").parquet(f"{rejects}/epoch={epoch}")
+        ready = latest_per_id(vectors.valid, table, order).drop(*([] if order is None else [order]))
         upsert_buckets(batch.sparkSession, path, ready, table, buckets, merge=merge)
 
     writer = stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 COSINE, EUCLIDEAN, INNER_PRODUCT = "COS", "L2", "IP"
 METRICS = (COSINE, EUCLIDEAN, INNER_PRODUCT)
 
+_LOWEST = -(2**63)
+
 
 def check_name(name: str, what: str = "name") -> str:
     """A field name is non-blank, does not start with ``$`` and holds no NUL."""
@@ -100,8 +102,17 @@ class VectorTable:
         """The key as one column: the id, or with a namespace a text that ``split_key`` takes apart."""
         if self.namespace is None:
             return path_col(self.id)
-        space = F.coalesce(F.concat(F.lit("="), path_col(self.namespace).cast("string")), F.lit(""))
-        return F.concat(space, F.lit("\0"), path_col(self.id).cast("string"))
+        # NUL parts the two, so it is escaped in the namespace; \1 goes first and keeps the order.
+        name = F.replace(path_col(self.namespace).cast("string"), F.lit("\1"), F.lit("\1\2"))
+        space = F.coalesce(F.concat(F.lit("="), F.replace(name, F.lit("\0"), F.lit("\1\1"))), F.lit(""))
+        return F.concat(space, F.lit("\0"), self._id_text())
+
+    def _id_text(self) -> Column:
+        """The id as text. Integers become 16 digits that sort as the numbers do, so that ties in a search go
+        to the smaller id."""
+        found = path_col(self.id)
+        digits = F.hex(found.try_cast("bigint").bitwiseXOR(F.lit(_LOWEST)))
+        return F.when(F.typeof(found).isin("tinyint", "smallint", "int", "bigint"), F.lpad(digits, 16, "0")).otherwise(found.cast("string"))
 
     def split_key(self, df: DataFrame, column: str, source: DataFrame, prefix: str = "") -> DataFrame:
         """Replace a ``row_key`` column by ``namespace`` and ``id`` with the types of ``source``."""
@@ -109,11 +120,13 @@ class VectorTable:
             return df
         key = F.col(column)
         space, name = F.substring_index(key, "\0", 1), F.substr(key, F.instr(key, "\0") + 1)
+        plain = F.replace(F.replace(F.substr(space, F.lit(2)), F.lit("\1\1"), F.lit("\0")), F.lit("\1\2"), F.lit("\1"))
+        kind = path_type(source.schema, self.id)
+        if isinstance(kind, T.IntegralType):
+            name = F.conv(name, 16, -10).cast("bigint").bitwiseXOR(F.lit(_LOWEST))
         names = {
-            f"{prefix}namespace": F.when(space.startswith("="), F.substr(space, F.lit(2))).cast(
-                path_type(source.schema, self.namespace)
-            ),
-            column: name.cast(path_type(source.schema, self.id)),
+            f"{prefix}namespace": F.when(space.startswith("="), plain).cast(path_type(source.schema, self.namespace)),
+            column: name.cast(kind),
         }
         at = df.columns.index(column)
         before, after = df.columns[:at], df.columns[at + 1 :]
@@ -152,5 +165,35 @@ class VectorTable:
         return df
 
 
+def merged_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds both: structs have the fields of ``a`` in their order, then those only ``b`` has."""
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        known = {f.name: f.dataType for f in b.fields}
+        fields = [T.StructField(f.name, merged_type(f.dataType, known[f.name]) if f.name in known else f.dataType) for f in a.fields]
+        return T.StructType(fields + [T.StructField(f.name, f.dataType) for f in b.fields if f.name not in a.names])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(merged_type(a.elementType, b.elementType))
+    return b if isinstance(a, T.NullType) else a
+
+
+def align(column: Column, have: T.DataType, want: T.DataType) -> Column:
+    """A column of type ``have`` as ``want``. Structs are matched by field name at every depth: a field that
+    ``have`` lacks becomes NULL, and one that ``want`` lacks is an error."""
+    if have == want:
+        return column
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        unknown = [n for n in have.names if n not in want.names]
+        if unknown:
+            raise ValueError(f"fields that the target does not have: {unknown}")
+        fields = [
+            (align(column.getField(f.name), have[f.name].dataType, f.dataType) if f.name in have.names else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in want.fields
+        ]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(column, lambda x: align(x, have.elementType, want.elementType))
+    return column.cast(want)
+
+
 def is_vector(dtype: T.DataType | None) -> bool:
     return isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, (T.FloatType, T.DoubleType))
