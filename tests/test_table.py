@@ -147,3 +147,17 @@ def test_row_key_sorts_as_the_key_does(spark, kind):
     if kind != "string":
         one = [r.id for r in keyed.filter("namespace = 'a'").orderBy("key").collect()]
         assert one == numbers
+
+
+def test_clear_settled(spark):
+    from pathlib import Path
+
+    from vectable.sources.tables import checkpoint_dir, clear_settled, settle
+
+    folder = Path(checkpoint_dir(spark).removeprefix("file:"))
+    kept = folder / "other"
+    kept.mkdir(exist_ok=True)
+    settle(spark.range(3))
+    assert list(folder.glob("settled-*"))
+    clear_settled(spark)
+    assert not list(folder.glob("settled-*")) and kept.exists()

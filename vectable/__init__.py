@@ -54,12 +54,19 @@ from vectable.operators.search import attach, batch_topk, page, post_stages, rel
 from vectable.operators.validate import validate_rows, validate_vectors  # noqa: E402
 from vectable.plans.ingest import ingest  # noqa: E402
 from vectable.plans.retrieve import retrieve, topk_by_text  # noqa: E402
-from vectable.sources.tables import corpus_scan, save_bucketed, save_snapshot, semi_filter, settle  # noqa: E402
+from vectable.sources.tables import (  # noqa: E402
+    clear_settled,
+    corpus_scan,
+    save_bucketed,
+    save_snapshot,
+    semi_filter,
+    settle,
+)
 from vectable.table import VectorTable  # noqa: E402
 
 __all__ = [
     "Tuning", "VectorTable", "add_sketch", "append_documents", "assign_ids", "attach", "batch_topk", "bucket_of",
-    "candidate_rerank", "corpus_scan", "delete_all", "delete_by_filter", "delete_by_ids", "delete_counts",
+    "candidate_rerank", "clear_settled", "corpus_scan", "delete_all", "delete_by_filter", "delete_by_ids", "delete_counts",
     "delete_in_namespace", "drop_known", "embed_corpus", "embed_query", "filtered_fetch", "from_storage", "get_by_ids", "get_path",
     "ingest", "ivf_assign", "ivf_search", "knn_graph", "latest_per_id", "mmr", "page", "post_stages", "random_planes",
     "relevance", "remove_path", "retrieve", "save_bucketed", "save_snapshot", "scored", "semi_filter", "set_path",

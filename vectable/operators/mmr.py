@@ -12,6 +12,9 @@ from vectable.functions.predicates import Filter
 from vectable.operators.search import attach, batch_topk
 from vectable.table import VectorTable, check_range, path_col
 
+# Rows of a group, padded and in double, stay within this.
+GROUP_BYTES = 128 * 1024 * 1024
+
 # Gains closer than this are the same gain: where exact arithmetic ties, rounding must not decide.
 _DECIMALS = 9
 
@@ -136,7 +139,8 @@ def mmr(
     count = queries.count() if max_hits is None else -(-max_hits // fetch_k)
     asked = queries.select(path_col(query_id).alias("query_id"), path_col(query_vector).alias("query_vector"))
     full = with_vectors(hits, corpus, asked, table, vector_col, count * fetch_k)
-    return rerank_diverse(full, k, lambda_mult, queries=count)
+    weight = 3 * 8 * fetch_k * (table.dims or 2048)  # read, padded, of unit length
+    return rerank_diverse(full, k, lambda_mult, queries=count, per_group=max(1, min(200, GROUP_BYTES // weight)))
 
 
 def with_vectors(

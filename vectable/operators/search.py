@@ -128,9 +128,11 @@ def attach(
     """Join columns of the corpus to the hits by key, so that ranking never reads them.
 
     ``max_hits`` is a known bound (queries times k). Within the broadcast bound the corpus stays in
-    place; without one Spark picks the join at run time.
+    place; without one Spark picks the join at run time. A column is named by the last step of its path,
+    or by the whole path where last steps are the same.
     """
-    names = [c.split(".")[-1] for c in columns]
+    last = [c.split(".")[-1] for c in columns]
+    names = [c.replace(".", "_") if last.count(n) > 1 else n for c, n in zip(columns, last)]
     keys = {"id": table.id, **({"namespace": table.namespace} if "namespace" in hits.columns and table.namespace else {})}
     wanted = corpus.select(
         *[path_col(path).alias(f"__{key}") for key, path in keys.items()],

@@ -76,9 +76,13 @@ def retrieve(
         hits = relevance(hits, relevance_fn, cut)
     stored = corpus if include_vectors else corpus.drop(table.embedding)
     columns = [c for c in stored.columns if c not in table.key]
-    joined = attach(hits, stored, table, columns, max_hits=max_queries * k).withColumnRenamed("id", table.id)
-    keep = [c for c in hits.columns if c != "id"]
+    # Hit columns go by names of their own until stored columns, which may be called the same, are folded away.
+    own = {c: c if c in ("id", "namespace") else f"__hit_{c}" for c in hits.columns}
+    named = hits.select(*[F.col(c).alias(name) for c, name in own.items()])
+    joined = attach(named, stored, table, columns, max_hits=max_queries * k).withColumnRenamed("id", table.id)
+    keep = [name for c, name in own.items() if c != "id"]
     found = to_documents(joined, table, keep=keep, include_vectors=include_vectors)
+    found = found.withColumnsRenamed({name: c for c, name in own.items() if c != "id"})
     found = post_stages(found, *stages)
     if not gather:
         return found

@@ -143,6 +143,14 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_settled(spark: SparkSession) -> None:
+    """Delete what ``settle`` wrote to the checkpoint folder; call it when no result is read any more."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "settled-*")) or []:
+        files.delete(status.getPath(), True)
+
+
 def semi_filter(df: DataFrame, field: str, values: DataFrame, *, max_broadcast: int = BROADCAST_ROWS) -> DataFrame:
     """Rows whose ``field`` occurs in the one column of ``values``: ``$in`` for a list too big to
     write out."""
