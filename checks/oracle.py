@@ -262,7 +262,7 @@ ORACLE: dict[str, str] = {
     "topk_by_text": text_search("true") + f" SELECT query_id, rank, id, {r6('score')} AS score, {r6('distance')} AS distance FROM hits",
     "topk_prefilter": batch(COS, 4, join="v.label IN (1, 3)"),
     "topk_namespace": batch(COS, 4, join="v.label = q.label"),
-    "topk_namespace_ties": f"WITH {V}, {pairs('1.0', join='v.label = q.label')} SELECT {HITS} FROM ranked WHERE rank <= 4",
+    "topk_namespace_ties": f"WITH {V}, {pairs('CAST(1 AS DOUBLE)', join='v.label = q.label')} SELECT {HITS} FROM ranked WHERE rank <= 4",
     "topk_threshold": batch(COS, 10, "score >= 0.3"),
     "topk_relevance": f"""WITH {V}, {pairs(COS)} SELECT query_id, rank, vec_id, {r6('(1 + score) / 2')} AS score
       FROM ranked WHERE rank <= 10 AND (1 + score) / 2 >= 0.65""",
