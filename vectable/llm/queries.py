@@ -89,4 +89,17 @@ QUERIES = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_ngram_lm": op10_ngram_lm,
 }
-ORACLE: dict[str, str] = {}
+# Only exact substring dedup is plain SQL; the others need XXH64, tokenizers or trained models and are tested by brute force.
+ORACLE: dict[str, str] = {
+    "op8_substring_dedup": r"""
+      WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+        FROM documents),
+      windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS s FROM w, unnest(range(1, len(ws) - 11)) t(i)),
+      firsts AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s),
+      gone AS (SELECT DISTINCT doc_id, i + k AS pos FROM windows JOIN firsts USING (s), range(0, 13) r(k) WHERE doc_id > first),
+      words AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM w),
+      kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS text
+        FROM words WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = words.doc_id AND g.pos = words.pos) GROUP BY doc_id)
+      SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+        sha256(coalesce(text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)""",
+}
