@@ -174,3 +174,46 @@ def test_scores_of_odd_rows(odd_docs, odd_rows, make_docs):
     assert score_texts(odd_docs.limit(0)).count() == 0
     alone = [(k, "only held out rows here") for k in range(200) if zlib.crc32(str(k).encode()) % 7 == 2][:3]
     assert base(score_texts(make_docs(alone))) == plain_base(alone)
+
+
+def test_scores_use_every_word_and_every_ngram(make_docs):
+    out = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k in range(400)}
+    train, held = [k for k in out if not out[k]], [k for k in out if out[k]]
+    draw = np.random.default_rng(5)
+    texts = {k: " ".join(draw.choice([f"w{i}" for i in range(12)] + [f"once{k}"], 30)) for k in train}
+    texts |= {k: " ".join(draw.choice([f"w{i}" for i in range(12)] + ["never"], 20)) for k in held}
+    rows = [*texts.items(), (held[0], texts[held[0]])]
+    lines = {k: ["<", *t.split(), ">"] for k, t in texts.items()}
+    threes = Counter(x for k in train for x in zip(lines[k], lines[k][1:], lines[k][2:]))
+    twos = Counter(x for k in train for x in zip(lines[k], lines[k][1:]))
+    ones = Counter(w for k in train for w in lines[k][1:])
+    whole = ones.total() + len(ones) + 1
+
+    def first(c):
+        return (ones[c] + 1) / whole
+
+    after1, after2 = {}, {}
+    for (b, c), n in twos.items():
+        after1.setdefault(b, {})[c] = n
+    for (a, b, c), n in threes.items():
+        after2.setdefault((a, b), {})[c] = n
+
+    def two(b, c):
+        seen = after1.get(b, {})
+        if c in seen or not seen:
+            return (seen[c] - 0.75) / sum(seen.values()) if seen else first(c)
+        return 0.75 * len(seen) / sum(seen.values()) / (1 - sum(map(first, seen))) * first(c)
+
+    def three(a, b, c):
+        seen = after2.get((a, b), {})
+        if c in seen or not seen:
+            return (seen[c] - 0.75) / sum(seen.values()) if seen else two(b, c)
+        free, rest = 0.75 * len(seen) / sum(seen.values()), 1 - sum(two(b, x) for x in seen)
+        return max(free, 1e-9) / max(rest, 1e-9) * two(b, c)
+
+    want = {k: math.log10(two("<", x[1])) + sum(math.log10(three(*t)) for t in zip(x, x[1:], x[2:])) for k, x in lines.items()}
+    got = score_texts(make_docs(rows)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        # Probabilities of one byte are close, not equal.
+        assert r["score"] == pytest.approx(want[r["doc_id"]], rel=0.02)

@@ -3,39 +3,52 @@
 Unigram counts are exact for every word. Words with at least ``KNOWN_SHARE`` of all tokens (1 / KNOWN_SHARE
 at most) are broadcast with their counts; the others, too rare to be hot, meet their counts in a shuffle join.
 
-The model is a trigram model over classes: words of at least ``CLASS_SHARE`` are classes of their own, all others
-are one class, within which a word has its share of the class. Trigrams and pairs are counted over all training texts;
-those of at least ``NGRAM_SHARE`` of the tokens, and two occurrences, are kept, so the trie is bounded. It is one file
-that Spark ships to the executors, where Python workers map it into memory.
+The model is a back-off trigram model over all words and all n-grams of the training texts, with absolute
+discounting. A word's id is a hash of it. Every n-gram of every text goes, packed, to the shard of its context (a, b). A
+shard counts its triples, builds an Elias-Fano trie of them in a file that it maps, and scores what it was sent. Only
+what no training text has, so nothing of a training text, goes on to the pairs and from there to the words. Nothing of
+the model is gathered: shards, pairs and words are tables and partitions, whose number grows with the tokens.
 """
 
 from __future__ import annotations
 
-import hashlib
+import tempfile
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import xxhash
+from pyspark.sql import Column, DataFrame, functions as F
 
 from vectable.llm.common import as_bytes, values
 from vectable.llm.elias_fano import map_file
-from vectable.llm.ngram_trie import Trie, build, join_code
-from vectable.sources.tables import checkpoint_dir, settle
+from vectable.llm.ngram_trie import DISCOUNT, Shard, build_shard
+from vectable.sources.tables import settle, small_side
 
 KNOWN_SHARE = 2.0**-18
-CLASS_SHARE = 2.0**-13
-NGRAM_SHARE = 2.0**-23
 WORDS_HELD = 250_000
 TOKENS_AT_ONCE = 500_000
-CODES_HELD = 2_000_000
+PAIRS_HELD = 2_000_000
+TOKENS_A_SHARD = 1_000_000
 
-# Ids of the trie; 0 stands for no word, classes follow.
-START, END, OTHER, CLASSES = 1, 2, 3, 4
+# Ids of no word, of a text's start and of its end; words follow.
+NONE, START, END, WORDS = 0, 1, 2, 4
+
+
+class WordIds(dict):
+    """62-bit ids of words, the same as ``word_id``."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= WORDS_HELD:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word, 42) >> 1 | WORDS
+        return found
+
+
+def word_id(word: str) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(F.col(word)), 1).bitwiseOR(F.lit(WORDS))
 
 
 def held_out(key: str) -> Column:
@@ -65,11 +78,11 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """Frequent words in order of their counts, the classes first."""
+    """Frequent words with their counts."""
 
-    def __init__(self, words: list[bytes], counts: np.ndarray, classes: int):
+    def __init__(self, words: list[bytes], counts: np.ndarray):
         self.place = {w: i for i, w in enumerate(words)}
-        self.counts, self.classes = counts, classes
+        self.counts = counts
 
     def encode(self, texts: list[bytes]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
         """Words of each text; the place of every word, -1 if not frequent; the number of words of each text."""
@@ -79,17 +92,20 @@ class Vocabulary:
         places = np.fromiter((p for row in words for p in map(get, row, repeat(-1))), np.int64, int(sizes.sum()))
         return words, places, sizes
 
-    def triples(self, places: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """a, b, c of every predicted token (words and ends), and its text. a is 0 for a text's first token."""
-        ids = np.where((places >= 0) & (places < self.classes), places + CLASSES, OTHER)
-        ends = np.cumsum(sizes + 2)
-        line = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
-        inside = np.ones(len(line), bool)
-        inside[ends - 1] = inside[ends - sizes - 2] = False
-        line[inside], line[ends - 1], line[ends - sizes - 2] = ids, END, START
-        at = np.flatnonzero(line != START)
-        first = line[at - 1] == START
-        return np.where(first, 0, line[at - 2]), line[at - 1], line[at], np.repeat(np.arange(len(sizes)), sizes + 1)
+
+def triples(texts: list[bytes], ids: WordIds) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """a, b, c of every predicted token (words and ends), and its text. a is NONE for a text's first token."""
+    words = [text.lower().split() for text in texts]
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(sizes + 2)
+    line = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
+    inside = np.ones(len(line), bool)
+    inside[ends - 1] = inside[ends - sizes - 2] = False
+    line[inside] = np.fromiter((i for row in words for i in map(ids.__getitem__, row)), np.int64, int(sizes.sum()))
+    line[ends - 1], line[ends - sizes - 2] = END, START
+    at = np.flatnonzero(line != START)
+    first = line[at - 1] == START
+    return np.where(first, NONE, line[at - 2]), line[at - 1], line[at], np.repeat(np.arange(len(sizes)), sizes + 1)
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
@@ -103,82 +119,196 @@ def _grouped(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[p
                 yield part, part.column(column).to_pylist()
 
 
-def ngram_counts(texts: DataFrame, vocabulary) -> DataFrame:
-    """code (of a pair or a triple), n over the column ``text``; ``vocabulary`` is broadcast."""
+def pair_counts(texts: DataFrame) -> DataFrame:
+    """b, c, n of all pairs in the column ``text``; tasks add up first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
+        size, ids = 0, WordIds()
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            codes, place = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
-            return codes, np.bincount(place, np.concatenate([n for _, n in held])).astype(np.int64)
+        def merged(pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            order = np.lexsort(pairs.T)
+            pairs, n = pairs[order], n[order]
+            starts = np.flatnonzero(np.append(True, (pairs[1:] != pairs[:-1]).any(1))) if len(n) else np.zeros(0, np.int64)
+            return pairs[starts], np.add.reduceat(n, starts) if len(n) else n
 
         def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in merged()], ["code", "n"])
+            pairs, n = merged(*map(np.concatenate, zip(*held)))
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in (pairs[:, 0], pairs[:, 1], n)], ["b", "c", "n"])
 
         for _, found in _grouped(batches, 0):
-            _, places, sizes = vocabulary.value.encode(found)
-            a, b, c, _ = vocabulary.value.triples(places, sizes)
-            held.append(np.unique(np.concatenate([join_code(0, b, c), join_code(a, b, c)[a > 0]]), return_counts=True))
+            _, b, c, _ = triples(found, ids)
+            held.append(merged(np.column_stack([b, c]), np.ones(len(b), np.int64)))
             size += len(held[-1][0])
-            if size > CODES_HELD:
-                held = [merged()]
-                size = len(held[0][0])
-                if size > CODES_HELD // 2:
-                    yield rows()
-                    held, size = [], 0
+            if size > PAIRS_HELD:
+                yield rows()
+                held, size = [], 0
         if held:
             yield rows()
 
-    return texts.select("text").mapInArrow(count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(count, "b bigint, c bigint, n bigint").groupBy("b", "c").agg(F.sum("n").alias("n"))
+
+
+def _packed(a: np.ndarray, b: np.ndarray, c: np.ndarray, row: np.ndarray, held: np.ndarray) -> bytes:
+    words, places = np.unique(np.concatenate([a, b, c]), return_inverse=True)
+    rows, texts = np.unique(row, return_inverse=True)
+    sizes = np.array([len(words), len(rows), len(a)], np.int64)
+    parts = [sizes, words, rows, places.astype(np.uint32), texts.astype(np.uint32) << 1 | held]
+    # Bytes of equal weight side by side are smaller when compressed.
+    data = b"".join(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes() if x.itemsize == 4 else x.tobytes() for x in parts)
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
 
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """words, rows, places (of a, b and c one after the other), and twice the place of the row, plus one if held out."""
+    data = np.frombuffer(pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True), np.uint8)
+    words, rows, n = data[:24].view(np.int64).tolist()
+    at = 24 + 8 * (words + rows)
 
-def _ship(spark: SparkSession, data: bytes) -> str:
-    """Put bytes into the shared folder and have Spark bring them to every executor; returns the file's name."""
-    name = f"ngrams-{hashlib.sha256(data).hexdigest()[:32]}.bin"
-    jvm, context = spark._jvm, spark.sparkContext
-    path = jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark)}/{name}")
-    stream = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path, True)
-    for at in range(0, len(data), 1 << 24):
-        stream.write(bytearray(data[at : at + (1 << 24)]))
-    stream.close()
-    context.addFile(path.toString())
-    return name
+    def small(a: int, size: int) -> np.ndarray:
+        return np.ascontiguousarray(data[a : a + 4 * size].reshape(4, size).T).view(np.uint32).ravel()
 
+    longs = data[24:at].view(np.int64)
+    return longs[:words], longs[words:], small(at, 3 * n), small(at + 12 * n, n)
 
-@lru_cache(maxsize=2)
-def _mapped(name: str) -> Trie:
-    return Trie(map_file(SparkFiles.get(name)))
+
+def sent_ngrams(rows: DataFrame, shards: int) -> DataFrame:
+    """shard, data: all triples of ``rows`` (row bigint, held_out boolean, text binary), packed by the shard of their context."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = WordIds()
+        for part, texts in _grouped(batches, 2):
+            a, b, c, owner = triples(texts, ids)
+            row = part.column(0).to_numpy()[owner]
+            held = part.column(1).to_numpy(zero_copy_only=False).astype(np.uint32)[owner]
+            mixed = (a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+            shard = ((mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)).astype(np.int64) % shards
+            order = np.argsort(shard, kind="stable")
+            there, starts = np.unique(shard[order], return_index=True)
+            blobs = [_packed(*(x[o] for x in (a, b, c, row, held))) for o in np.split(order, starts[1:])] if len(order) else []
+            yield pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "data"])
+
+    return rows.select("row", "held_out", "text").mapInArrow(send, "shard int, data binary")
+
+
+# What a shard says: parts of a row's score; triples of held-out rows that it lacks (a is NONE without a context to back
+# off from); and all successors of the contexts of such triples, with the mass that the context leaves.
+PART, LACKS, FOLLOWS = 0, 1, 2
+MET = "kind int, row bigint, a bigint, b bigint, c bigint, n bigint, value double"
+MET_ARROW = pa.schema([
+    ("kind", pa.int32()), ("row", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("n", pa.int64()), ("value", pa.float64()),
+])
+
+
+def _said(kind: int, size: int, **columns: np.ndarray) -> pa.RecordBatch:
+    columns["kind"] = np.full(size, kind, np.int32)
+    arrays = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in MET_ARROW]
+    return pa.RecordBatch.from_arrays(arrays, schema=MET_ARROW)
+
+
+def met_ngrams(sent: DataFrame, shards: int) -> DataFrame:
+    """Each shard scores what it was sent; see MET."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = [_unpacked(data) for batch in batches for data in batch.column(1).to_pylist()]
+        if not blobs:
+            return
+        words, local = np.unique(np.concatenate([w for w, _, _, _ in blobs]), return_inverse=True)
+        rows, texts = np.unique(np.concatenate([r for _, r, _, _ in blobs]), return_inverse=True)
+        spans, of_words, of_rows = [], 0, 0
+        for w, r, places, marks in blobs:
+            a, b, c = local[of_words + places.astype(np.int64)].reshape(3, -1)
+            spans.append((a * len(words) + b, c, texts[of_rows + (marks >> 1).astype(np.int64)], (marks & 1).astype(bool)))
+            of_words, of_rows = of_words + len(w), of_rows + len(r)
+        del blobs
+        pair, c, row, held = map(np.concatenate, zip(*spans))
+        del spans
+        contexts, context = np.unique(pair, return_inverse=True)
+        codes, code = np.unique(context * len(words) + c, return_inverse=True)
+        del pair, c, context
+        above, last = np.divmod(codes, len(words))
+        a, b = np.divmod(contexts, len(words))
+        n = np.bincount(code[~held], minlength=len(codes))
+        trained = n > 0
+        with tempfile.TemporaryDirectory() as folder:
+            path = f"{folder}/shard"
+            with open(path, "wb") as file:
+                file.write(build_shard(len(words), a[above[trained]], b[above[trained]], last[trained], n[trained]))
+            shard = Shard(map_file(path))
+            chance, kept = shard.log10(a[above], b[above], last)
+            times, different = shard.followers(a, b)
+            del shard
+        known = kept[code]
+        score = np.bincount(row[known], chance[code[known]], len(rows))
+        yield _said(PART, len(rows), row=rows, value=score)
+        lacks, times_of = np.unique(row[~known] * len(codes) + code[~known], return_counts=True)
+        who, what = np.divmod(lacks, len(codes))
+        from_start = words[a] == NONE
+        backs_off = (times > 0) & ~from_start
+        yield _said(
+            LACKS, len(who), row=rows[who], a=np.where(backs_off[above[what]], words[a[above[what]]], NONE), b=words[b[above[what]]],
+            c=words[last[what]], n=times_of,
+        )
+        needed = np.zeros(len(contexts), bool)
+        needed[above[what]] = True
+        asked = np.flatnonzero(trained & (needed & backs_off)[above])
+        for some in np.split(asked, range(PAIRS_HELD, len(asked), PAIRS_HELD)):
+            up = above[some]
+            yield _said(FOLLOWS, len(some), a=words[a[up]], b=words[b[up]], c=words[last[some]], value=DISCOUNT * different[up] / times[up])
+
+    return sent.repartitionById(shards, F.col("shard")).mapInArrow(meet, MET)
+
+
+def model_scores(rows: DataFrame, counts: DataFrame, total: int, ends: int, distinct: int) -> DataFrame:
+    """row, model: log10 of the probability of all texts with this row number, over ``rows`` (row, held_out, text)."""
+    spark = rows.sparkSession
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // TOKENS_A_SHARD + 1)
+    met = settle(met_ngrams(sent_ngrams(rows, shards), shards))
+    pairs = settle(pair_counts(rows.filter("NOT held_out")))
+    whole = float(total + distinct + (ends > 0) + 1)
+    words = counts.select(word_id("word").alias("w"), "n").unionByName(spark.range(1).select(F.lit(END).cast("bigint").alias("w"), F.lit(ends).cast("bigint").alias("n")))
+    words = small_side(settle(words.groupBy("w").agg(((F.sum("n") + 1) / whole).alias("first"))))
+    by_context = pairs.join(words, F.col("c") == F.col("w")).groupBy(F.col("b").alias("of")).agg(
+        F.sum("n").alias("times"), F.count("*").alias("different"), F.sum("first").alias("lower")
+    )
+    least = F.lit(1e-9)
+    back = F.greatest(DISCOUNT * F.col("different") / F.col("times"), least) / F.greatest(1 - F.col("lower"), least)
+    by_context = small_side(settle(by_context.select("of", "times", back.alias("back1"))))
+    pair = pairs.select(F.col("b").alias("pb"), F.col("c").alias("pc"), F.col("n").alias("pn"))
+    # Only the columns of a kind are read, and both kinds look up the same pairs.
+    asked = met.filter(F.col("kind") > PART).join(pair, (F.col("b") == F.col("pb")) & (F.col("c") == F.col("pc")), "left")
+    asked = asked.join(by_context, F.col("b") == F.col("of"), "left").withColumn("own2", (F.col("pn") - DISCOUNT) / F.col("times"))
+    asked = settle(asked.select("kind", "row", "a", "b", "c", "n", "value", "own2", "back1"))
+    lower = asked.filter(F.col("kind") == FOLLOWS).groupBy(F.col("a").alias("oa"), F.col("b").alias("ob"))
+    lower = lower.agg((F.greatest(F.max("value"), least) / F.greatest(1 - F.sum("own2"), least)).alias("back2"))
+    lacks = asked.filter(F.col("kind") == LACKS)
+    lacks = lacks.join(lower, (F.col("a") == F.col("oa")) & (F.col("b") == F.col("ob")), "left")
+    lacks = lacks.join(words, F.col("c") == F.col("w"), "left")
+    one = F.lit(1.0)
+    chance = F.coalesce("own2", F.coalesce("back1", one) * F.coalesce("first", F.lit(1 / whole))) * F.coalesce("back2", one)
+    parts = met.filter(F.col("kind") == PART).select("row", "value").unionByName(lacks.select("row", (F.col("n") * F.log10(chance)).alias("value")))
+    return parts.groupBy("row").agg(F.sum("value").alias("model"))
 
 
 SCORED = (
-    "key bigint, held_out boolean, n_tokens bigint, n_known bigint, logs double, model double, n_other bigint,"
-    " rare array<binary>, times array<int>"
+    "key bigint, held_out boolean, twin bigint, n_tokens bigint, n_known bigint, logs double, rare array<binary>, times array<int>"
 )
 SCORED_ARROW = pa.schema([
-    ("key", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("logs", pa.float64()),
-    ("model", pa.float64()), ("n_other", pa.int64()), ("rare", pa.list_(pa.binary())), ("times", pa.list_(pa.int32())),
+    ("key", pa.int64()), ("held_out", pa.bool_()), ("twin", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+    ("logs", pa.float64()), ("rare", pa.list_(pa.binary())), ("times", pa.list_(pa.int32())),
 ])
 
 
-def _scored(rows: DataFrame, vocabulary, trie: str, end_count: int) -> DataFrame:
-    """Per text what needs no rare counts, and the rare words. logs and model lack the parts of rare words."""
+def _scored(rows: DataFrame, vocabulary, end_count: int) -> DataFrame:
+    """Per text what needs no rare counts, and the rare words. logs lacks the parts of rare words."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of, model = vocabulary.value, _mapped(trie)
+        words_of = vocabulary.value
         logs = np.append(np.log10(words_of.counts + 1.0), 0.0)
-        for part, texts in _grouped(batches, 2):
+        for part, texts in _grouped(batches, 3):
             words, places, sizes = words_of.encode(texts)
-            a, b, c, owner = words_of.triples(places, sizes)
-            codes, place = np.unique(join_code(a, b, c), return_inverse=True)
-            first = np.zeros(len(codes), np.int64)
-            first[place] = np.arange(len(place))
-            chance = model.log10(a[first], b[first], c[first])[place]
             texts_of = np.repeat(np.arange(len(texts)), sizes)
             own = np.bincount(texts_of, logs[places], len(texts))
-            other = (places < 0) | (places >= words_of.classes)
-            inner = np.bincount(texts_of, np.where(other, logs[places], 0.0), len(texts))
             known = np.bincount(texts_of, places >= 0, len(texts)).astype(np.int64)
             rare: list[list[bytes]] = []
             times: list[list[int]] = []
@@ -188,13 +318,11 @@ def _scored(rows: DataFrame, vocabulary, trie: str, end_count: int) -> DataFrame
                 rare.append(list(seen))
                 times.append(list(seen.values()))
             yield pa.RecordBatch.from_arrays([
-                part.column(0), part.column(1), pa.array(sizes + 1), pa.array(known + (end_count > 0)),
-                pa.array(own + np.log10(end_count + 1)), pa.array(np.bincount(owner, chance, len(texts)) + inner),
-                pa.array(np.bincount(texts_of, other, len(texts)).astype(np.int64)),
-                pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32())),
+                part.column(0), part.column(1), part.column(2), pa.array(sizes + 1), pa.array(known + (end_count > 0)),
+                pa.array(own + np.log10(end_count + 1)), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32())),
             ], schema=SCORED_ARROW)
 
-    return rows.select("key", "held_out", "text").mapInArrow(score, SCORED)
+    return rows.select("key", "held_out", F.col("row").alias("twin"), "text").mapInArrow(score, SCORED)
 
 
 def score_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -207,6 +335,8 @@ def score_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("bigint").alias("key"), held_out(key).alias("held_out"), as_bytes(text).alias("text"))
+    # Rows of one key and text score alike, so they share a number.
+    rows = rows.withColumn("row", F.xxhash64("key", "text"))
     training = rows.filter("NOT held_out")
     counts = settle(word_counts(training))
     ends = training.count()
@@ -215,36 +345,23 @@ def score_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
     vocabulary_size = distinct + (ends > 0)
     frequent = counts.filter(F.col("n") >= max(1, KNOWN_SHARE * total)).toArrow()
     n = np.array(frequent["n"].to_pylist(), np.int64)
-    listed = frequent["word"].to_pylist()
-    order = sorted(range(len(n)), key=lambda i: (-n[i], listed[i]))
-    n = n[order]
-    classes = int((n >= CLASS_SHARE * total).sum())
-    vocabulary = spark.sparkContext.broadcast(Vocabulary([listed[i] for i in order], n, classes))
-
-    ones = np.full(classes + CLASSES, -1, np.int64)
-    others = of_words - int(n[:classes].sum())
-    ones[END], ones[OTHER], ones[CLASSES:] = ends, others, n[:classes]
-    contexts = ones.clip(0)
-    contexts[START], contexts[END] = ends, 0
-    kept = ngram_counts(training, vocabulary).filter(F.col("n") >= max(2, NGRAM_SHARE * total)).toArrow()
-    codes, times = (np.array(kept[c].to_numpy(), np.int64) for c in ("code", "n"))
-    by_code = np.argsort(codes)
-    codes, times = codes[by_code], times[by_code]
-    pairs = codes < join_code(1, 0, 0)
-    trie = _ship(spark, build(ones, contexts, (codes[pairs], times[pairs]), (codes[~pairs], times[~pairs])))
-
-    scored = settle(_scored(rows, vocabulary, trie, ends).withColumn("row", F.monotonically_increasing_id()))
+    vocabulary = spark.sparkContext.broadcast(Vocabulary(frequent["word"].to_pylist(), n))
+
+    scored = settle(_scored(rows, vocabulary, ends).withColumn("row", F.monotonically_increasing_id()))
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("w"), F.col("r.times").alias("t"))
     rare_counts = counts.filter(F.col("n") < max(1, KNOWN_SHARE * total)).hint("shuffle_hash")
     met = rare.join(rare_counts, F.col("w") == F.col("word"))
     sums = met.groupBy(F.col("row").alias("r")).agg(F.sum(F.col("t") * F.log10(F.col("n") + 1)).alias("more"), F.sum("t").alias("met"))
     joined = scored.drop("rare", "times").join(sums, F.col("row") == F.col("r"), "left")
     more = F.coalesce("more", F.lit(0.0))
-    # Within the class of all other words, a word has (c + 1) of the class's tokens and distinct words, and one more.
-    inner = float(np.log10(others + (distinct - classes) + 1))
     base = F.col("logs") + more - F.col("n_tokens") * float(np.log10(total + vocabulary_size + 1))
-    model = F.col("model") + more - F.col("n_other") * inner
+    model = base
+    if total:
+        shared = scored.groupBy(F.col("twin").alias("tw")).agg(F.count("*").alias("copies"))
+        models = model_scores(rows, counts, total, ends, distinct).join(shared, F.col("row") == F.col("tw"))
+        models = models.select("tw", (F.col("model") / F.col("copies")).alias("model"))
+        joined, model = joined.join(models, F.col("twin") == F.col("tw"), "left"), F.col("model")
     return joined.select(
         F.col("key").alias(key), "held_out", "n_tokens", (F.col("n_known") + F.coalesce("met", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("bigint").alias("train_tokens"), base.alias("base_score"), (model if total else base).alias("score"),
+        F.lit(total).cast("bigint").alias("train_tokens"), base.alias("base_score"), model.alias("score"),
     )

@@ -28,10 +28,11 @@ def split_code(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def quantise(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of one byte and the table of their values: means of equally filled bins."""
+    """Codes of one byte and the table of their values: means of bins with equally many different values,
+    so that few values are exact and rare ones keep bins of their own."""
     if not len(values):
         return np.zeros(0, np.uint8), np.zeros(1, np.float32)
-    edges = np.unique(np.quantile(values, np.linspace(0, 1, CODES + 1)[1:-1]))
+    edges = np.unique(np.quantile(np.unique(values), np.linspace(0, 1, CODES + 1)[1:-1]))
     codes = np.searchsorted(edges, values, side="right")
     count = np.bincount(codes, minlength=len(edges) + 1)
     total = np.bincount(codes, values, len(edges) + 1)
@@ -112,3 +113,56 @@ class Trie:
         hit = found >= 0
         out[both[hit]] = self._value(self.own3, found[hit])
         return out
+
+
+def build_shard(width: int, a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray) -> bytes:
+    """The trie of all triples of some contexts as one file, from distinct triples of ids under ``width``, sorted
+    by (a, b, c), and their counts. A triple is the place of (a, b) and the rank of c among what follows b here."""
+    contexts, above = np.unique(a * width + b, return_inverse=True)
+    level2 = EliasFano.of(contexts)
+    follows, below = np.unique(b * width + c, return_inverse=True)
+    start = np.searchsorted(follows // max(width, 1), np.arange(width + 1))
+    rank = below - start[b]
+    span = int(rank.max()) + 1 if len(rank) else 1
+    order = np.argsort(above * span + rank)
+    above, rank, n = above[order], rank[order], n[order]
+    times = np.bincount(above, n, len(contexts)).astype(np.int64)
+    arrays = {"shape": np.array([width, span]), "times": times, "different": np.bincount(above, minlength=len(contexts))}
+    for name, sequence in (
+        ("level2", level2), ("follows", EliasFano.of(follows)), ("start", EliasFano.of(start)), ("level3", EliasFano.of(above * span + rank)),
+    ):
+        arrays |= {f"{name}.{k}": v for k, v in sequence.arrays().items()}
+    arrays["own3.codes"], arrays["own3.table"] = quantise(np.log10((n - DISCOUNT) / times[above]))
+    return to_bytes(arrays)
+
+
+class Shard:
+    """Log10 probabilities of triples from mapped arrays."""
+
+    def __init__(self, arrays: dict[str, np.ndarray]):
+        def part(name: str) -> dict[str, np.ndarray]:
+            return {k.removeprefix(f"{name}."): v for k, v in arrays.items() if k.startswith(f"{name}.")}
+
+        self.width, self.span = (int(x) for x in arrays["shape"])
+        self.times, self.different = arrays["times"], arrays["different"]
+        self.level2, self.follows, self.start, self.level3 = (EliasFano.from_arrays(part(n)) for n in ("level2", "follows", "start", "level3"))
+        self.own3 = part("own3")
+
+    def log10(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 P(c | a, b) of the triples that the shard holds, and which these are."""
+        context, pair = self.level2.find(a * self.width + b), self.follows.find(b * self.width + c)
+        both = np.flatnonzero((context >= 0) & (pair >= 0))
+        found = self.level3.find(context[both] * self.span + pair[both] - self.start.get(b[both]).astype(np.int64))
+        out, held = np.zeros(len(a)), np.zeros(len(a), bool)
+        hit = found >= 0
+        held[both[hit]] = True
+        out[both[hit]] = self.own3["table"][self.own3["codes"][found[hit]]]
+        return out, held
+
+    def followers(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many tokens, and how many different ones, follow each context; 0 for one that the shard lacks."""
+        place = self.level2.find(a * self.width + b)
+        times, different = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
+        there = place >= 0
+        times[there], different[there] = self.times[place[there]], self.different[place[there]]
+        return times, different
