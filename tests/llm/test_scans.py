@@ -120,3 +120,17 @@ def test_scan_of_odd_rows(odd_docs, odd_rows):
     got = scan_secrets(odd_docs)
     assert got.count() == len(odd_rows) and got.filter("spans <> ''").count() == 0
     assert scan_secrets(odd_docs.limit(0)).count() == 0
+
+
+def test_short_items_with_a_substitution_at_any_offset(spark, make_docs):
+    sizes = range(11, 16)
+    items = spark.createDataFrame([(n, " ".join(f"i{n}w{j}" for j in range(n))) for n in sizes], "item_id bigint, text string")
+    rows, want = [], set()
+    for n in sizes:
+        for before in range(4):
+            for other in [None, *range(1, n - 1)] if n >= 13 else [None]:
+                filler = [f"f{j}" for j in range(before)]
+                rows.append((len(rows), " ".join([*filler, *("other" if j == other else f"i{n}w{j}" for j in range(n)), "end"])))
+                want.add((rows[-1][0], n, n if other is None else n - 2))
+    got = {(r["doc_id"], r["item_id"]) for r in leaks(make_docs(rows), items).collect()}
+    assert got == {(i, n) for i, n, score in want if score >= LEAST}

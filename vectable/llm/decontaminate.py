@@ -18,7 +18,7 @@ from vectable.sources.tables import settle, small_side
 
 MASKS = ("10110110111", "11011011011", "11101101101")
 SPAN = len(MASKS[0])
-STRIDE = 3
+STRIDE = 1
 PENALTY = 1
 LEAST = SPAN + STRIDE - 1
 _BLANKS = " \t\n\x0b\x0c\r"
