@@ -134,3 +134,12 @@ def test_short_items_with_a_substitution_at_any_offset(spark, make_docs):
                 want.add((rows[-1][0], n, n if other is None else n - 2))
     got = {(r["doc_id"], r["item_id"]) for r in leaks(make_docs(rows), items).collect()}
     assert got == {(i, n) for i, n, score in want if score >= LEAST}
+
+
+def test_whole_item_after_a_fragment_of_it(make_docs, spark):
+    item = [f"w{j}" for j in range(15)]
+    items = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(["x"] * 40))], "item_id bigint, text string")
+    gaps = [(a, b) for a in range(3) for b in range(1, 4)]
+    rows = [(n, " ".join(["f"] * a + item[:12] + ["g"] * b + item)) for n, (a, b) in enumerate(gaps)] + [(100, "x " * 20_000)]
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in leaks(make_docs(rows), items).collect()}
+    assert got == {(n, 1): 15 for n in range(len(gaps))} | {(100, 2): 40}

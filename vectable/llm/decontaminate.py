@@ -1,26 +1,24 @@
 """Benchmark decontamination by spaced seeds, in DataFrame functions only.
 
 A mask keeps some of ``SPAN`` consecutive words and ignores the others. Every inner place is ignored by one
-mask, so that one substituted word leaves a seed intact. All positions of the benchmark items are hashed, but only every
-``STRIDE``-th of the texts: an unchanged overlap of SPAN + STRIDE - 1 words holds a hashed window of both. A hit
+mask, so that one substituted word leaves a seed intact. All positions of items and texts are hashed. A hit
 fixes an alignment of text and item, and the overlap is then scored along it: one for an
-equal word, less ``PENALTY`` for another, over the best stretch.
+equal word, less ``PENALTY`` for another, over the best stretch. Every alignment with a hit counts.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vectable.llm.common import GAP, as_text
 from vectable.sources.tables import settle, small_side
 
 MASKS = ("10110110111", "11011011011", "11101101101")
 SPAN = len(MASKS[0])
-STRIDE = 1
 PENALTY = 1
-LEAST = SPAN + STRIDE - 1
+LEAST = SPAN
 _BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -29,27 +27,34 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.split(F.btrim(F.lower(text), F.lit(_BLANKS)), GAP), lambda word: F.xxhash64(word))
 
 
-def seeds(hashes: Column, stride: int) -> Column:
-    """Hashes of all masks at every ``stride``-th position: place p is mask p % len(MASKS) at position
-    p // len(MASKS) * stride. Empty for fewer than SPAN words."""
-    count = F.floor((F.size(hashes) - SPAN) / stride).cast("int") + 1
+def seeds(hashes: Column) -> Column:
+    """Hashes of all masks at every position: place p is mask p % len(MASKS) at position p // len(MASKS). Empty
+    for fewer than SPAN words."""
 
     def seed(place: Column) -> Column:
-        start = (place / len(MASKS)).cast("int") * stride
+        start = (place / len(MASKS)).cast("int")
         kept = [
             F.xxhash64(*[F.get(hashes, start + i) for i, keep in enumerate(mask) if keep == "1"], F.lit(n)) for n, mask in enumerate(MASKS)
         ]
         return reduce(lambda rest, n: F.when(place % len(MASKS) == n, kept[n]).otherwise(rest), range(len(MASKS) - 1), kept[-1])
 
-    places = F.sequence(F.lit(0), count * len(MASKS) - 1)
+    places = F.sequence(F.lit(0), (F.size(hashes) - SPAN + 1) * len(MASKS) - 1)
     return F.when(F.size(hashes) >= SPAN, F.transform(places, seed)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _seeded(rows: DataFrame, stride: int, *keys: str) -> DataFrame:
-    """keys, seed, start: one row per hashed window of ``rows`` with column ``hashes``, or one with NULLs."""
+def _seeded(rows: DataFrame, *keys: str) -> DataFrame:
+    """keys, place, seed: one row per hashed window of ``rows`` with column ``hashes``, or one with NULLs."""
     # The outer form: the filter that Spark infers for the inner one would hash all windows a second time.
-    exploded = rows.select(*keys, seeds(F.col("hashes"), stride).alias("s")).select(*keys, F.posexplode_outer("s").alias("place", "seed"))
-    return exploded.select(*keys, "seed", ((F.col("place") / len(MASKS)).cast("int") * stride).alias("start"))
+    return rows.select(*keys, seeds(F.col("hashes")).alias("s")).select(*keys, F.posexplode_outer("s").alias("place", "seed"))
+
+
+def _with_previous(windows: DataFrame, *keys: str) -> DataFrame:
+    """keys, seed, start, previous: the seed of the same mask one word earlier, NULL if ``windows`` lacks it."""
+    mask = (F.col("place") % len(MASKS)).alias("mask")
+    rows = windows.select(*keys, "seed", mask, (F.col("place") / len(MASKS)).cast("int").alias("start"))
+    order = Window.partitionBy(*keys, "mask").orderBy("start")
+    next_to = F.lag("start").over(order) == F.col("start") - 1
+    return rows.select(*keys, "seed", "start", F.when(next_to, F.lag("seed").over(order)).alias("previous"))
 
 
 def overlap(a: Column, b: Column, shift: Column) -> Column:
@@ -67,6 +72,26 @@ def overlap(a: Column, b: Column, shift: Column) -> Column:
     return F.aggregate(F.when(high >= low, F.sequence(low, high)).otherwise(F.array().cast("array<int>")), zero, step)
 
 
+def best_overlap(a: Column, b: Column, shifts: Column) -> Column:
+    """Score, end in a and end in b of the best overlap along all ``shifts`` of ``b`` in ``a``, the largest such struct.
+    Shifts come in order of the most that they can reach, and are not scored where that is no more than the best."""
+
+    def reach(shift: Column) -> Column:
+        end = F.least(F.size(b), F.size(a) - shift)
+        return F.struct((end - F.greatest(F.lit(0), -shift)).alias("score"), (end + shift).alias("doc_end"), end.alias("item_end"))
+
+    def step(best: Column, found: Column) -> Column:
+        # A list of one stands for a variable, so that an overlap is scored once.
+        scored = F.transform(F.array(overlap(a, b, found["shift"])), lambda o: F.struct(
+            o["best"].alias("score"), (o["at"] + found["shift"]).alias("doc_end"), o["at"].alias("item_end")
+        ))
+        return F.when(found["reach"] <= best, best).otherwise(F.greatest(best, F.get(scored, F.lit(0))))
+
+    ordered = F.sort_array(F.transform(shifts, lambda s: F.struct(reach(s).alias("reach"), s.alias("shift"))), asc=False)
+    none = F.struct(F.lit(0).alias("score"), F.lit(0).alias("doc_end"), F.lit(0).alias("item_end"))
+    return F.aggregate(ordered, none, step)
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
     least: int = LEAST,
@@ -74,7 +99,8 @@ def leaks(
     """Overlaps of texts and benchmark items: key, twin (hash of the text), item, score, doc_end and item_end
     (the word after the best stretch); one row per key, text and item.
 
-    A window that repeats within a text or an item counts at its first place there, so hits grow with the words.
+    All places of a window that repeats within a text or an item count. Of hits one word apart along an alignment only the
+    first is a row, so hits of long repetitions grow with the words and not with their square.
     An overlap counts from a score of ``least`` on, or of the item's words if it has fewer. Words are
     lower-cased. Items and texts under SPAN words, empty and NULL ones among them, overlap with nothing; a
     NULL key or item id is kept as it is. Repeated rows give one row. Empty tables give an empty result.
@@ -84,21 +110,29 @@ def leaks(
     texts = texts.withColumn("twin", F.xxhash64("text"))
     items = benchmark.select(F.col(item).alias("item"), word_hashes(as_text(item_text)).alias("item_hashes"))
     items = items.filter(F.size("item_hashes") >= SPAN).distinct()
-    windows = _seeded(items.withColumnRenamed("item_hashes", "hashes"), 1, "item")
-    windows = windows.groupBy("item", F.col("seed").alias("item_seed")).agg(F.min("start").alias("item_start"))
+    windows = _with_previous(_seeded(items.withColumnRenamed("item_hashes", "hashes"), "item"), "item")
+    # Items may share an id: what is not next to it in all of them is listed apart, and a shift too many is only scored.
+    listed = [F.col("item"), F.col("seed").alias("item_seed"), F.col("previous").alias("item_previous")]
+    windows = settle(windows.groupBy(*listed).agg(F.collect_set("start").alias("item_starts")))
     hashed = texts.select("key", "twin", word_hashes(F.col("text")).alias("hashes"))
-    hits = _seeded(hashed, STRIDE, "key", "twin").join(small_side(settle(windows)), F.col("seed") == F.col("item_seed"))
-    hits = hits.groupBy("key", "twin", "item", "seed").agg(F.min("start").alias("start"), F.min("item_start").alias("item_start"))
-    hits = settle(hits.select("key", "twin", "item", (F.col("start") - F.col("item_start")).alias("shift")).distinct())
+    asked = small_side(settle(windows.select("item_seed").distinct()))
+    hits = _seeded(hashed, "key", "twin").join(asked, F.col("seed") == F.col("item_seed"), "left_semi")
+    # A NULL is no match: at the head of a text, of an item or of a row of hits, the window is the first.
+    hits = settle(_with_previous(hits.distinct(), "key", "twin"))
+    hits = hits.join(small_side(windows), F.col("seed") == F.col("item_seed"))
+    hits = hits.filter(F.coalesce(F.col("previous") != F.col("item_previous"), F.lit(True)))
+    hits = hits.select("key", "twin", "item", "start", F.explode("item_starts").alias("item_start"))
+    hits = settle(hits.groupBy("key", "twin", "item").agg(F.collect_set(F.col("start") - F.col("item_start")).alias("shifts")))
     hit = hits.select(F.col("key").alias("k"), F.col("twin").alias("t")).distinct()
     held = texts.join(small_side(settle(hit)), F.col("key").eqNullSafe(F.col("k")) & (F.col("twin") == F.col("t")), "left_semi")
     held = held.distinct().select(F.col("key").alias("k"), F.col("twin").alias("t"), word_hashes(F.col("text")).alias("hashes"))
     known = small_side(settle(items.withColumnRenamed("item", "i")))
     pairs = hits.join(held, F.col("key").eqNullSafe(F.col("k")) & (F.col("twin") == F.col("t"))).join(known, F.col("item").eqNullSafe(F.col("i")))
-    scored = pairs.select("key", "twin", "item", "shift", F.size("item_hashes").alias("n"), overlap(F.col("hashes"), F.col("item_hashes"), F.col("shift")).alias("o"))
-    found = scored.filter(F.col("o.best") >= F.least(F.lit(least), F.col("n")))
-    best = F.max(F.struct(F.col("o.best").alias("score"), (F.col("o.at") + F.col("shift")).alias("doc_end"), F.col("o.at").alias("item_end")))
-    return found.groupBy("key", "twin", "item").agg(best.alias("b")).select(
+    best = best_overlap(F.col("hashes"), F.col("item_hashes"), F.col("shifts"))
+    scored = pairs.select("key", "twin", "item", F.size("item_hashes").alias("n"), best.alias("b"))
+    found = scored.filter(F.col("b.score") >= F.least(F.lit(least), F.col("n")))
+    # Items may share an id.
+    return found.groupBy("key", "twin", "item").agg(F.max("b").alias("b")).select(
         F.col("key").alias(key), "twin", F.col("item").alias(item), "b.*"
     )
 
