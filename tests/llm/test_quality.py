@@ -83,3 +83,15 @@ def test_filter_keeps_rows_whole(make_docs):
     out = keep_good(docs)
     assert out.schema == docs.schema
     assert sorted(out.collect()) == sorted(docs.filter("doc_id < 90").collect())
+
+
+def test_rare_language_of_another_script_is_not_judged_by_the_others(make_docs):
+    from pyspark.sql import functions as F
+
+    cyrillic = " ".join(f"сл{chr(0x430 + i % 30)}{chr(0x430 + i * 7 % 30)}во{i % 61}" for i in range(200))
+    docs = make_docs([*((i, prose(6000, i)) for i in range(120)), (900, cyrillic), *((910 + i, cyrillic[i:]) for i in range(3))])
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") == 900, "xx").when(F.col("doc_id") > 900, "ru").otherwise("en"))
+    got = {r["doc_id"]: r for r in quality(docs).filter("doc_id >= 900").collect()}
+    assert set(got) == {900, 910, 911, 912} and all(r["kept"] for r in got.values())
+    assert got[900]["class_distance"] is None and got[910]["class_distance"] < 0.1
+    assert keep_good(docs).filter("doc_id >= 900").count() == 4

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vectable.llm.common import as_bytes, values
-from vectable.sources.tables import settle
+from vectable.sources.tables import settle, small_side
 
 COMMON_SHARE = 0.002
 LANGUAGE_SHARE = 0.001
@@ -111,22 +111,43 @@ def language_counts(docs: DataFrame, text: str = "text", lang: str = "lang") ->
 
 
 def language_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str | None, Reference]:
-    """References by language, from all texts, and one of the whole table under "". A language with
-    under ``LANGUAGE_SHARE`` of all words has none of its own. What comes to the driver is bounded: at
+    """References by language, from all texts, and one of the whole table under "", which judges no text. A language
+    with under ``LANGUAGE_SHARE`` of all words is in ``rare_references``. What comes to the driver is bounded: at
     most 1 / LANGUAGE_SHARE languages with at most 1 / COMMON_SHARE words each."""
-    counts = settle(language_counts(docs, text, lang))
-    total = F.col("word").isNull() & F.col("of_class").isNull()
-    whole = counts.filter(total).agg(F.sum("n")).first()[0] or 0
-    listed = [(r["lang"], r["n"]) for r in counts.filter(total & (F.col("n") >= max(1, LANGUAGE_SHARE * whole))).collect()]
-    names = F.broadcast(docs.sparkSession.createDataFrame(listed, "name string, total bigint"))
+    return _frequent_references(settle(language_counts(docs, text, lang)))
+
+
+TOTAL = "word IS NULL AND of_class IS NULL"
+
+
+def _bounds(counts: DataFrame) -> tuple[int, float]:
+    """All words, and how many of them a language needs to be frequent."""
+    whole = counts.filter(TOTAL).agg(F.sum("n")).first()[0] or 0
+    return whole, max(1, LANGUAGE_SHARE * whole)
+
+
+def _frequent_references(counts: DataFrame) -> dict[str | None, Reference]:
+    whole, least = _bounds(counts)
+    listed = [(r["lang"], r["n"]) for r in counts.filter(TOTAL).filter(F.col("n") >= least).collect()]
+    names = F.broadcast(counts.sparkSession.createDataFrame(listed, "name string, total bigint"))
     common = F.col("word").isNull() | (F.col("n") >= COMMON_SHARE * F.col("total"))
     own = counts.join(names, F.col("lang").eqNullSafe(F.col("name"))).filter(common)
     pooled = counts.groupBy("word", "of_class").agg(F.sum("n").alias("n")).withColumn("total", F.lit(whole)).filter(common)
-    return _references(own.select("lang", "word", "of_class", "n").collect()) | _references(
-        pooled.select(F.lit("").alias("lang"), "word", "of_class", "n").collect()
+    return _references(pooled.select(F.lit("").alias("lang"), "word", "of_class", "n").collect()) | _references(
+        own.select("lang", "word", "of_class", "n").collect()
     )
 
 
+def rare_references(counts: DataFrame) -> DataFrame:
+    """name (of a language), entries (word, of_class, n) of each language that has no frequent reference, from the counts of
+    ``language_counts``. A language with under 1 / COMMON_SHARE words, where any word is common, has none."""
+    _, least = _bounds(counts)
+    names = counts.filter(TOTAL).filter((F.col("n") < least) & (F.col("n") >= 1 / COMMON_SHARE)).select(F.col("lang").alias("name"), F.col("n").alias("total"))
+    own = counts.join(names, F.col("lang").eqNullSafe(F.col("name")))
+    own = own.filter(F.col("word").isNull() | (F.col("n") >= COMMON_SHARE * F.col("total")))
+    return own.groupBy("name").agg(F.collect_list(F.struct("word", "of_class", "n")).alias("entries"))
+
+
 def _references(rows: list) -> dict[str | None, Reference]:
     found: dict = defaultdict(lambda: ({}, np.zeros(len(CLASSES)), []))
     for lang, word, of_class, n in rows:
@@ -198,15 +219,26 @@ def measured(text: bytes, reference: Reference | None, limits: Limits) -> dict:
     }
 
 
-def measure(references: dict, limits: Limits, spark) -> Callable[[Column, Column], Column]:
-    """Column function of (text bytes, language): the counts and distances of a text."""
+def measure(references: dict, limits: Limits, spark) -> Callable[[Column, Column, Column], Column]:
+    """Column function of (text bytes, language, entries of a rare language): the counts and distances of a text."""
     shared = spark.sparkContext.broadcast(references)
 
     @F.arrow_udf(FIELDS_DDL)
-    def measures(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        known = shared.value
-        for texts, langs in batches:
-            yield pa.array([measured(t, known.get(k, known.get("")), limits) for t, k in zip(values(texts), values(langs))], FIELDS)
+    def measures(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        known, rare = shared.value, {}
+
+        def reference(name: str | None, entries: list | None) -> Reference | None:
+            if entries is None:
+                return known.get(name)
+            if name not in rare:
+                if len(rare) >= 1 / LANGUAGE_SHARE:
+                    rare.clear()
+                rare[name] = _references([(name, e["word"], e["of_class"], e["n"]) for e in entries]).get(name)
+            return rare[name]
+
+        for texts, langs, entries in batches:
+            rows = zip(values(texts), values(langs), values(entries))
+            yield pa.array([measured(t, reference(k, e), limits) for t, k, e in rows], FIELDS)
 
     return measures
 
@@ -222,25 +254,34 @@ def quality(
     NULL or empty text has no words and fails; a NULL language is a language of its own. An empty
     table gives an empty result. Other columns of ``docs`` are not read.
     """
-    found, passes = _judged(docs, text, lang, references, limits)
-    out = docs.select(F.col(key), found.alias("__m")).select(key, "__m.*")
+    rows, found, passes = _judged(docs, text, lang, references, limits)
+    out = rows.select(F.col(key), found.alias("__m")).select(key, "__m.*")
     return out.withColumn("base_failed", passes[0]).withColumn("kept", passes[1])
 
 
-def _judged(docs: DataFrame, text: str, lang: str, references: dict | None, limits: Limits) -> tuple[Column, tuple[Column, Column]]:
-    """The measures of a row, and (base_failed, kept) in terms of their fields."""
-    references = language_references(docs, text, lang) if references is None else references
-    found = measure(references, limits, docs.sparkSession)(as_bytes(text), F.col(lang).cast("string"))
+def _judged(
+    docs: DataFrame, text: str, lang: str, references: dict | None, limits: Limits
+) -> tuple[DataFrame, Column, tuple[Column, Column]]:
+    """``docs`` beside what measures them, the measures of a row, and (base_failed, kept) in terms of their fields."""
+    entries, rows = F.lit(None).cast("array<struct<word:binary,of_class:int,n:bigint>>"), docs
+    if references is None:
+        counts = settle(language_counts(docs, text, lang))
+        references = _frequent_references(counts)
+        rare = settle(rare_references(counts).select(F.col("name").alias("__name"), F.col("entries").alias("__entries")))
+        if not rare.isEmpty():
+            rows = docs.join(small_side(rare), F.col(lang).cast("string").eqNullSafe(F.col("__name")), "left")
+            entries = F.col("__entries")
+    found = measure(references, limits, docs.sparkSession)(as_bytes(text), F.col(lang).cast("string"), entries)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     near = [F.coalesce(F.col(f"{kind}_distance") <= getattr(limits, f"{kind}_distance"), F.lit(True)) for kind in ("class", "word")]
-    return found, (failed, ~failed & near[0] & near[1])
+    return rows, found, (failed, ~failed & near[0] & near[1])
 
 
 def keep_good(
     docs: DataFrame, *, text: str = "text", lang: str = "lang", references: dict | None = None, limits: Limits = Limits()
 ) -> DataFrame:
     """The rows of ``docs`` that ``quality`` keeps, with their columns as they are."""
-    found, (_, kept) = _judged(docs, text, lang, references, limits)
+    judged, found, (_, kept) = _judged(docs, text, lang, references, limits)
     # The row goes along in one struct, so no column of the measures can clash with one of its own.
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), found.alias("__m")).select("__row", "__m.*")
+    rows = judged.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), found.alias("__m")).select("__row", "__m.*")
     return rows.filter(kept).select("__row.*")
