@@ -143,3 +143,10 @@ def test_whole_item_after_a_fragment_of_it(make_docs, spark):
     rows = [(n, " ".join(["f"] * a + item[:12] + ["g"] * b + item)) for n, (a, b) in enumerate(gaps)] + [(100, "x " * 20_000)]
     got = {(r["doc_id"], r["item_id"]): r["score"] for r in leaks(make_docs(rows), items).collect()}
     assert got == {(n, 1): 15 for n in range(len(gaps))} | {(100, 2): 40}
+
+
+def test_repeated_passage_of_an_item_counts_at_each_place(make_docs, spark):
+    again, run = [f"p{j}" for j in range(11)], [f"z{j}" for j in range(6)]
+    items = spark.createDataFrame([(1, " ".join([*again, "y1", "y2", *run, "m1", "m2", *again]))], "item_id bigint, text string")
+    got = leaks(make_docs([(1, " ".join(["f", *run, "o1", "o2", *again]))]), items).collect()
+    assert [r["score"] for r in got] == [6 - 2 + 11]
