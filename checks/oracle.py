@@ -299,3 +299,6 @@ ORACLE: dict[str, str] = {
 }
 
 ORACLE["upsert_merge_reordered"] = ORACLE["upsert_merge"]
+ORACLE["ivf_assign_tree"] = ORACLE["ivf_assign"]
+ORACLE["batch_topk_pruned"] = ORACLE["batch_topk"]
+ORACLE["candidate_rerank_indexed"] = ORACLE["candidate_rerank"]

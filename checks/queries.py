@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from vectable.functions.embedders import counts_of
 from vectable.functions.predicates import where
 from vectable.functions.vectors import cosine, inner_product, l2_distance
-from vectable.operators import approx, delete, fetch, ingest, search, validate
+from vectable.operators import approx, delete, fetch, hamming_index, ingest, pruned, refine, search, validate
 from vectable.operators.mmr import mmr
 from vectable.plans import ingest as ingest_plan
 from vectable.plans.retrieve import retrieve, topk_by_text
-from vectable.sources.tables import corpus_scan, semi_filter
+from vectable.sources.tables import corpus_scan, semi_filter, settle
 from vectable.table import VectorTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -698,6 +698,34 @@ def ivf_trained(spark, sf):
     return hits(approx.ivf_search(indexed, all_queries(spark, sf), centroids, VECTORS, 5, nprobes=10))
 
 
+@query
+def ivf_assign_tree(spark, sf):
+    """Down a tree over the given centroids."""
+    tree = pruned.centroid_tree(label_centroids(spark, sf), VECTORS, 3)
+    return pruned.ivf_assign_tree(vectors(spark, sf), tree, VECTORS).select("vec_id", "list_id")
+
+
+@query
+def batch_topk_pruned(spark, sf):
+    """Lists that their bounds rule out are not read."""
+    centroids = label_centroids(spark, sf)
+    indexed = settle(approx.ivf_assign(vectors(spark, sf), centroids, VECTORS))
+    bounds = settle(pruned.list_bounds(indexed, centroids, VECTORS))
+    return hits(pruned.batch_topk_pruned(indexed, all_queries(spark, sf), bounds, VECTORS, 10).hits)
+
+
+@query
+def candidate_rerank_indexed(spark, sf):
+    """The first stage from bands of sketch bits: the same as a comparison with every sketch."""
+    index = hamming_index.sketch_index(vectors(spark, sf), axes(spark), VECTORS, 40)
+    return hits(hamming_index.candidate_rerank_indexed(vectors(spark, sf), all_queries(spark, sf), axes(spark), VECTORS, index, 5, 40))
+
+
+@query
+def knn_graph_refined(spark, sf):
+    return _edges(refine.knn_graph_refined(vectors(spark, sf), VECTORS, 5).edges)
+
+
 # Names under which the checks are listed, where the function name was taken.
 for _own, _listed in (
     ("corpus_scan_query", "corpus_scan"), ("topk_by_text_query", "topk_by_text"),

@@ -15,8 +15,11 @@ def database():
     return connect(SF)
 
 
+APPROXIMATE = {"knn_graph_refined"}  # iterative and not exact: tests/test_refine.py measures its recall
+
+
 def test_every_twin_has_a_query():
-    assert set(ORACLE) == set(QUERIES)
+    assert set(ORACLE) == set(QUERIES) - APPROXIMATE
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

@@ -36,6 +36,7 @@ from vectable.operators.fetch import (  # noqa: E402
     to_storage,
     without_vectors,
 )
+from vectable.operators.hamming_index import SketchIndex, candidate_rerank_indexed, sketch_candidates, sketch_index  # noqa: E402
 from vectable.operators.ingest import (  # noqa: E402
     append_documents,
     assign_ids,
@@ -50,6 +51,15 @@ from vectable.operators.ingest import (  # noqa: E402
     upsert_replace,
 )
 from vectable.operators.mmr import mmr  # noqa: E402
+from vectable.operators.pruned import (  # noqa: E402
+    CentroidTree,
+    batch_topk_pruned,
+    centroid_tree,
+    ivf_assign_tree,
+    list_bounds,
+    train_centroid_tree,
+)
+from vectable.operators.refine import knn_graph_refined  # noqa: E402
 from vectable.operators.search import attach, batch_topk, page, post_stages, relevance, scored, threshold, topk  # noqa: E402
 from vectable.operators.validate import validate_rows, validate_vectors  # noqa: E402
 from vectable.plans.ingest import ingest  # noqa: E402
@@ -65,7 +75,8 @@ from vectable.sources.tables import (  # noqa: E402
 from vectable.table import VectorTable  # noqa: E402
 
 __all__ = [
-    "Tuning", "VectorTable", "add_sketch", "append_documents", "assign_ids", "attach", "batch_topk", "bucket_of",
+    "CentroidTree", "SketchIndex", "Tuning", "VectorTable", "batch_topk_pruned", "candidate_rerank_indexed", "centroid_tree",
+    "ivf_assign_tree", "knn_graph_refined", "list_bounds", "sketch_candidates", "sketch_index", "train_centroid_tree", "add_sketch", "append_documents", "assign_ids", "attach", "batch_topk", "bucket_of",
     "candidate_rerank", "clear_settled", "corpus_scan", "delete_all", "delete_by_filter", "delete_by_ids", "delete_counts",
     "delete_in_namespace", "drop_known", "embed_corpus", "embed_query", "filtered_fetch", "from_storage", "get_by_ids", "get_path",
     "ingest", "ivf_assign", "ivf_search", "knn_graph", "latest_per_id", "mmr", "page", "post_stages", "random_planes",

@@ -104,8 +104,41 @@ def train_centroids(
         mean = features.select(vector_to_array(Summarizer.mean(F.col("features"))).alias("centroid"))
         return mean.select(F.lit(0).alias("list_id"), "centroid")
     model = KMeans(k=num_lists, maxIter=max_iter, seed=seed).fit(features)
-    centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return spark.createDataFrame(centres, "list_id int, centroid array<double>")
+    centres = np.array(model.clusterCenters())
+    return rows_as_table(spark, {"list_id": np.arange(len(centres), dtype=np.int32), "centroid": centres})
+
+
+def rows_as_table(spark: SparkSession, columns: dict[str, np.ndarray]) -> DataFrame:
+    """A table of numbers and, for matrices, vectors, handed over as Arrow buffers."""
+
+    def column(values: np.ndarray) -> pa.Array:
+        if values.ndim == 1:
+            return pa.array(values)
+        ends = np.arange(0, values.size + 1, values.shape[1], dtype=np.int32) if len(values) else np.zeros(1, np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(values, dtype=np.float64).ravel()))
+
+    return spark.createDataFrame(pa.table({name: column(values) for name, values in columns.items()}))
+
+
+def kmeans(rows: np.ndarray, k: int, max_iter: int = 15, seed: int = 42) -> np.ndarray:
+    """k centres of a bounded set of rows: distinct rows to start from, then rounds of means; a centre that lost
+    its rows keeps its place. Fewer where there are fewer distinct rows."""
+    distinct = np.unique(rows, axis=0)
+    centres = distinct[np.random.default_rng(seed).permutation(len(distinct))[:k]].astype(np.float64)
+    before = None
+    for _ in range(max_iter):
+        nearest_one = np.empty(len(rows), np.int64)
+        step = max(1, 8_000_000 // len(centres))
+        for start in range(0, len(rows), step):
+            nearest_one[start : start + step] = ((centres**2).sum(1)[None, :] - 2 * (rows[start : start + step] @ centres.T)).argmin(1)
+        if before is not None and (before == nearest_one).all():
+            break
+        before = nearest_one
+        order = np.argsort(nearest_one, kind="stable")
+        some, first = np.unique(nearest_one[order], return_index=True)
+        sums = np.add.reduceat(rows[order], first, axis=0)
+        centres[some] = sums / np.diff(np.r_[first, len(rows)])[:, None]
+    return centres
 
 
 @dataclass(frozen=True)
@@ -348,18 +381,38 @@ def knn_graph(
         table.row_key().alias("id"), path.alias("v"), *([path_col(within).alias("scope")] if within else [])
     )
     depth = max_degree + 1  # one more than asked: the row itself may be among them
-    same = [*scope, "__hash"]
-    hashed = rows.withColumn("__hash", F.unhex(F.md5(F.col("v").cast("string"))))
-    place = F.row_number().over(Window.partitionBy(*same).orderBy("id"))
-    first = hashed.withColumn("__place", place).filter(F.col("__place") <= depth)
-    # One row per distinct vector: its smallest id stands for it, ``members`` are its first ids. The
-    # window has laid the rows out by the same keys, so grouping moves nothing. Kept as a checkpoint,
-    # because the search and the joins below all start from it.
-    groups = first.groupBy(*same).agg(F.sort_array(F.collect_list("id")).alias("members"), F.first("v").alias("v"))
-    groups = settle(groups.withColumn("id", F.col("members")[0]))
-    distinct = groups.select("id", "v", *scope)
+    groups, hashed = copies_of(rows, scope, depth)
+    distinct = settle(rows.join(groups.select("id"), "id", "left_semi"))
     near = _distinct_neighbours(distinct, metric, depth, build_candidates, planes, table.dims, scope, search)
+    return spread_to_copies(near, groups, hashed, scope, max_degree, metric, table, corpus)
+
+
+def copies_of(rows: DataFrame, scope: list[str], depth: int) -> tuple[DataFrame, DataFrame]:
+    """Groups of rows (id, v, scope) with one vector, and every row's group key.
+
+    A group is its smallest id, which stands for it, and ``members``, its first ``depth`` ids. Only ids and a
+    128-bit hash of the vector are moved.
+    """
+    same = [*scope, "__h", "__g"]
+    hashed = rows.select("id", *scope, F.xxhash64(F.lit(1), "v").alias("__h"), F.xxhash64(F.lit(2), "v").alias("__g"))
+    first = hashed
+    spark = rows.sparkSession
+    if depth > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        # So deep a rank is not cut before the shuffle by itself: cut it in every task first.
+        first = first.withColumn("__task", F.spark_partition_id())
+        place = F.row_number().over(Window.partitionBy(*same, "__task").orderBy("id"))
+        first = first.withColumn("__place", place).filter(F.col("__place") <= depth).drop("__task", "__place")
+    place = F.row_number().over(Window.partitionBy(*same).orderBy("id"))
+    first = first.withColumn("__place", place).filter(F.col("__place") <= depth)
+    groups = first.groupBy(*same).agg(F.sort_array(F.collect_list("id")).alias("members"))
+    return settle(groups.withColumn("id", F.col("members")[0])), hashed
 
+
+def spread_to_copies(
+    near: DataFrame, groups: DataFrame, hashed: DataFrame, scope: list[str], max_degree: int, metric: str, table: VectorTable, corpus: DataFrame
+) -> DataFrame:
+    """The graph of all rows from ``near`` (query_id, id, near), the neighbours of each distinct vector and itself."""
+    depth, same = max_degree + 1, [*scope, "__h", "__g"]
     # Ids in place of distinct vectors: of each neighbour only its first ids can be wanted.
     named = near.join(groups.select("id", "members"), "id").select(
         "query_id", "near", F.explode("members").alias("id")
@@ -379,7 +432,7 @@ def knn_graph(
     )
     few = fits_broadcast(big, BROADCAST_ROWS // depth)
     big = big.join(lists, "query_id")
-    more = hashed.select(F.col("id").alias("src"), *same).join(F.broadcast(big) if few else big, same)
+    more = hashed.withColumnRenamed("id", "src").join(F.broadcast(big) if few else big, same)
     taken = taken.select("src", "__found").unionByName(
         more.filter(F.col("src") > F.col("__last")).select("src", "__found")
     )

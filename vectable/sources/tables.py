@@ -143,6 +143,16 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_settled(df: DataFrame) -> None:
+    """Delete what ``settle`` wrote for ``df`` itself, once nothing reads it any more."""
+    spark = df.sparkSession
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for folder in folders:
+        if folder.rsplit("/", 1)[-1].startswith("settled-"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_settled(spark: SparkSession) -> None:
     """Delete what ``settle`` wrote to the checkpoint folder; call it when no result is read any more."""
     root = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))
