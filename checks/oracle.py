@@ -298,6 +298,25 @@ ORACLE: dict[str, str] = {
       + graph("w a JOIN w b ON a.list_id = b.list_id"),
 }
 
+ORACLE["upsert_versioned"] = """WITH docs AS (SELECT CAST(doc_id AS VARCHAR) AS id, text, toxic, labels.doc_id IS NOT NULL AS labelled
+    FROM documents LEFT JOIN labels USING (doc_id)),
+  versions AS (SELECT id, text, 1 AS version, false AS gone FROM docs
+    UNION ALL SELECT id, 'v3 ' || text, 3, false FROM docs WHERE labelled
+    UNION ALL SELECT id, 'v2 ' || text, 2, false FROM docs
+    UNION ALL SELECT id, 'v4 ' || text, 4, true FROM docs WHERE toxic = 1
+    UNION ALL SELECT id, 'v0 ' || text, 0, true FROM docs),
+  newest AS (SELECT * FROM versions QUALIFY row_number() OVER (PARTITION BY id ORDER BY version DESC) = 1)
+  SELECT id, version, md5(text) AS text_md5 FROM newest WHERE NOT gone"""
+ORACLE["upsert_buckets"] = ORACLE["upsert_merge"]
+ORACLE["delete_buckets"] = f"""WITH {DOCS}, known AS (SELECT CAST(doc_id AS VARCHAR) AS id FROM labels),
+  a AS (SELECT * FROM docs WHERE id NOT IN (SELECT id FROM known)), b AS (SELECT * FROM a WHERE lang <> 'de'),
+  c AS (SELECT * FROM b WHERE namespace <> 'src2')
+  SELECT id, namespace, md5(text) AS text_md5, (SELECT count(*) FROM docs) - (SELECT count(*) FROM a) AS gone0,
+    (SELECT count(*) FROM a) - (SELECT count(*) FROM b) AS gone1, (SELECT count(*) FROM b) - (SELECT count(*) FROM c) AS gone2 FROM c"""
+ORACLE["to_storage"] = "SELECT doc_id AS _id, lang AS language, n_chars AS length FROM documents"
+ORACLE["retrieve_gather"] = text_search("d.lang <> 'de'") + """ SELECT query_id, string_agg(id, ',' ORDER BY rank) AS ids, count(*) AS n FROM hits GROUP BY query_id"""
+ORACLE["retrieve_mmr"] = f"""WITH found AS ({mmr_sql(4, 20, 0.5)})
+  SELECT query_id, rank, vec_id, score, 'row ' || vec_id AS text, label FROM found JOIN embeddings USING (vec_id)"""
 ORACLE["upsert_merge_reordered"] = ORACLE["upsert_merge"]
 ORACLE["ivf_assign_tree"] = ORACLE["ivf_assign"]
 ORACLE["batch_topk_pruned"] = ORACLE["batch_topk"]

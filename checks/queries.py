@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -13,7 +14,8 @@ from vectable.operators import approx, delete, fetch, hamming_index, ingest, pru
 from vectable.operators.mmr import mmr
 from vectable.plans import ingest as ingest_plan
 from vectable.plans.retrieve import retrieve, topk_by_text
-from vectable.sources.tables import corpus_scan, semi_filter, settle
+from vectable.sources import buckets
+from vectable.sources.tables import checkpoint_dir, corpus_scan, semi_filter, settle
 from vectable.table import VectorTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -241,6 +243,48 @@ def upsert_namespaced(spark, sf):
     return flat(ingest.upsert_merge(stored(spark, sf), moved, SPACED))
 
 
+def versions(spark, sf):
+    """Documents with a version and a delete mark; labelled ones are new in version 3, toxic ones deleted in version 4."""
+    docs, labels = read(spark, sf, "documents"), read(spark, sf, "labels")
+    rows = docs.select(F.col("doc_id").cast("string").alias("id"), F.lit("docs").alias("namespace"), "text", F.lit(1).alias("version"), F.lit(False).alias("gone"))
+    labelled = rows.join(labels.select(F.col("doc_id").cast("string").alias("id"), "toxic"), "id")
+
+    def at(df: DataFrame, version: int, gone: bool = False) -> DataFrame:
+        return df.select("id", "namespace", F.concat(F.lit(f"v{version} "), "text").alias("text"), F.lit(version).alias("version"), F.lit(gone).alias("gone"))
+
+    return rows, at(labelled, 3), at(rows, 2), at(labelled.filter("toxic = 1"), 4, True), at(rows, 0, True)
+
+
+@query
+def upsert_versioned(spark, sf):
+    """Batches out of order: the newest version of a key wins, a late older one or an old delete changes nothing."""
+    table, *batches = versions(spark, sf)
+    for late in batches:
+        table = settle(ingest.upsert_versioned(table, late, DOCS, "version", mark="gone"))
+    return ingest.live(table, "gone").select("id", "version", F.md5("text").alias("text_md5"))
+
+
+def bucketed(spark, rows: DataFrame, count: int = 8) -> buckets.BucketTable:
+    return buckets.BucketTable.create(rows, f"{checkpoint_dir(spark)}/settled-{uuid.uuid4().hex}", DOCS, count)
+
+
+@query
+def upsert_buckets(spark, sf):
+    table = bucketed(spark, stored(spark, sf))
+    table.upsert(batch(spark, sf), merge=True)
+    return flat(table.read())
+
+
+@query
+def delete_buckets(spark, sf):
+    """Deletes by id, by filter and in a namespace, one after the other, in a table in buckets."""
+    table = bucketed(spark, documents(spark, sf))
+    gone = [table.delete_by_ids(labelled_ids(spark, sf)), table.delete_by_filter({"lang": "de"})]
+    spaced = buckets.BucketTable(spark, table.path, DOCS)
+    gone.append(spaced.delete_by_filter(F.col("namespace") == "src2"))
+    return table.read().select("id", "namespace", F.md5("text").alias("text_md5"), *[F.lit(n).cast("bigint").alias(f"gone{i}") for i, n in enumerate(gone)])
+
+
 @query
 def dedupe_before_embed(spark, sf):
     known = read(spark, sf, "documents").join(read(spark, sf, "labels"), "doc_id", "left_semi")
@@ -406,6 +450,13 @@ def storage_rename(spark, sf):
     return chosen.select("number", "tongue", "size", F.md5("words").alias("words_md5"))
 
 
+@query
+def to_storage(spark, sf):
+    """Properties back to storage names; a property without one is left out."""
+    records = fetch.from_storage(read(spark, sf, "documents"), NAMES).withColumn("scratch", F.lit(1))
+    return fetch.to_storage(records, {"number": "_id", "tongue": "language", "size": "length"})
+
+
 @query
 def fetch_without_vectors(spark, sf):
     return fetch.without_vectors(read(spark, sf, "embeddings"))
@@ -632,6 +683,25 @@ def retrieve_query(spark, sf):
     return _retrieved(out)
 
 
+@query
+def retrieve_mmr(spark, sf):
+    """Queries are all vectors read backwards, as for ``mmr``."""
+    corpus = vectors(spark, sf).withColumn("text", F.concat(F.lit("row "), F.col("vec_id").cast("string")))
+    asked = all_queries(spark, sf).withColumn("query_vector", F.reverse("query_vector")).select("query_id", "query_vector")
+    out = retrieve(corpus, asked, VECTORS, 4, search_type="mmr", fetch_k=20, lambda_mult=0.5)
+    return out.select("query_id", "rank", F.col("id").alias("vec_id"), r6("score").alias("score"), "text", F.col("metadata.label").alias("label"))
+
+
+@query
+def retrieve_gather(spark, sf):
+    """One row per query with its hits in order."""
+    out = retrieve(
+        text_corpus(spark, sf), text_queries(spark, sf), DOCS, 4, model=letter_model, metric="L2",
+        condition={"lang": {"$ne": "de"}}, gather=True,
+    )
+    return out.select("query_id", F.array_join(F.transform("hits", lambda h: h["id"]), ",").alias("ids"), F.size("hits").cast("bigint").alias("n"))
+
+
 @query
 def retrieve_threshold(spark, sf):
     out = retrieve(

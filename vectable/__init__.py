@@ -42,13 +42,16 @@ from vectable.operators.ingest import (  # noqa: E402
     assign_ids,
     bucket_of,
     drop_known,
+    drop_marks,
     embed_corpus,
     embed_query,
     latest_per_id,
+    live,
     upsert_buckets,
     upsert_embeddings,
     upsert_merge,
     upsert_replace,
+    upsert_versioned,
 )
 from vectable.operators.mmr import mmr  # noqa: E402
 from vectable.operators.pruned import (  # noqa: E402
@@ -64,6 +67,7 @@ from vectable.operators.search import attach, batch_topk, page, post_stages, rel
 from vectable.operators.validate import validate_rows, validate_vectors  # noqa: E402
 from vectable.plans.ingest import ingest  # noqa: E402
 from vectable.plans.retrieve import retrieve, topk_by_text  # noqa: E402
+from vectable.sources.buckets import BucketTable, Conflict  # noqa: E402
 from vectable.sources.tables import (  # noqa: E402
     clear_settled,
     corpus_scan,
@@ -75,7 +79,7 @@ from vectable.sources.tables import (  # noqa: E402
 from vectable.table import VectorTable  # noqa: E402
 
 __all__ = [
-    "CentroidTree", "SketchIndex", "Tuning", "VectorTable", "batch_topk_pruned", "candidate_rerank_indexed", "centroid_tree",
+    "BucketTable", "CentroidTree", "Conflict", "drop_marks", "live", "upsert_versioned", "SketchIndex", "Tuning", "VectorTable", "batch_topk_pruned", "candidate_rerank_indexed", "centroid_tree",
     "ivf_assign_tree", "knn_graph_refined", "list_bounds", "sketch_candidates", "sketch_index", "train_centroid_tree", "add_sketch", "append_documents", "assign_ids", "attach", "batch_topk", "bucket_of",
     "candidate_rerank", "clear_settled", "corpus_scan", "delete_all", "delete_by_filter", "delete_by_ids", "delete_counts",
     "delete_in_namespace", "drop_known", "embed_corpus", "embed_query", "filtered_fetch", "from_storage", "get_by_ids", "get_path",

@@ -218,6 +218,49 @@ def upsert_merge(
     return both if untouched is None else untouched.unionByName(both)
 
 
+def upsert_versioned(
+    current: DataFrame, batch: DataFrame, table: VectorTable, version: str, *, mark: str | None = None, max_broadcast: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Each key keeps the row with its highest ``version`` (NULL is the lowest), stored or from the batch: an older row
+    that comes late changes nothing, and batches give the same table in any order and any number of times.
+
+    Rows are replaced whole; columns the batch lacks become NULL. Rows of one key and version go by a hash of the
+    row, like those in ``latest_per_id``, and a key may come several times. ``mark`` names a boolean column in which true
+    deletes the key as of that version: the mark stays in the table, so that an older row cannot bring the
+    key back. ``live`` leaves marked rows out, ``drop_marks`` removes old marks for good.
+    """
+    table.check(current, need=["id"])
+    table.check(batch, need=["id"])
+    for name in [version, *([mark] if mark else [])]:
+        if name not in current.columns or name not in batch.columns:
+            raise ValueError(f"both the table and the batch need the column {name!r}")
+    for c in [c for c in current.columns if c in batch.columns]:
+        wide = merged_type(current.schema[c].dataType, batch.schema[c].dataType)
+        current = current.withColumn(c, align(F.col(c), current.schema[c].dataType, wide))
+        batch = batch.withColumn(c, align(F.col(c), batch.schema[c].dataType, wide))
+    shaped = batch.select(*[F.col(c) if c in batch.columns else F.lit(None).cast(current.schema[c].dataType).alias(c) for c in current.columns])
+    newest = settle(latest_per_id(shaped, table, version))
+    same = F.xxhash64(*[_hashable(current, c) for c in current.columns])
+    keys = small_side(newest.select(*table.key), max_broadcast)
+    stored = current.join(keys, table.key, "left_semi").select(*table.key, F.col(version).alias("__version"), same.alias("__row"), F.lit(True).alias("__stored"))
+    met = newest.withColumn("__own", same).join(stored, table.key, "left")
+    later = F.col(version).isNotNull() & (F.col("__version").isNull() | (F.col(version) > F.col("__version")))
+    even = F.col(version).eqNullSafe(F.col("__version")) & (F.col("__own") < F.col("__row"))
+    wins = settle(met.filter(F.col("__stored").isNull() | later | even).select(*current.columns))
+    kept = current.join(small_side(wins.select(*table.key), max_broadcast), table.key, "left_anti")
+    return kept.select(*current.columns).unionByName(wins)
+
+
+def live(df: DataFrame, mark: str) -> DataFrame:
+    """The rows that are not deleted, without the mark."""
+    return df.filter(~F.coalesce(F.col(mark), F.lit(False))).drop(mark)
+
+
+def drop_marks(df: DataFrame, mark: str, version: str, before: object) -> DataFrame:
+    """Forget deletes older than ``before``; no row older than that may still arrive."""
+    return df.filter(~F.coalesce(F.col(mark) & (F.col(version) < F.lit(before)), F.lit(False)))
+
+
 def upsert_embeddings(
     current: DataFrame, batch: DataFrame, table: VectorTable, *, max_broadcast: int = BROADCAST_ROWS
 ) -> DataFrame:
