@@ -313,6 +313,8 @@ ORACLE["delete_buckets"] = f"""WITH {DOCS}, known AS (SELECT CAST(doc_id AS VARC
   c AS (SELECT * FROM b WHERE namespace <> 'src2')
   SELECT id, namespace, md5(text) AS text_md5, (SELECT count(*) FROM docs) - (SELECT count(*) FROM a) AS gone0,
     (SELECT count(*) FROM a) - (SELECT count(*) FROM b) AS gone1, (SELECT count(*) FROM b) - (SELECT count(*) FROM c) AS gone2 FROM c"""
+ORACLE["to_documents_json"] = f"WITH {DOCS} SELECT id, md5(text) AS text_md5, upper(lang) AS lang, namespace AS shelf, quality, n_chars FROM docs"
+ORACLE["to_documents_variant"] = ORACLE["to_documents_json"]
 ORACLE["to_storage"] = "SELECT doc_id AS _id, lang AS language, n_chars AS length FROM documents"
 ORACLE["retrieve_gather"] = text_search("d.lang <> 'de'") + """ SELECT query_id, string_agg(id, ',' ORDER BY rank) AS ids, count(*) AS n FROM hits GROUP BY query_id"""
 ORACLE["retrieve_mmr"] = f"""WITH found AS ({mmr_sql(4, 20, 0.5)})

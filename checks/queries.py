@@ -425,6 +425,30 @@ def to_documents(spark, sf):
     )
 
 
+def _dynamic(spark, sf, metadata: Column) -> DataFrame:
+    """Documents with schemaless metadata beside a new column and one that is a metadata field already."""
+    docs = documents(spark, sf)
+    return docs.select("id", "text", metadata.alias("metadata"), F.col("namespace").alias("shelf"), F.upper("metadata.lang").alias("lang"))
+
+
+def _folded(out: DataFrame, field: Callable[[str, str], Column]) -> DataFrame:
+    return out.select("id", F.md5("text").alias("text_md5"), field("lang", "string").alias("lang"), field("shelf", "string").alias("shelf"),
+                      field("quality", "int").alias("quality"), field("n_chars", "bigint").alias("n_chars"))
+
+
+@query
+def to_documents_json(spark, sf):
+    """Metadata as JSON text: columns are folded into it and win."""
+    out = fetch.to_documents(_dynamic(spark, sf, F.to_json("metadata")), DOCS)
+    return _folded(out, lambda name, kind: F.get_json_object("metadata", f"$.{name}").cast(kind))
+
+
+@query
+def to_documents_variant(spark, sf):
+    out = fetch.to_documents(_dynamic(spark, sf, F.parse_json(F.to_json("metadata"))), DOCS)
+    return _folded(out, lambda name, kind: F.try_variant_get("metadata", f"$.{name}", kind))
+
+
 @query
 def nested_paths(spark, sf):
     rows = read(spark, sf, "documents").select(

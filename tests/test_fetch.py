@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,13 +12,12 @@ TABLE = VectorTable()
 
 @pytest.fixture(scope="module")
 def nested(spark):
-    rows = [("1", ("first", [1.0]), ("storage",), "tenant-a"), ("2", None, ("search",), "tenant-b")]
-    return spark.createDataFrame(
-        rows, "id string, content struct<text string, vector array<float>>, attributes struct<topic string>, tenant string"
-    )
+    """Books whose page text and vector lie in one struct and whose facts lie in another."""
+    rows = [("b7", ([0.5], "of whales"), (1851, "sea"), 3), ("b8", None, (1818, "ice"), 4)]
+    return spark.createDataFrame(rows, "id string, page struct<coords array<float>, words string>, facts struct<year int, topic string>, floor int")
 
 
-NESTED = VectorTable(text="content.text", embedding="content.vector", metadata="attributes")
+NESTED = VectorTable(text="page.words", embedding="page.coords", metadata="facts")
 
 
 @pytest.mark.parametrize("limit", [0, 100])
@@ -45,13 +46,15 @@ def test_fetch_does_not_read_vectors(spark, corpus, tmp_path, plan_of):
 
 def test_documents_fold_columns(spark, nested):
     out = {r.id: r for r in fetch.to_documents(nested, NESTED).collect()}
-    assert out["1"].text == "first" and out["1"].metadata.asDict() == {"topic": "storage", "tenant": "tenant-a"}
+    assert out["b7"].text == "of whales" and out["b7"].metadata.asDict() == {"year": 1851, "topic": "sea", "floor": 3}
     with pytest.raises(Exception, match="no text"):
         fetch.to_documents(nested, NESTED, strict=True).collect()
     with pytest.raises(ValueError):
-        fetch.to_documents(nested.withColumn("content", F.struct(F.lit(42).alias("text"))), NESTED, strict=True)
+        fetch.to_documents(nested.withColumn("page", F.struct(F.lit(42).alias("words"))), NESTED, strict=True)
     with pytest.raises(ValueError):
-        fetch.to_documents(nested.withColumn("attributes", F.lit("invalid")), NESTED)
+        fetch.to_documents(nested.withColumn("facts", F.lit(5)), NESTED)
+    with pytest.raises(Exception, match="no JSON object"):
+        fetch.to_documents(nested.withColumn("facts", F.lit("[1]")), NESTED).collect()
 
 
 def test_extra_columns_win_and_internal_ones_go(spark):
@@ -62,31 +65,47 @@ def test_extra_columns_win_and_internal_ones_go(spark):
     assert fetch.to_documents(df, table, include_vectors=True).first().embedding == [1.0]
     dynamic = df.select("id", "text", F.parse_json(F.lit('{"n": 1}')).alias("metadata"))
     assert fetch.to_documents(dynamic, table).select(F.to_json("metadata")).first()[0] == '{"n":1}'
-    with pytest.raises(ValueError):
-        fetch.to_documents(dynamic.withColumn("tag", F.lit("x")), table)
+    tagged = fetch.to_documents(dynamic.withColumn("tag", F.lit("x")).withColumn("n", F.lit(None).cast("int")), table)
+    assert tagged.select(F.to_json("metadata")).first()[0] == '{"n":null,"tag":"x"}'
     bare = df.select("id", "text")
     assert fetch.to_documents(bare, table).columns == ["id", "text"]
 
 
+@pytest.mark.parametrize(
+    ("value", "want"),
+    [
+        ("""'{"a": {"b": [1, 2]}, "tag": "old"}'""", {"a": {"b": [1, 2]}, "tag": "new"}), ("CAST(NULL AS string)", {"tag": "new"}), ("' {} '", {"tag": "new"}),
+        ("""parse_json('{"a": 1.5, "tag": {"x": 1}}')""", {"a": 1.5, "tag": "new"}), ("map('k', 3, 'tag', 4)", {"k": 3, "tag": "new"}),
+        ("map('k', named_struct('z', 1))", {"k": {"z": 1}, "tag": "new"}), ("CAST(NULL AS variant)", {"tag": "new"}),
+    ],
+    ids=["json", "none", "empty", "variant", "map", "map of structs", "no variant"],
+)
+def test_columns_fold_into_schemaless_metadata(spark, value, want):
+    df = spark.createDataFrame([("1", "t", "new")], "id string, text string, tag string").withColumn("metadata", F.expr(value))
+    out = fetch.to_documents(df, VectorTable())
+    shown = F.col("metadata") if dict(out.dtypes)["metadata"] == "string" else F.to_json("metadata")
+    assert json.loads(out.select(shown).first()[0]) == want
+
+
 def test_paths(spark, nested):
-    assert nested.select(fetch.get_path(nested, "content.text")).first()[0] == "first"
+    assert nested.select(fetch.get_path(nested, "page.words")).first()[0] == "of whales"
     with pytest.raises(KeyError):
-        fetch.get_path(nested, "content.nope")
-    put = fetch.set_path(nested, "content.more.deep", F.lit(5))
-    assert [r[0] for r in put.select("content.more.deep").collect()] == [5, 5]
-    assert put.select("content.text").first()[0] == "first"
+        fetch.get_path(nested, "page.nope")
+    put = fetch.set_path(nested, "page.more.deep", F.lit(5))
+    assert [r[0] for r in put.select("page.more.deep").collect()] == [5, 5]
+    assert put.select("page.words").first()[0] == "of whales"
     assert fetch.set_path(nested, "fresh.a.b", F.lit(1)).select("fresh.a.b").first()[0] == 1
-    assert fetch.set_path(nested, "tenant", F.lit("t")).select("tenant").first()[0] == "t"
+    assert fetch.set_path(nested, "floor", F.lit("t")).select("floor").first()[0] == "t"
     with pytest.raises(ValueError):
-        fetch.set_path(nested, "tenant.name", F.lit(1))
-    gone = fetch.remove_path(nested, "content.vector")
-    assert gone.schema["content"].dataType.names == ["text"]
-    assert "content" not in fetch.remove_path(gone, "content.text").columns
-    assert fetch.remove_path(nested, "content.nope.x").schema == nested.schema
-    assert "tenant" not in fetch.remove_path(nested, "tenant").columns
-    deep = fetch.remove_path(fetch.set_path(nested, "content.more.deep", F.lit(5)), "content.more.deep")
-    assert deep.schema["content"].dataType.names == ["text", "vector"]
-    assert [r.content is None for r in gone.orderBy("id").collect()] == [False, True]
+        fetch.set_path(nested, "floor.name", F.lit(1))
+    gone = fetch.remove_path(nested, "page.coords")
+    assert gone.schema["page"].dataType.names == ["words"]
+    assert "page" not in fetch.remove_path(gone, "page.words").columns
+    assert fetch.remove_path(nested, "page.nope.x").schema == nested.schema
+    assert "floor" not in fetch.remove_path(nested, "floor").columns
+    deep = fetch.remove_path(fetch.set_path(nested, "page.more.deep", F.lit(5)), "page.more.deep")
+    assert deep.schema["page"].dataType.names == ["coords", "words"]
+    assert [r.page is None for r in gone.orderBy("id").collect()] == [False, True]
 
 
 NAMES = {"Id": "_id", "Text": "content", "Category": "category", "Embedding": "vector"}

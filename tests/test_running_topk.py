@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from vectable.functions import running_topk
 from vectable.functions.running_topk import HAMMING, RunningTopK, as_matrix
 from vectable.functions.vectors import row_nearness
 
@@ -59,3 +60,26 @@ def test_unusable_rows_are_left_out():
     words = pa.array([[1, -1], None, [5]], pa.list_(pa.int64()))
     positions, matrix = as_matrix(words, HAMMING, 2)
     assert positions.tolist() == [0] and matrix.tolist() == [[1, 2**64 - 1]]
+
+
+@pytest.mark.parametrize("metric", ["IP", "L2"])
+def test_one_very_long_row_does_not_make_all_pairs_be_scored_again(monkeypatch, metric):
+    rng = np.random.default_rng(8)
+    rows, queries = rng.standard_normal((4_000, 32)), rng.standard_normal((50, 32))
+    scored = []
+    exact = running_topk.row_nearness
+    monkeypatch.setattr(running_topk, "row_nearness", lambda m, r, q: scored.append(len(r)) or exact(m, r, q))
+
+    def run(stored):
+        scored.clear()
+        best = running_topk.RunningTopK(metric, queries, 5)
+        for start in range(0, len(stored), 1_000):
+            best.offer(stored[start : start + 1_000], pa.array(np.arange(start, start + 1_000)))
+        return best.winner_ids().reshape(50, 5), sum(scored)
+
+    _, plain = run(rows)
+    rows[123] *= 1e8
+    found, with_outlier = run(rows)
+    near = rows @ queries.T if metric == "IP" else -((rows[:, None] - queries[None]) ** 2).sum(-1)
+    assert (found == np.argsort(-near.T, axis=1, kind="stable")[:, :5]).all()
+    assert with_outlier < 2 * plain

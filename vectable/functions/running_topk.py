@@ -15,6 +15,7 @@ HAMMING = "HAMMING"  # internal: bits that differ between two packed sketches
 _BLOCK = 4_000_000  # scores held at once
 _PAIRS = 200_000  # candidate pairs rescored at once
 _EAGER = 20_000  # kept pairs worth an early merge
+_ALIKE = 4.0  # longest row over the median one, up to which one margin serves all
 WINNER_BYTES = 40  # about what one kept (query, row, nearness) takes
 
 
@@ -82,19 +83,21 @@ class RunningTopK:
         return rows[keep], ids.filter(pa.array(keep))
 
     def _rough(self, rows: np.ndarray, side: tuple, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(rough nearness of queries x rows, error margin per query)."""
+        """(rough nearness of queries x rows, error margin per query, or per pair where the rows' lengths differ much)."""
         if self.metric == HAMMING:
             total = np.zeros((len(which), len(rows)), dtype=np.int32)
             for word in range(rows.shape[1]):
                 total -= np.bitwise_count(self.queries[which, word][:, None] ^ rows[None, :, word])
-            return total, np.zeros(len(which))
+            return total, np.zeros((len(which), 1))
         product = self.side[0][which] @ side[0].T
         unit = 2.0 * (rows.shape[1] + 8) * 6e-8  # bound on the relative error of a float32 dot product
-        scale, row_scale = self.side[1][which], float(side[1].max())
+        scale, row_scale = self.side[1][which][:, None], side[1][None, :]
         if self.metric == EUCLIDEAN:  # ranks by minus the squared distance
-            squares = (scale**2)[:, None] + (side[1] ** 2)[None, :]
-            return 2.0 * product - squares, unit * (scale + row_scale) ** 2
-        return product, unit * scale * row_scale
+            product = 2.0 * product - (scale**2 + row_scale**2)
+        if side[1].max() <= _ALIKE * np.median(side[1]):
+            row_scale = side[1].max().reshape(1, 1)
+        # else one very long row must not widen the margin of all others
+        return product, unit * (scale + row_scale) ** 2 if self.metric == EUCLIDEAN else unit * scale * row_scale
 
     def _offer_block(self, rows: np.ndarray, side: tuple, ids: pa.Array, which: np.ndarray) -> None:
         rough, margin = self._rough(rows, side, which)
@@ -104,8 +107,9 @@ class RunningTopK:
         open_ended = np.flatnonzero(~np.isfinite(edge))
         if rough.shape[1] > self.k and len(open_ended):
             cut = rough.shape[1] - self.k
-            edge[open_ended] = np.partition(rough[open_ended], cut, axis=1)[:, cut]
-        at, row = np.nonzero(rough >= (edge - 2.0 * margin)[:, None])
+            least = rough[open_ended] - margin[open_ended]
+            edge[open_ended] = np.partition(least, cut, axis=1)[:, cut]
+        at, row = np.nonzero(rough + margin >= edge[:, None])
         for start in range(0, len(at), _PAIRS):
             q, r = which[at[start : start + _PAIRS]], row[start : start + _PAIRS]
             if self.metric == HAMMING:

@@ -48,8 +48,9 @@ def filtered_fetch(
 ) -> DataFrame:
     """Matching rows ordered by (column, ascending) pairs, then by key so that pages are stable.
 
-    A page that ends within ``deep`` rows is a top-k: no full sort. A deeper one sorts the matches by
-    range over all tasks and picks the page by position, so that the skipped rows are never in one place.
+    A page that ends within ``deep`` rows is a top-k: no full sort. For a deeper one the sort columns and keys alone are
+    dealt into ranges and counted; only the ranges that the page lies in are sorted, and only the page's rows are
+    read whole. Keys are unique.
     """
     check_range("top", top, 1)
     check_range("skip", skip, 0)
@@ -59,17 +60,25 @@ def filtered_fetch(
     found = where(rows, table, condition)
     if skip + top <= deep:
         return found.orderBy(*by).offset(skip).limit(top)
-    placed = settle(found.orderBy(*by).withColumn("__at", F.monotonically_increasing_id()))
-    # The id is the partition number, then the position in it; partitions are in sort order.
-    part, place = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = placed.groupBy(part.alias("part")).count().orderBy("part").collect()  # one row per partition
-    start, picked = 0, F.lit(False)
+    keys = [c for c in table.key]
+    names = [*dict.fromkeys([c for c, _ in order] + keys)]
+    narrow = found.select(*[path_col(c).alias(f"c{i}") for i, c in enumerate(names)])
+    ways = dict(order)
+    own = [F.col(f"c{i}").asc() if ways.get(c, True) else F.col(f"c{i}").desc() for i, c in enumerate(names)]
+    width = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = settle(narrow.repartitionByRange(width, *own).withColumn("part", F.spark_partition_id()))
+    sizes = placed.groupBy("part").count().orderBy("part").collect()  # one row per range
+    start, low, high, before = 0, None, None, 0
     for size in sizes:
-        low, high = max(skip, start), min(skip + top, start + size["count"])
-        if low < high:
-            picked = picked | ((part == size["part"]) & place.between(low - start, high - start - 1))
+        if start < skip + top and start + size["count"] > skip:
+            low, high, before = (size["part"], size["part"], start) if low is None else (low, size["part"], before)
         start += size["count"]
-    return placed.filter(picked).orderBy(*by).drop("__at")
+    if low is None:
+        return found.limit(0)
+    page = placed.filter(F.col("part").between(low, high)).orderBy(*own).offset(skip - before).limit(top)
+    wanted = small_side(settle(page.select(*[F.col(f"c{names.index(c)}").alias(f"__k{i}") for i, c in enumerate(keys)])))
+    on = [path_col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(keys)]
+    return found.join(wanted, on, "left_semi").orderBy(*by)
 
 
 def without_vectors(df: DataFrame) -> DataFrame:
@@ -108,15 +117,43 @@ def to_documents(
         metadata = [column.alias(name) for name, column in {**fields, **extras}.items()]
         if metadata:
             out.append(F.struct(*metadata).alias("metadata"))
-    elif isinstance(found, (T.MapType, T.VariantType)) and not extras:
-        out.append(path_col(table.metadata).alias("metadata"))
+    elif isinstance(found, (T.MapType, T.VariantType, T.StringType)):
+        out.append(_folded(path_col(table.metadata), found, extras, rest.schema).alias("metadata"))
     else:
-        raise ValueError("metadata must be an object, and a struct where columns are folded into it")
+        raise ValueError("metadata must be an object: a struct, map, variant or JSON text")
     if include_vectors and path_type(df.schema, table.embedding) is not None:
         out.append(path_col(table.embedding).alias("embedding"))
     return df.select(*[path_col(c) for c in keep], *out)
 
 
+def _folded(metadata: Column, kind: T.DataType, extras: dict[str, Column], schema: T.StructType) -> Column:
+    """Metadata without a schema with columns folded into it: JSON text stays text, a variant or map becomes a variant.
+    Text that is no JSON object is an error."""
+    if not extras and not isinstance(kind, T.StringType):
+        return metadata
+    if isinstance(kind, T.MapType):
+        fields = F.transform_values(F.map_from_entries(F.transform(F.map_entries(metadata), lambda e: F.struct(e["key"].cast("string"), e["value"]))),
+                                    lambda _, v: _as_variant(v, kind.valueType))
+    elif isinstance(kind, T.VariantType):
+        fields = metadata.cast("map<string,variant>")
+    else:
+        whole = F.trim(metadata)
+        parsed = F.from_json(whole, "map<string,variant>")
+        bad = F.raise_error(F.concat(F.lit("metadata is no JSON object: "), F.substring(metadata, 1, 100)))
+        fields = F.when(parsed.isNotNull() & whole.startswith("{"), parsed).when(metadata.isNotNull(), bad.cast("map<string,variant>"))
+    names = list(extras)
+    kept = F.coalesce(F.map_filter(fields, lambda k, _: ~k.isin(names)) if names else fields, F.create_map().cast("map<string,variant>"))
+    added = [part for name, column in extras.items() for part in (F.lit(name), F.coalesce(_as_variant(column, schema[name].dataType), F.parse_json(F.lit("null"))))]
+    merged = F.map_concat(kept, F.create_map(*added)) if added else kept
+    return F.to_json(merged) if isinstance(kind, T.StringType) else F.to_variant_object(merged)
+
+
+def _as_variant(column: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.VariantType):
+        return column
+    return F.to_variant_object(column) if isinstance(kind, (T.StructType, T.MapType, T.ArrayType)) else column.cast("variant")
+
+
 # ---- nested field paths ---------------------------------------------------------------------------
 
 

@@ -54,11 +54,11 @@ def pick_diverse(queries: np.ndarray, candidates: np.ndarray, present: np.ndarra
 
 
 def rerank_diverse(
-    hits: DataFrame, k: int = 4, lambda_mult: float = 0.5, *, queries: int | None = None, per_group: int = 200
+    hits: DataFrame, k: int = 4, lambda_mult: float = 0.5, *, queries: int | None = None, per_group: int | None = None
 ) -> DataFrame:
     """Pick k per query from hits that carry ``query_vector`` and ``vector``; ranks are renumbered.
 
-    Queries are hashed into groups of about ``per_group``, whose hits (at most fetch_k each) come
+    Queries are hashed into groups of about ``per_group`` (by default as many as ``GROUP_BYTES`` hold, measured), whose hits (at most fetch_k each) come
     together in one Arrow table: each greedy step is then one array operation over the group.
     ``queries`` is their number, counted if not given.
     """
@@ -66,6 +66,10 @@ def rerank_diverse(
     weight = check_lambda(lambda_mult)
     if queries is None:
         queries = hits.select("query_id").distinct().count()
+    if per_group is None:
+        longest = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("w"))
+        weight_each = longest.agg(F.max(F.col("n") * F.col("w"))).first()[0] or 1
+        per_group = max(1, min(200, GROUP_BYTES // (3 * 8 * weight_each)))
     key = [c for c in ("namespace", "id") if c in hits.columns]
     schema = T.StructType(
         [

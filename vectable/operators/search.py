@@ -24,11 +24,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from vectable.functions.predicates import Filter, where
 from vectable.functions.running_topk import HAMMING, WINNER_BYTES, RunningTopK, as_matrix
 from vectable.functions.vectors import is_valid, query_nearness
-from vectable.sources.tables import BROADCAST_ROWS, either_side
+from vectable.sources.tables import BROADCAST_ROWS, either_side, fits_broadcast, row_bytes, settle
 from vectable.table import EUCLIDEAN, VectorTable, check_metric, check_range, check_vector, path_col, path_type
 
 SHARED_QUERY_BYTES = 256 * 1024 * 1024
 CELL_BYTES = 64 * 1024 * 1024
+FEW_HITS = 50_000  # broadcast without being weighed
+LISTED_SCOPES = 10_000  # written into the filter, where they prune partitions at once; more of them are joined
 
 
 # ---- one query ------------------------------------------------------------------------------------
@@ -139,6 +141,9 @@ def attach(
         *[path_col(c).alias(name) for c, name in zip(columns, names)],
     )
     small = max_hits is not None and max_hits <= BROADCAST_ROWS
+    if small and max_hits > FEW_HITS:  # ids may be long: weigh them, computed once
+        hits = settle(hits)
+        small = fits_broadcast(hits)
     on = [wanted[f"__{key}"].eqNullSafe(hits[key]) if key == "namespace" else wanted[f"__{key}"] == hits[key] for key in keys]
     joined = wanted.join(F.broadcast(hits) if small else hits, on)
     return joined.select(*[hits[c] for c in hits.columns], *[wanted[name] for name in names])
@@ -156,14 +161,17 @@ class _Queries:
 
 
 def _prepare(queries: DataFrame, metric: str, dims: int | None, k: int, limit: int) -> _Queries:
-    """Count the queries, without computing their vectors, and see whether they and their running
-    winners fit in a task."""
-    count = queries.count()
+    """Count the queries, without computing their vectors, weigh their ids and scopes, and see whether all that and
+    their running winners fit in a task."""
+    weight = row_bytes(F.col("query_id"), queries.schema["query_id"].dataType)
+    if "scope" in queries.columns:
+        weight = weight + row_bytes(F.col("scope"), queries.schema["scope"].dataType)
+    count, own = queries.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0))).first()
     width = dims if metric != HAMMING else None
     if width is None:
         first = queries.select(F.size("v").alias("n")).filter("n > 0").head(1)
         width = first[0]["n"] if first else 1
-    return _Queries(queries, count, width, count * (8 * width + WINNER_BYTES * k) <= limit)
+    return _Queries(queries, count, width, own + count * (8 * width + WINNER_BYTES * k) <= limit)
 
 
 def _check_held(held: pa.Table, metric: str, width: int) -> np.ndarray:
@@ -334,15 +342,15 @@ def _arrow_type(dtype: T.DataType) -> pa.DataType:
     raise ValueError(f"ids of type {dtype.simpleString()} are not supported")
 
 
-def _positions_by_scope(scope: pa.Array) -> dict:
-    """Scope value -> positions of the queries that look there."""
+def _positions_by_scope(scope: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Scope values, where each one's queries start, and the positions of the queries that look there."""
     if isinstance(scope, pa.ChunkedArray):
         scope = scope.combine_chunks()
     parent = pc.list_parent_indices(scope).to_numpy()
-    pairs: dict = {}
-    for position, value in zip(parent, scope.flatten().to_pylist()):
-        pairs.setdefault(value, []).append(position)
-    return {value: np.unique(found) for value, found in pairs.items()}
+    coded = scope.flatten().dictionary_encode()
+    codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    pairs = np.unique(np.stack([codes, parent], axis=1)[codes >= 0], axis=0)
+    return coded.dictionary, np.searchsorted(pairs[:, 0], np.arange(len(coded.dictionary) + 1)), pairs[:, 1]
 
 
 def _shared(
@@ -360,9 +368,11 @@ def _shared(
     lookup = _positions_by_scope(held.column("scope")) if "scope" in held.column_names else None
     ids = held.column("query_id").combine_chunks()
     sent = corpus.sparkSession.sparkContext.broadcast((ids, matrix, lookup, floor))
-    if lookup is not None and len(lookup) <= 10_000:
-        # A literal list reaches the scan as a partition filter.
-        corpus = corpus.filter(F.col("scope").isin(sorted(x for x in lookup if x is not None)))
+    if lookup is not None and len(lookup[0]) <= LISTED_SCOPES:
+        corpus = corpus.filter(F.col("scope").isin(lookup[0].sort().to_pylist()))
+    elif lookup is not None:  # the join prunes partitions when it runs
+        wanted = corpus.sparkSession.createDataFrame(pa.table({"__scope": lookup[0]}))
+        corpus = corpus.join(F.broadcast(wanted), F.col("scope") == F.col("__scope"), "left_semi")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, vectors, wanted, low = sent.value
@@ -375,10 +385,12 @@ def _shared(
                 continue
             coded = batch.column(2).take(pa.array(positions)).dictionary_encode()
             codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-            for code, value in enumerate(coded.dictionary.to_pylist()):
-                if value in wanted:
+            values, starts, asked = wanted
+            known = pc.index_in(coded.dictionary, value_set=values.cast(coded.dictionary.type)).fill_null(-1).to_numpy(zero_copy_only=False)
+            for code, at in enumerate(known):
+                if at >= 0:
                     member = np.flatnonzero(codes == code)
-                    best.offer(rows[member], names.take(pa.array(member)), wanted[value])
+                    best.offer(rows[member], names.take(pa.array(member)), asked[starts[at] : starts[at + 1]])
         yield from best.result(query_ids, arrow)
 
     return corpus.mapInArrow(scan, schema)
