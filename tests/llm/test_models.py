@@ -217,3 +217,14 @@ def test_scores_use_every_word_and_every_ngram(make_docs):
     for r in got:
         # Probabilities of one byte are close, not equal.
         assert r["score"] == pytest.approx(want[r["doc_id"]], rel=0.02)
+
+
+def test_hidden_elements_end_with_their_parent():
+    assert texts("<p>so <math><mi>x</mi> <mo>=</mo> <mn>2</mn></math> holds</p>") == ["so x = 2 holds"]
+    assert texts("<p>see <object data=x>the drawing</object> here</p>") == ["see the drawing here"]
+    assert texts("<p>an <svg><title>icon</title><path d='M0'/></svg> here</p><p>b</p>") == ["an here", "b"]
+    for tag in ("svg", "template", "noscript", "iframe"):
+        assert texts(f"<div><p>a <{tag}>gone<p>gone</p></div><p>stays</p>") == ["a", "stays"]
+    assert texts("<p>a<script>b<p>c</p>") == ["a"]  # as in browsers
+    long = Block(("in:p",), "p", "1" * 100 + " word" * 200, 0.0)
+    assert "digits" not in text_features(long)

@@ -72,7 +72,7 @@ def test_short_texts_are_not_judged_by_distance(make_docs):
 
 def test_references_count_every_text(make_docs):
     found = language_references(make_docs([(1, "The the cat"), (2, "dog 7"), (3, None)]))
-    assert set(found) == {"en", ""}
+    assert set(found) == {"en"}
     assert found["en"].words.keys() == {b"the", b"cat", b"dog", b"7"}
     assert found["en"].shares.sum() == 5 and found["en"].shares[found["en"].words[b"the"]] == 2
     assert found["en"].classes.sum() == len("The the catdog 7")
@@ -95,3 +95,14 @@ def test_rare_language_of_another_script_is_not_judged_by_the_others(make_docs):
     assert set(got) == {900, 910, 911, 912} and all(r["kept"] for r in got.values())
     assert got[900]["class_distance"] is None and got[910]["class_distance"] < 0.1
     assert keep_good(docs).filter("doc_id >= 900").count() == 4
+
+
+def test_small_languages_have_no_reference_whatever_their_name(make_docs):
+    from pyspark.sql import functions as F
+
+    cyrillic = " ".join(f"сл{chr(0x430 + i % 30)}{chr(0x430 + i * 7 % 30)}во{i % 61}" for i in range(200))
+    docs = make_docs([*((i, prose(6000, i)) for i in range(60)), (900, cyrillic)]).withColumn("lang", F.when(F.col("doc_id") == 900, "").otherwise("en"))
+    row = quality(docs).filter("doc_id = 900").first()
+    assert row["class_distance"] is None and row["kept"]
+    alone = quality(docs.filter("doc_id = 900")).first()  # the same verdict in a table where it has all the words
+    assert alone["class_distance"] is None and alone["kept"]

@@ -150,3 +150,38 @@ def test_repeated_passage_of_an_item_counts_at_each_place(make_docs, spark):
     items = spark.createDataFrame([(1, " ".join([*again, "y1", "y2", *run, "m1", "m2", *again]))], "item_id bigint, text string")
     got = leaks(make_docs([(1, " ".join(["f", *run, "o1", "o2", *again]))]), items).collect()
     assert [r["score"] for r in got] == [6 - 2 + 11]
+
+
+def test_very_many_matches_in_one_text(make_docs):
+    import time
+
+    n = 60_000
+    text = " ".join(f"{i:024x}" for i in range(n))
+    docs = make_docs([(1, text), (2, "password = abcdef")])
+    scan_secrets(docs.filter("doc_id = 2")).collect()
+    began = time.time()
+    got = {r["doc_id"]: r for r in scan_secrets(docs).collect()}
+    assert time.time() - began < 60  # the square of the matches would take hours
+    assert got[1]["n_hex"] == n
+    assert got[1]["certain"] == ",".join(f"hex:{25 * i}:{25 * i + 24}" for i in range(n))
+
+
+def test_items_shorter_than_a_mask_are_found_word_for_word(spark, make_docs):
+    items = [(1, "one two three four five six seven eight nine ten"), (2, "solitary"), (3, ""), (4, None), (5, "Two words"), (5, "other")]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = make_docs([
+        (1, "before it ONE two three four five six seven eight nine ten after it"), (2, "one two three four five six seven eight nine"),
+        (3, "a solitary word and a solitary other"), (4, "two  words\nand two words"), (5, ""), (6, None), (7, "words two"),
+    ])
+    got = {(r["doc_id"], r["item_id"]): (r["score"], r["doc_end"], r["item_end"]) for r in leaks(docs, benchmark).collect()}
+    assert got == {(1, 1): (10, 12, 10), (3, 2): (1, 6, 1), (3, 5): (1, 7, 1), (4, 5): (2, 5, 2)}
+    assert {r["doc_id"] for r in without_leaks(docs, benchmark).collect()} == {2, 5, 6, 7}
+
+
+def test_touching_parts_told_apart_as_rows(spark, sf_dir, monkeypatch):
+    from vectable.llm import secret_scan
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    want = sorted(map(tuple, scan_secrets(docs).collect()))
+    monkeypatch.setattr(secret_scan, "TOUCHES", -1)
+    assert sorted(map(tuple, scan_secrets(docs).collect())) == want

@@ -92,6 +92,17 @@ def best_overlap(a: Column, b: Column, shifts: Column) -> Column:
     return F.aggregate(ordered, none, step)
 
 
+def _whole_items(hashed: DataFrame, items: DataFrame, words: int) -> DataFrame:
+    """key, twin, item, b: the places where items of so many words stand in a text word for word."""
+    small = items.select("item", F.xxhash64(*[F.col("item_hashes")[i] for i in range(words)]).alias("whole"))
+    starts = F.when(F.size("hashes") >= words, F.sequence(F.lit(0), F.size("hashes") - words)).otherwise(F.array().cast("array<int>"))
+    windows = F.transform(starts, lambda at: F.xxhash64(*[F.get("hashes", at + i) for i in range(words)]))
+    placed = hashed.select("key", "twin", F.posexplode(windows).alias("at", "whole"))
+    met = placed.join(small_side(settle(small)), "whole")
+    b = F.struct(F.lit(words).alias("score"), (F.col("at") + words).alias("doc_end"), F.lit(words).alias("item_end"))
+    return met.groupBy("key", "twin", "item").agg(F.max(b).alias("b"))
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
     least: int = LEAST,
@@ -102,14 +113,15 @@ def leaks(
     All places of a window that repeats within a text or an item count. Of hits one word apart along an alignment only the
     first is a row, so hits of long repetitions grow with the words and not with their square.
     An overlap counts from a score of ``least`` on, or of the item's words if it has fewer. Words are
-    lower-cased. Items and texts under SPAN words, empty and NULL ones among them, overlap with nothing; a
-    NULL key or item id is kept as it is. Repeated rows give one row. Empty tables give an empty result.
+    lower-cased. An item of 1 to SPAN - 1 words is found where it stands word for word (doc_end: its last place). Empty and NULL
+    texts and items overlap with nothing; a NULL key or item id is kept as it is. Repeated rows give one row. Empty tables give an empty result.
     Other columns are not read.
     """
     texts = docs.select(F.col(key).alias("key"), as_text(text).alias("text"))
     texts = texts.withColumn("twin", F.xxhash64("text"))
     items = benchmark.select(F.col(item).alias("item"), word_hashes(as_text(item_text)).alias("item_hashes"))
-    items = items.filter(F.size("item_hashes") >= SPAN).distinct()
+    items = items.filter((F.size("item_hashes") > 0) & (items["item_hashes"][0] != F.xxhash64(F.lit("")))).distinct()
+    short, items = items.filter(F.size("item_hashes") < SPAN), items.filter(F.size("item_hashes") >= SPAN)
     windows = _with_previous(_seeded(items.withColumnRenamed("item_hashes", "hashes"), "item"), "item")
     # Items may share an id: what is not next to it in all of them is listed apart, and a shift too many is only scored.
     listed = [F.col("item"), F.col("seed").alias("item_seed"), F.col("previous").alias("item_previous")]
@@ -131,6 +143,9 @@ def leaks(
     best = best_overlap(F.col("hashes"), F.col("item_hashes"), F.col("shifts"))
     scored = pairs.select("key", "twin", "item", F.size("item_hashes").alias("n"), best.alias("b"))
     found = scored.filter(F.col("b.score") >= F.least(F.lit(least), F.col("n")))
+    found = found.select("key", "twin", "item", "b")
+    for words in [r[0] for r in short.select(F.size("item_hashes").alias("n")).distinct().orderBy("n").collect()]:  # under SPAN of them
+        found = found.unionByName(_whole_items(hashed, short.filter(F.size("item_hashes") == words), words))
     # Items may share an id.
     return found.groupBy("key", "twin", "item").agg(F.max("b").alias("b")).select(
         F.col("key").alias(key), "twin", F.col("item").alias(item), "b.*"

@@ -19,11 +19,12 @@ _PARTS = re.compile(r"[a-z]{2,}")
 
 _list = frozenset
 VOID = _list("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = _list("script style template noscript svg iframe object textarea math".split())
+RAW = _list("script style textarea".split())  # skipped up to their end tag, or the page's end without one, as in browsers
+HIDDEN = _list("template noscript svg iframe".split())  # skipped while open; like any element they end with their parent
 INLINE = _list(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd mark q rp rt ruby s samp small span"
-    " strike strong sub sup time tt u var wbr br area".split()
-)
+    " strike strong sub sup time tt u var wbr br area math object".split()
+) | HIDDEN
 # A start tag of the first closes an open one of the second, unless one of the third stands between.
 _CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -61,11 +62,19 @@ def blocks(page: str, known: Collection[str] | None = None) -> list[Block]:
 
     def data(raw: str) -> None:
         nonlocal linked
+        if hidden():
+            return
         text = html.unescape(raw) if "&" in raw else raw
         parts.append(text)
         if depth["a"]:
             linked += len(" ".join(text.split()))
 
+    def hidden() -> bool:
+        return any(depth[tag] for tag in HIDDEN)
+
+    def inline(tag: str) -> bool:
+        return tag in INLINE or bool(depth["math"]) or hidden()
+
     def pop(place: int) -> None:
         for tag, _ in stack[place:]:
             depth[tag] -= 1
@@ -94,19 +103,19 @@ def blocks(page: str, known: Collection[str] | None = None) -> list[Block]:
             continue
         tag = tag.lower()
         if found["close"]:
-            if tag not in INLINE:
+            if not inline(tag):
                 flush()
             if depth[tag]:
                 pop(max(i for i in range(len(stack)) if stack[i][0] == tag) if len(stack) < 50 else _last(stack, tag))
             continue
-        if tag in HIDDEN and not found["rest"].endswith("/"):
+        if tag in RAW and not found["rest"].endswith("/"):
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             parts.append(" ")
             continue
-        if tag == "br":
+        if tag == "br" or tag in HIDDEN:
             parts.append(" ")
-        if tag not in INLINE:
+        if not inline(tag):
             flush()
             if depth["p"]:
                 close({"p"}, {"table", "div", "section", "article", "body"})
@@ -142,7 +151,7 @@ def text_features(block: Block) -> list[str]:
         out.append("comma")
     if "©" in block.text or "·" in block.text:
         out.append("mark")
-    if sum(map(str.isdigit, block.text[:200])) * 5 > len(block.text[:200]):
+    if sum(map(str.isdigit, block.text)) * 5 > len(block.text):
         out.append("digits")
     return out
 

@@ -111,7 +111,7 @@ def language_counts(docs: DataFrame, text: str = "text", lang: str = "lang") ->
 
 
 def language_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str | None, Reference]:
-    """References by language, from all texts, and one of the whole table under "", which judges no text. A language
+    """References by language, from all texts. A language
     with under ``LANGUAGE_SHARE`` of all words is in ``rare_references``. What comes to the driver is bounded: at
     most 1 / LANGUAGE_SHARE languages with at most 1 / COMMON_SHARE words each."""
     return _frequent_references(settle(language_counts(docs, text, lang)))
@@ -127,15 +127,12 @@ def _bounds(counts: DataFrame) -> tuple[int, float]:
 
 
 def _frequent_references(counts: DataFrame) -> dict[str | None, Reference]:
-    whole, least = _bounds(counts)
+    _, least = _bounds(counts)
     listed = [(r["lang"], r["n"]) for r in counts.filter(TOTAL).filter(F.col("n") >= least).collect()]
     names = F.broadcast(counts.sparkSession.createDataFrame(listed, "name string, total bigint"))
     common = F.col("word").isNull() | (F.col("n") >= COMMON_SHARE * F.col("total"))
     own = counts.join(names, F.col("lang").eqNullSafe(F.col("name"))).filter(common)
-    pooled = counts.groupBy("word", "of_class").agg(F.sum("n").alias("n")).withColumn("total", F.lit(whole)).filter(common)
-    return _references(pooled.select(F.lit("").alias("lang"), "word", "of_class", "n").collect()) | _references(
-        own.select("lang", "word", "of_class", "n").collect()
-    )
+    return _references(own.select("lang", "word", "of_class", "n").collect())
 
 
 def rare_references(counts: DataFrame) -> DataFrame:
@@ -266,7 +263,8 @@ def _judged(
     entries, rows = F.lit(None).cast("array<struct<word:binary,of_class:int,n:bigint>>"), docs
     if references is None:
         counts = settle(language_counts(docs, text, lang))
-        references = _frequent_references(counts)
+        # The same rule however a reference is made: with under 1 / COMMON_SHARE words, where any word is common, there is none.
+        references = {k: r for k, r in _frequent_references(counts).items() if r.shares.sum() >= 1 / COMMON_SHARE}
         rare = settle(rare_references(counts).select(F.col("name").alias("__name"), F.col("entries").alias("__entries")))
         if not rare.isEmpty():
             rows = docs.join(small_side(rare), F.col(lang).cast("string").eqNullSafe(F.col("__name")), "left")

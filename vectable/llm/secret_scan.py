@@ -10,12 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vectable.llm.common import as_text
 from vectable.sources.tables import settle
 
 SCOPE = 200
+PIECE = 256  # matches folded at once
+TOUCHES = 10_000  # pairs of a weak and a certain part that are compared within a row
 
 _VALUE = r"""["']?\x20*[:=]\x20*["']?"""
 # kind: pattern, group to measure, least length of it
@@ -48,15 +50,41 @@ def _spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Col
     measured = lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(group))) if group else whole
     rows = F.arrays_zip(lengths(F.slice(F.split(text, pattern), 1, F.size(whole))).alias("gap"), whole.alias("size"), measured.alias("part"))
 
+    none = F.array().cast(f"array<{SPAN}>")
+
     def step(state: Column, row: Column) -> Column:
         start = state["at"] + row["gap"]
         span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (start + row["size"]).alias("end"))
-        kept = F.when(row["part"] >= least, F.array(span)).otherwise(F.array()).cast(f"array<{SPAN}>")
+        kept = F.when(row["part"] >= least, F.array(span)).otherwise(none)
         return F.struct((start + row["size"]).alias("at"), F.concat(state["out"], kept).alias("out"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
-    found = F.aggregate(rows, zero, step)["out"]
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(f"array<{SPAN}>"))
+    return F.when(text.rlike(pattern), _bound(rows, lambda r: F.when(F.size(r) > 0, _places(r, step, none)).otherwise(none))).otherwise(none)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once: a list of one stands for a variable."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _places(rows: Column, step: Callable, none: Column) -> Column:
+    """The spans of all matches. A fold that appends copies what it has, so it runs over pieces of the list, each starting at
+    the place where the one before it ends: matches x PIECE steps instead of their square."""
+
+    def fold(part: Column, at: Column) -> Column:
+        return F.aggregate(part, F.struct(at.alias("at"), none.alias("out")), step)["out"]
+
+    def width(piece: Column) -> Column:
+        return F.aggregate(piece, F.lit(0), lambda total, row: total + row["gap"] + row["size"])
+
+    def pieced(pieces: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        ends = F.aggregate(F.transform(pieces, width), start, lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")))
+        each = F.arrays_zip(pieces.alias("rows"), ends["out"].alias("at"))
+        return F.flatten(F.transform(each, lambda p: fold(p["rows"], p["at"])))
+
+    last = F.ceil(F.size(rows) / PIECE).cast("int") - 1
+    cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(rows, i * PIECE + 1, F.lit(PIECE)))
+    return F.when(F.size(rows) <= PIECE, fold(rows, F.lit(0))).otherwise(_bound(cut, pieced))
 
 
 def _all(text: Column, kinds: dict) -> Column:
@@ -74,6 +102,10 @@ def _listed(spans: Column) -> Column:
 def _linked(found: DataFrame, scope: int) -> DataFrame:
     """key, twin, linked: the weak spans of each text whose complementary parts lie within the scope."""
     parts = found.select("key", "twin", F.explode(F.concat("certain", "weak")).alias("s")).distinct().select("key", "twin", "s.*")
+    own = F.col("kind") < len(CERTAIN)
+    ahead, behind = (Window.partitionBy("key", "twin").orderBy(o).rangeBetween(Window.unboundedPreceding, 0) for o in (F.asc("start"), F.desc("start")))
+    touched = (F.max(F.when(own, F.col("end"))).over(ahead) > F.col("start")) | (F.min(F.when(own, F.col("start"))).over(behind) < F.col("end"))
+    parts = parts.withColumn("touched", F.coalesce(touched, F.lit(False))).filter(own | ~F.col("touched")).drop("touched")
     parts = parts.withColumn("strip", F.floor(F.col("start") / scope).cast("int"))
     kind = F.get(F.array(*[F.lit(ROLE[k]) for k in KINDS]), F.col("kind"))
     places = [f(F.when(kind == role, F.col("start"))).alias(f"{f.__name__}_{role}") for role in ROLES for f in (F.min, F.max)]
@@ -106,7 +138,9 @@ def scan_secrets(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sc
     rows = docs.select(F.col(key).alias("key"), as_text(text).alias("text"))
     found = rows.select("key", F.xxhash64("text").alias("twin"), _all(F.col("text"), CERTAIN).alias("certain"), _all(F.col("text"), WEAK).alias("weak"))
     touching: Callable = lambda w: lambda c: (c["start"] < w["end"]) & (w["start"] < c["end"])
-    found = settle(found.withColumn("weak", F.filter("weak", lambda w: ~F.exists("certain", touching(w)))))
+    apart = F.filter("weak", lambda w: ~F.exists("certain", touching(w)))  # of texts with few; others are told apart where parts are rows
+    few = F.size("weak").cast("bigint") * F.size("certain") <= TOUCHES
+    found = settle(found.withColumn("weak", F.when(few, apart).otherwise(F.col("weak"))))
     linked = _linked(found.filter(F.size("weak") > 0), scope)
     joined = found.join(linked, F.col("key").eqNullSafe(F.col("k")) & (F.col("twin") == F.col("t")), "left")
 
