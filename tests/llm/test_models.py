@@ -8,13 +8,14 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vectable.llm import queries
-from vectable.llm.elias_fano import EliasFano, map_file, to_bytes
+from vectable.llm.elias_fano import EliasFano, map_bytes, map_file, to_bytes
 from vectable.llm.html_blocks import Block, blocks, labelled_pages, text_features
 from vectable.llm.html_extract import Field, _marginals, extract, main_text, train, trained_field
-from vectable.llm.ngram_lm import score_texts
-from vectable.llm.ngram_trie import Trie, build, join_code, quantise
+from vectable.llm.ngram_lm import Dealing, Vocabulary, _unpacked, held_out, hot_contexts, score_texts, sent_tokens
+from vectable.llm.ngram_trie import Trie, build, quantise
 
 # --- pages
 
@@ -123,25 +124,29 @@ def test_quantised_values_are_close():
     assert (table[quantise(np.array([1.5, 1.5]))[0]] is not None) and len(quantise(np.array([]))[0]) == 0
 
 
-def test_trie_gives_distributions(tmp_path):
+def test_packed_numbers_of_every_width():
+    draw = np.random.default_rng(3)
+    for width in range(1, 40):
+        values = np.sort(draw.integers(0, (1 << width) * 50, 50))
+        sequence = EliasFano.from_arrays(map_bytes(to_bytes(EliasFano.of(values).arrays())))
+        assert (sequence.get(np.arange(50)) == values).all()
+
+
+def test_trie_gives_distributions():
     draw = np.random.default_rng(1)
     line = draw.choice([3, 4, 5, 6, 7], 4000, p=[0.4, 0.3, 0.15, 0.1, 0.05])
     line[1::2] = line[:-1:2] % 5 + 3
-    pairs, triples = Counter(zip(line.tolist(), line[1:].tolist())), Counter(zip(*(line[i:].tolist() for i in range(3))))
-    ones = np.array([-1, -1, -1, *np.bincount(line, minlength=8)[3:]])
-
-    def table(counts):
-        kept = sorted((int(join_code(*((0,) * (3 - len(k)) + k))), n) for k, n in counts.items() if n > 5)
-        return np.array([k for k, _ in kept]), np.array([n for _, n in kept])
-
-    (tmp_path / "t").write_bytes(build(ones, ones.clip(0), table(pairs), table(triples)))
-    trie = Trie(map_file(str(tmp_path / "t")))
-    for a, b in itertools.product([0, 3, 4, 5, 6, 7], [3, 4, 5, 6, 7]):
+    pairs, threes = Counter(zip(line.tolist(), line[1:].tolist())), Counter(zip(*(line[i:].tolist() for i in range(3))))
+    ones = np.bincount(line, minlength=9) / len(line)
+    codes = sorted((b * 9 + c, n) for (b, c), n in pairs.items() if n > 5)
+    place = {code: i for i, (code, _) in enumerate(codes)}
+    kept = sorted((place[b * 9 + c], a, n) for (a, b, c), n in threes.items() if b * 9 + c in place and n > 5)
+    trie = Trie(map_bytes(build(9, *np.array(codes).T, *np.array(kept).T, ones)))
+    for a, b in itertools.product([0, 3, 4, 5, 6, 7], [3, 4, 5, 6, 7, 8]):
         c = np.arange(3, 8)
-        total = (10 ** trie.log10(np.full(5, a), np.full(5, b), c)).sum()
-        assert total == pytest.approx(1, abs=0.05)
-    (a, b, c), n = triples.most_common(1)[0]
-    assert 10 ** trie.log10(*(np.array([x]) for x in (a, b, c)))[0] == pytest.approx((n - 0.75) / pairs[a, b], rel=0.1)
+        rank, lower = trie.pairs(np.full(5, b), c, np.log10(ones[c]))
+        assert (10**lower).sum() == pytest.approx(1, abs=0.05)
+        assert (10 ** trie.triples(np.full(5, a), np.full(5, b), rank, lower)).sum() == pytest.approx(1, abs=0.05)
 
 
 def plain_base(pairs):
@@ -176,13 +181,8 @@ def test_scores_of_odd_rows(odd_docs, odd_rows, make_docs):
     assert base(score_texts(make_docs(alone))) == plain_base(alone)
 
 
-def test_scores_use_every_word_and_every_ngram(make_docs):
-    out = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k in range(400)}
-    train, held = [k for k in out if not out[k]], [k for k in out if out[k]]
-    draw = np.random.default_rng(5)
-    texts = {k: " ".join(draw.choice([f"w{i}" for i in range(12)] + [f"once{k}"], 30)) for k in train}
-    texts |= {k: " ".join(draw.choice([f"w{i}" for i in range(12)] + ["never"], 20)) for k in held}
-    rows = [*texts.items(), (held[0], texts[held[0]])]
+def plain_scores(texts, train):
+    """Scores by the definition: absolute discounting, back-off to pairs and words."""
     lines = {k: ["<", *t.split(), ">"] for k, t in texts.items()}
     threes = Counter(x for k in train for x in zip(lines[k], lines[k][1:], lines[k][2:]))
     twos = Counter(x for k in train for x in zip(lines[k], lines[k][1:]))
@@ -211,7 +211,17 @@ def test_scores_use_every_word_and_every_ngram(make_docs):
         free, rest = 0.75 * len(seen) / sum(seen.values()), 1 - sum(two(b, x) for x in seen)
         return max(free, 1e-9) / max(rest, 1e-9) * two(b, c)
 
-    want = {k: math.log10(two("<", x[1])) + sum(math.log10(three(*t)) for t in zip(x, x[1:], x[2:])) for k, x in lines.items()}
+    return {k: math.log10(two("<", x[1])) + sum(math.log10(three(*t)) for t in zip(x, x[1:], x[2:])) for k, x in lines.items()}
+
+
+def test_scores_use_every_word_and_every_ngram(make_docs):
+    out = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k in range(400)}
+    train, held = [k for k in out if not out[k]], [k for k in out if out[k]]
+    draw = np.random.default_rng(5)
+    texts = {k: " ".join(draw.choice([f"w{i}" for i in range(12)] + [f"once{k}"], 30)) for k in train}
+    texts |= {k: " ".join(draw.choice([f"w{i}" for i in range(12)] + ["never"], 20)) for k in held}
+    rows = [*texts.items(), (held[0], texts[held[0]])]
+    want = plain_scores(texts, train)
     got = score_texts(make_docs(rows)).collect()
     assert len(got) == len(rows)
     for r in got:
@@ -219,6 +229,46 @@ def test_scores_use_every_word_and_every_ngram(make_docs):
         assert r["score"] == pytest.approx(want[r["doc_id"]], rel=0.02)
 
 
+@pytest.mark.parametrize("shard_tokens", [40, 400, 10**6])
+def test_scores_with_hot_words_and_contexts(make_docs, shard_tokens):
+    """All texts start alike, one word is a third of all and follows itself; shards of any size say the same."""
+    out = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k in range(150)}
+    draw = np.random.default_rng(6)
+    texts = {}
+    for k in out:
+        words = np.where(draw.random(25) < 0.4, "hot", draw.choice([f"w{i}" for i in range(30)], 25))
+        texts[k] = " ".join(["all", "start", "alike", *words, f"own{k}", f"own{k}"])
+    want = plain_scores(texts, [k for k in out if not out[k]])
+    rows = score_texts(make_docs(list(texts.items())), shard_tokens=shard_tokens)
+    assert base(rows) == plain_base(list(texts.items()))
+    for r in rows.collect():
+        assert r["score"] == pytest.approx(want[r["doc_id"]], rel=0.02)
+
+
+def test_no_task_meets_more_than_its_share(make_docs, spark):
+    texts = [(k, "all start alike " + "hot " * 20 + f"w{k % 7} hot w{k % 5}") for k in range(300)]
+    rows = make_docs(texts).repartition(4).select(F.col("doc_id").alias("key"), held_out("doc_id").alias("held_out"), F.encode("text", "utf-8").alias("text"))
+    n = Counter(w for k, t in texts if zlib.crc32(str(k).encode()) % 7 != 2 for w in t.encode().split())
+    words, ends = sorted(n), sum(zlib.crc32(str(k).encode()) % 7 != 2 for k, _ in texts)
+    counts = np.array([0, 0, ends, 0, *(n[w] for w in words)])
+    followed = np.where(np.arange(len(counts)) == 1, ends, np.where(np.arange(len(counts)) == 2, 0, counts))
+    deal = Dealing(counts, followed, 16, 100, 1.0)
+    vocabulary = spark.sparkContext.broadcast(Vocabulary(words))
+    deal.contexts = hot_contexts(rows.filter("NOT held_out"), vocabulary, followed > 100, 100)
+    assert len(deal.contexts)
+    sent = sent_tokens(rows, vocabulary, spark.sparkContext.broadcast(deal)).filter("shard >= 0").select("shard", "data").collect()
+    loads = Counter()
+    for r in sent:
+        loads[r["shard"]] += len(_unpacked(r["data"])[2])
+    assert sum(loads.values()) == sum(len(t.split()) + 1 for _, t in texts)
+    assert max(loads.values()) < 3 * sum(loads.values()) / 16
+
+
+def test_scores_with_text_keys(spark):
+    docs = spark.createDataFrame([("a", "one two"), ("b", None), (None, "one")], "doc_id string, text string")
+    assert {(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"]) for r in score_texts(docs).collect()} == {("a", 3, 3, 6), ("b", 1, 1, 6), (None, 2, 2, 6)}
+
+
 def test_hidden_elements_end_with_their_parent():
     assert texts("<p>so <math><mi>x</mi> <mo>=</mo> <mn>2</mn></math> holds</p>") == ["so x = 2 holds"]
     assert texts("<p>see <object data=x>the drawing</object> here</p>") == ["see the drawing here"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import mmap
 
 import numpy as np
 
@@ -26,6 +27,21 @@ def _packed_bits(bits: np.ndarray) -> np.ndarray:
     return np.concatenate([data, np.zeros(16 - len(data) % 8, np.uint8)]).view("<u8")
 
 
+def _packed_numbers(values: np.ndarray, width: int) -> np.ndarray:
+    """The lower ``width`` bits of each value, one after the other, in 64-bit words."""
+    out = np.zeros((len(values) * width + 63) // 64 + 2, np.uint64)
+    if not width or not len(values):
+        return out
+    low = values & np.uint64((1 << width) - 1)
+    bit = np.arange(len(values)) * width
+    word, shift = bit >> 6, (bit & 63).astype(np.uint64)
+    starts = np.flatnonzero(np.diff(word, prepend=-1))
+    out[word[starts]] = np.bitwise_or.reduceat(low << shift, starts)
+    over = np.flatnonzero(shift + np.uint64(width) > np.uint64(64))  # at most one value of a word goes on in the next
+    out[word[over] + 1] |= low[over] >> (np.uint64(64) - shift[over])
+    return out
+
+
 class EliasFano:
     """``high``: in unary, how many values share each high part; ``low``: the lower bits, packed."""
 
@@ -43,8 +59,7 @@ class EliasFano:
         bits[places] = 1
         high = _packed_bits(bits)
         ones = np.cumsum(np.append(0, np.bitwise_count(high[:-1]).astype(np.int64)))
-        flat = ((values[:, None] >> np.arange(width, dtype=np.uint64)) & _ONE).astype(np.uint8).ravel()
-        return cls(high, ones, _packed_bits(flat), size, width)
+        return cls(high, ones, _packed_numbers(values, width), size, width)
 
     def _low(self, index: np.ndarray) -> np.ndarray:
         if not self.width:
@@ -114,7 +129,17 @@ def to_bytes(arrays: dict[str, np.ndarray]) -> bytes:
 
 def map_file(path: str) -> dict[str, np.ndarray]:
     """The arrays of such a file, mapped into memory, not read."""
-    data = np.memmap(path, np.uint8, mode="r")
+    return _arrays(np.memmap(path, np.uint8, mode="r"))
+
+
+def map_bytes(data: bytes) -> dict[str, np.ndarray]:
+    """The arrays of such bytes in a memory map without a file: a task needs no folder for what only it reads."""
+    held = mmap.mmap(-1, len(data))
+    held.write(data)
+    return _arrays(np.frombuffer(held, np.uint8))
+
+
+def _arrays(data: np.ndarray) -> dict[str, np.ndarray]:
     start = 8 + int.from_bytes(data[:8].tobytes(), "little")
     listed = json.loads(data[8:start].tobytes())
     out = {}

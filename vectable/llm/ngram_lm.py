@@ -1,54 +1,67 @@
 """Scores of a language model that learns from the table it scores.
 
-Unigram counts are exact for every word. Words with at least ``KNOWN_SHARE`` of all tokens (1 / KNOWN_SHARE
-at most) are broadcast with their counts; the others, too rare to be hot, meet their counts in a shuffle join.
-
-The model is a back-off trigram model over all words and all n-grams of the training texts, with absolute
-discounting. A word's id is a hash of it. Every n-gram of every text goes, packed, to the shard of its context (a, b). A
-shard counts its triples, builds an Elias-Fano trie of them in a file that it maps, and scores what it was sent. Only
-what no training text has, so nothing of a training text, goes on to the pairs and from there to the words. Nothing of
-the model is gathered: shards, pairs and words are tables and partitions, whose number grows with the tokens.
+The model is a back-off trigram model over all words and all n-grams of the training texts, with absolute discounting.
+Texts are read in slices. Every token goes, packed with its two predecessors, to the shard of its middle word: all pairs
+(b, c) and triples (a, b, c) of a word b meet there, so a shard counts them, builds an Elias-Fano trie with its back-off
+weights in a memory map, asks it for every n-gram it was sent and answers each slice with one packed row. The answers
+of a slice are added up in its own group. Nothing of the model is gathered, and shards grow in number, not in size:
+
+* Words with at least ``KNOWN_SHARE`` of all tokens (1 / KNOWN_SHARE at most) are broadcast with their counts. The counts of
+  the others come to the shards that need them by a join; those words are too rare to be hot.
+* A word b with over a quarter of a shard's tokens (and, where even rare words may have so many, every rare one) is spread
+  over several shards by a. Its pairs are then counted before, summed by task first, and copied to these shards.
+* The same holds for a context (a, b) that has so many tokens itself: its tokens are spread evenly, its counted
+  triples are copied. A text's first token has no a, so it is spread evenly as well.
 """
 
 from __future__ import annotations
 
-import tempfile
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from vectable.llm.common import as_bytes, values
-from vectable.llm.elias_fano import map_file
-from vectable.llm.ngram_trie import DISCOUNT, Shard, build_shard
-from vectable.sources.tables import settle, small_side
+from vectable.llm.elias_fano import map_bytes
+from vectable.llm.ngram_trie import Trie, build
+from vectable.sources.tables import settle
 
 KNOWN_SHARE = 2.0**-18
 WORDS_HELD = 250_000
 TOKENS_AT_ONCE = 500_000
-PAIRS_HELD = 2_000_000
 TOKENS_A_SHARD = 1_000_000
 
-# Ids of no word, of a text's start and of its end; words follow.
-NONE, START, END, WORDS = 0, 1, 2, 4
+# Ids of no word, of a text's start, of its end, and of any word; frequent words follow, and the others are hashes.
+NONE, START, END, ANY, WORDS = 0, 1, 2, 3, 4
+RARE = 1 << 61
 
 
-class WordIds(dict):
-    """62-bit ids of words, the same as ``word_id``."""
+class Vocabulary(dict):
+    """Ids of words: those of frequent ones, and new ones from ``size`` on for others, kept in ``rare`` until it is cleared."""
+
+    def __init__(self, words: list[bytes]):
+        super().__init__(zip(words, range(WORDS, WORDS + len(words))))
+        self.size = WORDS + len(words)
+        self.rare: dict[bytes, int] = {}
+
+    def __reduce__(self):
+        return Vocabulary, (list(self),)
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_HELD:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word, 42) >> 1 | WORDS
-        return found
+        return self.rare.setdefault(word, self.size + len(self.rare))
+
 
+def _hashes(words: dict[bytes, int]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(w, 42) >> 2 | RARE for w in words), np.int64, len(words))
 
-def word_id(word: str) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(F.col(word)), 1).bitwiseOR(F.lit(WORDS))
+
+def rare_id(word: str) -> Column:
+    """The id of a word that is not frequent, as in ``_hashes``."""
+    return F.shiftrightunsigned(F.xxhash64(F.col(word)), 2).bitwiseOR(F.lit(RARE))
 
 
 def held_out(key: str) -> Column:
@@ -77,23 +90,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Vocabulary:
-    """Frequent words with their counts."""
-
-    def __init__(self, words: list[bytes], counts: np.ndarray):
-        self.place = {w: i for i, w in enumerate(words)}
-        self.counts = counts
-
-    def encode(self, texts: list[bytes]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-        """Words of each text; the place of every word, -1 if not frequent; the number of words of each text."""
-        words = [text.lower().split() for text in texts]
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        get = self.place.get
-        places = np.fromiter((p for row in words for p in map(get, row, repeat(-1))), np.int64, int(sizes.sum()))
-        return words, places, sizes
-
-
-def triples(texts: list[bytes], ids: WordIds) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def triples(texts: list[bytes], ids: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """a, b, c of every predicted token (words and ends), and its text. a is NONE for a text's first token."""
     words = [text.lower().split() for text in texts]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
@@ -108,7 +105,7 @@ def triples(texts: list[bytes], ids: WordIds) -> tuple[np.ndarray, np.ndarray, n
     return np.where(first, NONE, line[at - 2]), line[at - 1], line[at], np.repeat(np.arange(len(sizes)), sizes + 1)
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def _slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of batches with a bounded amount of text."""
     for batch in batches:
         lengths = np.cumsum(np.array(pa.compute.binary_length(batch.column(column)).to_pylist(), np.int64))
@@ -119,249 +116,324 @@ def _grouped(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[p
                 yield part, part.column(column).to_pylist()
 
 
-def pair_counts(texts: DataFrame) -> DataFrame:
-    """b, c, n of all pairs in the column ``text``; tasks add up first."""
+def hot_contexts(training: DataFrame, vocabulary, hot: np.ndarray, bound: float) -> np.ndarray:
+    """Sorted codes a * size + b of the contexts with over ``bound`` tokens; ``hot`` marks the ids that can be in one."""
+    if not hot.any():
+        return np.zeros(0, np.int64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size, ids = 0, WordIds()
+        ids = vocabulary.value
+        for _, texts in _slices(batches, 0):
+            a, b, _, _ = triples(texts, ids)
+            able = np.append(hot, np.zeros(len(ids.rare), bool))
+            ids.rare.clear()
+            both = able[a] & able[b]
+            code, n = np.unique(a[both] * len(hot) + b[both], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
 
-        def merged(pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            order = np.lexsort(pairs.T)
-            pairs, n = pairs[order], n[order]
-            starts = np.flatnonzero(np.append(True, (pairs[1:] != pairs[:-1]).any(1))) if len(n) else np.zeros(0, np.int64)
-            return pairs[starts], np.add.reduceat(n, starts) if len(n) else n
+    counted = training.select("text").mapInArrow(count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+    return np.sort(np.array([r["code"] for r in counted.filter(F.col("n") > bound).collect()], np.int64))  # total / bound at most
 
-        def rows() -> pa.RecordBatch:
-            pairs, n = merged(*map(np.concatenate, zip(*held)))
-            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in (pairs[:, 0], pairs[:, 1], n)], ["b", "c", "n"])
-
-        for _, found in _grouped(batches, 0):
-            _, b, c, _ = triples(found, ids)
-            held.append(merged(np.column_stack([b, c]), np.ones(len(b), np.int64)))
-            size += len(held[-1][0])
-            if size > PAIRS_HELD:
-                yield rows()
-                held, size = [], 0
-        if held:
-            yield rows()
-
-    return texts.select("text").mapInArrow(count, "b bigint, c bigint, n bigint").groupBy("b", "c").agg(F.sum("n").alias("n"))
-
-
-def _packed(a: np.ndarray, b: np.ndarray, c: np.ndarray, row: np.ndarray, held: np.ndarray) -> bytes:
-    words, places = np.unique(np.concatenate([a, b, c]), return_inverse=True)
-    rows, texts = np.unique(row, return_inverse=True)
-    sizes = np.array([len(words), len(rows), len(a)], np.int64)
-    parts = [sizes, words, rows, places.astype(np.uint32), texts.astype(np.uint32) << 1 | held]
+
+def _planes(numbers: np.ndarray) -> bytes:
     # Bytes of equal weight side by side are smaller when compressed.
-    data = b"".join(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes() if x.itemsize == 4 else x.tobytes() for x in parts)
-    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+    return np.ascontiguousarray(numbers.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
-def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """words, rows, places (of a, b and c one after the other), and twice the place of the row, plus one if held out."""
-    data = np.frombuffer(pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True), np.uint8)
-    words, rows, n = data[:24].view(np.int64).tolist()
-    at = 24 + 8 * (words + rows)
+def _from_planes(data: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(data.reshape(4, -1).T).view(np.uint32).ravel()
 
-    def small(a: int, size: int) -> np.ndarray:
-        return np.ascontiguousarray(data[a : a + 4 * size].reshape(4, size).T).view(np.uint32).ravel()
 
-    longs = data[24:at].view(np.int64)
-    return longs[:words], longs[words:], small(at, 3 * n), small(at + 12 * n, n)
+def _squeeze(*parts: bytes) -> bytes:
+    data = b"".join(parts)
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
 
 
-def sent_ngrams(rows: DataFrame, shards: int) -> DataFrame:
-    """shard, data: all triples of ``rows`` (row bigint, held_out boolean, text binary), packed by the shard of their context."""
+def _expand(blob: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), "zstd", asbytes=True), np.uint8)
+
+
+def _packed(ids: np.ndarray, marks: np.ndarray, size: int, hashes: np.ndarray) -> bytes:
+    """Tokens of one slice for one shard. ``ids``: a, b and c one after the other; ``marks``: rising, see ``_unpacked``."""
+    other = ids >= size
+    rare = np.zeros(0, np.int64)
+    if other.any():
+        found, place = np.unique(ids[other], return_inverse=True)
+        rare, ids = hashes[found - size], ids.copy()
+        ids[other] = size + place
+    sizes = np.array([len(rare), len(marks)], np.int64)
+    return _squeeze(sizes.tobytes(), rare.tobytes(), _planes(ids), _planes(np.diff(marks, prepend=0)))
+
+
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of rare words; ids of a, b and c (frequent ones as they are, then places of hashes); and of each token twice
+    the place of its text in the slice, plus one if the text is held out."""
+    data = _expand(blob)
+    rare, n = data[:16].view(np.int64).tolist()
+    at = 16 + 8 * rare
+    ids, marks = _from_planes(data[at : at + 12 * n]), _from_planes(data[at + 12 * n :])
+    return data[16:at].view(np.int64), ids.astype(np.int64), np.cumsum(marks.astype(np.int64))
+
+
+class Dealing:
+    """Which shard has which token. ``base`` and ``splits`` say by id where a word's tokens begin and over how many shards
+    they are spread; a rare word begins where its hash says."""
+
+    def __init__(self, counts: np.ndarray, followed: np.ndarray, shards: int, hot: int, rare_most: float):
+        self.shards, self.counts = shards, counts
+        self.splits = np.minimum(shards, followed // hot + 1)
+        self.base = (np.arange(len(counts), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(31)).astype(np.int64) % shards
+        self.rare_splits = min(shards, int(rare_most // hot) + 1)
+        self.contexts = np.zeros(0, np.int64)
+
+    def place(self, a: np.ndarray, b: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Shard of each token; base and splits of its b; and the place of its context among the hot ones, -1 if not hot."""
+        size = len(self.counts)
+        base = np.append(self.base, (hashes >> 20) % self.shards)[b]
+        splits = np.append(self.splits, np.full(len(hashes), self.rare_splits))[b]
+        context = np.full(len(a), -1)
+        spread = np.flatnonzero(splits > 1)
+        if len(spread):
+            x, y = a[spread], b[spread]
+            salt = np.append(np.arange(size), hashes)[x].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(33)
+            if len(self.contexts):
+                code = np.where((x < size) & (y < size), x * size + y, -1)
+                at = np.searchsorted(self.contexts, code).clip(max=len(self.contexts) - 1)
+                context[spread] = np.where(self.contexts[at] == code, at, -1)
+            evenly = (context[spread] >= 0) | (x == NONE)
+            base_of = base.copy()
+            base_of[spread] += np.where(evenly, spread, salt.astype(np.int64)) % splits[spread]
+            return base_of % self.shards, base, splits, context
+        return base, base, splits, context
+
+
+HOT = T.StructType([T.StructField(n, T.IntegerType() if n in ("base", "splits") else T.LongType()) for n in ("a", "b", "c", "base", "splits", "n")])
+HOT_ARROW = pa.struct([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("base", pa.int32()), ("splits", pa.int32()), ("n", pa.int64())])
+
+
+def sent_tokens(rows: DataFrame, vocabulary, dealing) -> DataFrame:
+    """All tokens of ``rows`` (key, held_out, text), by slice. shard -1 is the slice itself: the keys of its texts, what
+    their frequent words say, and its counts of hot words' pairs and hot contexts' triples. The others are its
+    tokens for one shard, and the rare words among them whose counts the shard needs."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds()
-        for part, texts in _grouped(batches, 2):
+        ids, deal = vocabulary.value, dealing.value
+        size, task = ids.size, TaskContext.get().partitionId() << 32
+        logs, known = np.log10(deal.counts + 1.0), deal.counts > 0
+        for number, (part, texts) in enumerate(_slices(batches, 2)):
             a, b, c, owner = triples(texts, ids)
-            row = part.column(0).to_numpy()[owner]
-            held = part.column(1).to_numpy(zero_copy_only=False).astype(np.uint32)[owner]
-            mixed = (a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (b.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-            shard = ((mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)).astype(np.int64) % shards
-            order = np.argsort(shard, kind="stable")
-            there, starts = np.unique(shard[order], return_index=True)
-            blobs = [_packed(*(x[o] for x in (a, b, c, row, held))) for o in np.split(order, starts[1:])] if len(order) else []
-            yield pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "data"])
-
-    return rows.select("row", "held_out", "text").mapInArrow(send, "shard int, data binary")
-
+            hashes = _hashes(ids.rare)
+            ids.rare.clear()
+            named = np.append(np.arange(size), hashes)
+            width = len(named)
+            held = part.column(1).to_numpy(zero_copy_only=False)
+            shard, base, splits, context = deal.place(a, b, hashes)
+            train = ~held[owner]
+            entries = []
+            for chosen, over in ((np.flatnonzero(train & (splits > 1)), None), (np.flatnonzero(train & (context >= 0)), context)):
+                lead = b[chosen] if over is None else over[chosen]
+                _, first, n = np.unique(lead * width + c[chosen], return_index=True, return_counts=True)
+                at = chosen[first]
+                entries.append((np.full(len(at), ANY) if over is None else named[a[at]], named[b[at]], named[c[at]], base[at], splits[at], n))
+            hot = pa.StructArray.from_arrays([pa.array(np.concatenate(x), f.type) for x, f in zip(zip(*entries), HOT_ARROW)], fields=list(HOT_ARROW))
+            order = np.argsort(shard.astype(np.uint16) if deal.shards <= 1 << 16 else shard, kind="stable")
+            shards, starts = np.unique(shard[order], return_index=True)
+            marks = owner << 1 | held[owner]
+            blobs, wanted = [], []
+            for o in np.split(order, starts[1:]) if len(order) else []:
+                blobs.append(_packed(np.concatenate([a[o], b[o], c[o]]), marks[o], size, hashes))
+                wanted.append(hashes[np.unique(c[o][c[o] >= size]) - size])
+            frequent = np.flatnonzero(c < size)
+            own, of = c[frequent], owner[frequent]
+            home = [held.astype(np.uint8), np.bincount(owner, minlength=len(texts)), np.bincount(of, known[own], len(texts)).astype(np.int64), np.bincount(of, logs[own], len(texts))]
+            rest = len(shards)
+
+            def lists(first: pa.Array, others: list) -> pa.Array:
+                ends = np.cumsum([0, len(first), *(others or [0] * rest)]).astype(np.int32)
+                return pa.array(ends), first
+
+            keys = pa.ListArray.from_arrays(*lists(part.column(0), []))
+            wants = pa.ListArray.from_arrays(*lists(pa.array([], pa.int64()), [len(w) for w in wanted])[:1], pa.array(np.concatenate([np.zeros(0, np.int64), *wanted])))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(1 + rest, task | number)), pa.array(np.append(-1, shards), pa.int32()),
+                pa.array([_squeeze(*(x.tobytes() for x in home)), *blobs], pa.binary()), keys, wants, pa.ListArray.from_arrays(*lists(hot, [])),
+            ], ["slice", "shard", "data", "keys", "wants", "hot"])
 
-# What a shard says: parts of a row's score; triples of held-out rows that it lacks (a is NONE without a context to back
-# off from); and all successors of the contexts of such triples, with the mass that the context leaves.
-PART, LACKS, FOLLOWS = 0, 1, 2
-MET = "kind int, row bigint, a bigint, b bigint, c bigint, n bigint, value double"
-MET_ARROW = pa.schema([
-    ("kind", pa.int32()), ("row", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("n", pa.int64()), ("value", pa.float64()),
-])
+    schema = T.StructType([
+        T.StructField("slice", T.LongType()), T.StructField("shard", T.IntegerType()), T.StructField("data", T.BinaryType()),
+        T.StructField("keys", T.ArrayType(rows.schema["key"].dataType)), T.StructField("wants", T.ArrayType(T.LongType())),
+        T.StructField("hot", T.ArrayType(HOT)),
+    ])
+    return rows.select("key", "held_out", "text").mapInArrow(send, schema)
 
 
-def _said(kind: int, size: int, **columns: np.ndarray) -> pa.RecordBatch:
-    columns["kind"] = np.full(size, kind, np.int32)
-    arrays = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(size, f.type) for f in MET_ARROW]
-    return pa.RecordBatch.from_arrays(arrays, schema=MET_ARROW)
+def _numbers(batch: pa.RecordBatch, names: list[str]) -> np.ndarray:
+    return np.column_stack([pa.compute.fill_null(batch.column(n), 0).to_numpy(zero_copy_only=False) for n in names])
 
 
-def met_ngrams(sent: DataFrame, shards: int) -> DataFrame:
-    """Each shard scores what it was sent; see MET."""
+def answers(received: DataFrame, shards: int, dealing, whole: float) -> DataFrame:
+    """slice, data: what each shard says about the texts of a slice. ``received``: shard; slice and data of tokens; or
+    a, b, c, n of counted n-grams of hot words and contexts; or only c; both with m, the count of a rare c."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = [_unpacked(data) for batch in batches for data in batch.column(1).to_pylist()]
-        if not blobs:
+        counts = dealing.value.counts
+        size = len(counts)
+        slices, parts, given = [], [], []
+        for batch in batches:
+            tokens = batch.column("data").is_valid()
+            there = batch.filter(tokens)
+            slices += there.column("slice").to_pylist()
+            parts += map(_unpacked, there.column("data").to_pylist())
+            given.append(_numbers(batch.filter(pa.compute.invert(tokens)), ["a", "b", "c", "n", "m"]))
+        if not parts:
             return
-        words, local = np.unique(np.concatenate([w for w, _, _, _ in blobs]), return_inverse=True)
-        rows, texts = np.unique(np.concatenate([r for _, r, _, _ in blobs]), return_inverse=True)
-        spans, of_words, of_rows = [], 0, 0
-        for w, r, places, marks in blobs:
-            a, b, c = local[of_words + places.astype(np.int64)].reshape(3, -1)
-            spans.append((a * len(words) + b, c, texts[of_rows + (marks >> 1).astype(np.int64)], (marks & 1).astype(bool)))
-            of_words, of_rows = of_words + len(w), of_rows + len(r)
-        del blobs
-        pair, c, row, held = map(np.concatenate, zip(*spans))
-        del spans
-        contexts, context = np.unique(pair, return_inverse=True)
-        codes, code = np.unique(context * len(words) + c, return_inverse=True)
-        del pair, c, context
-        above, last = np.divmod(codes, len(words))
-        a, b = np.divmod(contexts, len(words))
-        n = np.bincount(code[~held], minlength=len(codes))
-        trained = n > 0
-        with tempfile.TemporaryDirectory() as folder:
-            path = f"{folder}/shard"
-            with open(path, "wb") as file:
-                file.write(build_shard(len(words), a[above[trained]], b[above[trained]], last[trained], n[trained]))
-            shard = Shard(map_file(path))
-            chance, kept = shard.log10(a[above], b[above], last)
-            times, different = shard.followers(a, b)
-            del shard
-        known = kept[code]
-        score = np.bincount(row[known], chance[code[known]], len(rows))
-        yield _said(PART, len(rows), row=rows, value=score)
-        lacks, times_of = np.unique(row[~known] * len(codes) + code[~known], return_counts=True)
-        who, what = np.divmod(lacks, len(codes))
-        from_start = words[a] == NONE
-        backs_off = (times > 0) & ~from_start
-        yield _said(
-            LACKS, len(who), row=rows[who], a=np.where(backs_off[above[what]], words[a[above[what]]], NONE), b=words[b[above[what]]],
-            c=words[last[what]], n=times_of,
-        )
-        needed = np.zeros(len(contexts), bool)
-        needed[above[what]] = True
-        asked = np.flatnonzero(trained & (needed & backs_off)[above])
-        for some in np.split(asked, range(PAIRS_HELD, len(asked), PAIRS_HELD)):
-            up = above[some]
-            yield _said(FOLLOWS, len(some), a=words[a[up]], b=words[b[up]], c=words[last[some]], value=DISCOUNT * different[up] / times[up])
-
-    return sent.repartitionById(shards, F.col("shard")).mapInArrow(meet, MET)
-
-
-def model_scores(rows: DataFrame, counts: DataFrame, total: int, ends: int, distinct: int) -> DataFrame:
-    """row, model: log10 of the probability of all texts with this row number, over ``rows`` (row, held_out, text)."""
-    spark = rows.sparkSession
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // TOKENS_A_SHARD + 1)
-    met = settle(met_ngrams(sent_ngrams(rows, shards), shards))
-    pairs = settle(pair_counts(rows.filter("NOT held_out")))
-    whole = float(total + distinct + (ends > 0) + 1)
-    words = counts.select(word_id("word").alias("w"), "n").unionByName(spark.range(1).select(F.lit(END).cast("bigint").alias("w"), F.lit(ends).cast("bigint").alias("n")))
-    words = small_side(settle(words.groupBy("w").agg(((F.sum("n") + 1) / whole).alias("first"))))
-    by_context = pairs.join(words, F.col("c") == F.col("w")).groupBy(F.col("b").alias("of")).agg(
-        F.sum("n").alias("times"), F.count("*").alias("different"), F.sum("first").alias("lower")
+        told = np.concatenate(given)
+        rare = np.unique(np.concatenate([told[:, :3][told[:, :3] >= RARE], *(r for r, _, _ in parts)]))
+
+        def local(named: np.ndarray) -> np.ndarray:
+            return np.where(named >= RARE, size + np.searchsorted(rare, named), named)
+
+        ids = []
+        for hashes, places, _ in parts:
+            other = np.flatnonzero(places >= size)
+            places[other] = size + np.searchsorted(rare, hashes)[places[other] - size]
+            ids.append(places.reshape(3, -1))
+        a, b, c = np.concatenate(ids, axis=1)
+        part = np.repeat(np.arange(len(parts)), [x.shape[1] for x in ids])
+        marks = np.concatenate([m for _, _, m in parts])
+        del ids, parts
+        text, train = marks >> 1, marks & 1 == 0
+        width = size + len(rare)
+        times = np.append(counts, np.zeros(len(rare), np.int64))
+        counted = told[told[:, 4] > 0]
+        times[local(counted[:, 2])] = counted[:, 4]
+        first = (times + 1) / whole
+
+        told = told[told[:, 1] > 0]
+        x, y, z, n = local(told[:, 0]), local(told[:, 1]), local(told[:, 2]), told[:, 3]
+        of_word = x == ANY
+        pairs, pair = np.unique(np.append(b * width + c, y * width + z), return_inverse=True)
+        own, extra = pair[: len(a)], pair[len(a) :]
+        times2 = np.bincount(own[train], minlength=len(pairs))
+        times2[extra[of_word]] = n[of_word]
+        codes, code = np.unique(np.append(own * width + a, extra[~of_word] * width + x[~of_word]), return_inverse=True)
+        times3 = np.bincount(code[: len(a)][train], minlength=len(codes))
+        times3[code[len(a) :]] = n[~of_word]
+
+        known2 = times2 > 0
+        pair_of, lead = np.divmod(codes, width)
+        known3 = (times3 > 0) & (lead != NONE)
+        place = np.cumsum(known2) - 1
+        trie = Trie(map_bytes(build(width, pairs[known2], times2[known2], place[pair_of[known3]], lead[known3], times3[known3], first)))
+        middle, last = np.divmod(pairs, width)
+        rank, lower = trie.pairs(middle, last, np.log10(first)[last])
+        chance = trie.triples(lead, middle[pair_of], rank[pair_of], lower[pair_of])[code[: len(a)]]
+
+        def by_text(at: np.ndarray, *summed: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+            """Sums over the tokens ``at`` of one text and part: where each part begins, texts, sums."""
+            new = np.flatnonzero(np.append(True, (np.diff(text[at]) != 0) | (np.diff(part[at]) != 0))) if len(at) else at
+            sums = [np.add.reduceat(s, new) if len(at) else s for s in summed]
+            return np.searchsorted(part[at][new], np.arange(len(slices) + 1)), text[at][new], sums
+
+        bounds, texts, (scores,) = by_text(np.arange(len(a)), chance)
+        some = np.flatnonzero(c >= size)
+        rare_bounds, rare_texts, (logs, known) = by_text(some, np.log10(times[c[some]] + 1.0), (times[c[some]] > 0).astype(np.int64))
+        scores, known = scores.astype(np.float32), known.astype(np.uint32)
+        said = []
+        for i in range(len(slices)):
+            s, r = slice(*bounds[i : i + 2]), slice(*rare_bounds[i : i + 2])
+            sizes = np.array([s.stop - s.start, r.stop - r.start], np.int64)
+            said.append(_squeeze(
+                sizes.tobytes(), _planes(np.diff(texts[s], prepend=0)), scores[s].tobytes(),
+                _planes(np.diff(rare_texts[r], prepend=0)), known[r].tobytes(), logs[r].tobytes(),
+            ))
+        yield pa.RecordBatch.from_arrays([pa.array(slices, pa.int64()), pa.array(said, pa.binary())], ["slice", "data"])
+
+    return received.repartitionById(shards, F.col("shard")).mapInArrow(meet, "slice bigint, data binary")
+
+
+def _said(blob: bytes) -> tuple[np.ndarray, ...]:
+    data = _expand(blob)
+    n, r = data[:16].view(np.int64).tolist()
+    ends = np.cumsum([16, 4 * n, 4 * n, 4 * r, 4 * r, 8 * r])
+    texts, scores, rare, known, logs = (data[i:j] for i, j in zip(ends, ends[1:]))
+    return (
+        np.cumsum(_from_planes(texts).astype(np.int64)), np.frombuffer(scores.tobytes(), np.float32),
+        np.cumsum(_from_planes(rare).astype(np.int64)), np.frombuffer(known.tobytes(), np.uint32), np.frombuffer(logs.tobytes(), np.float64),
     )
-    least = F.lit(1e-9)
-    back = F.greatest(DISCOUNT * F.col("different") / F.col("times"), least) / F.greatest(1 - F.col("lower"), least)
-    by_context = small_side(settle(by_context.select("of", "times", back.alias("back1"))))
-    pair = pairs.select(F.col("b").alias("pb"), F.col("c").alias("pc"), F.col("n").alias("pn"))
-    # Only the columns of a kind are read, and both kinds look up the same pairs.
-    asked = met.filter(F.col("kind") > PART).join(pair, (F.col("b") == F.col("pb")) & (F.col("c") == F.col("pc")), "left")
-    asked = asked.join(by_context, F.col("b") == F.col("of"), "left").withColumn("own2", (F.col("pn") - DISCOUNT) / F.col("times"))
-    asked = settle(asked.select("kind", "row", "a", "b", "c", "n", "value", "own2", "back1"))
-    lower = asked.filter(F.col("kind") == FOLLOWS).groupBy(F.col("a").alias("oa"), F.col("b").alias("ob"))
-    lower = lower.agg((F.greatest(F.max("value"), least) / F.greatest(1 - F.sum("own2"), least)).alias("back2"))
-    lacks = asked.filter(F.col("kind") == LACKS)
-    lacks = lacks.join(lower, (F.col("a") == F.col("oa")) & (F.col("b") == F.col("ob")), "left")
-    lacks = lacks.join(words, F.col("c") == F.col("w"), "left")
-    one = F.lit(1.0)
-    chance = F.coalesce("own2", F.coalesce("back1", one) * F.coalesce("first", F.lit(1 / whole))) * F.coalesce("back2", one)
-    parts = met.filter(F.col("kind") == PART).select("row", "value").unionByName(lacks.select("row", (F.col("n") * F.log10(chance)).alias("value")))
-    return parts.groupBy("row").agg(F.sum("value").alias("model"))
-
-
-SCORED = (
-    "key bigint, held_out boolean, twin bigint, n_tokens bigint, n_known bigint, logs double, rare array<binary>, times array<int>"
-)
-SCORED_ARROW = pa.schema([
-    ("key", pa.int64()), ("held_out", pa.bool_()), ("twin", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-    ("logs", pa.float64()), ("rare", pa.list_(pa.binary())), ("times", pa.list_(pa.int32())),
-])
-
-
-def _scored(rows: DataFrame, vocabulary, end_count: int) -> DataFrame:
-    """Per text what needs no rare counts, and the rare words. logs lacks the parts of rare words."""
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of = vocabulary.value
-        logs = np.append(np.log10(words_of.counts + 1.0), 0.0)
-        for part, texts in _grouped(batches, 3):
-            words, places, sizes = words_of.encode(texts)
-            texts_of = np.repeat(np.arange(len(texts)), sizes)
-            own = np.bincount(texts_of, logs[places], len(texts))
-            known = np.bincount(texts_of, places >= 0, len(texts)).astype(np.int64)
-            rare: list[list[bytes]] = []
-            times: list[list[int]] = []
-            starts = np.cumsum(sizes) - sizes
-            for row, start, size in zip(words, starts.tolist(), sizes.tolist()):
-                seen = Counter(row[i] for i in np.flatnonzero(places[start : start + size] < 0).tolist())
-                rare.append(list(seen))
-                times.append(list(seen.values()))
-            yield pa.RecordBatch.from_arrays([
-                part.column(0), part.column(1), part.column(2), pa.array(sizes + 1), pa.array(known + (end_count > 0)),
-                pa.array(own + np.log10(end_count + 1)), pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32())),
-            ], schema=SCORED_ARROW)
 
-    return rows.select("key", "held_out", F.col("row").alias("twin"), "text").mapInArrow(score, SCORED)
+
+def _added(sent: DataFrame, said: DataFrame, total: int, whole: float, key: str) -> DataFrame:
+    """Per text its counts and scores: each slice adds up what the shards said about its texts."""
+    out = T.StructType([
+        T.StructField(key, sent.schema["keys"].dataType.elementType), T.StructField("held_out", T.BooleanType()),
+        *(T.StructField(name, T.LongType()) for name in ("n_tokens", "n_known", "train_tokens")),
+        T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType()),
+    ])
+
+    def add(group: pa.Table) -> pa.Table:
+        is_home = pa.compute.is_valid(group.column("keys"))
+        home = group.filter(is_home)
+        keys = pa.compute.list_flatten(home.column("keys")).combine_chunks()
+        n = len(keys)
+        data = _expand(home.column("data")[0].as_py())
+        held, rest = data[:n].astype(bool), np.frombuffer(data[n:].tobytes(), np.int64)
+        tokens, known, logs = rest[:n], rest[n : 2 * n].copy(), rest[2 * n :].view(np.float64).copy()
+        score = np.zeros(n)
+        for blob in group.filter(pa.compute.invert(is_home)).column("data").to_pylist():
+            texts, scores, rare, rare_known, rare_logs = _said(blob)
+            score[texts] += scores
+            known[rare] += rare_known
+            logs[rare] += rare_logs
+        return pa.table(
+            [keys, pa.array(held), pa.array(tokens), pa.array(known), pa.array(np.full(n, total)), pa.array(logs - tokens * np.log10(whole)), pa.array(score)],
+            names=out.names,
+        )
+
+    home = sent.filter("shard < 0").select("slice", "data", "keys")
+    return home.unionByName(said, allowMissingColumns=True).groupBy("slice").applyInArrow(add, out)
 
 
-def score_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shard_tokens: int = TOKENS_A_SHARD) -> DataFrame:
     """Per row of ``docs``: key, held_out, n_tokens, n_known, train_tokens, base_score, score (both log10).
 
     All rows but the held-out ones train, repeated ones as often as they occur. A token is a word with A-Z
-    in lower case, or the end of a text; a NULL or empty text is one end. A NULL key trains and is not held out.
-    base_score: sum of log10((c + 1) / (N + V + 1)). Without training rows all counts are
-    zero, and score is base_score. An empty table gives an empty result. Other columns are not read.
+    in lower case, or the end of a text; a NULL or empty text is one end. Keys may have any type; a NULL key trains and is not
+    held out. base_score: sum of log10((c + 1) / (N + V + 1)). Without training rows all counts are
+    zero, and score is base_score. An empty table gives an empty result. Other columns are not read. Rare words are
+    told apart by 61 bits of a hash. ``shard_tokens``: about how many tokens meet in one task.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(key).cast("bigint").alias("key"), held_out(key).alias("held_out"), as_bytes(text).alias("text"))
-    # Rows of one key and text score alike, so they share a number.
-    rows = rows.withColumn("row", F.xxhash64("key", "text"))
+    spark: SparkSession = docs.sparkSession
+    rows = docs.select(F.col(key).alias("key"), held_out(key).alias("held_out"), as_bytes(text).alias("text"))
     training = rows.filter("NOT held_out")
     counts = settle(word_counts(training))
     ends = training.count()
     of_words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     total = of_words + ends
-    vocabulary_size = distinct + (ends > 0)
-    frequent = counts.filter(F.col("n") >= max(1, KNOWN_SHARE * total)).toArrow()
-    n = np.array(frequent["n"].to_pylist(), np.int64)
-    vocabulary = spark.sparkContext.broadcast(Vocabulary(frequent["word"].to_pylist(), n))
-
-    scored = settle(_scored(rows, vocabulary, ends).withColumn("row", F.monotonically_increasing_id()))
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("w"), F.col("r.times").alias("t"))
-    rare_counts = counts.filter(F.col("n") < max(1, KNOWN_SHARE * total)).hint("shuffle_hash")
-    met = rare.join(rare_counts, F.col("w") == F.col("word"))
-    sums = met.groupBy(F.col("row").alias("r")).agg(F.sum(F.col("t") * F.log10(F.col("n") + 1)).alias("more"), F.sum("t").alias("met"))
-    joined = scored.drop("rare", "times").join(sums, F.col("row") == F.col("r"), "left")
-    more = F.coalesce("more", F.lit(0.0))
-    base = F.col("logs") + more - F.col("n_tokens") * float(np.log10(total + vocabulary_size + 1))
-    model = base
-    if total:
-        shared = scored.groupBy(F.col("twin").alias("tw")).agg(F.count("*").alias("copies"))
-        models = model_scores(rows, counts, total, ends, distinct).join(shared, F.col("row") == F.col("tw"))
-        models = models.select("tw", (F.col("model") / F.col("copies")).alias("model"))
-        joined, model = joined.join(models, F.col("twin") == F.col("tw"), "left"), F.col("model")
-    return joined.select(
-        F.col("key").alias(key), "held_out", "n_tokens", (F.col("n_known") + F.coalesce("met", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("bigint").alias("train_tokens"), base.alias("base_score"), model.alias("score"),
-    )
+    whole = float(total + distinct + (ends > 0) + 1)
+    least = max(1, KNOWN_SHARE * total)
+    frequent = counts.filter(F.col("n") >= least).toArrow()
+    n = np.array([0, 0, ends, 0, *frequent["n"].to_pylist()], np.int64)
+    followed = n.copy()
+    followed[START], followed[END] = ends, 0
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // shard_tokens + 1)
+    hot = max(1, shard_tokens // 4)
+    vocabulary = spark.sparkContext.broadcast(Vocabulary(frequent["word"].to_pylist()))
+    deal = Dealing(n, followed, shards, hot, least)
+    deal.contexts = hot_contexts(training, vocabulary, followed > max(hot, least), max(hot, least))
+    dealing = spark.sparkContext.broadcast(deal)
+
+    sent = settle(sent_tokens(rows, vocabulary, dealing))
+    rare = counts.filter(F.col("n") < least).select(rare_id("word").alias("id"), F.col("n").alias("m"))
+    wanted = sent.filter("shard >= 0").select("shard", F.explode("wants").alias("c"))
+    wanted = wanted.join(rare.hint("shuffle_hash"), F.col("c") == F.col("id")).select("shard", "c", "m")
+    received = sent.filter("shard >= 0").select("shard", "slice", "data").unionByName(wanted, allowMissingColumns=True)
+    grams = sent.filter("shard < 0").select(F.explode("hot").alias("g")).groupBy("g.a", "g.b", "g.c", "g.base", "g.splits").agg(F.sum("g.n").alias("n"))
+    grams = settle(grams)
+    # Only rare words are looked up: a frequent c stands in very many pairs.
+    told = grams.filter(F.col("c") >= RARE).join(rare, F.col("c") == F.col("id"), "left").drop("id")
+    told = told.unionByName(grams.filter(F.col("c") < RARE), allowMissingColumns=True)
+    told = told.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
+    told = told.select(((F.col("base") + F.col("part")) % shards).cast("int").alias("shard"), "a", "b", "c", "n", "m")
+    received = received.unionByName(told, allowMissingColumns=True)
+    return _added(sent, answers(received, shards, dealing, whole), total, whole, key)

@@ -1,9 +1,9 @@
-"""A trigram trie: Elias-Fano levels, context-relative ids and quantised smoothed probabilities.
+"""A trigram trie of some words: Elias-Fano levels, context-relative ids and quantised smoothed probabilities.
 
-Level 1 has the ids themselves. Level 2 holds the pairs (a, b) as a * width + b, which rises along the
-level; pointers, rising too, tell where each a begins. Level 3 holds triples (a, b, c) as the place of
-(a, b) in level 2 times a width, plus the rank of c among the successors of b in level 2: if (a, b, c) is kept,
-so is (b, c), and this rank is far smaller than an id.
+Level 1 has the words b that the trie is about. Level 2 holds what follows them, pairs (b, c) as b * width + c, which
+rises along the level; pointers, rising too, tell where each b begins. Beside it stand the contexts (a, b) as
+b * width + a. Level 3 holds triples (a, b, c) as the place of their context times a span, plus the rank of c among the
+successors of b in level 2: if (a, b, c) occurs, so does (b, c), and this rank is far smaller than an id.
 """
 
 from __future__ import annotations
@@ -12,19 +12,9 @@ import numpy as np
 
 from vectable.llm.elias_fano import EliasFano, to_bytes
 
-BITS = 17
 DISCOUNT = 0.75
 CODES = 255
-
-
-def join_code(a: np.ndarray | int, b: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """One number for a triple of ids; a = 0 for a pair. Ids start at 1."""
-    return (np.asarray(a, np.int64) << 2 * BITS) | (np.asarray(b, np.int64) << BITS) | np.asarray(c, np.int64)
-
-
-def split_code(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    mask = (1 << BITS) - 1
-    return code >> 2 * BITS, (code >> BITS) & mask, code & mask
+LEAST = 1e-9
 
 
 def quantise(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -39,42 +29,38 @@ def quantise(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes.astype(np.uint8), np.where(count > 0, total / np.maximum(count, 1), 0).astype(np.float32)
 
 
-def _left_over(kept: np.ndarray, lower: np.ndarray, parent: np.ndarray, parents: int) -> np.ndarray:
-    """log10 of the back-off weight of each parent: the mass its kept successors leave, over the mass that
-    the lower order leaves beside them."""
-    free = 1 - np.bincount(parent, kept, parents)
-    rest = 1 - np.bincount(parent, lower, parents)
-    return np.log10(np.maximum(free, 1e-9) / np.maximum(rest, 1e-9))
+def _back_off(times: np.ndarray, different: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """log10 of the weight of each context: the mass that its discounts leave, over the mass that the lower order
+    has beside its successors."""
+    return np.log10(np.maximum(DISCOUNT * different / times, LEAST) / np.maximum(1 - lower, LEAST))
 
 
-def build(ones: np.ndarray, contexts: np.ndarray, pairs: tuple[np.ndarray, np.ndarray], triples: tuple[np.ndarray, np.ndarray]) -> bytes:
-    """The trie as one file.
+def build(width: int, pairs: np.ndarray, times: np.ndarray, pair: np.ndarray, a: np.ndarray, n: np.ndarray, first: np.ndarray) -> bytes:
+    """The trie as bytes. Ids are under ``width``.
 
-    ``ones``: how often each id is predicted; ``contexts``: how often it is followed by something; pairs
-    and triples: sorted codes and their counts. Absolute discounting, interpolated into back-off form.
+    ``pairs``: sorted distinct codes b * width + c of all that follows each b, and ``times`` they occur. Triples are the
+    place of their (b, c) in ``pairs``, their ``a`` and how often they occur (``n``), sorted by place and a.
+    ``first``: the probability of each id by itself.
     """
-    predicted = ones >= 0
-    first = (ones + 1) / max(1, (ones[predicted] + 1).sum())
-    first = np.where(predicted, first, 0.0)
-    width = len(ones)
-    _, a, b = split_code(pairs[0])
-    level2 = EliasFano.of(a * width + b)
-    start = np.searchsorted(a, np.arange(width + 1))
-    own2 = (pairs[1] - DISCOUNT) / np.maximum(contexts[a], 1)
-    back1 = _left_over(own2, first[b], a, width)
-    x, y, z = split_code(triples[0])
-    above, below = level2.find(x * width + y), level2.find(y * width + z)
-    if (above < 0).any() or (below < 0).any():
-        raise ValueError("a kept triple needs both its pairs")
-    rank = below - start[y]
+    b, c = np.divmod(pairs, max(width, 1))
+    start = np.append(np.flatnonzero(np.diff(b, prepend=-1)), len(pairs))
+    roots, followers = b[start[:-1]], np.diff(start)
+    root = np.repeat(np.arange(len(roots)), followers)
+    whole = np.bincount(root, times, len(roots))
+    own2 = (times - DISCOUNT) / whole[root]
+    back1 = _back_off(whole, followers, np.bincount(root, first[c], len(roots)))
+    contexts, context = np.unique(b[pair] * width + a, return_inverse=True)
+    rank = pair - start[root[pair]]
     span = int(rank.max()) + 1 if len(rank) else 1
-    order = np.argsort(above * span + rank)
-    x, y, z, above, below, rank = (v[order] for v in (x, y, z, above, below, rank))
-    own3 = (triples[1][order] - DISCOUNT) / np.maximum(pairs[1][above], 1)
-    back2 = _left_over(own3, own2[below], above, len(a))
-    arrays = {"first": np.log10(np.maximum(first, 1e-30)).astype(np.float32), "back1": back1.astype(np.float32), "shape": np.array([width, span])}
-    for name, sequence in (("level2", level2), ("start", EliasFano.of(start)), ("level3", EliasFano.of(above * span + rank))):
-        arrays |= {f"{name}.{k}": v for k, v in sequence.arrays().items()}
+    given = np.bincount(context, n, len(contexts))
+    back2 = _back_off(given, np.bincount(context, minlength=len(contexts)), np.bincount(context, own2[pair], len(contexts)))
+    level3 = context * span + rank
+    order = np.argsort(level3)
+    own3 = (n[order] - DISCOUNT) / given[context[order]]
+    arrays = {"shape": np.array([width, span]), "back1": back1.astype(np.float32)}
+    levels = {"roots": roots, "start": start, "follows": pairs, "contexts": contexts, "level3": level3[order]}
+    for name, sequence in levels.items():
+        arrays |= {f"{name}.{k}": v for k, v in EliasFano.of(sequence).arrays().items()}
     for name, values in (("own2", np.log10(own2)), ("back2", back2), ("own3", np.log10(own3))):
         arrays[f"{name}.codes"], arrays[f"{name}.table"] = quantise(values)
     return to_bytes(arrays)
@@ -88,81 +74,35 @@ class Trie:
             return {k.removeprefix(f"{name}."): v for k, v in arrays.items() if k.startswith(f"{name}.")}
 
         self.width, self.span = (int(x) for x in arrays["shape"])
-        self.first, self.back1 = arrays["first"], arrays["back1"]
-        self.level2, self.start, self.level3 = (EliasFano.from_arrays(part(n)) for n in ("level2", "start", "level3"))
+        self.back1 = arrays["back1"]
+        self.roots, self.start, self.follows, self.contexts, self.level3 = (
+            EliasFano.from_arrays(part(n)) for n in ("roots", "start", "follows", "contexts", "level3")
+        )
         self.own2, self.back2, self.own3 = (part(n) for n in ("own2", "back2", "own3"))
 
     @staticmethod
     def _value(part: dict[str, np.ndarray], index: np.ndarray) -> np.ndarray:
         return part["table"][part["codes"][index]].astype(np.float64)
 
-    def log10(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
-        """log10 P(c | a, b); a = 0: P(c | b)."""
-        pair = self.level2.find(b * self.width + c)
-        there = np.flatnonzero(pair >= 0)
-        out = self.back1[b].astype(np.float64) + self.first[c]
-        out[there] = self._value(self.own2, pair[there])
-        context = np.full(len(a), -1, np.int64)
-        given = np.flatnonzero(a > 0)
-        context[given] = self.level2.find(a[given] * self.width + b[given])
+    def pairs(self, b: np.ndarray, c: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of c among the successors of b, -1 if it never follows; and log10 P(c | b), where ``first`` is log10 P(c)."""
+        root, place = self.roots.find(b), self.follows.find(b * self.width + c)
+        out, rank = np.array(first, np.float64), np.full(len(b), -1, np.int64)
+        known = np.flatnonzero(root >= 0)
+        out[known] += self.back1[root[known]]
+        there = np.flatnonzero(place >= 0)
+        out[there] = self._value(self.own2, place[there])
+        rank[there] = place[there] - self.start.get(root[there]).astype(np.int64)
+        return rank, out
+
+    def triples(self, a: np.ndarray, b: np.ndarray, rank: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """log10 P(c | a, b) from what ``pairs`` gives for (b, c)."""
+        context = self.contexts.find(b * self.width + a)
+        out = np.array(lower, np.float64)
         known = np.flatnonzero(context >= 0)
         out[known] += self._value(self.back2, context[known])
-        both = np.flatnonzero((context >= 0) & (pair >= 0))
-        rank = pair[both] - self.start.get(b[both]).astype(np.int64)
-        found = self.level3.find(context[both] * self.span + rank)
+        both = known[rank[known] >= 0]
+        found = self.level3.find(context[both] * self.span + rank[both])
         hit = found >= 0
         out[both[hit]] = self._value(self.own3, found[hit])
         return out
-
-
-def build_shard(width: int, a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray) -> bytes:
-    """The trie of all triples of some contexts as one file, from distinct triples of ids under ``width``, sorted
-    by (a, b, c), and their counts. A triple is the place of (a, b) and the rank of c among what follows b here."""
-    contexts, above = np.unique(a * width + b, return_inverse=True)
-    level2 = EliasFano.of(contexts)
-    follows, below = np.unique(b * width + c, return_inverse=True)
-    start = np.searchsorted(follows // max(width, 1), np.arange(width + 1))
-    rank = below - start[b]
-    span = int(rank.max()) + 1 if len(rank) else 1
-    order = np.argsort(above * span + rank)
-    above, rank, n = above[order], rank[order], n[order]
-    times = np.bincount(above, n, len(contexts)).astype(np.int64)
-    arrays = {"shape": np.array([width, span]), "times": times, "different": np.bincount(above, minlength=len(contexts))}
-    for name, sequence in (
-        ("level2", level2), ("follows", EliasFano.of(follows)), ("start", EliasFano.of(start)), ("level3", EliasFano.of(above * span + rank)),
-    ):
-        arrays |= {f"{name}.{k}": v for k, v in sequence.arrays().items()}
-    arrays["own3.codes"], arrays["own3.table"] = quantise(np.log10((n - DISCOUNT) / times[above]))
-    return to_bytes(arrays)
-
-
-class Shard:
-    """Log10 probabilities of triples from mapped arrays."""
-
-    def __init__(self, arrays: dict[str, np.ndarray]):
-        def part(name: str) -> dict[str, np.ndarray]:
-            return {k.removeprefix(f"{name}."): v for k, v in arrays.items() if k.startswith(f"{name}.")}
-
-        self.width, self.span = (int(x) for x in arrays["shape"])
-        self.times, self.different = arrays["times"], arrays["different"]
-        self.level2, self.follows, self.start, self.level3 = (EliasFano.from_arrays(part(n)) for n in ("level2", "follows", "start", "level3"))
-        self.own3 = part("own3")
-
-    def log10(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 P(c | a, b) of the triples that the shard holds, and which these are."""
-        context, pair = self.level2.find(a * self.width + b), self.follows.find(b * self.width + c)
-        both = np.flatnonzero((context >= 0) & (pair >= 0))
-        found = self.level3.find(context[both] * self.span + pair[both] - self.start.get(b[both]).astype(np.int64))
-        out, held = np.zeros(len(a)), np.zeros(len(a), bool)
-        hit = found >= 0
-        held[both[hit]] = True
-        out[both[hit]] = self.own3["table"][self.own3["codes"][found[hit]]]
-        return out, held
-
-    def followers(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """How many tokens, and how many different ones, follow each context; 0 for one that the shard lacks."""
-        place = self.level2.find(a * self.width + b)
-        times, different = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
-        there = place >= 0
-        times[there], different[there] = self.times[place[there]], self.different[place[there]]
-        return times, different
