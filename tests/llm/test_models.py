@@ -14,7 +14,7 @@ from vectable.llm import queries
 from vectable.llm.elias_fano import EliasFano, map_bytes, map_file, to_bytes
 from vectable.llm.html_blocks import Block, blocks, labelled_pages, text_features
 from vectable.llm.html_extract import Field, _marginals, extract, main_text, train, trained_field
-from vectable.llm.ngram_lm import Dealing, Vocabulary, _unpacked, held_out, hot_contexts, score_texts, sent_tokens
+from vectable.llm.ngram_lm import Dealing, Vocabulary, _unpacked, held_out, noted, score_texts, sent_tokens
 from vectable.llm.ngram_trie import Trie, build, quantise
 
 # --- pages
@@ -117,6 +117,14 @@ def test_elias_fano(tmp_path, top):
     assert (sequence.find(asked) == [place.get(int(v), -1) for v in asked]).all()
 
 
+def test_elias_fano_of_crowded_values():
+    values = np.unique(np.concatenate([np.arange(50_000) * 2, (1 << 40) + np.arange(3)]))
+    asked = np.concatenate([values, values + 1, values[:100] - 1 + (1 << 41)])
+    got = EliasFano.of(values).find(asked)
+    place = {int(v): i for i, v in enumerate(values)}
+    assert got.tolist() == [place.get(int(v), -1) for v in asked]
+
+
 def test_quantised_values_are_close():
     values = np.random.default_rng(0).normal(size=5000)
     codes, table = quantise(values)
@@ -254,9 +262,11 @@ def test_no_task_meets_more_than_its_share(make_docs, spark):
     followed = np.where(np.arange(len(counts)) == 1, ends, np.where(np.arange(len(counts)) == 2, 0, counts))
     deal = Dealing(counts, followed, 16, 100, 1.0)
     vocabulary = spark.sparkContext.broadcast(Vocabulary(words))
-    deal.contexts = hot_contexts(rows.filter("NOT held_out"), vocabulary, followed > 100, 100)
-    assert len(deal.contexts)
-    sent = sent_tokens(rows, vocabulary, spark.sparkContext.broadcast(deal)).filter("shard >= 0").select("shard", "data").collect()
+    hot = noted(rows, vocabulary, spark.sparkContext.broadcast(deal), 100).selectExpr("inline(hot)").filter("a <> 3")
+    contexts = hot.groupBy("a", "b").agg(F.sum("n").alias("n")).filter("n > 100").collect()
+    assert contexts
+    deal.contexts = np.sort([r["a"] * len(counts) + r["b"] for r in contexts])
+    sent = sent_tokens(rows, vocabulary, spark.sparkContext.broadcast(deal)).filter("keys IS NULL").select("shard", "data").collect()
     loads = Counter()
     for r in sent:
         loads[r["shard"]] += len(_unpacked(r["data"])[2])

@@ -96,13 +96,18 @@ class EliasFano:
         at[behind] = self._place(self.zeros, high[behind] - 1, True) + 1 - high[behind]
         end = self._place(self.zeros, high, True) - high
         want = values[query] & np.uint64((1 << self.width) - 1)
+        # Values of one high part can be very many, so they are halved, not walked.
         live = np.flatnonzero(at < end)
         while len(live):
-            low = self._low(at[live])
+            middle = (at[live] + end[live]) >> 1
+            low = self._low(middle)
             hit = low == want[live]
-            out[query[live[hit]]] = at[live[hit]]
-            live = live[low < want[live]]
-            at[live] += 1
+            out[query[live[hit]]] = middle[hit]
+            less = low < want[live]
+            at[live[less]] = middle[less] + 1
+            more = ~less & ~hit
+            end[live[more]] = middle[more]
+            live = live[~hit]
             live = live[at[live] < end[live]]
         return out
 

@@ -30,10 +30,11 @@ from vectable.llm.elias_fano import map_bytes
 from vectable.llm.ngram_trie import Trie, build
 from vectable.sources.tables import settle
 
-KNOWN_SHARE = 2.0**-18
+KNOWN_SHARE = 2.0**-20
 WORDS_HELD = 250_000
 TOKENS_AT_ONCE = 500_000
 TOKENS_A_SHARD = 1_000_000
+ROWS_PACKED = 500_000
 
 # Ids of no word, of a text's start, of its end, and of any word; frequent words follow, and the others are hashes.
 NONE, START, END, ANY, WORDS = 0, 1, 2, 3, 4
@@ -116,25 +117,6 @@ def _slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa
                 yield part, part.column(column).to_pylist()
 
 
-def hot_contexts(training: DataFrame, vocabulary, hot: np.ndarray, bound: float) -> np.ndarray:
-    """Sorted codes a * size + b of the contexts with over ``bound`` tokens; ``hot`` marks the ids that can be in one."""
-    if not hot.any():
-        return np.zeros(0, np.int64)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = vocabulary.value
-        for _, texts in _slices(batches, 0):
-            a, b, _, _ = triples(texts, ids)
-            able = np.append(hot, np.zeros(len(ids.rare), bool))
-            ids.rare.clear()
-            both = able[a] & able[b]
-            code, n = np.unique(a[both] * len(hot) + b[both], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
-
-    counted = training.select("text").mapInArrow(count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
-    return np.sort(np.array([r["code"] for r in counted.filter(F.col("n") > bound).collect()], np.int64))  # total / bound at most
-
-
 def _planes(numbers: np.ndarray) -> bytes:
     # Bytes of equal weight side by side are smaller when compressed.
     return np.ascontiguousarray(numbers.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes()
@@ -176,45 +158,82 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Dealing:
-    """Which shard has which token. ``base`` and ``splits`` say by id where a word's tokens begin and over how many shards
-    they are spread; a rare word begins where its hash says."""
+    """Which shard has which token. A word's tokens begin at its ``base`` shard and are spread over ``splits`` shards; a rare
+    word begins where its hash says. ``followed``: how often each frequent word is followed by a token."""
 
     def __init__(self, counts: np.ndarray, followed: np.ndarray, shards: int, hot: int, rare_most: float):
-        self.shards, self.counts = shards, counts
+        self.shards, self.counts, self.followed = shards, counts, followed
         self.splits = np.minimum(shards, followed // hot + 1)
         self.base = (np.arange(len(counts), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(31)).astype(np.int64) % shards
         self.rare_splits = min(shards, int(rare_most // hot) + 1)
-        self.contexts = np.zeros(0, np.int64)
+        self.contexts = np.zeros(0, np.int64)  # sorted codes a * size + b of hot contexts
+
+    def spread(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Base and splits of all frequent words and then of rare ones."""
+        return np.append(self.base, (hashes >> 20) % self.shards), np.append(self.splits, np.full(len(hashes), self.rare_splits))
 
-    def place(self, a: np.ndarray, b: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Shard of each token; base and splits of its b; and the place of its context among the hot ones, -1 if not hot."""
+    def place(self, a: np.ndarray, b: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Shard of each token."""
         size = len(self.counts)
-        base = np.append(self.base, (hashes >> 20) % self.shards)[b]
-        splits = np.append(self.splits, np.full(len(hashes), self.rare_splits))[b]
-        context = np.full(len(a), -1)
-        spread = np.flatnonzero(splits > 1)
-        if len(spread):
-            x, y = a[spread], b[spread]
-            salt = np.append(np.arange(size), hashes)[x].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(33)
-            if len(self.contexts):
-                code = np.where((x < size) & (y < size), x * size + y, -1)
-                at = np.searchsorted(self.contexts, code).clip(max=len(self.contexts) - 1)
-                context[spread] = np.where(self.contexts[at] == code, at, -1)
-            evenly = (context[spread] >= 0) | (x == NONE)
-            base_of = base.copy()
-            base_of[spread] += np.where(evenly, spread, salt.astype(np.int64)) % splits[spread]
-            return base_of % self.shards, base, splits, context
-        return base, base, splits, context
+        base, splits = (x[b] for x in self.spread(hashes))
+        more = np.flatnonzero(splits > 1)
+        if not len(more):
+            return base
+        x, y = a[more], b[more]
+        evenly = x == NONE
+        if len(self.contexts):
+            code = np.where((x < size) & (y < size), x * size + y, -1)
+            at = np.searchsorted(self.contexts, code).clip(max=len(self.contexts) - 1)
+            evenly |= self.contexts[at] == code
+        salt = np.append(np.arange(size), hashes)[x].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(33)
+        base[more] += np.where(evenly, more, salt.astype(np.int64)) % splits[more]
+        return base % self.shards
 
 
 HOT = T.StructType([T.StructField(n, T.IntegerType() if n in ("base", "splits") else T.LongType()) for n in ("a", "b", "c", "base", "splits", "n")])
 HOT_ARROW = pa.struct([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("base", pa.int32()), ("splits", pa.int32()), ("n", pa.int64())])
 
 
+def noted(rows: DataFrame, vocabulary, dealing, bound: float) -> DataFrame:
+    """What shards need beside their tokens, by slice of ``rows`` (key, held_out, text): ``wants``, rare words c with the shard
+    of a b that has only one; and ``hot``, counts of the pairs of b that has more, and of triples whose contexts may have
+    over ``bound`` tokens. A pair whose c is rare is noted even where only held-out texts have it."""
+
+    def note(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, deal = vocabulary.value, dealing.value
+        size = ids.size
+        for part, texts in _slices(batches, 2):
+            a, b, c, owner = triples(texts, ids)
+            hashes = _hashes(ids.rare)
+            ids.rare.clear()
+            named, width = np.append(np.arange(size), hashes), size + len(hashes)
+            base, splits = deal.spread(hashes)
+            able = np.append(deal.followed > bound, np.zeros(len(hashes), bool))
+            train = ~part.column(1).to_numpy(zero_copy_only=False)[owner]
+            alone = np.flatnonzero((c >= size) & (splits[b] == 1))
+            code = np.unique(base[b[alone]] * width + c[alone])
+            entries = []
+            for chosen, context in ((np.flatnonzero((splits[b] > 1) & (train | (c >= size))), False), (np.flatnonzero(train & able[a] & able[b]), True)):
+                lead = a[chosen] * size + b[chosen] if context else b[chosen]
+                lead = np.unique(lead, return_inverse=True)[1]
+                _, first, place = np.unique(lead * width + c[chosen], return_index=True, return_inverse=True)
+                at = chosen[first]
+                n = np.bincount(place[train[chosen]], minlength=len(at))
+                entries.append((named[a[at]] if context else np.full(len(at), ANY), named[b[at]], named[c[at]], base[b[at]], splits[b[at]], n))
+            hot = pa.StructArray.from_arrays([pa.array(np.concatenate(x), f.type) for x, f in zip(zip(*entries), HOT_ARROW)], fields=list(HOT_ARROW))
+            shard, wanted = np.divmod(code, width)
+            columns = [pa.array(shard, pa.int32()), pa.array(named[wanted]), hot]
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in columns], ["shards", "wants", "hot"])
+
+    schema = T.StructType([
+        T.StructField("shards", T.ArrayType(T.IntegerType())), T.StructField("wants", T.ArrayType(T.LongType())), T.StructField("hot", T.ArrayType(HOT)),
+    ])
+    return rows.select("key", "held_out", "text").mapInArrow(note, schema)
+
+
 def sent_tokens(rows: DataFrame, vocabulary, dealing) -> DataFrame:
-    """All tokens of ``rows`` (key, held_out, text), by slice. shard -1 is the slice itself: the keys of its texts, what
-    their frequent words say, and its counts of hot words' pairs and hot contexts' triples. The others are its
-    tokens for one shard, and the rare words among them whose counts the shard needs."""
+    """All tokens of ``rows`` (key, held_out, text), by slice and shard; and once for each slice, with ``keys``, the keys of
+    its texts and what their frequent words say, which goes to any shard."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, deal = vocabulary.value, dealing.value
@@ -224,70 +243,82 @@ def sent_tokens(rows: DataFrame, vocabulary, dealing) -> DataFrame:
             a, b, c, owner = triples(texts, ids)
             hashes = _hashes(ids.rare)
             ids.rare.clear()
-            named = np.append(np.arange(size), hashes)
-            width = len(named)
             held = part.column(1).to_numpy(zero_copy_only=False)
-            shard, base, splits, context = deal.place(a, b, hashes)
-            train = ~held[owner]
-            entries = []
-            for chosen, over in ((np.flatnonzero(train & (splits > 1)), None), (np.flatnonzero(train & (context >= 0)), context)):
-                lead = b[chosen] if over is None else over[chosen]
-                _, first, n = np.unique(lead * width + c[chosen], return_index=True, return_counts=True)
-                at = chosen[first]
-                entries.append((np.full(len(at), ANY) if over is None else named[a[at]], named[b[at]], named[c[at]], base[at], splits[at], n))
-            hot = pa.StructArray.from_arrays([pa.array(np.concatenate(x), f.type) for x, f in zip(zip(*entries), HOT_ARROW)], fields=list(HOT_ARROW))
+            shard = deal.place(a, b, hashes)
             order = np.argsort(shard.astype(np.uint16) if deal.shards <= 1 << 16 else shard, kind="stable")
             shards, starts = np.unique(shard[order], return_index=True)
             marks = owner << 1 | held[owner]
-            blobs, wanted = [], []
-            for o in np.split(order, starts[1:]) if len(order) else []:
-                blobs.append(_packed(np.concatenate([a[o], b[o], c[o]]), marks[o], size, hashes))
-                wanted.append(hashes[np.unique(c[o][c[o] >= size]) - size])
+            blobs = [_packed(np.concatenate([a[o], b[o], c[o]]), marks[o], size, hashes) for o in np.split(order, starts[1:])]
             frequent = np.flatnonzero(c < size)
             own, of = c[frequent], owner[frequent]
             home = [held.astype(np.uint8), np.bincount(owner, minlength=len(texts)), np.bincount(of, known[own], len(texts)).astype(np.int64), np.bincount(of, logs[own], len(texts))]
             rest = len(shards)
-
-            def lists(first: pa.Array, others: list) -> pa.Array:
-                ends = np.cumsum([0, len(first), *(others or [0] * rest)]).astype(np.int32)
-                return pa.array(ends), first
-
-            keys = pa.ListArray.from_arrays(*lists(part.column(0), []))
-            wants = pa.ListArray.from_arrays(*lists(pa.array([], pa.int64()), [len(w) for w in wanted])[:1], pa.array(np.concatenate([np.zeros(0, np.int64), *wanted])))
+            ends = pa.array([0, *[len(part)] * (1 + rest)], pa.int32())
+            keys = pa.ListArray.from_arrays(ends, part.column(0), mask=pa.array([False] + [True] * rest))
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(1 + rest, task | number)), pa.array(np.append(-1, shards), pa.int32()),
-                pa.array([_squeeze(*(x.tobytes() for x in home)), *blobs], pa.binary()), keys, wants, pa.ListArray.from_arrays(*lists(hot, [])),
-            ], ["slice", "shard", "data", "keys", "wants", "hot"])
+                pa.array(np.append((task + number) % deal.shards, shards), pa.int32()), pa.array(np.full(1 + rest, task | number)),
+                pa.array([_squeeze(*(x.tobytes() for x in home)), *blobs], pa.binary()), keys,
+            ], ["shard", "slice", "data", "keys"])
 
     schema = T.StructType([
-        T.StructField("slice", T.LongType()), T.StructField("shard", T.IntegerType()), T.StructField("data", T.BinaryType()),
-        T.StructField("keys", T.ArrayType(rows.schema["key"].dataType)), T.StructField("wants", T.ArrayType(T.LongType())),
-        T.StructField("hot", T.ArrayType(HOT)),
+        T.StructField("shard", T.IntegerType()), T.StructField("slice", T.LongType()), T.StructField("data", T.BinaryType()),
+        T.StructField("keys", T.ArrayType(rows.schema["key"].dataType)),
     ])
     return rows.select("key", "held_out", "text").mapInArrow(send, schema)
 
 
-def _numbers(batch: pa.RecordBatch, names: list[str]) -> np.ndarray:
-    return np.column_stack([pa.compute.fill_null(batch.column(n), 0).to_numpy(zero_copy_only=False) for n in names])
+TOLD = ["a", "b", "c", "n", "m"]
+
 
+def packed_rows(told: DataFrame) -> DataFrame:
+    """Rows of shard and the numbers ``TOLD`` (NULL is 0), many of a shard in one row."""
 
-def answers(received: DataFrame, shards: int, dealing, whole: float) -> DataFrame:
-    """slice, data: what each shard says about the texts of a slice. ``received``: shard; slice and data of tokens; or
-    a, b, c, n of counted n-grams of hot words and contexts; or only c; both with m, the count of a rare c."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def rows() -> pa.RecordBatch:
+            table = np.concatenate(held)
+            held.clear()
+            table = table[np.argsort(table[:, 0], kind="stable")]
+            shards, starts = np.unique(table[:, 0], return_index=True)
+            blobs = [_squeeze(np.ascontiguousarray(np.ascontiguousarray(x[:, 1:].T).view(np.uint8).reshape(len(TOLD), -1, 8).transpose(0, 2, 1)).tobytes()) for x in np.split(table, starts[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "data"])
+
+        for batch in batches:
+            held.append(np.column_stack([pa.compute.fill_null(batch.column(n).cast(pa.int64()), 0).to_numpy(zero_copy_only=False) for n in ("shard", *TOLD)]))
+            if sum(map(len, held)) > ROWS_PACKED:
+                yield rows()
+        if held:
+            yield rows()
+
+    return told.select("shard", *TOLD).mapInArrow(pack, "shard int, data binary")
+
+
+def _told(blob: bytes) -> np.ndarray:
+    data = _expand(blob).reshape(len(TOLD), 8, -1).transpose(0, 2, 1)
+    return np.ascontiguousarray(data).view(np.int64).reshape(len(TOLD), -1)
+
+
+def answers(received: DataFrame, shards: int, unigrams, whole: float) -> DataFrame:
+    """slice, data, keys: what each shard says about the texts of a slice, and the rows with keys as they came.
+    ``received``: shard and, from ``sent_tokens``, slice, data and keys; or, from ``packed_rows``, only data: a, b, c, n of counted n-grams
+    of hot words and contexts, or only c, both with m, the count of a rare c."""
+    schema = received.select("slice", "data", "keys").schema
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = dealing.value.counts
+        counts = unigrams.value
         size = len(counts)
-        slices, parts, given = [], [], []
+        slices, parts, given = [], [], [np.zeros((len(TOLD), 0), np.int64)]
         for batch in batches:
-            tokens = batch.column("data").is_valid()
-            there = batch.filter(tokens)
+            of_slice, home = batch.column("slice").is_valid(), batch.column("keys").is_valid()
+            yield batch.filter(home).select(schema.names)
+            there = batch.filter(pa.compute.and_not(of_slice, home))
             slices += there.column("slice").to_pylist()
             parts += map(_unpacked, there.column("data").to_pylist())
-            given.append(_numbers(batch.filter(pa.compute.invert(tokens)), ["a", "b", "c", "n", "m"]))
+            given += map(_told, batch.filter(pa.compute.invert(of_slice)).column("data").to_pylist())
         if not parts:
             return
-        told = np.concatenate(given)
+        told = np.concatenate(given, axis=1).T
         rare = np.unique(np.concatenate([told[:, :3][told[:, :3] >= RARE], *(r for r, _, _ in parts)]))
 
         def local(named: np.ndarray) -> np.ndarray:
@@ -347,9 +378,9 @@ def answers(received: DataFrame, shards: int, dealing, whole: float) -> DataFram
                 sizes.tobytes(), _planes(np.diff(texts[s], prepend=0)), scores[s].tobytes(),
                 _planes(np.diff(rare_texts[r], prepend=0)), known[r].tobytes(), logs[r].tobytes(),
             ))
-        yield pa.RecordBatch.from_arrays([pa.array(slices, pa.int64()), pa.array(said, pa.binary())], ["slice", "data"])
+        yield pa.RecordBatch.from_arrays([pa.array(slices, pa.int64()), pa.array(said, pa.binary()), pa.nulls(len(said), batch.column("keys").type)], schema.names)
 
-    return received.repartitionById(shards, F.col("shard")).mapInArrow(meet, "slice bigint, data binary")
+    return received.repartitionById(shards, F.col("shard")).mapInArrow(meet, schema)
 
 
 def _said(blob: bytes) -> tuple[np.ndarray, ...]:
@@ -363,10 +394,10 @@ def _said(blob: bytes) -> tuple[np.ndarray, ...]:
     )
 
 
-def _added(sent: DataFrame, said: DataFrame, total: int, whole: float, key: str) -> DataFrame:
+def _added(said: DataFrame, total: int, whole: float, key: str) -> DataFrame:
     """Per text its counts and scores: each slice adds up what the shards said about its texts."""
     out = T.StructType([
-        T.StructField(key, sent.schema["keys"].dataType.elementType), T.StructField("held_out", T.BooleanType()),
+        T.StructField(key, said.schema["keys"].dataType.elementType), T.StructField("held_out", T.BooleanType()),
         *(T.StructField(name, T.LongType()) for name in ("n_tokens", "n_known", "train_tokens")),
         T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType()),
     ])
@@ -390,8 +421,7 @@ def _added(sent: DataFrame, said: DataFrame, total: int, whole: float, key: str)
             names=out.names,
         )
 
-    home = sent.filter("shard < 0").select("slice", "data", "keys")
-    return home.unionByName(said, allowMissingColumns=True).groupBy("slice").applyInArrow(add, out)
+    return said.groupBy("slice").applyInArrow(add, out)
 
 
 def score_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shard_tokens: int = TOKENS_A_SHARD) -> DataFrame:
@@ -420,20 +450,25 @@ def score_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sha
     hot = max(1, shard_tokens // 4)
     vocabulary = spark.sparkContext.broadcast(Vocabulary(frequent["word"].to_pylist()))
     deal = Dealing(n, followed, shards, hot, least)
-    deal.contexts = hot_contexts(training, vocabulary, followed > max(hot, least), max(hot, least))
-    dealing = spark.sparkContext.broadcast(deal)
+    seen = settle(noted(rows, vocabulary, spark.sparkContext.broadcast(deal), max(hot, least)))
+    grams = seen.select(F.explode("hot").alias("g")).groupBy("g.a", "g.b", "g.c", "g.base", "g.splits").agg(F.sum("g.n").alias("n"))
+    grams = settle(grams)
+    contexts = grams.filter(F.col("a") != ANY).groupBy(F.col("a").alias("ha"), F.col("b").alias("hb")).agg(F.sum("n").alias("hn"))
+    contexts = settle(contexts.filter(F.col("hn") > max(hot, least)))  # 1 / KNOWN_SHARE at most
+    deal = Dealing(n, followed, shards, hot, least)
+    deal.contexts = np.sort(np.array([r["ha"] * len(n) + r["hb"] for r in contexts.collect()], np.int64))
 
-    sent = settle(sent_tokens(rows, vocabulary, dealing))
     rare = counts.filter(F.col("n") < least).select(rare_id("word").alias("id"), F.col("n").alias("m"))
-    wanted = sent.filter("shard >= 0").select("shard", F.explode("wants").alias("c"))
+    wanted = seen.select(F.explode(F.arrays_zip("shards", "wants")).alias("w")).select(F.col("w.shards").alias("shard"), F.col("w.wants").alias("c"))
     wanted = wanted.join(rare.hint("shuffle_hash"), F.col("c") == F.col("id")).select("shard", "c", "m")
-    received = sent.filter("shard >= 0").select("shard", "slice", "data").unionByName(wanted, allowMissingColumns=True)
-    grams = sent.filter("shard < 0").select(F.explode("hot").alias("g")).groupBy("g.a", "g.b", "g.c", "g.base", "g.splits").agg(F.sum("g.n").alias("n"))
-    grams = settle(grams)
+    both = (F.col("a") == F.col("ha")) & (F.col("b") == F.col("hb"))
+    grams = grams.filter(F.col("a") == ANY).unionByName(grams.filter(F.col("a") != ANY).join(F.broadcast(contexts), both, "left_semi"))
     # Only rare words are looked up: a frequent c stands in very many pairs.
     told = grams.filter(F.col("c") >= RARE).join(rare, F.col("c") == F.col("id"), "left").drop("id")
     told = told.unionByName(grams.filter(F.col("c") < RARE), allowMissingColumns=True)
     told = told.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
-    told = told.select(((F.col("base") + F.col("part")) % shards).cast("int").alias("shard"), "a", "b", "c", "n", "m")
-    received = received.unionByName(told, allowMissingColumns=True)
-    return _added(sent, answers(received, shards, dealing, whole), total, whole, key)
+    told = told.select(((F.col("base") + F.col("part")) % shards).cast("int").alias("shard"), *TOLD)
+    told = packed_rows(told.unionByName(wanted, allowMissingColumns=True))
+    sent = sent_tokens(rows, vocabulary, spark.sparkContext.broadcast(deal))
+    received = sent.unionByName(told, allowMissingColumns=True)
+    return _added(answers(received, shards, spark.sparkContext.broadcast(n), whole), total, whole, key)
