@@ -123,6 +123,7 @@ def test_elias_fano_of_crowded_values():
     got = EliasFano.of(values).find(asked)
     place = {int(v): i for i, v in enumerate(values)}
     assert got.tolist() == [place.get(int(v), -1) for v in asked]
+    assert EliasFano.of(values).find(asked[:500]).tolist() == got[:500].tolist()
 
 
 def test_quantised_values_are_close():

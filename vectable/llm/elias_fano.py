@@ -93,8 +93,13 @@ class EliasFano:
         high = high[query]
         at = np.zeros(len(query), np.int64)
         behind = high > 0
-        at[behind] = self._place(self.zeros, high[behind] - 1, True) + 1 - high[behind]
-        end = self._place(self.zeros, high, True) - high
+        if 4 * len(query) > self.size:  # so many that the unary part is better read once
+            zeros = np.flatnonzero(np.unpackbits((~self.high).view(np.uint8), bitorder="little"))
+            at[behind] = zeros[high[behind] - 1] + 1 - high[behind]
+            end = zeros[high] - high
+        else:
+            at[behind] = self._place(self.zeros, high[behind] - 1, True) + 1 - high[behind]
+            end = self._place(self.zeros, high, True) - high
         want = values[query] & np.uint64((1 << self.width) - 1)
         # Values of one high part can be very many, so they are halved, not walked.
         live = np.flatnonzero(at < end)
