@@ -266,7 +266,7 @@ def test_no_task_meets_more_than_its_share(make_docs, spark):
     hot = noted(rows, vocabulary, spark.sparkContext.broadcast(deal), 100).selectExpr("inline(hot)").filter("a <> 3")
     contexts = hot.groupBy("a", "b").agg(F.sum("n").alias("n")).filter("n > 100").collect()
     assert contexts
-    deal.contexts = np.sort([r["a"] * len(counts) + r["b"] for r in contexts])
+    deal.set_contexts([r["a"] * len(counts) + r["b"] for r in contexts], [r["n"] for r in contexts])
     sent = sent_tokens(rows, vocabulary, spark.sparkContext.broadcast(deal)).filter("keys IS NULL").select("shard", "data").collect()
     loads = Counter()
     for r in sent:

@@ -9,9 +9,10 @@ of a slice are added up in its own group. Nothing of the model is gathered, and
 * Words with at least ``KNOWN_SHARE`` of all tokens (1 / KNOWN_SHARE at most) are broadcast with their counts. The counts of
   the others come to the shards that need them by a join; those words are too rare to be hot.
 * A word b with over a quarter of a shard's tokens (and, where even rare words may have so many, every rare one) is spread
-  over several shards by a. Its pairs are then counted before, summed by task first, and copied to these shards.
-* The same holds for a context (a, b) that has so many tokens itself: its tokens are spread evenly, its counted
-  triples are copied. A text's first token has no a, so it is spread evenly as well.
+  over several shards by a. Its pairs are then counted before, summed by task first; a shard is told the pairs that it meets,
+  and one row with what the back-off weight needs of all others, so copies never outnumber the tokens.
+* A context (a, b) that has so many tokens itself is spread evenly over as many of these shards as its tokens need; they are
+  told all its counted triples, and their pairs. A text's first token has no a, so it is spread evenly as well.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from vectable.llm.common import as_bytes, values
 from vectable.llm.elias_fano import map_bytes
@@ -39,6 +40,8 @@ ROWS_PACKED = 500_000
 # Ids of no word, of a text's start, of its end, and of any word; frequent words follow, and the others are hashes.
 NONE, START, END, ANY, WORDS = 0, 1, 2, 3, 4
 RARE = 1 << 61
+EVERY = -1  # the part of a pair that all shards of its word may meet
+MASS = 60  # probabilities are summed in units of 2^-MASS
 
 
 class Vocabulary(dict):
@@ -166,12 +169,22 @@ class Dealing:
         self.splits = np.minimum(shards, followed // hot + 1)
         self.base = (np.arange(len(counts), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(31)).astype(np.int64) % shards
         self.rare_splits = min(shards, int(rare_most // hot) + 1)
-        self.contexts = np.zeros(0, np.int64)  # sorted codes a * size + b of hot contexts
+        self.hot = hot
+        self.contexts = self.parts = np.zeros(0, np.int64)  # sorted codes a * size + b of hot contexts, and their shards
+
+    def set_contexts(self, codes: list[int], tokens: list[int]) -> None:
+        order = np.argsort(np.array(codes, np.int64))
+        self.contexts, self.parts = np.array(codes, np.int64)[order], np.array(tokens, np.int64)[order] // self.hot + 1
 
     def spread(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Base and splits of all frequent words and then of rare ones."""
         return np.append(self.base, (hashes >> 20) % self.shards), np.append(self.splits, np.full(len(hashes), self.rare_splits))
 
+    def part(self, a: np.ndarray, splits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Which of the shards of b a token goes to if its context is not hot."""
+        salt = np.append(np.arange(len(self.counts)), hashes)[a].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(33)
+        return salt.astype(np.int64) % splits
+
     def place(self, a: np.ndarray, b: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """Shard of each token."""
         size = len(self.counts)
@@ -179,47 +192,49 @@ class Dealing:
         more = np.flatnonzero(splits > 1)
         if not len(more):
             return base
-        x, y = a[more], b[more]
-        evenly = x == NONE
+        x, y, splits = a[more], b[more], splits[more]
+        parts = np.where(x == NONE, splits, 1)
         if len(self.contexts):
             code = np.where((x < size) & (y < size), x * size + y, -1)
             at = np.searchsorted(self.contexts, code).clip(max=len(self.contexts) - 1)
-            evenly |= self.contexts[at] == code
-        salt = np.append(np.arange(size), hashes)[x].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(33)
-        base[more] += np.where(evenly, more, salt.astype(np.int64)) % splits[more]
+            parts = np.where(self.contexts[at] == code, np.minimum(self.parts[at], splits), parts)
+        base[more] += (self.part(x, splits, hashes) + more % parts) % splits
         return base % self.shards
 
 
-HOT = T.StructType([T.StructField(n, T.IntegerType() if n in ("base", "splits") else T.LongType()) for n in ("a", "b", "c", "base", "splits", "n")])
-HOT_ARROW = pa.struct([("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("base", pa.int32()), ("splits", pa.int32()), ("n", pa.int64())])
+SHORT = ("base", "splits", "part")
+HOT = T.StructType([T.StructField(n, T.IntegerType() if n in SHORT else T.LongType()) for n in ("a", "b", "c", *SHORT, "n")])
+HOT_ARROW = pa.struct([(f.name, pa.int32() if f.name in SHORT else pa.int64()) for f in HOT])
 
 
 def noted(rows: DataFrame, vocabulary, dealing, bound: float) -> DataFrame:
     """What shards need beside their tokens, by slice of ``rows`` (key, held_out, text): ``wants``, rare words c with the shard
-    of a b that has only one; and ``hot``, counts of the pairs of b that has more, and of triples whose contexts may have
-    over ``bound`` tokens. A pair whose c is rare is noted even where only held-out texts have it."""
+    of a b that has only one; and ``hot``, counts of the pairs of b that has more, by the part of its shards that meets them,
+    and of triples whose contexts may have over ``bound`` tokens. What only held-out texts have is noted with a count of 0."""
 
     def note(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, deal = vocabulary.value, dealing.value
         size = ids.size
-        for part, texts in _slices(batches, 2):
+        for rows, texts in _slices(batches, 2):
             a, b, c, owner = triples(texts, ids)
             hashes = _hashes(ids.rare)
             ids.rare.clear()
             named, width = np.append(np.arange(size), hashes), size + len(hashes)
             base, splits = deal.spread(hashes)
             able = np.append(deal.followed > bound, np.zeros(len(hashes), bool))
-            train = ~part.column(1).to_numpy(zero_copy_only=False)[owner]
+            train = ~rows.column(1).to_numpy(zero_copy_only=False)[owner]
             alone = np.flatnonzero((c >= size) & (splits[b] == 1))
             code = np.unique(base[b[alone]] * width + c[alone])
             entries = []
-            for chosen, context in ((np.flatnonzero((splits[b] > 1) & (train | (c >= size))), False), (np.flatnonzero(train & able[a] & able[b]), True)):
-                lead = a[chosen] * size + b[chosen] if context else b[chosen]
-                lead = np.unique(lead, return_inverse=True)[1]
+            more = splits[b] > 1
+            for chosen, context in ((np.flatnonzero(more), False), (np.flatnonzero(more & able[a] & able[b]), True)):
+                part = np.where(a[chosen] == NONE, EVERY, deal.part(a[chosen], splits[b[chosen]], hashes))
+                lead = a[chosen] if context else part + 1
+                lead = np.unique(lead * width + b[chosen], return_inverse=True)[1]
                 _, first, place = np.unique(lead * width + c[chosen], return_index=True, return_inverse=True)
                 at = chosen[first]
                 n = np.bincount(place[train[chosen]], minlength=len(at))
-                entries.append((named[a[at]] if context else np.full(len(at), ANY), named[b[at]], named[c[at]], base[b[at]], splits[b[at]], n))
+                entries.append((named[a[at]] if context else np.full(len(at), ANY), named[b[at]], named[c[at]], base[b[at]], splits[b[at]], part[first], n))
             hot = pa.StructArray.from_arrays([pa.array(np.concatenate(x), f.type) for x, f in zip(zip(*entries), HOT_ARROW)], fields=list(HOT_ARROW))
             shard, wanted = np.divmod(code, width)
             columns = [pa.array(shard, pa.int32()), pa.array(named[wanted]), hot]
@@ -267,7 +282,26 @@ def sent_tokens(rows: DataFrame, vocabulary, dealing) -> DataFrame:
     return rows.select("key", "held_out", "text").mapInArrow(send, schema)
 
 
-TOLD = ["a", "b", "c", "n", "m"]
+def followers(pairs: DataFrame, unigrams, whole: float) -> DataFrame:
+    """b, base, splits, n, m, mass: of each spread word its tokens, its different successors, and the probability that these
+    have by themselves. ``pairs``: b, base, splits, and c with its n and, if rare, m."""
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = unigrams.value
+        for batch in batches:
+            b, base, splits, c, n, m = (pa.compute.fill_null(x.cast(pa.int64()), 0).to_numpy(zero_copy_only=False) for x in batch.columns)
+            first = ((np.where(c < RARE, counts[np.where(c < RARE, c, 0)], m) + 1) / whole * 2.0**MASS).astype(np.int64)
+            words, at, place = np.unique(b, return_index=True, return_inverse=True)
+            sums = [np.zeros(len(words), np.int64) for _ in range(3)]
+            for x, y in zip(sums, (n, np.ones(len(n), np.int64), first)):
+                np.add.at(x, place, y)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (words, base[at], splits[at], *sums)], ["b", "base", "splits", "n", "m", "mass"])
+
+    part = pairs.select("b", "base", "splits", "c", "n", "m").mapInArrow(total, "b bigint, base bigint, splits bigint, n bigint, m bigint, mass bigint")
+    return part.groupBy("b", "base", "splits").agg(*(F.sum(x).alias(x) for x in ("n", "m", "mass")))
+
+
+TOLD = ["a", "b", "c", "n", "m", "mass"]
 
 
 def packed_rows(told: DataFrame) -> DataFrame:
@@ -302,7 +336,7 @@ def _told(blob: bytes) -> np.ndarray:
 def answers(received: DataFrame, shards: int, unigrams, whole: float) -> DataFrame:
     """slice, data, keys: what each shard says about the texts of a slice, and the rows with keys as they came.
     ``received``: shard and, from ``sent_tokens``, slice, data and keys; or, from ``packed_rows``, only data: a, b, c, n of counted n-grams
-    of hot words and contexts, or only c, both with m, the count of a rare c."""
+    of hot words and contexts, or only c, both with m, the count of a rare c; or, with a mass, what ``followers`` says of b."""
     schema = received.select("slice", "data", "keys").schema
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,6 +353,7 @@ def answers(received: DataFrame, shards: int, unigrams, whole: float) -> DataFra
         if not parts:
             return
         told = np.concatenate(given, axis=1).T
+        of_all = told[told[:, 5] > 0]
         rare = np.unique(np.concatenate([told[:, :3][told[:, :3] >= RARE], *(r for r, _, _ in parts)]))
 
         def local(named: np.ndarray) -> np.ndarray:
@@ -336,6 +371,7 @@ def answers(received: DataFrame, shards: int, unigrams, whole: float) -> DataFra
         text, train = marks >> 1, marks & 1 == 0
         width = size + len(rare)
         times = np.append(counts, np.zeros(len(rare), np.int64))
+        told = told[told[:, 5] == 0]
         counted = told[told[:, 4] > 0]
         times[local(counted[:, 2])] = counted[:, 4]
         first = (times + 1) / whole
@@ -355,7 +391,8 @@ def answers(received: DataFrame, shards: int, unigrams, whole: float) -> DataFra
         pair_of, lead = np.divmod(codes, width)
         known3 = (times3 > 0) & (lead != NONE)
         place = np.cumsum(known2) - 1
-        trie = Trie(map_bytes(build(width, pairs[known2], times2[known2], place[pair_of[known3]], lead[known3], times3[known3], first)))
+        spread = (local(of_all[:, 1]), of_all[:, 3], of_all[:, 4], of_all[:, 5] / 2.0**MASS)
+        trie = Trie(map_bytes(build(width, pairs[known2], times2[known2], place[pair_of[known3]], lead[known3], times3[known3], first, spread)))
         middle, last = np.divmod(pairs, width)
         rank, lower = trie.pairs(middle, last, np.log10(first)[last])
         chance = trie.triples(lead, middle[pair_of], rank[pair_of], lower[pair_of])[code[: len(a)]]
@@ -451,24 +488,36 @@ def score_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sha
     vocabulary = spark.sparkContext.broadcast(Vocabulary(frequent["word"].to_pylist()))
     deal = Dealing(n, followed, shards, hot, least)
     seen = settle(noted(rows, vocabulary, spark.sparkContext.broadcast(deal), max(hot, least)))
-    grams = seen.select(F.explode("hot").alias("g")).groupBy("g.a", "g.b", "g.c", "g.base", "g.splits").agg(F.sum("g.n").alias("n"))
+    entries = seen.select(F.explode("hot").alias("g")).select("g.*")
+    grams = entries.filter(F.col("a") != ANY).groupBy("a", "b", "c", "base", "splits", "part").agg(F.sum("n").alias("n"))
     grams = settle(grams)
-    contexts = grams.filter(F.col("a") != ANY).groupBy(F.col("a").alias("ha"), F.col("b").alias("hb")).agg(F.sum("n").alias("hn"))
+    contexts = grams.groupBy(F.col("a").alias("ha"), F.col("b").alias("hb")).agg(F.sum("n").alias("hn"))
     contexts = settle(contexts.filter(F.col("hn") > max(hot, least)))  # 1 / KNOWN_SHARE at most
+    found = contexts.toArrow()
     deal = Dealing(n, followed, shards, hot, least)
-    deal.contexts = np.sort(np.array([r["ha"] * len(n) + r["hb"] for r in contexts.collect()], np.int64))
+    deal.set_contexts([a * len(n) + b for a, b in zip(found["ha"].to_pylist(), found["hb"].to_pylist())], found["hn"].to_pylist())
+    unigrams = spark.sparkContext.broadcast(n)
 
     rare = counts.filter(F.col("n") < least).select(rare_id("word").alias("id"), F.col("n").alias("m"))
     wanted = seen.select(F.explode(F.arrays_zip("shards", "wants")).alias("w")).select(F.col("w.shards").alias("shard"), F.col("w.wants").alias("c"))
     wanted = wanted.join(rare.hint("shuffle_hash"), F.col("c") == F.col("id")).select("shard", "c", "m")
     both = (F.col("a") == F.col("ha")) & (F.col("b") == F.col("hb"))
-    grams = grams.filter(F.col("a") == ANY).unionByName(grams.filter(F.col("a") != ANY).join(F.broadcast(contexts), both, "left_semi"))
+    parts = F.least("splits", F.expr(f"int(hn div {hot}) + 1"))
+    grams = grams.join(F.broadcast(contexts), both).withColumn("part", F.explode(F.transform(F.sequence(F.lit(0), parts - 1), lambda i: (F.col("part") + i) % F.col("splits"))))
+    pairs = entries.filter(F.col("a") == ANY).drop("a").unionByName(grams.select("b", "c", *SHORT, F.lit(0).cast("bigint").alias("n")))
+    pairs = pairs.groupBy("b", "c", *SHORT).agg(F.sum("n").alias("n"))
+    one = Window.partitionBy("b", "c")  # a row for each part of b's shards at most
+    pairs = pairs.select("b", "c", *SHORT, F.sum("n").over(one).alias("n"), (F.col("part") == F.min("part").over(one)).alias("once"))
     # Only rare words are looked up: a frequent c stands in very many pairs.
-    told = grams.filter(F.col("c") >= RARE).join(rare, F.col("c") == F.col("id"), "left").drop("id")
-    told = told.unionByName(grams.filter(F.col("c") < RARE), allowMissingColumns=True)
-    told = told.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
-    told = told.select(((F.col("base") + F.col("part")) % shards).cast("int").alias("shard"), *TOLD)
+    named = pairs.filter(F.col("c") >= RARE).join(rare, F.col("c") == F.col("id"), "left").drop("id")
+    pairs = settle(named.unionByName(pairs.filter((F.col("c") < RARE) & (F.col("n") > 0)), allowMissingColumns=True))
+    every = F.sequence(F.lit(0), F.col("splits").cast("int") - 1)
+    told = pairs.drop("once").withColumn("part", F.explode(F.when(F.col("part") == EVERY, every).otherwise(F.array("part")))).withColumn("a", F.lit(ANY))
+    told = told.unionByName(grams.select("a", "b", "c", *SHORT, "n"), allowMissingColumns=True)
+    spread = followers(pairs.filter("once AND n > 0"), unigrams, whole).withColumn("part", F.explode(every))
+    told = told.unionByName(spread, allowMissingColumns=True)
+    told = told.withColumn("shard", ((F.col("base") + F.col("part")) % shards).cast("int")).select("shard", *TOLD)
     told = packed_rows(told.unionByName(wanted, allowMissingColumns=True))
     sent = sent_tokens(rows, vocabulary, spark.sparkContext.broadcast(deal))
     received = sent.unionByName(told, allowMissingColumns=True)
-    return _added(answers(received, shards, spark.sparkContext.broadcast(n), whole), total, whole, key)
+    return _added(answers(received, shards, unigrams, whole), total, whole, key)

@@ -35,20 +35,29 @@ def _back_off(times: np.ndarray, different: np.ndarray, lower: np.ndarray) -> np
     return np.log10(np.maximum(DISCOUNT * different / times, LEAST) / np.maximum(1 - lower, LEAST))
 
 
-def build(width: int, pairs: np.ndarray, times: np.ndarray, pair: np.ndarray, a: np.ndarray, n: np.ndarray, first: np.ndarray) -> bytes:
+def build(
+    width: int, pairs: np.ndarray, times: np.ndarray, pair: np.ndarray, a: np.ndarray, n: np.ndarray, first: np.ndarray,
+    spread: tuple[np.ndarray, ...] = (),
+) -> bytes:
     """The trie as bytes. Ids are under ``width``.
 
     ``pairs``: sorted distinct codes b * width + c of all that follows each b, and ``times`` they occur. Triples are the
     place of their (b, c) in ``pairs``, their ``a`` and how often they occur (``n``), sorted by place and a.
-    ``first``: the probability of each id by itself.
+    ``first``: the probability of each id by itself. ``spread``: words b of which only some pairs are here, and over all their pairs
+    how many tokens, different successors and what sum of ``first`` they have.
     """
     b, c = np.divmod(pairs, max(width, 1))
-    start = np.append(np.flatnonzero(np.diff(b, prepend=-1)), len(pairs))
-    roots, followers = b[start[:-1]], np.diff(start)
+    roots = np.union1d(b, spread[0]).astype(np.int64) if spread else np.unique(b)
+    start = np.append(np.searchsorted(b, roots), len(pairs))
+    followers = np.diff(start)
     root = np.repeat(np.arange(len(roots)), followers)
-    whole = np.bincount(root, times, len(roots))
+    whole, lower = np.bincount(root, times, len(roots)), np.bincount(root, first[c], len(roots))
+    different = followers.copy()
+    if spread:
+        at = np.searchsorted(roots, spread[0])
+        whole[at], different[at], lower[at] = spread[1:]
     own2 = (times - DISCOUNT) / whole[root]
-    back1 = _back_off(whole, followers, np.bincount(root, first[c], len(roots)))
+    back1 = _back_off(whole, different, lower)
     contexts, context = np.unique(b[pair] * width + a, return_inverse=True)
     rank = pair - start[root[pair]]
     span = int(rank.max()) + 1 if len(rank) else 1
