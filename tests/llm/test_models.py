@@ -263,7 +263,7 @@ def test_no_task_meets_more_than_its_share(make_docs, spark):
     followed = np.where(np.arange(len(counts)) == 1, ends, np.where(np.arange(len(counts)) == 2, 0, counts))
     deal = Dealing(counts, followed, 16, 100, 1.0)
     vocabulary = spark.sparkContext.broadcast(Vocabulary(words))
-    hot = noted(rows, vocabulary, spark.sparkContext.broadcast(deal), 100).selectExpr("inline(hot)").filter("a <> 3")
+    hot = noted(rows, vocabulary, spark.sparkContext.broadcast(deal), 100).selectExpr("inline(triples)")
     contexts = hot.groupBy("a", "b").agg(F.sum("n").alias("n")).filter("n > 100").collect()
     assert contexts
     deal.set_contexts([r["a"] * len(counts) + r["b"] for r in contexts], [r["n"] for r in contexts])

@@ -8,7 +8,7 @@ of a slice are added up in its own group. Nothing of the model is gathered, and
 
 * Words with at least ``KNOWN_SHARE`` of all tokens (1 / KNOWN_SHARE at most) are broadcast with their counts. The counts of
   the others come to the shards that need them by a join; those words are too rare to be hot.
-* A word b with over a quarter of a shard's tokens (and, where even rare words may have so many, every rare one) is spread
+* A word b with over half of a shard's tokens (and, where even rare words may have so many, every rare one) is spread
   over several shards by a. Its pairs are then counted before, summed by task first; a shard is told the pairs that it meets,
   and one row with what the back-off weight needs of all others, so copies never outnumber the tokens.
 * A context (a, b) that has so many tokens itself is spread evenly over as many of these shards as its tokens need; they are
@@ -180,6 +180,11 @@ class Dealing:
         """Base and splits of all frequent words and then of rare ones."""
         return np.append(self.base, (hashes >> 20) % self.shards), np.append(self.splits, np.full(len(hashes), self.rare_splits))
 
+    def of(self, named: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Base and splits of words, rare ones by their hash."""
+        base, splits = self.spread(named)
+        return tuple(np.where(named < RARE, x[np.where(named < RARE, named, 0)], x[len(self.base) :]) for x in (base, splits))
+
     def part(self, a: np.ndarray, splits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """Which of the shards of b a token goes to if its context is not hot."""
         salt = np.append(np.arange(len(self.counts)), hashes)[a].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(33)
@@ -202,15 +207,15 @@ class Dealing:
         return base % self.shards
 
 
-SHORT = ("base", "splits", "part")
-HOT = T.StructType([T.StructField(n, T.IntegerType() if n in SHORT else T.LongType()) for n in ("a", "b", "c", *SHORT, "n")])
-HOT_ARROW = pa.struct([(f.name, pa.int32() if f.name in SHORT else pa.int64()) for f in HOT])
+GRAM = T.StructType([T.StructField(n, T.IntegerType() if n == "part" else T.LongType()) for n in ("a", "b", "c", "part", "n")])
+GRAM_ARROW = pa.struct([(f.name, pa.int32() if f.name == "part" else pa.int64()) for f in GRAM])
 
 
 def noted(rows: DataFrame, vocabulary, dealing, bound: float) -> DataFrame:
     """What shards need beside their tokens, by slice of ``rows`` (key, held_out, text): ``wants``, rare words c with the shard
-    of a b that has only one; and ``hot``, counts of the pairs of b that has more, by the part of its shards that meets them,
-    and of triples whose contexts may have over ``bound`` tokens. What only held-out texts have is noted with a count of 0."""
+    of a b that has only one; counts of the pairs of b that has more, by the part of its shards that meets them, ``rare`` if c is
+    rare and else ``pairs``; and of ``triples`` whose contexts may have over ``bound`` tokens. What only held-out texts have is
+    noted with a count of 0."""
 
     def note(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, deal = vocabulary.value, dealing.value
@@ -225,23 +230,24 @@ def noted(rows: DataFrame, vocabulary, dealing, bound: float) -> DataFrame:
             train = ~rows.column(1).to_numpy(zero_copy_only=False)[owner]
             alone = np.flatnonzero((c >= size) & (splits[b] == 1))
             code = np.unique(base[b[alone]] * width + c[alone])
-            entries = []
-            more = splits[b] > 1
-            for chosen, context in ((np.flatnonzero(more), False), (np.flatnonzero(more & able[a] & able[b]), True)):
-                part = np.where(a[chosen] == NONE, EVERY, deal.part(a[chosen], splits[b[chosen]], hashes))
-                lead = a[chosen] if context else part + 1
-                lead = np.unique(lead * width + b[chosen], return_inverse=True)[1]
-                _, first, place = np.unique(lead * width + c[chosen], return_index=True, return_inverse=True)
-                at = chosen[first]
-                n = np.bincount(place[train[chosen]], minlength=len(at))
-                entries.append((named[a[at]] if context else np.full(len(at), ANY), named[b[at]], named[c[at]], base[b[at]], splits[b[at]], part[first], n))
-            hot = pa.StructArray.from_arrays([pa.array(np.concatenate(x), f.type) for x, f in zip(zip(*entries), HOT_ARROW)], fields=list(HOT_ARROW))
+            hot = []
+            more = np.flatnonzero(splits[b] > 1)
+            part = np.where(a[more] == NONE, EVERY, deal.part(a[more], splits[b[more]], hashes))
+            few, threes = c[more] >= size, able[a[more]] & able[b[more]]
+            for chosen, lead in ((few, part + 1), (~few, part + 1), (threes, a[more])):
+                at = more[chosen]
+                _, first, place = np.unique((lead[chosen] * width + b[at]) * width + c[at], return_index=True, return_inverse=True)
+                n = np.bincount(place[train[at]], minlength=len(first))
+                at = at[first]
+                columns = (named[a[at]], named[b[at]], named[c[at]], part[chosen][first], n)
+                hot.append(pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(columns, GRAM_ARROW)], fields=list(GRAM_ARROW)))
             shard, wanted = np.divmod(code, width)
-            columns = [pa.array(shard, pa.int32()), pa.array(named[wanted]), hot]
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in columns], ["shards", "wants", "hot"])
+            columns = [pa.array(shard, pa.int32()), pa.array(named[wanted]), *hot]
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in columns], schema.names)
 
     schema = T.StructType([
-        T.StructField("shards", T.ArrayType(T.IntegerType())), T.StructField("wants", T.ArrayType(T.LongType())), T.StructField("hot", T.ArrayType(HOT)),
+        T.StructField("shards", T.ArrayType(T.IntegerType())), T.StructField("wants", T.ArrayType(T.LongType())),
+        *(T.StructField(name, T.ArrayType(GRAM)) for name in ("rare", "pairs", "triples")),
     ])
     return rows.select("key", "held_out", "text").mapInArrow(note, schema)
 
@@ -282,30 +288,32 @@ def sent_tokens(rows: DataFrame, vocabulary, dealing) -> DataFrame:
     return rows.select("key", "held_out", "text").mapInArrow(send, schema)
 
 
-def followers(pairs: DataFrame, unigrams, whole: float) -> DataFrame:
-    """b, base, splits, n, m, mass: of each spread word its tokens, its different successors, and the probability that these
-    have by themselves. ``pairs``: b, base, splits, and c with its n and, if rare, m."""
+def followers(pairs: DataFrame, unigrams, dealing, whole: float) -> DataFrame:
+    """part, b, n, m, mass: of each spread word, for all its shards, its tokens, its different successors, and the probability
+    that these have by themselves. ``pairs``: b, c with its n and, if rare, m."""
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = unigrams.value
         for batch in batches:
-            b, base, splits, c, n, m = (pa.compute.fill_null(x.cast(pa.int64()), 0).to_numpy(zero_copy_only=False) for x in batch.columns)
+            b, c, n, m = (pa.compute.fill_null(x, 0).to_numpy(zero_copy_only=False) for x in batch.columns)
             first = ((np.where(c < RARE, counts[np.where(c < RARE, c, 0)], m) + 1) / whole * 2.0**MASS).astype(np.int64)
-            words, at, place = np.unique(b, return_index=True, return_inverse=True)
+            words, place = np.unique(b, return_inverse=True)
             sums = [np.zeros(len(words), np.int64) for _ in range(3)]
             for x, y in zip(sums, (n, np.ones(len(n), np.int64), first)):
                 np.add.at(x, place, y)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (words, base[at], splits[at], *sums)], ["b", "base", "splits", "n", "m", "mass"])
+            splits = dealing.value.of(words)[1]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (words, splits, *sums)], ["b", "splits", "n", "m", "mass"])
 
-    part = pairs.select("b", "base", "splits", "c", "n", "m").mapInArrow(total, "b bigint, base bigint, splits bigint, n bigint, m bigint, mass bigint")
-    return part.groupBy("b", "base", "splits").agg(*(F.sum(x).alias(x) for x in ("n", "m", "mass")))
+    part = pairs.select("b", "c", "n", "m").mapInArrow(total, "b bigint, splits bigint, n bigint, m bigint, mass bigint")
+    added = part.groupBy("b", "splits").agg(*(F.sum(x).alias(x) for x in ("n", "m", "mass")))
+    return added.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("splits").cast("int") - 1))).drop("splits")
 
 
 TOLD = ["a", "b", "c", "n", "m", "mass"]
 
 
-def packed_rows(told: DataFrame) -> DataFrame:
-    """Rows of shard and the numbers ``TOLD`` (NULL is 0), many of a shard in one row."""
+def packed_rows(told: DataFrame, dealing) -> DataFrame:
+    """Rows of the numbers ``TOLD`` (NULL is 0) and their shard, or part of the shards of b; many of a shard in one row."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -319,13 +327,17 @@ def packed_rows(told: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "data"])
 
         for batch in batches:
-            held.append(np.column_stack([pa.compute.fill_null(batch.column(n).cast(pa.int64()), 0).to_numpy(zero_copy_only=False) for n in ("shard", *TOLD)]))
+            table = np.column_stack([pa.compute.fill_null(batch.column(n).cast(pa.int64()), 0).to_numpy(zero_copy_only=False) for n in ("shard", *TOLD)])
+            of_word = batch.column("part").is_valid().to_numpy(zero_copy_only=False)
+            part = batch.column("part").drop_null().to_numpy(zero_copy_only=False)
+            table[of_word, 0] = (dealing.value.of(table[of_word, 2])[0] + part) % dealing.value.shards
+            held.append(table)
             if sum(map(len, held)) > ROWS_PACKED:
                 yield rows()
         if held:
             yield rows()
 
-    return told.select("shard", *TOLD).mapInArrow(pack, "shard int, data binary")
+    return told.select("shard", "part", *TOLD).mapInArrow(pack, "shard int, data binary")
 
 
 def _told(blob: bytes) -> np.ndarray:
@@ -484,40 +496,45 @@ def score_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sha
     followed = n.copy()
     followed[START], followed[END] = ends, 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // shard_tokens + 1)
-    hot = max(1, shard_tokens // 4)
+    hot = max(1, shard_tokens // 2)
     vocabulary = spark.sparkContext.broadcast(Vocabulary(frequent["word"].to_pylist()))
     deal = Dealing(n, followed, shards, hot, least)
     seen = settle(noted(rows, vocabulary, spark.sparkContext.broadcast(deal), max(hot, least)))
-    entries = seen.select(F.explode("hot").alias("g")).select("g.*")
-    grams = entries.filter(F.col("a") != ANY).groupBy("a", "b", "c", "base", "splits", "part").agg(F.sum("n").alias("n"))
+    grams = seen.select(F.explode("triples").alias("g")).groupBy("g.a", "g.b", "g.c", "g.part").agg(F.sum("g.n").alias("n"))
     grams = settle(grams)
     contexts = grams.groupBy(F.col("a").alias("ha"), F.col("b").alias("hb")).agg(F.sum("n").alias("hn"))
     contexts = settle(contexts.filter(F.col("hn") > max(hot, least)))  # 1 / KNOWN_SHARE at most
     found = contexts.toArrow()
     deal = Dealing(n, followed, shards, hot, least)
     deal.set_contexts([a * len(n) + b for a, b in zip(found["ha"].to_pylist(), found["hb"].to_pylist())], found["hn"].to_pylist())
-    unigrams = spark.sparkContext.broadcast(n)
+    unigrams, dealing = spark.sparkContext.broadcast(n), spark.sparkContext.broadcast(deal)
 
     rare = counts.filter(F.col("n") < least).select(rare_id("word").alias("id"), F.col("n").alias("m"))
     wanted = seen.select(F.explode(F.arrays_zip("shards", "wants")).alias("w")).select(F.col("w.shards").alias("shard"), F.col("w.wants").alias("c"))
     wanted = wanted.join(rare.hint("shuffle_hash"), F.col("c") == F.col("id")).select("shard", "c", "m")
     both = (F.col("a") == F.col("ha")) & (F.col("b") == F.col("hb"))
-    parts = F.least("splits", F.expr(f"int(hn div {hot}) + 1"))
-    grams = grams.join(F.broadcast(contexts), both).withColumn("part", F.explode(F.transform(F.sequence(F.lit(0), parts - 1), lambda i: (F.col("part") + i) % F.col("splits"))))
-    pairs = entries.filter(F.col("a") == ANY).drop("a").unionByName(grams.select("b", "c", *SHORT, F.lit(0).cast("bigint").alias("n")))
-    pairs = pairs.groupBy("b", "c", *SHORT).agg(F.sum("n").alias("n"))
-    one = Window.partitionBy("b", "c")  # a row for each part of b's shards at most
-    pairs = pairs.select("b", "c", *SHORT, F.sum("n").over(one).alias("n"), (F.col("part") == F.min("part").over(one)).alias("once"))
+    found = found.append_column("splits", pa.array(deal.of(np.array(found["hb"].to_pylist(), np.int64))[1]))
+    contexts = spark.createDataFrame(found)
+    parts = F.least("splits", F.expr(f"hn div {hot} + 1"))
+    parts = F.transform(F.sequence(F.lit(0).cast("bigint"), parts - 1), lambda i: ((F.col("part") + i) % F.col("splits")).cast("int"))
+    grams = grams.join(F.broadcast(contexts), both).select("a", "b", "c", F.explode(parts).alias("part"), "n")
+
+    def whole_pairs(column: str, c_rare: Column) -> DataFrame:
+        """b, c, part and n of b, c over all parts; once is true in one of them."""
+        noted_here = seen.select(F.explode(column).alias("g")).select("g.b", "g.c", "g.part", "g.n")
+        of_triples = grams.filter(c_rare).select("b", "c", "part", F.lit(0).cast("bigint").alias("n"))
+        one = Window.partitionBy("b", "c")  # a row for each part of b's shards at most
+        met = noted_here.unionByName(of_triples).groupBy("b", "c", "part").agg(F.sum("n").alias("n"))
+        return met.select("b", "c", "part", F.sum("n").over(one).alias("n"), (F.col("part") == F.min("part").over(one)).alias("once"))
+
     # Only rare words are looked up: a frequent c stands in very many pairs.
-    named = pairs.filter(F.col("c") >= RARE).join(rare, F.col("c") == F.col("id"), "left").drop("id")
-    pairs = settle(named.unionByName(pairs.filter((F.col("c") < RARE) & (F.col("n") > 0)), allowMissingColumns=True))
-    every = F.sequence(F.lit(0), F.col("splits").cast("int") - 1)
-    told = pairs.drop("once").withColumn("part", F.explode(F.when(F.col("part") == EVERY, every).otherwise(F.array("part")))).withColumn("a", F.lit(ANY))
-    told = told.unionByName(grams.select("a", "b", "c", *SHORT, "n"), allowMissingColumns=True)
-    spread = followers(pairs.filter("once AND n > 0"), unigrams, whole).withColumn("part", F.explode(every))
-    told = told.unionByName(spread, allowMissingColumns=True)
-    told = told.withColumn("shard", ((F.col("base") + F.col("part")) % shards).cast("int")).select("shard", *TOLD)
-    told = packed_rows(told.unionByName(wanted, allowMissingColumns=True))
-    sent = sent_tokens(rows, vocabulary, spark.sparkContext.broadcast(deal))
+    named = whole_pairs("rare", F.col("c") >= RARE).join(rare, F.col("c") == F.col("id"), "left").drop("id")
+    pairs = settle(named.unionByName(whole_pairs("pairs", F.col("c") < RARE).filter("n > 0"), allowMissingColumns=True))
+    every = F.sequence(F.lit(0), F.lit(int(deal.splits[START]) - 1))
+    told = pairs.drop("once").withColumn("part", F.explode(F.when(F.col("part") == EVERY, every).otherwise(F.array("part")))).withColumn("a", F.lit(ANY).cast("bigint"))
+    for more in (grams, followers(pairs.filter("once AND n > 0"), unigrams, dealing, whole), wanted):
+        told = told.unionByName(more, allowMissingColumns=True)
+    told = packed_rows(told, dealing)
+    sent = sent_tokens(rows, vocabulary, dealing)
     received = sent.unionByName(told, allowMissingColumns=True)
     return _added(answers(received, shards, unigrams, whole), total, whole, key)
