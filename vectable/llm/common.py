@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 # Words are runs of anything but space and \t \n \v \f \r, which is what bytes.split() takes as white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -34,6 +34,12 @@ def values(column: pa.Array) -> Iterator:
         yield from column.slice(at, ROWS_AT_ONCE).to_pylist()
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs before a big one begins: its cleaner acts on what the driver's
+    garbage collection finds, which may not run for half an hour (``spark.cleaner.periodicGC.interval``)."""
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def long_list(rows: list, kind: pa.DataType) -> pa.ListArray:
     """Arrow list column from a list of NumPy arrays or Python lists."""
     import numpy as np

@@ -8,7 +8,7 @@ of a slice are added up in its own group. Nothing of the model is gathered, and
 
 * Words with at least ``KNOWN_SHARE`` of all tokens (1 / KNOWN_SHARE at most) are broadcast with their counts. The counts of
   the others come to the shards that need them by a join; those words are too rare to be hot.
-* A word b with over half of a shard's tokens (and, where even rare words may have so many, every rare one) is spread
+* A word b with over a quarter of a shard's tokens (and, where even rare words may have so many, every rare one) is spread
   over several shards by a. Its pairs are then counted before, summed by task first; a shard is told the pairs that it meets,
   and one row with what the back-off weight needs of all others, so copies never outnumber the tokens.
 * A context (a, b) that has so many tokens itself is spread evenly over as many of these shards as its tokens need; they are
@@ -26,7 +26,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from vectable.llm.common import as_bytes, values
+from vectable.llm.common import as_bytes, release_shuffles, values
 from vectable.llm.elias_fano import map_bytes
 from vectable.llm.ngram_trie import Trie, build
 from vectable.sources.tables import settle
@@ -229,19 +229,22 @@ def noted(rows: DataFrame, vocabulary, dealing, bound: float) -> DataFrame:
             able = np.append(deal.followed > bound, np.zeros(len(hashes), bool))
             train = ~rows.column(1).to_numpy(zero_copy_only=False)[owner]
             alone = np.flatnonzero((c >= size) & (splits[b] == 1))
-            code = np.unique(base[b[alone]] * width + c[alone])
+            wants = np.unique(base[b[alone]] * width + c[alone])
             hot = []
             more = np.flatnonzero(splits[b] > 1)
             part = np.where(a[more] == NONE, EVERY, deal.part(a[more], splits[b[more]], hashes))
             few, threes = c[more] >= size, able[a[more]] & able[b[more]]
-            for chosen, lead in ((few, part + 1), (~few, part + 1), (threes, a[more])):
+            for chosen, lead, context in ((few, part + 1, False), (~few, part + 1, False), (threes, a[more], True)):
                 at = more[chosen]
-                _, first, place = np.unique((lead[chosen] * width + b[at]) * width + c[at], return_index=True, return_inverse=True)
-                n = np.bincount(place[train[at]], minlength=len(first))
-                at = at[first]
-                columns = (named[a[at]], named[b[at]], named[c[at]], part[chosen][first], n)
+                code = np.sort(((lead[chosen] * width + b[at]) * width + c[at]) * 2 + train[at])  # one sort of numbers alone
+                new = np.flatnonzero(np.diff(code >> 1, prepend=-1))
+                n = np.add.reduceat(code & 1, new) if len(new) else new
+                pair, z = np.divmod(code[new] >> 1, width)
+                x, y = np.divmod(pair, width)
+                x, at_part = (named[x], deal.part(x, splits[y], hashes)) if context else (np.full(len(x), ANY), x - 1)
+                columns = (x, named[y], named[z], at_part, n)
                 hot.append(pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(columns, GRAM_ARROW)], fields=list(GRAM_ARROW)))
-            shard, wanted = np.divmod(code, width)
+            shard, wanted = np.divmod(wants, width)
             columns = [pa.array(shard, pa.int32()), pa.array(named[wanted]), *hot]
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in columns], schema.names)
 
@@ -496,7 +499,7 @@ def score_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sha
     followed = n.copy()
     followed[START], followed[END] = ends, 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // shard_tokens + 1)
-    hot = max(1, shard_tokens // 2)
+    hot = max(1, shard_tokens // 4)
     vocabulary = spark.sparkContext.broadcast(Vocabulary(frequent["word"].to_pylist()))
     deal = Dealing(n, followed, shards, hot, least)
     seen = settle(noted(rows, vocabulary, spark.sparkContext.broadcast(deal), max(hot, least)))
@@ -535,6 +538,7 @@ def score_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sha
     for more in (grams, followers(pairs.filter("once AND n > 0"), unigrams, dealing, whole), wanted):
         told = told.unionByName(more, allowMissingColumns=True)
     told = packed_rows(told, dealing)
+    release_shuffles(spark)
     sent = sent_tokens(rows, vocabulary, dealing)
     received = sent.unionByName(told, allowMissingColumns=True)
     return _added(answers(received, shards, unigrams, whole), total, whole, key)
