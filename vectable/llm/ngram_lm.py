@@ -8,7 +8,7 @@ of a slice are added up in its own group. Nothing of the model is gathered, and
 
 * Words with at least ``KNOWN_SHARE`` of all tokens (1 / KNOWN_SHARE at most) are broadcast with their counts. The counts of
   the others come to the shards that need them by a join; those words are too rare to be hot.
-* A word b with over a quarter of a shard's tokens (and, where even rare words may have so many, every rare one) is spread
+* A word b with over half of a shard's tokens (and, where even rare words may have so many, every rare one) is spread
   over several shards by a. Its pairs are then counted before, summed by task first; a shard is told the pairs that it meets,
   and one row with what the back-off weight needs of all others, so copies never outnumber the tokens.
 * A context (a, b) that has so many tokens itself is spread evenly over as many of these shards as its tokens need; they are
@@ -34,7 +34,7 @@ from vectable.sources.tables import settle
 KNOWN_SHARE = 2.0**-20
 WORDS_HELD = 250_000
 TOKENS_AT_ONCE = 500_000
-TOKENS_A_SHARD = 1_000_000
+TOKENS_A_SHARD = 500_000
 ROWS_PACKED = 500_000
 
 # Ids of no word, of a text's start, of its end, and of any word; frequent words follow, and the others are hashes.
@@ -499,7 +499,7 @@ def score_texts(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sha
     followed = n.copy()
     followed[START], followed[END] = ends, 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // shard_tokens + 1)
-    hot = max(1, shard_tokens // 4)
+    hot = max(1, shard_tokens // 2)
     vocabulary = spark.sparkContext.broadcast(Vocabulary(frequent["word"].to_pylist()))
     deal = Dealing(n, followed, shards, hot, least)
     seen = settle(noted(rows, vocabulary, spark.sparkContext.broadcast(deal), max(hot, least)))
