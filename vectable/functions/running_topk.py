@@ -12,7 +12,7 @@ from vectable.functions.vectors import row_nearness, row_norms, to_matrix
 from vectable.table import COSINE, EUCLIDEAN
 
 HAMMING = "HAMMING"  # internal: bits that differ between two packed sketches
-_BLOCK = 4_000_000  # scores held at once
+_BLOCK = 1_000_000  # scores held at once, as several arrays of doubles
 _PAIRS = 200_000  # candidate pairs rescored at once
 _EAGER = 20_000  # kept pairs worth an early merge
 _ALIKE = 4.0  # longest row over the median one, up to which one margin serves all

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from vectable.functions.predicates import Filter, where
 from vectable.functions.running_topk import HAMMING, RunningTopK
 from vectable.functions.vectors import is_valid, normalised, row_nearness, to_matrix
-from vectable.operators.search import SHARED_QUERY_BYTES, as_hits, batch_topk, nearest
+from vectable.operators.search import HELD_BYTES, as_hits, batch_topk, nearest
 from vectable.sources.tables import BROADCAST_ROWS, fits_broadcast, settle
 from vectable.table import COSINE, VectorTable, check_metric, check_range, path_col
 
@@ -147,7 +147,7 @@ class _Held:
     rows: np.ndarray
 
 
-def _hold(vectors: DataFrame, key: str, value: str, limit: int = SHARED_QUERY_BYTES) -> _Held | None:
+def _hold(vectors: DataFrame, key: str, value: str, limit: int = HELD_BYTES) -> _Held | None:
     """A small table of vectors in memory, in key order; None when it is over the limit."""
     facts = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(value)).alias("width")).first()
     if not facts["n"]:
@@ -189,7 +189,7 @@ def ivf_assign(
     table: VectorTable,
     *,
     vector_col: str | None = None,
-    shared_bytes: int = SHARED_QUERY_BYTES,
+    shared_bytes: int = HELD_BYTES,
 ) -> DataFrame:
     """The corpus with ``list_id``, its nearest centroid (ties to the smaller list; NULL for an unusable
     vector). Save it with ``save_snapshot(..., partition_by=["list_id"])``.
@@ -222,7 +222,7 @@ def ivf_search(
     condition: Filter = None,
     query_id: str = "query_id",
     query_vector: str = "query_vector",
-    shared_centroid_bytes: int = SHARED_QUERY_BYTES,
+    shared_centroid_bytes: int = HELD_BYTES,
     **search: Any,
 ) -> DataFrame:
     """Top-k among the rows of the ``nprobes`` lists nearest to each query.

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from vectable.functions.running_topk import RunningTopK
 from vectable.functions.vectors import is_valid, normalised, row_norms, to_matrix
 from vectable.operators.approx import kmeans, rows_as_table
-from vectable.operators.search import SHARED_QUERY_BYTES, as_hits, batch_topk, nearest
+from vectable.operators.search import HELD_BYTES, as_hits, batch_topk, nearest
 from vectable.sources.tables import drop_settled, settle
 from vectable.table import COSINE, INNER_PRODUCT, VectorTable, check_metric, check_range, path_col
 
@@ -89,7 +89,7 @@ def list_bounds(indexed: DataFrame, centroids: DataFrame, table: VectorTable, *,
     return widest.join(centre, "list_id").select("list_id", "centre", "radius", "rows")
 
 
-def _centres(centroids: DataFrame, metric: str, limit: int = SHARED_QUERY_BYTES) -> tuple[np.ndarray, np.ndarray] | None:
+def _centres(centroids: DataFrame, metric: str, limit: int = HELD_BYTES) -> tuple[np.ndarray, np.ndarray] | None:
     """Sorted list ids and centres; None beyond the limit."""
     facts = centroids.agg(F.count("*").alias("n"), F.max(F.size("centroid")).alias("width")).first()
     if not facts["n"] or facts["n"] * facts["width"] * 8 > limit:
@@ -112,7 +112,7 @@ def batch_topk_pruned(
     query_vector: str = "query_vector",
     first_lists: int = 1,
     growth: int = 4,
-    bound_bytes: int = SHARED_QUERY_BYTES,
+    bound_bytes: int = HELD_BYTES,
     **search: Any,
 ) -> Pruned:
     """``batch_topk`` over a table with ``list_id``, reading for each query only the lists that can hold one of its hits.
@@ -203,7 +203,7 @@ class CentroidTree:
 def centroid_tree(centroids: DataFrame, table: VectorTable, branches: int | None = None, *, metric: str | None = None, seed: int = 42) -> CentroidTree:
     """Group given centroids (list_id, centroid) under nodes, by default about as many as a node then has lists."""
     metric = check_metric(metric or table.metric)
-    held = _centres(centroids, "", SHARED_QUERY_BYTES)
+    held = _centres(centroids, "", HELD_BYTES)
     if held is None:
         raise ValueError("no centroids, or too many to hold")
     ids, rows = held
@@ -314,7 +314,7 @@ def tree_nearest(held: tuple, metric: str, rows: np.ndarray, n: int) -> tuple[np
     return best.winner_ids().reshape(len(rows), n).astype(np.int32), compared
 
 
-def nearest_in_tree(v: Column, tree: CentroidTree, metric: str, n: int, *, shared_bytes: int = SHARED_QUERY_BYTES) -> Column | None:
+def nearest_in_tree(v: Column, tree: CentroidTree, metric: str, n: int, *, shared_bytes: int = HELD_BYTES) -> Column | None:
     """Ids of the n nearest lists for each vector, nearest first, ties to the smaller id; NULL for an unusable vector. None
     where the tree is too large to hold."""
     held = _hold_tree(tree, shared_bytes)
@@ -338,7 +338,7 @@ def nearest_in_tree(v: Column, tree: CentroidTree, metric: str, n: int, *, share
     return found(v)
 
 
-def ivf_assign_tree(corpus: DataFrame, tree: CentroidTree, table: VectorTable, *, vector_col: str | None = None, shared_bytes: int = SHARED_QUERY_BYTES) -> DataFrame:
+def ivf_assign_tree(corpus: DataFrame, tree: CentroidTree, table: VectorTable, *, vector_col: str | None = None, shared_bytes: int = HELD_BYTES) -> DataFrame:
     """``ivf_assign`` down the tree: a row is compared with the lists of its nearest node, and with those of another node only if
     one of them may be nearer. The same ``list_id``. A tree too large to hold is compared list by list (``ivf_assign``)."""
     from vectable.operators.approx import ivf_assign

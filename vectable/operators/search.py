@@ -7,12 +7,15 @@
 How a batch runs. Queries that fit are shared with all tasks; each task keeps a running top-k per
 query while it streams through its part of the corpus, and sends on only that. The corpus is read
 once, never shuffled, and pairs are never rows. Queries that do not fit are laid out with the corpus
-in a grid of cells of bounded size, one matrix product per cell; again only top-k leaves a cell.
+in a grid of cells of bounded size, one matrix product per cell; again only top-k leaves a cell. Where a
+vector would be copied to more than a few cells, both sides are packed, written once and read by the
+tasks of a Cartesian product, so that the shuffle grows with the input and not with the cells.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -27,8 +30,11 @@ from vectable.functions.vectors import is_valid, query_nearness
 from vectable.sources.tables import BROADCAST_ROWS, either_side, fits_broadcast, row_bytes, settle
 from vectable.table import EUCLIDEAN, VectorTable, check_metric, check_range, check_vector, path_col, path_type
 
-SHARED_QUERY_BYTES = 256 * 1024 * 1024
-CELL_BYTES = 64 * 1024 * 1024
+HELD_BYTES = 256 * 1024 * 1024  # centroids, planes and bounds that a task may hold
+SHARED_QUERY_BYTES = 256 * 1024 * 1024  # every Python worker holds the queries several times over, and their winners
+CELL_BYTES = 16 * 1024 * 1024
+FEW_SLABS = 4  # of the other side, to which a vector is copied in a shuffle
+PACK_BYTES = 2 * 1024 * 1024  # vectors that travel as one row to the cells of a grid
 FEW_HITS = 50_000  # broadcast without being weighed
 LISTED_SCOPES = 10_000  # written into the filter, where they prune partitions at once; more of them are joined
 
@@ -399,7 +405,8 @@ def _shared(
 def _grid(corpus: DataFrame, queries: _Queries, metric: str, k: int, cell_bytes: int) -> DataFrame:
     """Per-cell winners. Each side of a scope is cut by key hash into slabs of bounded size (on the query
     side with room for the winners); a cell is one corpus slab with one query slab. A hot scope has
-    more slabs, hence more cells, not bigger ones. Keys are unique, so the slabs are even."""
+    more slabs, hence more cells, not bigger ones. Keys are unique, so the slabs are even. Without a scope, more
+    than ``FEW_SLABS`` on a side would copy every vector of the other as often: then packs are paired instead."""
     schema, arrow = _local_schema(corpus, queries.frame)
     width = queries.width
     row_slab, ask_slab = max(1, cell_bytes // (8 * width)), max(1, cell_bytes // (8 * width + WINNER_BYTES * k))
@@ -414,8 +421,11 @@ def _grid(corpus: DataFrame, queries: _Queries, metric: str, k: int, cell_bytes:
         ask_slabs = F.ceil(F.col("__asks") / ask_slab).cast("int")
         keys = ["scope", "__i", "__j"]
     else:
-        row_slabs = F.lit(max(1, math.ceil(corpus.count() / row_slab)))
-        ask_slabs = F.lit(max(1, math.ceil(queries.count / ask_slab)))
+        total = corpus.count()
+        slabs = [max(1, math.ceil(total / row_slab)), max(1, math.ceil(queries.count / ask_slab))]
+        if max(slabs) > FEW_SLABS:
+            return _all_cells(corpus, total, queries, metric, k)
+        row_slabs, ask_slabs = (F.lit(n) for n in slabs)
         keys = ["__i", "__j"]
 
     def laid(df: DataFrame, key: str, own: str, own_slabs: Column, other: str, other_slabs: Column) -> DataFrame:
@@ -445,3 +455,81 @@ def _grid(corpus: DataFrame, queries: _Queries, metric: str, k: int, cell_bytes:
         return pa.Table.from_batches(found, schema=arrow)
 
     return left.unionByName(right).groupBy(*keys).applyInArrow(cell, schema)
+
+
+def _packed(df: DataFrame, key: str, metric: str, width: int, rows: int, size: int) -> DataFrame:
+    """The usable vectors of (key, v), ``size`` to a row: pack, key__ids (an Arrow stream) and key__vectors. Written once."""
+    single = metric != HAMMING and isinstance(df.schema["v"].dataType.elementType, T.FloatType)
+    kind = _arrow_type(df.schema[key].dataType)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, parts, held = [], [], 0
+
+        def out() -> pa.RecordBatch:
+            ids = pa.concat_arrays(names).cast(kind)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, pa.schema([("ids", kind)])) as stream:
+                stream.write_batch(pa.record_batch([ids], names=["ids"]))
+            vectors = pa.array([np.ascontiguousarray(np.concatenate(parts)).tobytes()], pa.binary())
+            return pa.record_batch(
+                [pa.array([uuid.uuid4().hex]), pa.array([sink.getvalue().to_pybytes()], pa.binary()), vectors],
+                names=[f"{key}__pack", f"{key}__ids", f"{key}__vectors"],
+            )
+
+        for batch in batches:
+            positions, found = as_matrix(batch.column(1), metric, width)
+            found = found.astype(np.float32) if single else found
+            ids = batch.column(0).take(pa.array(positions))
+            at = 0
+            while at < len(found):
+                step = min(size - held, len(found) - at)
+                names.append(ids.slice(at, step))
+                parts.append(found[at : at + step])
+                at, held = at + step, held + step
+                if held == size:
+                    yield out()
+                    names, parts, held = [], [], 0
+        if held:
+            yield out()
+
+    tasks = min(-(-rows // size), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = df.select(key, "v").repartition(max(1, tasks), key)  # even, and as many full packs as there are
+    return settle(dealt.mapInArrow(pack, f"{key}__pack string, {key}__ids binary, {key}__vectors binary"))
+
+
+def _all_cells(corpus: DataFrame, rows: int, queries: _Queries, metric: str, k: int) -> DataFrame:
+    """Every pack of the corpus with every pack of the queries, each a slab of its side. The running winners of a pack of
+    queries live as long as packs of the corpus come to it."""
+    schema, arrow = _local_schema(corpus, queries.frame)
+    width, each = queries.width, 8 * queries.width + WINNER_BYTES * k
+    single = {
+        name: metric != HAMMING and isinstance(df.schema["v"].dataType.elementType, T.FloatType)
+        for name, df in (("id", corpus), ("query_id", queries.frame))
+    }
+    stored = _packed(corpus, "id", metric, width, rows, max(1, PACK_BYTES // (8 * width + 8)))
+    asked = _packed(queries.frame, "query_id", metric, width, queries.count, max(1, 2 * PACK_BYTES // each))
+
+    def opened(ids: pa.Scalar, vectors: pa.Scalar, name: str) -> tuple[pa.Array, np.ndarray]:
+        names = pa.ipc.open_stream(ids.as_buffer()).read_all().column(0).combine_chunks()
+        kind = np.uint64 if metric == HAMMING else np.float32 if single[name] else np.float64
+        matrix = np.frombuffer(vectors.as_buffer(), dtype=kind).reshape(len(names), width)
+        return names, matrix if metric == HAMMING else matrix.astype(np.float64)
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, best, names = None, None, None
+        for batch in batches:
+            for at in range(batch.num_rows):
+                pack = batch.column(0)[at].as_py()
+                if pack != current:
+                    if best is not None:
+                        yield from best.result(names, arrow)
+                    names, vectors = opened(batch.column(1)[at], batch.column(2)[at], "query_id")
+                    current, best = pack, RunningTopK(metric, vectors, k)
+                ids, vectors = opened(batch.column(3)[at], batch.column(4)[at], "id")
+                best.offer(vectors, ids)
+        if best is not None:
+            yield from best.result(names, arrow)
+
+    pairs = asked.hint("shuffle_replicate_nl").crossJoin(stored)
+    pairs = pairs.select("query_id__pack", "query_id__ids", "query_id__vectors", "id__ids", "id__vectors")
+    return pairs.mapInArrow(cells, schema)
