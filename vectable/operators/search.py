@@ -31,7 +31,7 @@ from vectable.sources.tables import BROADCAST_ROWS, either_side, fits_broadcast,
 from vectable.table import EUCLIDEAN, VectorTable, check_metric, check_range, check_vector, path_col, path_type
 
 HELD_BYTES = 256 * 1024 * 1024  # centroids, planes and bounds that a task may hold
-SHARED_QUERY_BYTES = 256 * 1024 * 1024  # every Python worker holds the queries several times over, and their winners
+SHARED_QUERY_BYTES = 16 * 1024 * 1024  # every Python worker holds the queries several times over, and their winners
 CELL_BYTES = 16 * 1024 * 1024
 FEW_SLABS = 4  # of the other side, to which a vector is copied in a shuffle
 PACK_BYTES = 2 * 1024 * 1024  # vectors that travel as one row to the cells of a grid
