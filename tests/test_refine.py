@@ -3,10 +3,11 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 
 from tests.test_approx import edges
 from tests.test_search import make
-from vectable.operators import approx
+from vectable.operators import approx, refine
 from vectable.operators.refine import knn_graph_refined, whole_groups
 from vectable.table import VectorTable
 
@@ -92,3 +93,19 @@ def test_deep_groups_of_copies_are_cut_before_the_shuffle(spark, plan_of, depth)
     assert sorted(len(r.members) for r in groups.collect())[-1] == 300
     exact = approx.knn_graph(corpus, TABLE, depth)
     assert exact.count() == 400 * 399
+
+
+def test_a_task_scores_few_pairs_at_a_time(monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = rng.standard_normal((3_000, 64))
+    sizes = []
+    exact = refine.row_nearness
+    monkeypatch.setattr(refine, "row_nearness", lambda m, a, b: sizes.append(a.size) or exact(m, a, b))
+    batch = pa.RecordBatch.from_pydict({
+        "node": np.repeat(np.arange(50), 60), "other": np.arange(3_000), "new": np.ones(3_000, bool),
+        "v": pa.array(rows.tolist(), pa.list_(pa.float64())), "worst": pa.nulls(3_000, pa.float64()),
+    })
+    links = pa.Table.from_batches(refine._local_join(64, "COS", 59, refine._link_schema(T.LongType()))(iter([batch])))
+    assert links.num_rows == 3_000 * 59 and sum(sizes) == 3_000 * 59 * 64 and max(sizes) <= 1_000_000
+    src, dst = links["src"].to_numpy(), links["dst"].to_numpy()
+    assert (links["near"].to_numpy() == exact("COS", rows[src], rows[dst])).all()

@@ -28,6 +28,7 @@ from vectable.sources.tables import drop_settled, settle
 from vectable.table import COSINE, EUCLIDEAN, VectorTable, check_metric, check_range, path_col
 
 START_BLOCK = 64  # rows compared with each other at the start
+_NUMBERS = 1_000_000  # vector elements of candidate pairs scored at once, on either side
 
 
 class Refined(NamedTuple):
@@ -223,7 +224,9 @@ def _local_join(dims: int, metric: str, pool: int, schema: T.StructType):
             if not left:
                 continue
             a, b = np.concatenate(left), np.concatenate(right)
-            near = row_nearness(metric, rows[a], rows[b])
+            near, step = np.empty(len(a)), max(1, _NUMBERS // dims)
+            for at in range(0, len(a), step):
+                near[at : at + step] = row_nearness(metric, rows[a[at : at + step]], rows[b[at : at + step]])
             better = near >= worst[a]
             a, b, near = a[better], b[better], near[better]
             ids = table.column("other").combine_chunks()
