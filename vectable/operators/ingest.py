@@ -239,15 +239,27 @@ def upsert_versioned(
         current = current.withColumn(c, align(F.col(c), current.schema[c].dataType, wide))
         batch = batch.withColumn(c, align(F.col(c), batch.schema[c].dataType, wide))
     shaped = batch.select(*[F.col(c) if c in batch.columns else F.lit(None).cast(current.schema[c].dataType).alias(c) for c in current.columns])
-    newest = settle(latest_per_id(shaped, table, version))
+    placed = settle(shaped)
+    # Winners are found by key, version and a hash of the row; whole rows move only where one of them wins.
     same = F.xxhash64(*[_hashable(current, c) for c in current.columns])
-    keys = small_side(newest.select(*table.key), max_broadcast)
-    stored = current.join(keys, table.key, "left_semi").select(*table.key, F.col(version).alias("__version"), same.alias("__row"), F.lit(True).alias("__stored"))
-    met = newest.withColumn("__own", same).join(stored, table.key, "left")
+    each = placed.select(*table.key, version, same.alias("__own")).groupBy(*table.key, version, "__own").agg(F.count("*").alias("__copies"))
+    order = Window.partitionBy(*table.key).orderBy(F.col(version).desc_nulls_last(), "__own")
+    newest = settle(each.withColumn("__newest", F.row_number().over(order)).filter("__newest = 1").drop("__newest"))
+    stored = current.select(*table.key, F.col(version).alias("__version"), same.alias("__row"), F.lit(True).alias("__stored"))
+    keys = newest.select(*table.key)
+    if fits_broadcast(keys, max_broadcast):
+        stored = stored.join(F.broadcast(keys), table.key, "left_semi")
+    met = newest.join(stored, table.key, "left")
     later = F.col(version).isNotNull() & (F.col("__version").isNull() | (F.col(version) > F.col("__version")))
     even = F.col(version).eqNullSafe(F.col("__version")) & (F.col("__own") < F.col("__row"))
-    wins = settle(met.filter(F.col("__stored").isNull() | later | even).select(*current.columns))
-    kept = current.join(small_side(wins.select(*table.key), max_broadcast), table.key, "left_anti")
+    won = settle(met.filter(F.col("__stored").isNull() | later | even).select(*table.key, "__own", "__copies"))
+    repeated = won.filter("__copies > 1").head(1)
+    won = small_side(won.drop("__copies"), max_broadcast)
+    chosen = won.select(*[F.col(k).alias(f"__won_{k}") for k in table.key], F.col("__own").alias("__won"))
+    mine = [F.col(k).eqNullSafe(F.col(f"__won_{k}")) for k in table.key]
+    wins = placed.join(chosen, [*mine, same == F.col("__won")], "left_semi")
+    wins = latest_per_id(wins, table, version) if repeated else wins
+    kept = current.join(won.drop("__own"), table.key, "left_anti")
     return kept.select(*current.columns).unionByName(wins)
 
 
