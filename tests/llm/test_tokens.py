@@ -5,13 +5,15 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
 from tokenizers import Tokenizer
 
 from vectable.llm import queries
-from vectable.llm.byte_bpe import PieceCache, PrefixBpe, PrefixTable, decoder, encode_texts, read_ranks
+from vectable.llm.byte_bpe import LONGEST_CACHED, PieceCache, PrefixBpe, PrefixTable, coder, decoder, encode_texts, read_ranks
+from vectable.llm.common import ROWS_AT_ONCE
 from vectable.llm.token_counts import PieceLengths, TokenCounter, count_tokens, frequent_pieces
 
 JSON, RANKS = queries.JSON_TOKENIZER, queries.RANKS
@@ -122,3 +124,23 @@ def test_cache_keeps_what_is_in_use(bpe):
 def test_vocabulary_without_a_byte_fails(bpe):
     with pytest.raises(ValueError, match="no token"):
         PrefixBpe({b"a": 0}).encode(b"ab")
+
+
+def test_a_task_holds_ids_of_few_rows(spark, library):
+    texts = [f"text {i} of a batch" for i in range(1_000)]
+    parts = list(coder(RANKS, public_tokenizers.PATTERN).func(iter([pa.array(texts), pa.array([], pa.string())])))
+    assert max(len(p) for p in parts) <= ROWS_AT_ONCE
+    assert [r["ids"] for p in parts for r in p.to_pylist()] == [library.encode(t) for t in texts]
+
+
+def test_rows_keep_their_ids_beyond_a_part_of_a_batch(spark, library):
+    rows = [(i, f"text {i} of a batch") for i in range(3 * ROWS_AT_ONCE + 7)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    got = {r["doc_id"]: (list(r["ids"]), bytes(r["decoded"])) for r in encode_texts(docs, RANKS, public_tokenizers.PATTERN).collect()}
+    assert got == {i: (library.encode(t), t.encode()) for i, t in rows}
+
+
+def test_long_pieces_are_not_kept(bpe):
+    cache = PieceCache(bpe)
+    long = "x" * (LONGEST_CACHED + 1)
+    assert cache[long] == tuple(bpe.encode(long.encode())) and cache["x"] and list(cache) == ["x"]

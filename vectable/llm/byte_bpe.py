@@ -20,9 +20,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from vectable.llm.common import as_text, long_list, values
+from vectable.llm.common import ROWS_AT_ONCE, as_text, long_list, values
 
 PIECES_CACHED = 150_000
+LONGEST_CACHED = 100  # characters; a longer piece hardly comes again
 PAIRS_CACHED = 300_000
 HEAD = 6
 HEADS_CACHED = 100_000
@@ -154,6 +155,8 @@ class PieceCache(dict):
         self.bpe, self.limit, self.old = bpe, limit, {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
+        if len(piece) > LONGEST_CACHED:
+            return tuple(self.bpe.encode(piece.encode()))
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
@@ -201,8 +204,9 @@ def coder(path: str, pattern: str, cached: int = PIECES_CACHED) -> Callable:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cache, pieces = worker_cache(path, cached), regex.compile(pattern).findall
         for batch in batches:
-            ids = encoded(batch, cache, pieces)
-            yield pa.StructArray.from_arrays([ids, decoded(ids, cache.bpe.token)], ["ids", "decoded"])
+            for at in range(0, max(1, len(batch)), ROWS_AT_ONCE):  # a whole batch of ids and bytes would be many times its texts
+                ids = encoded(batch.slice(at, ROWS_AT_ONCE), cache, pieces)
+                yield pa.StructArray.from_arrays([ids, decoded(ids, cache.bpe.token)], ["ids", "decoded"])
 
     return encode
 
