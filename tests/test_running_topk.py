@@ -83,3 +83,16 @@ def test_one_very_long_row_does_not_make_all_pairs_be_scored_again(monkeypatch,
     near = rows @ queries.T if metric == "IP" else -((rows[:, None] - queries[None]) ** 2).sum(-1)
     assert (found == np.argsort(-near.T, axis=1, kind="stable")[:, :5]).all()
     assert with_outlier < 2 * plain
+
+
+def test_pairs_are_scored_again_few_at_a_time(monkeypatch):
+    rng = np.random.default_rng(4)
+    rows, queries = rng.standard_normal((300, 64)), rng.standard_normal((200, 64))
+    sizes = []
+    exact = running_topk.row_nearness
+    monkeypatch.setattr(running_topk, "row_nearness", lambda m, r, q: sizes.append(r.size) or exact(m, r, q))
+    best = running_topk.RunningTopK("L2", queries, 300)  # all pairs are kept
+    best.offer(rows, pa.array(np.arange(300)))
+    gaps = ((rows[None] - queries[:, None]) ** 2).sum(-1)
+    assert (best.winner_ids().reshape(200, 300) == np.argsort(gaps, axis=1)).all()
+    assert sum(sizes) == 300 * 200 * 64 and max(sizes) <= 1_000_000

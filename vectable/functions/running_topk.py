@@ -13,7 +13,8 @@ from vectable.table import COSINE, EUCLIDEAN
 
 HAMMING = "HAMMING"  # internal: bits that differ between two packed sketches
 _BLOCK = 1_000_000  # scores held at once, as several arrays of doubles
-_PAIRS = 200_000  # candidate pairs rescored at once
+_PAIRS = 200_000  # candidate pairs that wait for a merge
+_NUMBERS = 1_000_000  # vector elements of candidate pairs rescored at once, on either side
 _EAGER = 20_000  # kept pairs worth an early merge
 _ALIKE = 4.0  # longest row over the median one, up to which one margin serves all
 WINNER_BYTES = 40  # about what one kept (query, row, nearness) takes
@@ -110,10 +111,11 @@ class RunningTopK:
             least = rough[open_ended] - margin[open_ended]
             edge[open_ended] = np.partition(least, cut, axis=1)[:, cut]
         at, row = np.nonzero(rough + margin >= edge[:, None])
-        for start in range(0, len(at), _PAIRS):
-            q, r = which[at[start : start + _PAIRS]], row[start : start + _PAIRS]
+        step = min(_PAIRS, max(1, _NUMBERS // rows.shape[1]))
+        for start in range(0, len(at), step):
+            q, r = which[at[start : start + step]], row[start : start + step]
             if self.metric == HAMMING:
-                near = rough[at[start : start + _PAIRS], r].astype(np.float64)
+                near = rough[at[start : start + step], r].astype(np.float64)
             else:
                 near = row_nearness(self.metric, rows[r], self.queries[q])
             inside = near >= self.edge[q]
