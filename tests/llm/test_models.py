@@ -14,7 +14,7 @@ from vectable.llm import queries
 from vectable.llm.elias_fano import EliasFano, map_bytes, map_file, to_bytes
 from vectable.llm.html_blocks import Block, blocks, labelled_pages, text_features
 from vectable.llm.html_extract import Field, _marginals, extract, main_text, train, trained_field
-from vectable.llm.ngram_lm import Dealing, Vocabulary, _unpacked, held_out, noted, score_texts, sent_tokens
+from vectable.llm.ngram_lm import ANY, RARE, START, TOLD, Dealing, Vocabulary, _uncrushed, _unpacked, held_out, noted, noted_words, rare_id, score_texts, sent_tokens, told_counts
 from vectable.llm.ngram_trie import Trie, build, quantise
 
 # --- pages
@@ -275,6 +275,59 @@ def test_no_task_meets_more_than_its_share(make_docs, spark):
     assert max(loads.values()) < 3 * sum(loads.values()) / 16
 
 
+def test_counts_are_told_whole_and_packed(make_docs, spark):
+    """Each shard of a spread word is told the whole count of each pair that it meets, in rows that do not grow with the tokens."""
+    draw = np.random.default_rng(8)
+    texts = [(k, "all start " + " ".join(draw.choice([f"w{i}" for i in range(9)], 20)) + f" own{k} w1 own{k}") for k in range(300)]
+    train = [["<", *t.split(), ">"] for k, t in texts if zlib.crc32(str(k).encode()) % 7 != 2]
+    twos, n = Counter(x for line in train for x in zip(line, line[1:])), Counter(w for line in train for w in line)
+    words = sorted(w for w in n if w not in "<>" and not w.startswith("own"))
+    ids = {"<": 1, ">": 2} | {w: 4 + i for i, w in enumerate(words)}
+    rare = {w: i for w, i in spark.createDataFrame([(w,) for k, t in texts for w in {*t.split()} - ids.keys()], "w string").select("w", rare_id("w")).collect()}
+    name = {i: w for w, i in (ids | rare).items()}
+    counts = np.array([0, 0, len(train), 0, *(n[w] for w in words)])
+    followed = np.where(np.arange(len(counts)) == START, len(train), np.where(np.arange(len(counts)) == 2, 0, counts))
+    whole, rows = float(n.total()), []
+    for times in (1, 4):
+        docs = make_docs(texts * times).repartition(4).select(F.col("doc_id").alias("key"), held_out("doc_id").alias("held_out"), F.encode("text", "utf-8").alias("text"))
+        deal = Dealing(counts * times, followed * times, 16, 100 * times, 1.0)
+        vocabulary, dealing = spark.sparkContext.broadcast(Vocabulary([w.encode() for w in words])), spark.sparkContext.broadcast(deal)
+        seen = noted(docs, vocabulary, dealing, 100 * times).persist()
+        hot = seen.selectExpr("inline(triples)").groupBy("a", "b").agg(F.sum("n").alias("n")).filter(f"n > {50 * times}").collect()
+        deal = Dealing(counts * times, followed * times, 16, 100 * times, 1.0)
+        deal.set_contexts([r["a"] * len(counts) + r["b"] for r in hot], [r["n"] for r in hot])
+        dealing = spark.sparkContext.broadcast(deal)
+        once = spark.createDataFrame([(i, n[w] * times) for w, i in rare.items()], "id bigint, n bigint")
+        notes = seen.filter("data IS NOT NULL").select("shard", "data").unionByName(noted_words(once, 16))
+        got = told_counts(notes, spark.sparkContext.broadcast(counts * times), dealing, whole).collect()
+        rows.append(len(got))
+        told = {(r["shard"], *map(int, x[:4])): int(x[4]) for r in got if r["data"] for x in _uncrushed(r["data"], TOLD)}
+        of = {(r["shard"], *map(int, x[1:3])): int(x[3]) for r in got if r["data"] for x in _uncrushed(r["data"], TOLD) if x[0] == ANY}
+        assert of and all(twos[name[b], name[c]] * times == k for (_, b, c), k in of.items())
+        assert all(m == (n[name[c]] * times if c >= RARE else 0) for (_, a, _, c, _), m in told.items() if a in (0, ANY))
+        met = 0
+        for r in sent_tokens(docs, vocabulary, dealing).filter("keys IS NULL").collect():
+            hashes, places, _ = _unpacked(r["data"])
+            _, b, c = np.where(places < len(counts), places, np.append(hashes, 0)[np.maximum(places - len(counts), 0)]).reshape(3, -1).tolist()
+            for x, y in zip(b, c):
+                if deal.of(np.array([x]))[1][0] > 1 and twos[name[x], name[y]]:
+                    assert (r["shard"], x, y) in of
+                    met += 1
+                elif y >= RARE and n[name[y]]:
+                    assert (r["shard"], 0, 0, y, 0) in told or (r["shard"], ANY, x, y, 0) in told
+        sums = Counter()
+        for r in got:
+            for x in r["sums"] or []:
+                sums[x["b"], "n"] += x["n"]
+                sums[x["b"], "m"] += x["m"]
+        for b in {b for _, b, _ in of}:
+            follow = [k for (x, _), k in twos.items() if x == name[b]]
+            assert (sums[b, "n"], sums[b, "m"]) == (sum(follow) * times, len(follow))
+        assert hot and met > 3000 * times
+        seen.unpersist()
+    assert rows[1] <= rows[0] * 1.1 and rows[0] <= 16 * 16 + 16
+
+
 def test_scores_with_text_keys(spark):
     docs = spark.createDataFrame([("a", "one two"), ("b", None), (None, "one")], "doc_id string, text string")
     assert {(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"]) for r in score_texts(docs).collect()} == {("a", 3, 3, 6), ("b", 1, 1, 6), (None, 2, 2, 6)}
