@@ -5,8 +5,10 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from vectable.llm.html_blocks import Block, blocks, labelled_pages, text_feature
 from vectable.llm.html_extract import Field, _marginals, extract, main_text, train, trained_field
 from vectable.llm.ngram_lm import ANY, RARE, START, TOLD, Dealing, Vocabulary, _uncrushed, _unpacked, held_out, noted, noted_words, rare_id, score_texts, sent_tokens, told_counts
 from vectable.llm.ngram_trie import Trie, build, quantise
+from vectable.sources.tables import checkpoint_dir
 
 # --- pages
 
@@ -328,6 +331,17 @@ def test_counts_are_told_whole_and_packed(make_docs, spark):
     assert rows[1] <= rows[0] * 1.1 and rows[0] <= 16 * 16 + 16
 
 
+def test_counts_of_spread_words_are_not_kept_as_rows(make_docs, spark):
+    """What is written down between jobs are packed tables, far fewer rows than tokens."""
+    folder = Path(checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.glob("settled-*"))
+    draw = np.random.default_rng(9)
+    texts = [(k, " ".join(draw.choice([f"w{i}" for i in range(40)], 100))) for k in range(200)]
+    assert score_texts(make_docs(texts), shard_tokens=400).count() == 200
+    rows = sum(pq.read_metadata(part).num_rows for made in set(folder.glob("settled-*")) - before for part in made.glob("*.parquet"))
+    assert 0 < rows < 200 * 100 / 4
+
+
 def test_scores_with_text_keys(spark):
     docs = spark.createDataFrame([("a", "one two"), ("b", None), (None, "one")], "doc_id string, text string")
     assert {(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"]) for r in score_texts(docs).collect()} == {("a", 3, 3, 6), ("b", 1, 1, 6), (None, 2, 2, 6)}
